@@ -1,8 +1,10 @@
 """The registered queries of the subpackage, and SQL where SQL can express one."""
 
-from gleaner.llm import simhash
+from gleaner.llm import decontaminate, quality_rules, simhash
 
 QUERIES = {
     "op7_simhash": simhash.op7,
+    "op9_quality_rules": quality_rules.op9,
+    "op10_decontaminate": decontaminate.op10,
 }
 ORACLES: dict[str, str] = {}
