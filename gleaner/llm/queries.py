@@ -1,10 +1,16 @@
 """The registered queries of the subpackage, and SQL where SQL can express one."""
 
-from gleaner.llm import decontaminate, quality_rules, simhash
+import corpus_pipeline
+from gleaner.llm import decontaminate, mixing, pii, quality_rules, simhash
 
 QUERIES = {
+    "op1_pii": pii.op1,
+    "op6_mixing": mixing.op6,
     "op7_simhash": simhash.op7,
     "op9_quality_rules": quality_rules.op9,
     "op10_decontaminate": decontaminate.op10,
+    "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.OP6_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

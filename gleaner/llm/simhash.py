@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.texts import read, row_key
 from gleaner.plans.components import components
 from gleaner.plans.storage import materialize
 
@@ -62,14 +63,14 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fp (long, the 64 bits) of every row."""
+    """doc_id, key (of the row) and fp (long, the 64 bits) of every row."""
 
     def run(batches):
         for b in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t, shingle) for t in b.column(2).to_pylist()), np.uint64, b.num_rows)
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("key"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def _segment(fp: str, k: Column | int) -> Column:
@@ -133,33 +134,33 @@ def links(nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, crowd: int = CROWD) -> DataFrame:
-    """doc_id, fp (long) and component_id of every row of docs."""
+    """doc_id, key, fp (long), component (a label) and component_id of every row of docs."""
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
     nodes = materialize(fps.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("node")), "nodes")
-    lone = nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    if lone:  # ids that repeat over texts: nodes need names of their own
+    if nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        found = components(links(nodes, crowd))
+        to = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component")).withColumn("least", F.col("component"))
+    else:  # an id stands for several texts, so nodes go by their fingerprint
         found = components(links(nodes.select("fp", F.col("fp").alias("node")), crowd))
         named = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        least = named.groupBy("component").agg(F.min("node").alias("least"))
-        to = named.join(least, "component").select("fp", "least")
-    else:
-        found = components(links(nodes, crowd))
-        to = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("least"))
-    return fps.join(to, "fp").select("doc_id", "fp", F.nullif(F.col("least"), F.lit(NO_ID)).alias("component_id"))
+        to = named.join(named.groupBy("component").agg(F.min("node").alias("least")), "component").select("fp", "component", "least")
+    return fps.join(to, "fp").select("doc_id", "key", "fp", "component", F.nullif(F.col("least"), F.lit(NO_ID)).alias("component_id"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = simhash_components(docs)
+    found = simhash_components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """One row of each component stays: that with the smallest doc_id; of rows that repeat it, one.
+    """One row of each component stays, that with the smallest doc_id (nulls last); of rows that repeat it, one.
 
-    A document whose text is as short as to give no shingle still has a fingerprint and is treated alike.
+    Texts with fewer words than a shingle are compared by all their words; blank ones are copies of each other.
     """
-    found = simhash_components(docs, shingle).where("doc_id = component_id or (doc_id is null and component_id is null)")
-    keys = found.select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(keys, F.expr("doc_id <=> _id"), "left_semi")
-    return kept
+    found = materialize(simhash_components(docs, shingle).select("doc_id", "key", "component"), "components")
+    first = found.groupBy("component").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)), "key")).alias("x"))
+    first = materialize(first.select("component", F.col("x.key").alias("key")), "kept")
+    kept = docs.withColumn("_gleaner_key", row_key(docs)).join(first.select(F.col("key").alias("_gleaner_key")), "_gleaner_key", "left_semi")
+    if not found.join(first, ["component", "key"]).groupBy("key").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_gleaner_key"])
+    return kept.drop("_gleaner_key")
