@@ -1,16 +1,18 @@
 """The registered queries of the subpackage, and SQL where SQL can express one."""
 
 import corpus_pipeline
-from gleaner.llm import decontaminate, mixing, pii, quality_rules, simhash
+from gleaner.llm import decontaminate, knn_quality, mixing, pii, quality_rules, simhash, warc
 
 QUERIES = {
     "op1_pii": pii.op1,
+    "op2_knn_quality": knn_quality.op2,
+    "op5_warc": warc.op5,
     "op6_mixing": mixing.op6,
     "op7_simhash": simhash.op7,
     "op9_quality_rules": quality_rules.op9,
     "op10_decontaminate": decontaminate.op10,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op6_mixing": mixing.OP6_SQL}
+ORACLES: dict[str, str] = {"op5_warc": warc.OP5_SQL, "op6_mixing": mixing.OP6_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
