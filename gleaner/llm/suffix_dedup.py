@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.hashes import Prefixes, mix, sliding_argmin
 from gleaner.llm.texts import read
 from gleaner.plans.storage import materialize
 
@@ -50,50 +51,9 @@ _random = np.random.default_rng(7)
 _GRAMS = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTES = _random.integers(0, 1 << 63, 256, dtype=np.uint64)
 _STEPS = _random.integers(0, 1 << 62, 5, dtype=np.uint64) * np.uint64(4) + np.uint64(3)
-_BASE = 0x9E3779B97F4A7C15 | 3
 _SPAN = LENGTH - GRAM + 1
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[0] = 1
-    done = 1
-    with np.errstate(over="ignore"):
-        while done < n:
-            m = min(done, n - done)
-            out[done : done + m] = out[:m] * np.uint64(pow(base, done, 1 << 64))
-            done += m
-    return out
-
-
-_POWER: dict[str, np.ndarray] = {}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWER.get("up", ())) < n:
-        _POWER["up"], _POWER["down"] = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
-    return _POWER["up"], _POWER["down"]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Prefixes:
-    """Hashes of any stretches of a byte string, from prefix sums."""
-
-    def __init__(self, raw: np.ndarray):
-        up, self.down = _power(len(raw) + 1)
-        self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTES[raw] * up[: len(raw)], out=self.sums[1:])
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
 def runs(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First and one-past-last window of each run, the hash of its anchor's gram, the hash of its bytes."""
     n = len(raw)
@@ -104,18 +64,11 @@ def runs(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     for step in _STEPS:
         g = g[:-k] * step + g[k:]
         k *= 2
-    g = _mix(g)
-    low = (g & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(g), dtype=np.uint64)
-    width = 1
-    while width * 2 <= _SPAN:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    if width < _SPAN:
-        low = np.minimum(low[: len(low) - (_SPAN - width)], low[_SPAN - width :])
-    at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    g = mix(g)
+    at = sliding_argmin(g, _SPAN)
     start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     end = np.append(start[1:], len(at))
-    return start, end, g[at[start]], Prefixes(raw).of(start, end + LENGTH - 1)
+    return start, end, g[at[start]], Prefixes(_BYTES[raw]).of(start, end + LENGTH - 1)
 
 
 class Family:
@@ -258,7 +211,7 @@ def _match_runs(batches):
     def flush():
         doc, uid, start, end, h, c = (np.concatenate(x) for x in zip(*held, strict=True))
         h, c = h.view(np.uint64), c.view(np.uint64)
-        later = family.add(_mix(h ^ _mix(c)), [doc, uid, start, h, c, end])
+        later = family.add(mix(h ^ mix(c)), [doc, uid, start, h, c, end])
         doc, uid, start, _, _, end = family.columns
         return _rows(COVER, *_merged(doc[later], uid[later], start[later], end[later] + LENGTH - 1))
 
@@ -292,7 +245,7 @@ _WINDOWS_SCHEMA = pa.schema([("deal", pa.int64()), ("doc", pa.int64()), ("uid",
 
 def _window_hashes(raw: np.ndarray) -> np.ndarray:
     at = np.arange(len(raw) - LENGTH + 1)
-    return Prefixes(raw).of(at, at + LENGTH)
+    return Prefixes(_BYTES[raw]).of(at, at + LENGTH)
 
 
 def _fetch(batches):
@@ -308,7 +261,7 @@ def _fetch(batches):
                     out.append((e["h"], doc, uid, e["start"], e["h"], 0, piece.tobytes()))
                 else:
                     w = _window_hashes(piece)
-                    deal = _mix(w ^ np.uint64(e["h"] & (2**64 - 1))).view(np.int64)
+                    deal = mix(w ^ np.uint64(e["h"] & (2**64 - 1))).view(np.int64)
                     out += [(int(x), doc, uid, e["start"] + k, e["h"], int(v), None) for k, (x, v) in enumerate(zip(deal, w.view(np.int64), strict=True))]
                 held += len(piece)
             if held >= 1 << 22:
@@ -342,7 +295,7 @@ def _match_windows(batches):
                 offset = np.cumsum(size) - size
                 of = np.repeat(offset, n[whole]) + (np.arange(n[whole].sum()) - np.repeat(np.cumsum(n[whole]) - n[whole], n[whole]))
                 hashes[np.isin(row, whole)] = all_[of]
-            later = family.add(_mix(hashes ^ h[row]), [doc[row], uid[row], starts, h[row], hashes])
+            later = family.add(mix(hashes ^ h[row]), [doc[row], uid[row], starts, h[row], hashes])
             d, u, s = (c[later] for c in family.columns[:3])
             yield _rows(COVER, *_merged(d, u, s, s + LENGTH))
 
