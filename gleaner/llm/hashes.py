@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _BASE = 0x9E3779B97F4A7C15 | 3
 
@@ -57,3 +58,19 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     if done < width:
         low = np.minimum(low[: len(low) - (width - done)], low[width - done :])
     return (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+class Codes(dict):
+    """Codes of words, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1 << 20:
+            self.clear()
+        self[word] = code = xxhash.xxh3_64_intdigest(word)
+        return code
+
+
+def codes(text: str | None, memory: Codes) -> np.ndarray:
+    """A code for each lower-cased word."""
+    words = (text or "").encode().lower().split()
+    return np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))

@@ -1,15 +1,17 @@
 """The registered queries of the subpackage, and SQL where SQL can express one."""
 
 import corpus_pipeline
-from gleaner.llm import decontaminate, knn_quality, mixing, pii, quality_rules, simhash, suffix_dedup, warc
+from gleaner.llm import chaining, decontaminate, knn_quality, mixing, pii, pseudo_likelihood, quality_rules, simhash, suffix_dedup, warc
 
 QUERIES = {
     "op1_pii": pii.op1,
     "op2_knn_quality": knn_quality.op2,
+    "op3_chaining": chaining.op3,
     "op4_suffix_dedup": suffix_dedup.op4,
     "op5_warc": warc.op5,
     "op6_mixing": mixing.op6,
     "op7_simhash": simhash.op7,
+    "op8_pseudo_likelihood": pseudo_likelihood.op8,
     "op9_quality_rules": quality_rules.op9,
     "op10_decontaminate": decontaminate.op10,
     "pipeline": corpus_pipeline.run,
