@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.texts import read, row_key, words
+from gleaner.llm.texts import packed, read, row_key, words
 from gleaner.plans.storage import materialize
 
 # Counted offsets of each mask.
@@ -77,4 +77,4 @@ def op10(spark, sf_dir: str) -> DataFrame:
 def drop_leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows in which no item leaks."""
     bad = materialize(leaks(docs, bench).select("key").distinct(), "leaks")
-    return docs.withColumn("_gleaner_key", row_key(docs)).join(bad.withColumnRenamed("key", "_gleaner_key"), "_gleaner_key", "left_anti").drop("_gleaner_key")
+    return packed(docs).join(bad, "key", "left_anti").select("row.*")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.texts import read, row_key
+from gleaner.llm.texts import packed, read, row_key
 from gleaner.plans.components import components
 from gleaner.plans.storage import materialize
 
@@ -160,7 +160,7 @@ def keep_first(docs: DataFrame, shingle: int = 5) -> DataFrame:
     found = materialize(simhash_components(docs, shingle).select("doc_id", "key", "component"), "components")
     first = found.groupBy("component").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)), "key")).alias("x"))
     first = materialize(first.select("component", F.col("x.key").alias("key")), "kept")
-    kept = docs.withColumn("_gleaner_key", row_key(docs)).join(first.select(F.col("key").alias("_gleaner_key")), "_gleaner_key", "left_semi")
+    kept = packed(docs).join(first.select("key"), "key", "left_semi")
     if not found.join(first, ["component", "key"]).groupBy("key").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_gleaner_key"])
-    return kept.drop("_gleaner_key")
+        kept = kept.dropDuplicates(["key"])
+    return kept.select("row.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,5 +26,22 @@ def row_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Co
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """row (all columns of df in a struct, whatever their names) and key; row.* gives them back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), row_key(df).alias("key"))
+
+
 def read(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+@contextmanager
+def arrow_rows(spark, n: int):
+    """Batches of at most n rows go to Python meanwhile: for wide rows, whose number says little about their bytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
