@@ -64,7 +64,7 @@ class Codes(dict):
     """Codes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
+        if len(self) >= 1 << 16:
             self.clear()
         self[word] = code = xxhash.xxh3_64_intdigest(word)
         return code
