@@ -14,7 +14,7 @@ MEASURED = "format string, width int, height int, status string"
 
 
 def _png(b: bytes):
-    at, size, ended = 8, None, False
+    at, size = 8, None
     while at + 12 <= len(b):
         n, kind = struct.unpack(">I4s", b[at : at + 8])
         body = b[at + 8 : at + 8 + n]
@@ -24,9 +24,10 @@ def _png(b: bytes):
             return size, "unreadable" if kind == b"IHDR" else "truncated"
         if kind == b"IHDR":
             size = struct.unpack(">II", body[:8])
-        ended = kind == b"IEND"
+        if kind == b"IEND":
+            return size, None
         at += 12 + n
-    return size, None if ended else "truncated"
+    return size, "truncated"
 
 
 def _jpeg(b: bytes):
