@@ -16,6 +16,9 @@ with at most one change is within 3 bits of every member that reaches it with up
 changed key), so each hub that has such a centre links all others to it: true links only, and of every link at least
 one path. Rows grow with the members, not with their pairs.
 
+near_copies() is the wider form that the pipeline takes: it also links texts whose sets of five-word shingles have a
+Jaccard similarity of 0.8 or more, which fingerprints of parts propose and the sets themselves decide.
+
 Components are then found on distinct fingerprints; copies share theirs and are never expanded into pairs.
 
 Defined results: null or blank texts have fingerprint zero and link like any other; fewer words than a shingle give
@@ -33,7 +36,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.texts import packed, read, row_key
+from gleaner.llm.hashes import sliding_argmin
+from gleaner.llm.texts import arrow_rows, packed, read, row_key
 from gleaner.plans.components import components
 from gleaner.plans.storage import materialize
 
@@ -42,24 +46,54 @@ DISTANCE = 3
 #: Members of a key up to which they are paired.
 CROWD = 96
 NO_ID = 2**63 - 1
+#: Shingles in a row whose smallest hash starts a part.
+PART = 20
+SIMILARITY = 0.8
+#: Pairs with their texts that a batch for Python holds at most.
+WIDE = 500
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
+def _hashes(text: str | None, shingle: int) -> np.ndarray:
+    """A hash for each shingle; all words are one if they are fewer."""
     words = (text or "").encode().lower().split()
-    if not words:
-        return 0
     if len(words) < shingle:
-        grams = iter([b" ".join(words)])
-        n = 1
+        grams, n = iter([b" ".join(words)] if words else []), min(len(words), 1)
     else:
-        n = len(words) - shingle + 1
-        grams = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))
-    h = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), "<u8", n)
+        grams, n = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False)), len(words) - shingle + 1
+    return np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), "<u8", n)
+
+
+def _packed(ones: np.ndarray, n) -> np.ndarray:
+    """Fingerprints of rows of 64 counts."""
+    return np.packbits(ones * 2 > n, axis=-1, bitorder="little").view("<u8").ravel()
+
+
+def _bits(h: np.ndarray) -> np.ndarray:
+    return np.unpackbits(h.view(np.uint8), bitorder="little").reshape(-1, 64)
+
+
+def fingerprint(text: str | None, shingle: int) -> int:
+    h = _hashes(text, shingle)
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, 65536):
-        part = h[at : at + 65536].view(np.uint8)
-        ones += np.unpackbits(part, bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.uint32)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    for at in range(0, len(h), 65536):
+        ones += _bits(h[at : at + 65536]).sum(axis=0, dtype=np.uint32)
+    return int(_packed(ones, len(h))[0])
+
+
+def part_fingerprints(text: str | None, shingle: int) -> tuple[int, np.ndarray]:
+    """The fingerprint of the whole text, and those of its parts. A part starts where a shingle's hash is the smallest of PART in a row, so parts between two edits stay as they are."""
+    h = _hashes(text, shingle)
+    if not len(h):
+        return 0, np.zeros(0, np.uint64)
+    starts = np.unique(np.concatenate(([0], sliding_argmin(h, PART)))) if len(h) > PART else np.zeros(1, np.int64)
+    ends = np.append(starts[1:], len(h))
+    total, parts = np.zeros(64, np.int64), []
+    for k in range(0, len(starts), 2048):
+        s, e = starts[k : k + 2048], ends[k : k + 2048]
+        ones = np.add.reduceat(_bits(h[s[0] : e[-1]]), s - s[0], axis=0, dtype=np.int32)
+        total += ones.sum(axis=0)
+        parts.append(_packed(ones, (e - s)[:, None]))
+    return int(_packed(total, len(h))[0]), np.unique(np.concatenate(parts))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -152,13 +186,86 @@ def op7(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 5) -> DataFrame:
+def _with_parts(docs: DataFrame, shingle: int) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            found = [part_fingerprints(t, shingle) for t in b.column(3).to_pylist()]
+            fps = np.fromiter((f for f, _ in found), np.uint64, len(found)).view(np.int64)
+            parts = pa.array([p.view(np.int64) for _, p in found], pa.list_(pa.int64()))
+            yield pa.record_batch([*(b.column(k) for k in range(3)), pa.array(fps), parts], names=["doc_id", "key", "same", "fp", "parts"])
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), row_key(docs).alias("key"), F.xxhash64(text, F.length(text)).alias("same"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, key long, same long, fp long, parts array<long>")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have a Jaccard similarity of at least the given one. texts: node, text."""
+
+    def shingles(text: str) -> set:
+        words = text.encode().lower().split()
+        return set(zip(*(words[k:] for k in range(shingle)), strict=False)) if len(words) >= shingle else {tuple(words)}
+
+    def run(batches):
+        last, theirs = None, None
+        for batch in batches:
+            a, b, own, other = (batch.column(k).to_pylist() for k in range(4))
+            keep = []
+            for k in range(len(a)):
+                if b[k] != last:
+                    last, theirs = b[k], shingles(other[k])
+                mine = shingles(own[k])
+                both = len(mine & theirs)
+                keep.append(both >= similarity * (len(mine) + len(theirs) - both))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+
+    of = lambda x, t: texts.select(F.col("node").alias(x), F.col("text").alias(t))
+    with_texts = pairs.join(of("a", "own"), "a").join(of("b", "other"), "b").select("a", "b", "own", "other")
+    with arrow_rows(pairs.sparkSession, WIDE):
+        return materialize(with_texts.mapInArrow(run, "a long, b long"), "similar")
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
+    """doc_id (NO_ID for null), key and component of every row: whole texts within DISTANCE bits, and texts of the given similarity.
+
+    A text that differs in a few words is further than DISTANCE bits from its original, so texts are also fingerprinted
+    in parts, and those that share a part's fingerprint are compared by their shingles. Of the texts that hold a part
+    each is compared with one only: the one with the fewest parts of its own (an original has none where its copies have
+    their edits), by doc_id among equals. Pairs are as many as the parts, and a part that a third of all texts hold is a
+    pair for each. Copies are one text throughout.
+    """
+    rows = materialize(_with_parts(docs, shingle), "fingerprints")
+    first = F.min(F.struct("doc_id", "key")).alias("first")
+    nodes = rows.groupBy("same", "fp").agg(first, F.first("parts").alias("parts"))
+    nodes = materialize(nodes.select("same", "fp", F.col("first.key").alias("node"), F.col("first.doc_id").alias("doc_id"), "parts"), "texts")
+
+    held = nodes.select("node", F.explode("parts").alias("part"))
+    shared = held.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
+    shared = materialize(held.join(shared, "part"), "parts")
+    own = nodes.join(shared.groupBy("node").agg(F.count("*").alias("n")), "node").select("node", F.struct((1 - F.col("n") / F.size("parts")).alias("own"), "doc_id", F.col("node").alias("node")).alias("place"))
+    placed = materialize(shared.join(own, "node"), "placed")
+    chosen = placed.groupBy("part").agg(F.min("place").alias("chosen"))
+    pairs = placed.join(chosen, "part").select(F.col("node").alias("a"), F.col("chosen.node").alias("b")).where("a <> b").distinct()
+    texts = docs.select(row_key(docs).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(nodes.select("node"), "node", "left_semi")
+    if not rows.groupBy("key").count().where("count > 1").isEmpty():  # rows that are there twice
+        texts = texts.dropDuplicates(["node"])
+    alike = _similar(pairs, texts, shingle, similarity)
+
+    heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
+    same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
+    found = components(alike.unionAll(same).unionAll(links(heads, crowd)))
+    label = nodes.join(found, "node", "left").select("same", "fp", F.coalesce("component", "node").alias("component"))
+    return rows.select("doc_id", "key", "same", "fp").join(label, ["same", "fp"]).select("doc_id", "key", "component")
+
+
+def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each component stays, that with the smallest doc_id (nulls last); of rows that repeat it, one.
 
     Texts with fewer words than a shingle are compared by all their words; blank ones are copies of each other.
     """
-    found = materialize(simhash_components(docs, shingle).select("doc_id", "key", "component"), "components")
-    first = found.groupBy("component").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)), "key")).alias("x"))
+    found = materialize(near_copies(docs, shingle, similarity), "components")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("x"))
     first = materialize(first.select("component", F.col("x.key").alias("key")), "kept")
     kept = packed(docs).join(first.select("key"), "key", "left_semi")
     if not found.join(first, ["component", "key"]).groupBy("key").count().where("count > 1").isEmpty():

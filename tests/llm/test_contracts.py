@@ -259,7 +259,19 @@ def _fingerprint(text, shingle=3):
     return sum(1 << k for k in range(64) if sum(h >> k & 1 for h in hs) * 2 > len(hs))
 
 
-def _components(fps):
+def _shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+def _near_components(texts):
+    """Links of whole fingerprints and of all pairs with a similarity of 0.8."""
+    fps, sets = {i: _fingerprint(t, 5) for i, t in texts.items()}, {i: _shingles(t) for i, t in texts.items()}
+    near = lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3 or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    return _components(fps, near)
+
+
+def _components(fps, near=None):
     ids = list(fps)
     parent = {i: i for i in ids}
 
@@ -271,7 +283,7 @@ def _components(fps):
 
     for k, a in enumerate(ids):
         for b in ids[:k]:
-            if (fps[a] ^ fps[b]).bit_count() <= 3:
+            if near(a, b) if near else (fps[a] ^ fps[b]).bit_count() <= 3:
                 parent[root(a)] = root(b)
     least = {}
     for i in ids:
@@ -308,6 +320,25 @@ def test_links_lose_nothing(spark, crowd):
     assert got == _components(fps)
 
 
+def test_edited_copies_are_near(spark):
+    """Copies with a word changed here and there, further apart than three bits, in groups with and without their original."""
+    r, texts = random.Random(8), {}
+    for g in range(6):
+        base = prose(260, 7000 + g).split()
+        texts[1000 * g + 500] = " ".join(base)
+        for k in range(12):
+            w = list(base)
+            for _ in range(r.randint(1, 4)):
+                w[r.randrange(len(w))] = f"edit{r.random()}"
+            texts[1000 * g + k * 90] = " ".join(w)
+    texts |= {90000 + k: prose(200, 7100 + k) for k in range(30)} | {95000 + k: prose(r.randint(1, 12), 7200 + k) for k in range(20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x["doc_id"]: x["component"] for x in simhash.near_copies(docs).collect()}
+    want = _near_components(texts)
+    pairs = lambda c: {(a, b) for a in c for b in c if c[a] == c[b]}
+    assert pairs(got) == pairs(want)
+
+
 def test_one_of_each_group_stays(spark):
     a, b = prose(300, 1), prose(300, 2)
     docs = spark.createDataFrame([(3, a, "en", "s", 1), (2, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1), (None, a, "en", "s", 1), (7, "", "en", "s", 0), (8, None, "en", "s", 0)], DOCS)
@@ -439,7 +470,7 @@ def test_pipeline_decides_as_its_parts(spark):
             failed = {r["doc_id"] for r in before if (c := _counts(r["text"]))[0] < 20 or 100 * c[4] > 30 * c[0]}
             assert not failed & set(after) and len(after) > 0.7 * len(before)
         if k == 1:
-            assert set(after) == set(_components({r["doc_id"]: _fingerprint(r["text"], 5) for r in before}).values())
+            assert set(after) == set(_near_components({r["doc_id"]: r["text"] for r in before}).values())
         if k == 2:
             items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
             assert {r["doc_id"] for r in before} - set(after) == {i for i, _ in _leaks([(r["doc_id"], r["text"]) for r in before], items)}
