@@ -59,6 +59,7 @@ class Split:
     train_percent: int = 80
     stratify: bool = True
     strategy: str = "stratified_rank"
+    #: Fixed value: splits and selections follow from it.
     salt: str = "aicare-v1"
 
     def __post_init__(self):

@@ -76,7 +76,7 @@ A = f"""a AS (SELECT doc_id, sha256(text) AS sha256, lang AS class_label, source
   len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::INT AS height, strlen(text)::BIGINT AS file_size_bytes,
   {_sql_dealt(LICENSES, "doc_id")} AS license_raw, {_sql_dealt(CREDITS, "doc_id")} AS attribution FROM documents)"""
 U = f"{A}, u AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY sha256 ORDER BY doc_id) = 1)"
-SCORE = "(('0x' || substr(sha256('aicare-v1:' || sha256), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0)"
+SCORE = f"(('0x' || substr(sha256('{Split().salt}:' || sha256), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0)"
 
 
 def unique(spark: SparkSession, d: str) -> DataFrame:
