@@ -255,8 +255,8 @@ def test_mixing(spark, monkeypatch, buckets):
 def _fingerprint(text, shingle=3):
     w = [x.decode("utf-8", "surrogatepass") for x in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())]
     grams = [" ".join(w[i : i + shingle]) for i in range(len(w) - shingle + 1)] or ([" ".join(w)] if w else [])
-    hs = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
-    return sum(1 << k for k in range(64) if sum(h >> k & 1 for h in hs) * 2 > len(hs))
+    hs = np.array([xxhash.xxh64_intdigest(g.encode(), 42) for g in grams], np.uint64)
+    return sum(1 << k for k in range(64) if int((hs >> np.uint64(k) & np.uint64(1)).sum()) * 2 > len(hs))
 
 
 def _shingles(text):
