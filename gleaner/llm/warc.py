@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -51,15 +52,18 @@ def base32_sha1(payload: Column) -> Column:
     return F.concat(*[letter(g, s) for g in range(8) for s in (15, 10, 5, 0)])
 
 
-def cuts(payload: bytes, size: int) -> list[int]:
+def cuts(payload: memoryview, size: int) -> list[int]:
     """Ends of chunks: at most size bytes each, on code points, never the whole version line in one."""
-    ends, at, stop, line = [], 0, len(payload), VERSION.encode()
-    found = payload.find(line)
+    ends, at, stop = [], 0, len(payload)
+    lines = re.finditer(re.escape(VERSION.encode()), payload)
+    found = next(lines, None)
     while at < stop:
         end = min(at + size, stop)
-        if 0 <= found < end - 7:
-            end = found + 7
-            found = payload.find(line, end)
+        while found and found.start() + 7 <= at:  # an end stands in it already
+            found = next(lines, None)
+        if found and found.start() < end - 7:
+            end = found.start() + 7
+            found = next(lines, None)
         while end < stop and payload[end] & 0xC0 == 0x80:
             end -= 1
         ends.append(end)
@@ -71,7 +75,7 @@ def _digest(sha) -> str:
     return base64.b32encode(sha.digest()).decode()
 
 
-def _segments(page_id, url, payload: bytes, n_bytes: int, digest: str, refers, revisit: bool, name: str, size: int):
+def _segments(page_id, url, payload: memoryview, n_bytes: int, digest: str, refers, revisit: bool, name: str, size: int):
     """(chunk number, record text) of a page's record."""
     ends = [0] if revisit else cuts(payload, size)
     running, at = hashlib.sha1(), 0
@@ -79,7 +83,7 @@ def _segments(page_id, url, payload: bytes, n_bytes: int, digest: str, refers, r
         body = payload[at:end] if not revisit else b""
         at = end
         running.update(body)
-        block = (HTTP.format(n_bytes).encode() if k == 0 else b"") + body
+        block = (HTTP.format(n_bytes).encode() if k == 0 else b"") + bytes(body)
         head = [f"WARC-Type: {'revisit' if revisit else 'response' if k == 0 else 'continuation'}", f"WARC-Record-ID: <{name}{f':{k}' if k else ''}>", "WARC-Date: 1970-01-01T00:00:00Z"]
         head += [f"WARC-Block-Digest: sha1:{_digest(hashlib.sha1(block))}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
         if k == 0:
@@ -112,7 +116,7 @@ def chunks(pages: DataFrame, min_bytes: int = 0, size: int = CHUNK, broadcast_di
             for i in range(b.num_rows):
                 page, url, body, n_bytes, digest, first, revisit = (c[i].as_py() if k != 2 else c[i].as_buffer() for k, c in enumerate(cols))
                 name, n = f"urn:page:{page}:{part}-{n}", n + 1
-                for k, value in _segments(page, url, body.to_pybytes() if body is not None else b"", n_bytes, digest, first, revisit, name, size):
+                for k, value in _segments(page, url, memoryview(body), n_bytes, digest, first, revisit, name, size):
                     out.append((name, k, value))
                     held += len(value)
                     if held >= BATCH:

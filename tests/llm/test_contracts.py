@@ -212,6 +212,17 @@ def test_warc_round_trip(spark):
     assert segments.where("octet_length(payload) > 1000").count() == 0 and segments.where("segment > 1").count() > 0
 
 
+def test_chunks_are_small_and_hold_no_version_line():
+    r = random.Random(6)
+    for _ in range(300):
+        text = "".join(r.choice(["WARC/1.1\r\n", "WARC/1.", "é", "\U0001f600", "x" * r.randint(1, 30), "\r\n"]) for _ in range(r.randint(0, 20))).encode()
+        size = r.randint(8, 40)
+        ends = warc.cuts(memoryview(text), size)
+        parts = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        assert b"".join(parts) == text and all(0 < len(p) <= size or not text for p in parts)
+        assert all(b"WARC/1.1\r\n" not in p and p.decode() is not None for p in parts)
+
+
 def test_warc_floor_and_joined_digests(spark):
     pages = spark.createDataFrame([(1, "a", "same"), (2, "a", "same"), (3, "a", "a longer payload"), (4, "a", "a longer payload")], "page_id long, url string, html string")
     kinds = lambda **kw: {v.split("WARC-X-Page: ")[1].split("\r")[0]: "revisit" if "WARC-Type: revisit" in v else "response" for (v,) in warc.chunks(pages, **kw).select("value").collect()}
