@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gleaner.config import Dedupe
@@ -73,7 +72,8 @@ def _greedy(distance: int, keep: str):
     """The loop itself, for one component with its stored rows."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["stored", "pos", "pixels", "sha256"], ascending=[False, True, False, True])
+        rows = rows.assign(rank=(-rows["pixels"]).where(~rows["stored"], rows["pos"]))
+        rows = rows.sort_values(["stored", "rank", "sha256"], ascending=[False, True, True])
         index: list[list] = []
         out = []
         for r in rows.itertuples():
@@ -172,6 +172,6 @@ def mark(images: DataFrame, stored: DataFrame | None, cfg: Dedupe = Dedupe()) ->
 
 
 def index_rows(images: DataFrame) -> DataFrame:
-    """The stored index: coded rows that are no duplicates, pos by age."""
-    pos = F.row_number().over(W.orderBy("created_at", "sha256")).cast("long")
-    return images.where("phash is not null and duplicate_of is null").select("sha256", "phash", "class_label", "width", "height", pos.alias("pos"))
+    """The stored index: coded rows that are no duplicates; pos is their age, of which sha256 breaks ties. No global sort: only rows of one component are ever ordered."""
+    pos = F.unix_micros(F.col("created_at").cast("timestamp")).alias("pos")
+    return images.where("phash is not null and duplicate_of is null").select("sha256", "phash", "class_label", "width", "height", pos)

@@ -175,3 +175,18 @@ def known_urls(images: DataFrame) -> DataFrame:
     """origin_url to sha256 and storage_path; of rows that share a URL the latest."""
     rank = F.row_number().over(W.partitionBy("origin_url").orderBy(F.col("created_at").desc(), "sha256"))
     return images.withColumn("_r", rank).where("_r = 1").select("origin_url", "sha256", "storage_path")
+
+
+def known_hashes(images: DataFrame) -> DataFrame:
+    """All stored hashes, marked duplicates among them."""
+    return images.select("sha256")
+
+
+def split_candidates(images: DataFrame) -> DataFrame:
+    return images.where("duplicate_of is null").select("sha256", "class_label")
+
+
+def duplicates_with_originals(images: DataFrame) -> DataFrame:
+    """Each marked row with the class and size of what it points at."""
+    original = images.select(F.col("sha256").alias("duplicate_of"), F.col("class_label").alias("original_class"), F.col("width").alias("original_width"))
+    return images.where("duplicate_of is not null").select("sha256", "class_label", "duplicate_of", "duplicate_distance").join(original, "duplicate_of")

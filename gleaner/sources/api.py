@@ -61,7 +61,7 @@ def union_sources(*frames: DataFrame) -> DataFrame:
 class ApiPages(DataSource):
     """spark.read.format("gleaner_api").option("url", ...).option("classes", "cat,dog").option("limit", 90).load(): class_label and page.
 
-    A partition for each class; its pages are asked for in turn until the limit, an empty page, the last page or an error.
+    Option token is sent as a bearer token; without one requests are anonymous. A partition for each class; its pages are asked for in turn until the limit, an empty page, the last page or an error.
     """
 
     @classmethod
@@ -86,7 +86,7 @@ class _Reader(DataSourceReader):
         from gleaner.config import Http
         from gleaner.sources.http import Client, Failed
 
-        client, label, got, page = Client(Http(min_delay=float(self.options.get("delay", 0.5)))), partition.value, 0, 1
+        client, label, got, page = Client(Http(min_delay=float(self.options.get("delay", 0.5))), token=self.options.get("token")), partition.value, 0, 1
         size, limit = int(self.options.get("page_size", 20)), int(self.options.get("limit", 20))
         while got < limit:
             query = {"q": label, "page": page, "page_size": min(size, limit), "license_type": self.options.get("license_type", "commercial,modification"), "category": "photograph", "mature": "false"}

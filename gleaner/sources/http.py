@@ -29,7 +29,8 @@ class Failed(Exception):
 class Client:
     """Throttled by host, obeys robots files it can read, retries what may pass. One per task: a host is one task's."""
 
-    def __init__(self, cfg: Http = Http(), sleep=time.sleep, clock=time.monotonic, opener=None):
+    def __init__(self, cfg: Http = Http(), sleep=time.sleep, clock=time.monotonic, opener=None, token: str | None = None):
+        self.headers = {"User-Agent": cfg.user_agent} | ({"Authorization": f"Bearer {token}"} if token else {})
         self.cfg, self.sleep, self.clock = cfg, sleep, clock
         self.open = opener or urllib.request.urlopen
         self.next: dict[str, float] = {}
@@ -59,7 +60,7 @@ class Client:
 
     def _once(self, url: str):
         self.wait(urllib.parse.urlsplit(url).netloc)
-        return self.open(urllib.request.Request(url, headers={"User-Agent": self.cfg.user_agent}), timeout=self.cfg.read_timeout)
+        return self.open(urllib.request.Request(url, headers=self.headers), timeout=self.cfg.read_timeout)
 
     def backoff(self, attempt: int, retry_after: str | None) -> float:
         pause = self.cfg.backoff * 2 ** (attempt - 1) * random.uniform(0.5, 1.5)
