@@ -10,7 +10,7 @@ by prefix sums; the document on the edge gives the words that are still missing,
 within a word.
 
 The prefix sum of a hot source is not one task's: keys fall into BUCKETS monotone buckets, whose sums alone are
-prefix-summed per source. That names the bucket on the edge; buckets before it are taken whole, later ones not at all,
+prefix-summed per source, coarse ones first, then those of one coarse bucket. That names the bucket on the edge; buckets before it are taken whole, later ones not at all,
 and only the edge bucket's documents are ordered one by one.
 
 Defined results: null texts have size 0 and take 0; null sources are a source of their own, last in order; a total of
@@ -31,6 +31,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2
 BUCKETS = 1 << 16
+#: Bits of a bucket's number that its coarse bucket leaves out: prefix sums run over coarse buckets, then within one.
+COARSE = 8
 SEED = "mix"
 #: Sources up to which their targets are broadcast.
 BROADCAST_SOURCES = 20_000
@@ -64,6 +66,13 @@ def targets(sizes: DataFrame) -> DataFrame:
     return df.select("source", "source_size", F.coalesce(F.least("_cap", F.col("_level") * F.col("_w")), F.col("_cap")).alias("target"))
 
 
+def _edge(sums: DataFrame, plan: DataFrame) -> DataFrame:
+    """sums: source, slot, words; plan: source, left. edge, the slot in which a source's words reach left, and room, what is left there."""
+    upto = F.sum("words").over(W.partitionBy("source").orderBy("slot").rowsBetween(W.unboundedPreceding, 0))
+    reached = sums.withColumn("upto", upto).join(plan.withColumnRenamed("source", "s"), F.expr("source <=> s")).where("upto > left and upto - words <= left")
+    return reached.groupBy("source").agg(F.min("slot").alias("edge"), F.min_by(F.col("left") - (F.col("upto") - F.col("words")), "slot").alias("room"))
+
+
 def mixed(docs: DataFrame, carry: list[str]) -> DataFrame:
     """row (the carried columns), source, size, source_size, target and taken."""
     row = F.struct(*[F.col(f"`{c}`") for c in carry])
@@ -76,9 +85,10 @@ def mixed(docs: DataFrame, carry: list[str]) -> DataFrame:
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long"))
     plan = materialize(plan.withColumn("left", budget - F.col("epochs") * F.col("source_size")), "targets")
     plan = F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
-    upto = F.sum("words").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0))
-    edge = buckets.withColumn("upto", upto).join(plan.withColumnRenamed("source", "s"), F.expr("source <=> s")).where("upto > left and upto - words <= left")
-    edge = edge.groupBy("source").agg(F.min("bucket").alias("edge"), F.min_by(F.col("left") - (F.col("upto") - F.col("words")), "bucket").alias("room"))
+    coarse = F.shiftright("bucket", COARSE).alias("slot")
+    outer = _edge(buckets.groupBy("source", coarse).agg(F.sum("words").alias("words")), plan.select("source", "left"))
+    inside = buckets.join(outer.withColumnRenamed("source", "s"), F.expr(f"source <=> s and shiftright(bucket, {COARSE}) = edge"))
+    edge = _edge(inside.select("source", F.col("bucket").alias("slot"), "words"), outer.select("source", F.col("room").alias("left")))
     plan = materialize(plan.join(edge.withColumnRenamed("source", "s"), F.expr("source <=> s"), "left").drop("s"), "edges")
     plan = plan.withColumnRenamed("source", "s")
     plan = F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
