@@ -37,3 +37,10 @@ def discard(df: DataFrame) -> None:
         if "/gleaner/" in file:
             path = jvm.org.apache.hadoop.fs.Path(file)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def partitions(df: DataFrame, bytes_each: int = 32 << 20) -> int:
+    """How many partitions a stage needs whose tasks hold their rows: spark.sql.shuffle.partitions, or more if df's files are larger than bytes_each for each of those. Frames of unknown size get the setting."""
+    held = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return held if size >= 1 << 60 else max(held, -(-size // bytes_each))
