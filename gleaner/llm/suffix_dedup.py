@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from gleaner.llm.hashes import Prefixes, mix, sliding_argmin
 from gleaner.llm.texts import read
-from gleaner.plans.storage import materialize
+from gleaner.plans.storage import materialize, partitions
 
 LENGTH = 100
 GRAM = 32
@@ -309,7 +309,7 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 def covers(docs: DataFrame) -> DataFrame:
     """docs: doc, uid, text. kind, doc, uid, start, end (bytes) of what is to go; covers of a document may overlap."""
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = partitions(docs)
     found = docs.select("doc", "uid", "text").mapInArrow(_find_runs, _ROWS)
     deal = F.when(F.col("kind") == RUN, F.col("h")).otherwise(F.xxhash64("doc", "uid", "start"))
     matched = materialize(found.repartition(n, deal).mapInArrow(_match_runs, _ROWS), "runs")
