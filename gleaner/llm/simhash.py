@@ -247,7 +247,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
     placed = materialize(shared.join(own, "node"), "placed")
     chosen = placed.groupBy("part").agg(F.min("place").alias("chosen"))
     pairs = placed.join(chosen, "part").select(F.col("node").alias("a"), F.col("chosen.node").alias("b")).where("a <> b").distinct()
-    texts = docs.select(row_key(docs).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(nodes.select("node"), "node", "left_semi")
+    pairs = materialize(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = docs.select(row_key(docs).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(wanted, "node", "left_semi")
     if not rows.groupBy("key").count().where("count > 1").isEmpty():  # rows that are there twice
         texts = texts.dropDuplicates(["node"])
     alike = _similar(pairs, texts, shingle, similarity)
