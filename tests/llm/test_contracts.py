@@ -118,6 +118,18 @@ def test_shared_passages(spark):
     assert {got[300]["class_id"], got[301]["class_id"]} == {300}
 
 
+def test_two_passages_with_other_text_between(spark):
+    """Header and footer in common, the text between not: the chain over both is no passage, its parts are."""
+    head, foot = prose(60, 510), prose(60, 511)
+    made = [(i, f"{prose(30, 6000 + i)} {head} {prose(200, 6100 + i)} {foot} {prose(30, 6200 + i)}") for i in range(2)]
+    exact, far = prose(45, 512).split(), [prose(150, 6300 + i).split() for i in range(2)]
+    # An exact passage, then words that agree in fives, too few for the whole diagonal to be alike.
+    made += [(10 + i, " ".join(exact + [w if k % 14 < 5 else far[i][k] for k, w in enumerate(prose(150, 513).split())])) for i in range(2)]
+    got = {r["doc_id"]: r for r in chaining.passage_classes(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert [got[i]["class_id"] for i in (0, 1, 10, 11)] == [0, 0, 10, 10]
+    assert all(got[i]["n_passages"] == 2 for i in (0, 1)) and all(got[i]["longest"] >= 45 for i in (10, 11))
+
+
 def test_chain_is_the_best_one():
     """Scores of the Fenwick tree against all predecessors."""
     rng = random.Random(3)
