@@ -17,7 +17,8 @@ changed key), so each hub that has such a centre links all others to it: true li
 one path. Rows grow with the members, not with their pairs.
 
 near_copies() is the wider form that the pipeline takes: it also links texts whose sets of five-word shingles have a
-Jaccard similarity of 0.8 or more, which fingerprints of parts propose and the sets themselves decide.
+Jaccard similarity of 0.8 or more. Fingerprints of parts find most of these cheaply; a prefix filter on the shingles
+then proposes all others between the components found so far, and the sets themselves decide.
 
 Components are then found on distinct fingerprints; copies share theirs and are never expanded into pairs.
 
@@ -36,10 +37,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.hashes import sliding_argmin
+from gleaner.llm.hashes import Codes, Prefixes, codes, sliding_argmin
 from gleaner.llm.texts import arrow_rows, packed, read, row_key
 from gleaner.plans.components import components
-from gleaner.plans.storage import materialize
+from gleaner.plans.storage import materialize, partitions
 
 SEED = 42
 DISTANCE = 3
@@ -226,6 +227,95 @@ def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
         return materialize(with_texts.mapInArrow(run, "a long, b long"), "similar")
 
 
+#: Upper bits of a shingle's hash by which its frequency is estimated; it decides the order of shingles, never a result.
+BUCKET_BITS = 20
+
+
+def _shingle_set(text: str | None, shingle: int, memory: Codes) -> np.ndarray:
+    """Distinct hashes of shingles; all words are one if they are fewer."""
+    words = codes(text, memory)
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    at = np.arange(max(len(words) - shingle + 1, 1))
+    return np.unique(Prefixes(words).of(at, np.minimum(at + shingle, len(words))))
+
+
+def _levels(texts: DataFrame, shingle: int) -> np.ndarray:
+    """For each bucket of hashes the magnitude of its count if it is a frequent one, else 0."""
+    shift = np.uint64(64 - BUCKET_BITS)
+
+    def run(batches):
+        held, memory = np.zeros(1 << BUCKET_BITS, np.int64), Codes()
+        for b in batches:
+            found = [_shingle_set(t, shingle, memory) >> shift for t in b.column(0).to_pylist()]
+            held += np.bincount(np.concatenate([np.zeros(0, np.uint64), *found]).astype(np.int64), minlength=len(held))
+        busy = np.flatnonzero(held > 8 + 4 * held.mean())
+        yield pa.record_batch([pa.array(busy.astype(np.int32)), pa.array(held[busy])], names=["bucket", "n"])
+
+    with arrow_rows(texts.sparkSession, WIDE):
+        busy = texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    levels = np.zeros(1 << BUCKET_BITS, np.uint8)
+    levels[busy.column("bucket").to_numpy()] = np.log2(busy.column("n").to_numpy()).astype(np.uint8)
+    return levels
+
+
+def _needed(similarity: float, n):
+    return np.ceil(similarity * n - 1e-9).astype(np.int64)
+
+
+def _apart(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """texts: node, text and component. a and b: all pairs of different components that may have the similarity.
+
+    With the shingles of all texts in one order, rare ones first, two sets of that similarity share a shingle among the
+    first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap.
+    """
+    spark = texts.sparkSession
+    levels = spark.sparkContext.broadcast(_levels(texts, shingle))
+
+    def prefixes(batches):
+        memory = Codes()
+        for b in batches:
+            found, sizes = [np.zeros(0, np.uint64)], []
+            for text in b.column(2).to_pylist():
+                h = _shingle_set(text, shingle, memory)
+                h = h[np.lexsort((h, levels.value[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))]
+                sizes.append(len(h))
+                found.append(h[: len(h) - int(_needed(similarity, len(h))) + 1])
+            lengths = [len(h) for h in found[1:]]
+            place = np.concatenate([np.zeros(0, np.int64), *map(np.arange, lengths)])
+            node, component = (np.repeat(b.column(k).to_numpy(zero_copy_only=False), lengths) for k in (0, 1))
+            yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64)), pa.array(node), pa.array(component), pa.array(np.repeat(sizes, lengths).astype(np.int32)), pa.array(place.astype(np.int32))], names=["h", "node", "component", "size", "place"])
+
+    def pairs(batches):
+        parts = [[b.column(k).to_numpy(zero_copy_only=False) for k in range(5)] for b in batches]
+        if not parts:
+            return
+        h, node, component, size, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(h, kind="stable")
+        h, node, component, size, place = (x[order] for x in (h, node, component, size, place))
+        # Shingles that stand in one component only have no pair.
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(h), 1), bool), h[1:] != h[:-1])))
+        mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first) if len(first) else np.zeros(0, bool)
+        some = np.repeat(mixed, np.diff(np.append(first, len(h))))
+        h, node, component, size, place = (x[some] for x in (h, node, component, size, place))
+        i, apart = np.arange(len(h)), 0
+        while len(i):
+            apart += 1
+            i = i[i + apart < len(h)]
+            i = i[h[i] == h[i + apart]]
+            j = i + apart
+            left = np.minimum(size[i] - place[i], size[j] - place[j])
+            may = (component[i] != component[j]) & (left >= _needed(similarity / (1 + similarity), size[i] + size[j]))
+            a, b = node[i[may]], node[j[may]]
+            if len(a):
+                yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+    with arrow_rows(spark, WIDE):
+        rows = materialize(texts.select("node", "component", "text").mapInArrow(prefixes, "h long, node long, component long, size int, place int"), "prefixes")
+    found = rows.repartition(partitions(rows), "h").mapInArrow(pairs, "a long, b long").distinct()
+    return materialize(found, "apart")
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
     """doc_id (NO_ID for null), key and component of every row: whole texts within DISTANCE bits, and texts of the given similarity.
 
@@ -233,7 +323,9 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
     in parts, and those that share a part's fingerprint are compared by their shingles. Of the texts that hold a part
     each is compared with one only: the one with the fewest parts of its own (an original has none where its copies have
     their edits), by doc_id among equals. Pairs are as many as the parts, and a part that a third of all texts hold is a
-    pair for each. Copies are one text throughout.
+    pair for each. Copies are one text throughout. That compares few pairs and misses some (a part's chosen text may be
+    unlike texts that are like each other, short texts have one part), so what lies in different components after it
+    is compared wherever the prefix filter can't rule the similarity out.
     """
     rows = materialize(_with_parts(docs, shingle), "fingerprints")
     first = F.min(F.struct("doc_id", "key")).alias("first")
@@ -248,15 +340,21 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
     chosen = placed.groupBy("part").agg(F.min("place").alias("chosen"))
     pairs = placed.join(chosen, "part").select(F.col("node").alias("a"), F.col("chosen.node").alias("b")).where("a <> b").distinct()
     pairs = materialize(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = docs.select(row_key(docs).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(wanted, "node", "left_semi")
-    if not rows.groupBy("key").count().where("count > 1").isEmpty():  # rows that are there twice
-        texts = texts.dropDuplicates(["node"])
-    alike = _similar(pairs, texts, shingle, similarity)
+    texts = docs.select(row_key(docs).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    repeats = not rows.groupBy("key").count().where("count > 1").isEmpty()  # rows that are there twice
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        some = texts.join(wanted, "node", "left_semi")
+        return _similar(pairs, some.dropDuplicates(["node"]) if repeats else some, shingle, similarity)
 
     heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
     same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
-    found = components(alike.unionAll(same).unionAll(links(heads, crowd)))
+    edges = materialize(alike(pairs).unionAll(same).unionAll(links(heads, crowd)), "links")
+    named = nodes.select("node").join(components(edges), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    each = texts.join(named, "node")
+    more = alike(_apart(each.dropDuplicates(["node"]) if repeats else each, shingle, similarity))
+    found = components(edges.unionAll(more))
     label = nodes.join(found, "node", "left").select("same", "fp", F.coalesce("component", "node").alias("component"))
     return rows.select("doc_id", "key", "same", "fp").join(label, ["same", "fp"]).select("doc_id", "key", "component")
 

@@ -362,6 +362,30 @@ def test_edited_copies_are_near(spark):
     assert pairs(got) == pairs(want)
 
 
+def _check_near(spark, texts):
+    got = {x["doc_id"]: x["component"] for x in simhash.near_copies(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    want = _near_components(texts)
+    pairs = lambda c: {(a, b) for a in c for b in c if c[a] == c[b]}
+    assert pairs(got) == pairs(want) and len(set(want.values())) < len(texts)
+
+
+def test_copies_in_a_compilation_are_near(spark):
+    """A text that holds all parts of two near copies does not stand between them; short edited texts have few parts."""
+    r, texts = random.Random(9), {}
+
+    def edited(words, n):
+        w = list(words)
+        for _ in range(n):
+            w[r.randrange(len(w))] = f"edit{r.random()}"
+        return " ".join(w)
+
+    for g in range(6):
+        base, rest = prose(200, 7300 + g).split(), prose(150, 7400 + g)
+        a, b = edited(base, 2), edited(base, 2)
+        texts |= {100 * g: f"{rest} {a} {rest} {b} {rest}", 100 * g + 1: a, 100 * g + 2: b, 100 * g + 3: f"{rest} {a} {rest} {b} {rest} {prose(300, 7500 + g)}"}
+    _check_near(spark, texts)
+
+
 def test_one_of_each_group_stays(spark):
     a, b = prose(300, 1), prose(300, 2)
     docs = spark.createDataFrame([(3, a, "en", "s", 1), (2, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1), (None, a, "en", "s", 1), (7, "", "en", "s", 0), (8, None, "en", "s", 0)], DOCS)
