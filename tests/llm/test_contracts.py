@@ -386,6 +386,17 @@ def test_copies_in_a_compilation_are_near(spark):
     _check_near(spark, texts)
 
 
+def test_edited_copies_of_short_texts_are_near(spark):
+    """Texts of 20 to 60 words, which have few parts, with their last word or another changed."""
+    r, texts = random.Random(10), {}
+    for g in range(40):
+        base = prose(20 + g, 7600 + g).split()
+        texts |= {10 * g: " ".join(base), 10 * g + 1: " ".join([*base[:-1], f"last{g}"])}
+        base[r.randrange(len(base))] = f"edit{g}"
+        texts[10 * g + 2] = " ".join(base)
+    _check_near(spark, texts)
+
+
 def test_one_of_each_group_stays(spark):
     a, b = prose(300, 1), prose(300, 2)
     docs = spark.createDataFrame([(3, a, "en", "s", 1), (2, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1), (None, a, "en", "s", 1), (7, "", "en", "s", 0), (8, None, "en", "s", 0)], DOCS)
