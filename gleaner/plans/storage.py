@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary folder is made only where it is unset."""
+    """spark.checkpoint.dir of the session; a temporary folder is made only where it is unset and executors are threads of this process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="gleaner-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
