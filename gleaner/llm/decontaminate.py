@@ -50,12 +50,12 @@ def _equal(own: str, item: str, shift: str) -> Column:
     return F.transform(F.col(item), lambda w, k: F.coalesce((F.get(F.col(own), F.col(shift) + k) == w).cast("int"), F.lit(0)))
 
 
-def leaks(docs: DataFrame, bench: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+def leaks(docs: DataFrame, bench: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS, key: Column | None = None) -> DataFrame:
     """key (of the document's row), doc_id, item_id, n_equal (places that agree on the best diagonal), n_item (words of the item)."""
     items = materialize(bench.select("item_id", _hashed_words("text").alias("item")).where(F.size("item") > min(map(max, MASKS))).distinct(), "items")
     seeds = materialize(_seeds(items, "item", ["item_id"]).select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
     small = seeds.count() <= broadcast_seeds
-    own = docs.select(row_key(docs).alias("key"), "doc_id", _hashed_words("text").alias("own"))
+    own = docs.select((row_key(docs) if key is None else key).alias("key"), "doc_id", _hashed_words("text").alias("own"))
     if small:
         hits = _seeds(own, "own", ["key", "doc_id", "own"]).join(F.broadcast(seeds), "seed").select("key", "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "own")
         hits = hits.join(F.broadcast(items), "item_id")
@@ -76,5 +76,6 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows in which no item leaks."""
-    bad = materialize(leaks(docs, bench).select("key").distinct(), "leaks")
-    return packed(docs).join(bad, "key", "left_anti").select("row.*")
+    key = row_key(docs)
+    bad = materialize(leaks(docs, bench, key=key).select("key").distinct(), "leaks")
+    return packed(docs, key).join(bad, "key", "left_anti").select("row.*")

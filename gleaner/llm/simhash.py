@@ -17,8 +17,8 @@ changed key), so each hub that has such a centre links all others to it: true li
 one path. Rows grow with the members, not with their pairs.
 
 near_copies() is the wider form that the pipeline takes: it also links texts whose sets of five-word shingles have a
-Jaccard similarity of 0.8 or more. Fingerprints of parts find most of these cheaply; a prefix filter on the shingles
-then proposes all others between the components found so far, and the sets themselves decide.
+Jaccard similarity of 0.8 or more. A prefix filter on the shingles (rare ones first) proposes them, first each text
+with one other for each shingle, then all that is left between the components found so far; the sets themselves decide.
 
 Components are then found on distinct fingerprints; copies share theirs and are never expanded into pairs.
 
@@ -37,9 +37,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.hashes import Codes, Prefixes, codes, sliding_argmin
-from gleaner.llm.texts import arrow_rows, packed, read, row_key
-from gleaner.plans.components import components
+from gleaner.llm.hashes import Codes, Prefixes, codes
+from gleaner.llm.texts import packed, read, row_key
+from gleaner.plans.components import components, spread_join, with_group_min
 from gleaner.plans.storage import materialize, partitions
 
 SEED = 42
@@ -47,11 +47,7 @@ DISTANCE = 3
 #: Members of a key up to which they are paired.
 CROWD = 96
 NO_ID = 2**63 - 1
-#: Shingles in a row whose smallest hash starts a part.
-PART = 20
 SIMILARITY = 0.8
-#: Pairs with their texts that a batch for Python holds at most.
-WIDE = 500
 
 
 def _hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -81,22 +77,6 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(_packed(ones, len(h))[0])
 
 
-def part_fingerprints(text: str | None, shingle: int) -> tuple[int, np.ndarray]:
-    """The fingerprint of the whole text, and those of its parts. A part starts where a shingle's hash is the smallest of PART in a row, so parts between two edits stay as they are."""
-    h = _hashes(text, shingle)
-    if not len(h):
-        return 0, np.zeros(0, np.uint64)
-    starts = np.unique(np.concatenate(([0], sliding_argmin(h, PART)))) if len(h) > PART else np.zeros(1, np.int64)
-    ends = np.append(starts[1:], len(h))
-    total, parts = np.zeros(64, np.int64), []
-    for k in range(0, len(starts), 2048):
-        s, e = starts[k : k + 2048], ends[k : k + 2048]
-        ones = np.add.reduceat(_bits(h[s[0] : e[-1]]), s - s[0], axis=0, dtype=np.int32)
-        total += ones.sum(axis=0)
-        parts.append(_packed(ones, (e - s)[:, None]))
-    return int(_packed(total, len(h))[0]), np.unique(np.concatenate(parts))
-
-
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id, key (of the row) and fp (long, the 64 bits) of every row."""
 
@@ -187,17 +167,17 @@ def op7(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _with_parts(docs: DataFrame, shingle: int) -> DataFrame:
+def _with_text_hash(docs: DataFrame, key: Column, shingle: int) -> DataFrame:
+    """doc_id, key, same (two hashes of the text that copies share) and fp of every row."""
+
     def run(batches):
         for b in batches:
-            found = [part_fingerprints(t, shingle) for t in b.column(3).to_pylist()]
-            fps = np.fromiter((f for f, _ in found), np.uint64, len(found)).view(np.int64)
-            parts = pa.array([p.view(np.int64) for _, p in found], pa.list_(pa.int64()))
-            yield pa.record_batch([*(b.column(k) for k in range(3)), pa.array(fps), parts], names=["doc_id", "key", "same", "fp", "parts"])
+            fps = np.fromiter((fingerprint(t, shingle) for t in b.column(3).to_pylist()), np.uint64, b.num_rows)
+            yield pa.record_batch([*(b.column(k) for k in range(3)), pa.array(fps.view(np.int64))], names=["doc_id", "key", "same", "fp"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), row_key(docs).alias("key"), F.xxhash64(text, F.length(text)).alias("same"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, key long, same long, fp long, parts array<long>")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), key.alias("key"), F.xxhash64(text, F.length(text)).alias("same"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, key long, same long, fp long")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -222,9 +202,8 @@ def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
             yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     of = lambda x, t: texts.select(F.col("node").alias(x), F.col("text").alias(t))
-    with_texts = pairs.join(of("a", "own"), "a").join(of("b", "other"), "b").select("a", "b", "own", "other")
-    with arrow_rows(pairs.sparkSession, WIDE):
-        return materialize(with_texts.mapInArrow(run, "a long, b long"), "similar")
+    with_texts = spread_join(spread_join(pairs, of("b", "other"), "b", "a"), of("a", "own"), "a", "b").select("a", "b", "own", "other")
+    return materialize(with_texts.mapInArrow(run, "a long, b long"), "similar")
 
 
 #: Upper bits of a shingle's hash by which its frequency is estimated; it decides the order of shingles, never a result.
@@ -252,8 +231,7 @@ def _levels(texts: DataFrame, shingle: int) -> np.ndarray:
         busy = np.flatnonzero(held > 8 + 4 * held.mean())
         yield pa.record_batch([pa.array(busy.astype(np.int32)), pa.array(held[busy])], names=["bucket", "n"])
 
-    with arrow_rows(texts.sparkSession, WIDE):
-        busy = texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    busy = texts.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     levels = np.zeros(1 << BUCKET_BITS, np.uint8)
     levels[busy.column("bucket").to_numpy()] = np.log2(busy.column("n").to_numpy()).astype(np.uint8)
     return levels
@@ -263,99 +241,124 @@ def _needed(similarity: float, n):
     return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
-def _apart(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """texts: node, text and component. a and b: all pairs of different components that may have the similarity.
+def _prefixes(texts: DataFrame, levels: np.ndarray, shingle: int, similarity: float) -> DataFrame:
+    """texts: node and text. h, node, size (of the set) and place (of h in it): the rows of each text's prefix."""
+    held = texts.sparkSession.sparkContext.broadcast(levels)
 
-    With the shingles of all texts in one order, rare ones first, two sets of that similarity share a shingle among the
-    first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap.
-    """
-    spark = texts.sparkSession
-    levels = spark.sparkContext.broadcast(_levels(texts, shingle))
-
-    def prefixes(batches):
-        memory = Codes()
+    def run(batches):
+        memory, shift = Codes(), np.uint64(64 - BUCKET_BITS)
         for b in batches:
             found, sizes = [np.zeros(0, np.uint64)], []
-            for text in b.column(2).to_pylist():
-                h = _shingle_set(text, shingle, memory)
-                h = h[np.lexsort((h, levels.value[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))]
+            for i in range(b.num_rows):
+                h = _shingle_set(b.column(1)[i].as_py(), shingle, memory)
+                h = h[np.lexsort((h, held.value[(h >> shift).astype(np.int64)]))]
                 sizes.append(len(h))
                 found.append(h[: len(h) - int(_needed(similarity, len(h))) + 1])
             lengths = [len(h) for h in found[1:]]
             place = np.concatenate([np.zeros(0, np.int64), *map(np.arange, lengths)])
-            node, component = (np.repeat(b.column(k).to_numpy(zero_copy_only=False), lengths) for k in (0, 1))
-            yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64)), pa.array(node), pa.array(component), pa.array(np.repeat(sizes, lengths).astype(np.int32)), pa.array(place.astype(np.int32))], names=["h", "node", "component", "size", "place"])
+            node = np.repeat(b.column(0).to_numpy(zero_copy_only=False), lengths)
+            yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64)), pa.array(node), pa.array(np.repeat(sizes, lengths).astype(np.int32)), pa.array(place.astype(np.int32))], names=["h", "node", "size", "place"])
+
+    return texts.select("node", "text").mapInArrow(run, "h long, node long, size int, place int")
+
 
-    def pairs(batches):
+def _heads(rows: DataFrame) -> DataFrame:
+    """rows: h, node and size. a and b: each text with the smallest node of its shingle and band of sizes. Texts of a similarity stand in one band or in neighbours; _apart() sees to the others."""
+    band = F.floor(F.log(F.col("size").cast("double")) / float(np.log(1 / SIMILARITY))).cast("int")
+    rows = rows.select(F.xxhash64("h", band).alias("group"), "node")
+    return with_group_min(rows, "group", F.col("node"), "node").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+
+
+def cross_pairs(h, component, size, place, similarity: float):
+    """(i, j): indices of pairs with equal h and different components whose sizes and places allow the similarity.
+
+    With a prefix filter's order, what follows the first shared place bounds the overlap, so a partner's size lies in a
+    range. Rows of one shingle are sorted by size; of each row's range only stretches of other components are read, so
+    members of one component are never paired with each other.
+    """
+    order = np.lexsort((component, size, h))
+    h, component, size, place = (x[order] for x in (h, component, size, place))
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(h), 1), bool), h[1:] != h[:-1])))
+    if not len(first):
+        return
+    mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)
+    ends = np.append(first[1:], len(h))
+    ratio = (1 + similarity) / similarity
+    for s, e in zip(first[mixed].tolist(), ends[mixed].tolist(), strict=True):
+        left = (size[s:e] - place[s:e]).astype(float)
+        # The row with the smaller or equal size looks up: overlap <= min(left) bounds the larger size.
+        most = np.minimum(size[s:e] / similarity, left * ratio - size[s:e]) + 1e-6
+        stop = s + np.searchsorted(size[s:e], most, side="right")
+        # Rows are grouped by runs of one component: a run has no pairs inside.
+        cut = np.flatnonzero(np.concatenate(([True], component[s + 1 : e] != component[s : e - 1])))
+        run_end = s + np.append(cut[1:], e - s)[np.cumsum(np.concatenate(([True], component[s + 1 : e] != component[s : e - 1]))) - 1]
+        here = np.arange(s, e)
+        n = np.maximum(stop - np.maximum(run_end, here + 1), 0)
+        for at in range(0, len(here), 4096):
+            m = n[at : at + 4096]
+            if not m.any():
+                continue
+            i = np.repeat(here[at : at + 4096], m)
+            j = np.repeat(run_end[at : at + 4096], m) + np.arange(len(i)) - np.repeat(np.cumsum(m) - m, m)
+            may = (component[i] != component[j]) & (np.minimum(size[i] - place[i], size[j] - place[j]) >= _needed(similarity / (1 + similarity), size[i] + size[j]))
+            yield order[i[may]], order[j[may]]
+
+
+def _apart(rows: DataFrame, similarity: float) -> DataFrame:
+    """rows: prefixes with component. a and b: all pairs of different components that may have the similarity.
+
+    With the shingles of all texts in one order, rare ones first, two sets of that similarity share a shingle among the
+    first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap.
+    """
+
+    def run(batches):
         parts = [[b.column(k).to_numpy(zero_copy_only=False) for k in range(5)] for b in batches]
         if not parts:
             return
         h, node, component, size, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(h, kind="stable")
-        h, node, component, size, place = (x[order] for x in (h, node, component, size, place))
-        # Shingles that stand in one component only have no pair.
-        first = np.flatnonzero(np.concatenate((np.ones(min(len(h), 1), bool), h[1:] != h[:-1])))
-        mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first) if len(first) else np.zeros(0, bool)
-        some = np.repeat(mixed, np.diff(np.append(first, len(h))))
-        h, node, component, size, place = (x[some] for x in (h, node, component, size, place))
-        i, apart = np.arange(len(h)), 0
-        while len(i):
-            apart += 1
-            i = i[i + apart < len(h)]
-            i = i[h[i] == h[i + apart]]
-            j = i + apart
-            left = np.minimum(size[i] - place[i], size[j] - place[j])
-            may = (component[i] != component[j]) & (left >= _needed(similarity / (1 + similarity), size[i] + size[j]))
-            a, b = node[i[may]], node[j[may]]
+        for i, j in cross_pairs(h, component, size, place, similarity):
+            a, b = node[i], node[j]
             if len(a):
                 yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
-    with arrow_rows(spark, WIDE):
-        rows = materialize(texts.select("node", "component", "text").mapInArrow(prefixes, "h long, node long, component long, size int, place int"), "prefixes")
-    found = rows.repartition(partitions(rows), "h").mapInArrow(pairs, "a long, b long").distinct()
-    return materialize(found, "apart")
+    dealt = rows.select("h", "node", "component", "size", "place").repartition(partitions(rows), "h")
+    return materialize(dealt.mapInArrow(run, "a long, b long").distinct(), "apart")
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY, crowd: int = CROWD, key: Column | None = None) -> DataFrame:
     """doc_id (NO_ID for null), key and component of every row: whole texts within DISTANCE bits, and texts of the given similarity.
 
-    A text that differs in a few words is further than DISTANCE bits from its original, so texts are also fingerprinted
-    in parts, and those that share a part's fingerprint are compared by their shingles. Of the texts that hold a part
-    each is compared with one only: the one with the fewest parts of its own (an original has none where its copies have
-    their edits), by doc_id among equals. Pairs are as many as the parts, and a part that a third of all texts hold is a
-    pair for each. Copies are one text throughout. That compares few pairs and misses some (a part's chosen text may be
-    unlike texts that are like each other, short texts have one part), so what lies in different components after it
-    is compared wherever the prefix filter can't rule the similarity out.
+    A text that differs in a few words is further than DISTANCE bits from its original, so a prefix filter proposes
+    those as well. Of the texts that share a shingle of their prefixes and a band of sizes each is compared with one
+    first: a group of copies, however large, is linked by as many pairs as members. What lies in different components
+    after that is compared in all pairs that the filter can't rule out, so no link between components is lost. Copies
+    are one text throughout.
     """
-    rows = materialize(_with_parts(docs, shingle), "fingerprints")
-    first = F.min(F.struct("doc_id", "key")).alias("first")
-    nodes = rows.groupBy("same", "fp").agg(first, F.first("parts").alias("parts"))
-    nodes = materialize(nodes.select("same", "fp", F.col("first.key").alias("node"), F.col("first.doc_id").alias("doc_id"), "parts"), "texts")
-
-    held = nodes.select("node", F.explode("parts").alias("part"))
-    shared = held.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
-    shared = materialize(held.join(shared, "part"), "parts")
-    own = nodes.join(shared.groupBy("node").agg(F.count("*").alias("n")), "node").select("node", F.struct((1 - F.col("n") / F.size("parts")).alias("own"), "doc_id", F.col("node").alias("node")).alias("place"))
-    placed = materialize(shared.join(own, "node"), "placed")
-    chosen = placed.groupBy("part").agg(F.min("place").alias("chosen"))
-    pairs = placed.join(chosen, "part").select(F.col("node").alias("a"), F.col("chosen.node").alias("b")).where("a <> b").distinct()
-    pairs = materialize(pairs, "pairs")
-    texts = docs.select(row_key(docs).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    key = row_key(docs) if key is None else key
+    rows = materialize(_with_text_hash(docs, key, shingle), "fingerprints")
+    nodes = rows.groupBy("same", "fp").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    nodes = materialize(nodes.select("same", "fp", F.col("first.key").alias("node")), "texts")
+    texts = docs.select(key.alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     repeats = not rows.groupBy("key").count().where("count > 1").isEmpty()  # rows that are there twice
 
+    def of(wanted: DataFrame) -> DataFrame:
+        some = texts.join(wanted.select("node"), "node", "left_semi")
+        return some.dropDuplicates(["node"]) if repeats else some
+
     def alike(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        some = texts.join(wanted, "node", "left_semi")
-        return _similar(pairs, some.dropDuplicates(["node"]) if repeats else some, shingle, similarity)
+        return _similar(pairs, of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), shingle, similarity)
 
+    held = materialize(_prefixes(of(nodes), _levels(texts, shingle), shingle, similarity), "prefixes")
+    busy = held.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    held = materialize(held.join(busy, "h"), "prefixes")
     heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
     same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
-    edges = materialize(alike(pairs).unionAll(same).unionAll(links(heads, crowd)), "links")
-    named = nodes.select("node").join(components(edges), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    each = texts.join(named, "node")
-    more = alike(_apart(each.dropDuplicates(["node"]) if repeats else each, shingle, similarity))
-    found = components(edges.unionAll(more))
-    label = nodes.join(found, "node", "left").select("same", "fp", F.coalesce("component", "node").alias("component"))
+    first = alike(materialize(_heads(held), "pairs"))
+    edges = materialize(first.unionAll(same).unionAll(links(heads, crowd)), "links")
+    label = components(edges)
+    named = held.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    edges = edges.unionAll(alike(_apart(named, similarity)))
+    label = nodes.join(components(edges), "node", "left").select("same", "fp", F.coalesce("component", "node").alias("component"))
     return rows.select("doc_id", "key", "same", "fp").join(label, ["same", "fp"]).select("doc_id", "key", "component")
 
 
@@ -364,10 +367,11 @@ def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY
 
     Texts with fewer words than a shingle are compared by all their words; blank ones are copies of each other.
     """
-    found = materialize(near_copies(docs, shingle, similarity), "components")
+    key = row_key(docs)
+    found = materialize(near_copies(docs, shingle, similarity, key=key), "components")
     first = found.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("x"))
     first = materialize(first.select("component", F.col("x.key").alias("key")), "kept")
-    kept = packed(docs).join(first.select("key"), "key", "left_semi")
+    kept = packed(docs, key).join(first.select("key"), "key", "left_semi")
     if not found.join(first, ["component", "key"]).groupBy("key").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["key"])
     return kept.select("row.*")

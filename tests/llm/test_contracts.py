@@ -113,8 +113,8 @@ def test_shared_passages(spark):
     made += [(300 + i, f"{prose(50, 5000 + i)} {' '.join(other)}") for i in range(2)]
     got = {r["doc_id"]: r for r in chaining.passage_classes(spark.createDataFrame(made, "doc_id long, text string").repartition(5)).collect()}
     assert {got[i]["class_id"] for i in [*range(30), 100, 101, 102]} == {0}
-    assert all(got[i]["n_links"] > 0 for i in [*range(30), 100, 101, 102])
-    assert all(got[200 + i]["class_id"] == 200 + i and got[200 + i]["n_links"] == 0 for i in range(20))
+    assert all(got[i]["class_size"] == 33 and 60 <= got[i]["n_covered"] <= 80 for i in [*range(30), 100, 101, 102])
+    assert all(got[200 + i]["class_id"] == 200 + i and got[200 + i]["class_size"] == 1 and got[200 + i]["n_covered"] == 0 for i in range(20))
     assert {got[300]["class_id"], got[301]["class_id"]} == {300}
 
 
@@ -127,7 +127,60 @@ def test_two_passages_with_other_text_between(spark):
     made += [(10 + i, " ".join(exact + [w if k % 14 < 5 else far[i][k] for k, w in enumerate(prose(150, 513).split())])) for i in range(2)]
     got = {r["doc_id"]: r for r in chaining.passage_classes(spark.createDataFrame(made, "doc_id long, text string")).collect()}
     assert [got[i]["class_id"] for i in (0, 1, 10, 11)] == [0, 0, 10, 10]
-    assert all(got[i]["n_passages"] == 2 for i in (0, 1)) and all(got[i]["longest"] >= 45 for i in (10, 11))
+    assert all(120 <= got[i]["n_covered"] <= 125 for i in (0, 1)) and all(got[i]["longest"] >= 45 for i in (10, 11))
+
+
+def test_recall_of_edited_passages(spark):
+    """Passages with a word replaced in every few, alone and where six other texts, with smaller ids, quote stretches of them: of the pairs that a plain alignment finds, nine in ten and more share a class."""
+    r, rows, kinds = random.Random(4), [], {}
+    text = lambda n: prose(n, r.randrange(10**9))
+    for size, gap in [(50, 8), (60, 6), (60, 10), (100, 6)]:
+        for quoted in (False, True):
+            for _ in range(12):
+                i = len(kinds) * 20
+                base = text(size).split()
+                edited = list(base)
+                for k in range(r.randrange(gap), size, gap):
+                    edited[k] = f"edit{r.random()}"
+                if chaining.common_words(base, edited) < chaining.MIN_WORDS or chaining.common_words(base, edited) < chaining.SIMILARITY * size:
+                    continue
+                kinds[100000 + i] = (size, gap, quoted)
+                rows += [(100000 + i, f"{text(80)} {' '.join(base)} {text(50)}"), (100001 + i, f"{text(60)} {' '.join(edited)} {text(90)}")]
+                for z in range(6 * quoted):
+                    source, n = r.choice([base, edited]), r.randint(12, 30)
+                    at = r.randrange(size - n)
+                    rows.append((i + z, f"{text(40)} {' '.join(source[at : at + n])} {text(40)}"))
+    got = {x["doc_id"]: x["class_id"] for x in chaining.passage_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    found = defaultdict(list)
+    for i, kind in kinds.items():
+        found[kind].append(got[i] == got[i + 1])
+    assert len(found) == 8 and sum(map(sum, found.values())) >= 0.9 * len(kinds)
+    assert all(sum(x) >= 0.75 * len(x) for x in found.values())
+    assert all(c == i for i, c in got.items() if i < 100000), "quotes are no passages"
+
+
+def test_growth_past_edits():
+    """The banded alignment against all alignments of all beginnings."""
+    r = random.Random(12)
+    for _ in range(60):
+        x = [r.randrange(50) for _ in range(30)]
+        y = list(x)
+        for _ in range(r.randint(0, 4)):
+            k = r.randrange(len(y))
+            y[k : k + 1] = r.choice([[99], [], [y[k], 98]])
+        for loss in (1, 3, 4):
+            best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+            for i in range(len(x) + 1):
+                for j in range(len(y) + 1):
+                    ways = [0] if not i and not j else []
+                    ways += [best[i - 1][j] - loss] * (i > 0) + [best[i][j - 1] - loss] * (j > 0)
+                    if i and j:
+                        ways.append(best[i - 1][j - 1] + (1 if x[i - 1] == y[j - 1] else -loss))
+                    best[i][j] = max(ways)
+            i, j = chaining.grown(np.array(x, np.uint32), np.array(y, np.uint32), loss)
+            if loss == 1:  # never DROP under its best here
+                assert best[i][j] == max(map(max, best))
+            assert best[i][j] >= 0
 
 
 def test_chain_is_the_best_one():
