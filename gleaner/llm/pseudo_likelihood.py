@@ -1,23 +1,34 @@
 """Language-model scores by masked pseudo-likelihood.
 
 A bidirectional window network, trained in numpy, predicts every token from the SIDE tokens on either side, the token
-itself masked; a document's score is the sum of its tokens' conditional log-probabilities. Tokens are lower-cased words
-hashed to VOCAB ids. An id is two digits of base ROOT: the network predicts the first from the context and the second
-from the context and the first, so its probabilities over ids sum to 1 and a token costs 2 * ROOT outputs.
+itself masked; a document's score is the sum of its tokens' conditional log-probabilities.
 
-Training covers every token of every document once, in ROUNDS rounds: a round takes the documents of one residue of
-their hash, each task trains a copy of the network on its rows (Adagrad, mini-batches), and the copies are averaged by
-their number of tokens. A copy travels as BLOCK-sized stretches of parameters, which are summed by stretch as they
-stream through a shuffle; the driver receives one network, 0.3 MB whatever the corpus. What is gathered grows with the
-tasks, and so with the input.
+Words. All words of the corpus are counted. The OWN most frequent ones have an id each; every other word has one of RARE
+shared ids by its hash, and within that id its probability is its share of the id's count:
+    P(word | context) = P(id | context) * count(word) / count(id)
+so each word of the corpus has a probability of its own and they sum to 1. The counts are a table that grows with the
+corpus. Only words with at least one in COMMON of all tokens, of which there are COMMON at most, are broadcast with their
+counts; the rest, which by that rule can't be hot, are joined by hash. A word that the counts lack counts as one.
+
+An id is two digits of base ROOT: the network predicts the first from the context and the second from the context and
+the first, so its probabilities over ids sum to 1 and a token costs 2 * ROOT outputs.
+
+Training covers every token of every document once, in ROUNDS rounds of shards of about SHARD tokens. What stands in a
+shard, and in which order, follows from the documents' hashes, so neither the layout of the input nor the number of
+tasks changes the network. Each shard trains a copy (Adagrad, mini-batches) from the network of the round before; the
+copies are averaged by their number of tokens, in the order of shards. They travel as BLOCK-sized stretches of
+parameters, which are summed by stretch as they stream through a shuffle; the driver receives one network of 0.3 MB.
+The copies that are gathered, and the counts, grow with the input.
 
 Defined results: null, empty and blank texts have 0 tokens, log_prob 0 and mean_log_prob null; repeated rows score
 alike; places beyond a text's ends are a token of their own; an empty corpus leaves the initial network; other columns
-are ignored. Retried tasks give the same copy, since it depends on the task's rows alone.
+are ignored. Retried tasks give the same copy. Scores are rounded to six digits, as sums of doubles depend on their order.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,16 +36,23 @@ from pyspark.sql import functions as F
 
 from gleaner.llm.hashes import Codes, codes
 from gleaner.llm.texts import read, row_key
+from gleaner.plans.storage import materialize
 
 ROOT = 32
 VOCAB = ROOT * ROOT
+RARE = 64
+OWN = VOCAB - RARE
 PAD = VOCAB
+COMMON = 1 << 18
 SIDE = 2
 DIM = 16
-ROUNDS = 2
+ROUNDS = 4
+SHARD = 1 << 20
 RATE = 0.05
 MINIBATCH = 4096
 BLOCK = 512
+#: Tokens that are counted or trained on at once.
+TOKENS = 1 << 20
 _OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 _SHAPES = {"embed": (len(_OFFSETS), VOCAB + 1, DIM), "out": (DIM, 2 * ROOT), "bias": (2 * ROOT,), "second": (ROOT, ROOT)}
 
@@ -57,15 +75,14 @@ def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def padded(texts, memory: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def framed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts, apart and framed by SIDE pads; places of tokens; the text of each token."""
-    parts, lengths = [np.full(SIDE, PAD)], []
-    for text in texts:
-        ids = (codes(text, memory) % np.uint64(VOCAB)).astype(np.int64)
-        parts += [ids, np.full(SIDE, PAD)]
-        lengths.append(len(ids))
-    ids = np.concatenate(parts)
-    return ids, np.flatnonzero(ids != PAD), np.repeat(np.arange(len(lengths)), lengths)
+    pad = np.full(SIDE, PAD)
+    parts = [pad]
+    for ids in texts:
+        parts += [ids, pad]
+    ids = np.concatenate(parts).astype(np.int64)
+    return ids, np.flatnonzero(ids != PAD), np.repeat(np.arange(len(texts)), [len(x) for x in texts])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -125,74 +142,200 @@ class Trainer:
         self._step("second", first.T @ dz[:, ROOT:])
         self.tokens += len(at)
 
-    def texts(self, texts, memory: Codes) -> None:
-        ids, at, _ = padded(texts, memory)
+    def texts(self, texts: list[np.ndarray]) -> None:
+        """Train on encoded texts."""
+        ids, at, _ = framed(texts)
         for k in range(0, len(at), MINIBATCH):
             self.batch(ids, at[k : k + MINIBATCH])
 
 
-#: Texts that are framed in one array; mini-batches run across them.
-TEXTS = 256
+@dataclass
+class Model:
+    """net; own: hashes of words with an id of their own, sorted (a word's id is its place); totals: counts of the RARE shared ids; total: all tokens; counts: a table of word (hash) and n."""
+
+    net: dict[str, np.ndarray]
+    own: np.ndarray
+    totals: np.ndarray
+    total: int
+    counts: DataFrame
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word (a 64-bit hash) and n of every word of all texts."""
+
+    def run(batches):
+        memory, parts, n = Codes(), [], 0
+
+        def done():
+            word, times = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.record_batch([pa.array(word.view(np.int64)), pa.array(times.astype(np.int64))], names=["word", "n"])
+
+        for b in batches:
+            for i in range(b.num_rows):
+                parts.append(codes(b.column(0)[i].as_py(), memory))
+                n += len(parts[-1])
+                if n >= 4 * TOKENS:
+                    yield done()
+                    parts, n = [], 0
+        if n:
+            yield done()
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def ids_of(words: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Ids of word hashes; own words by their place, others by their hash."""
+    out = OWN + (words % np.uint64(RARE)).astype(np.int64)
+    if len(own):
+        at = np.minimum(np.searchsorted(own, words), len(own) - 1)
+        out = np.where(own[at] == words, at, out)
+    return out
+
 
+def untrained(docs: DataFrame) -> Model:
+    """The vocabulary of docs with the initial network."""
+    counts = materialize(word_counts(docs), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    own = counts.orderBy(F.col("n").desc(), "word").limit(OWN)
+    own = np.sort(np.array([r["word"] for r in own.collect()], np.int64).view(np.uint64))
+    others = counts.join(F.broadcast(docs.sparkSession.createDataFrame([(int(x),) for x in own.view(np.int64)], "word long")), "word", "left_anti")
+    totals = np.ones(RARE)
+    for r in others.groupBy(F.col("word").bitwiseAND(RARE - 1).alias("id")).agg(F.sum("n").alias("n")).collect():
+        totals[r["id"]] = r["n"]
+    return Model(start(), own, totals, total, counts)
 
-def _round(docs: DataFrame, net: dict[str, np.ndarray], k: int) -> dict[str, np.ndarray]:
+
+def encoded(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, key, order (a hash of the text), n_tokens, ids (16 bits each), share (the sum of logarithms of common words' shares in their ids), rare (other words' hashes, times and shared ids)."""
     spark = docs.sparkSession
-    begin = spark.sparkContext.broadcast(pack(net))
+    common = model.counts.where(F.col("n") * COMMON >= model.total).select("word", "n").toArrow()
+    word, n = common.column("word").to_numpy().view(np.uint64), common.column("n").to_numpy()
+    order = np.argsort(word)
+    held = spark.sparkContext.broadcast((model.own, model.totals, word[order], n[order]))
+
+    def run(batches):
+        own, totals, common, n = held.value
+        memory = Codes()
+        for b in batches:
+            out = []
+            for i in range(b.num_rows):
+                words = codes(b.column(3)[i].as_py(), memory)
+                ids = ids_of(words, own)
+                distinct, times = np.unique(words[ids >= OWN], return_counts=True)
+                at = np.minimum(np.searchsorted(common, distinct), max(len(common) - 1, 0))
+                known = common[at] == distinct if len(common) else np.zeros(len(distinct), bool)
+                share = (times[known] * np.log(n[at[known]] / totals[(distinct[known] % np.uint64(RARE)).astype(int)])).sum() if known.any() else 0.0
+                left = [{"word": w, "n": k} for w, k in zip(distinct[~known].view(np.int64).tolist(), times[~known].tolist(), strict=True)]
+                out.append({"doc_id": b.column(0)[i].as_py(), "key": b.column(1)[i].as_py(), "order": b.column(2)[i].as_py(), "n_tokens": len(ids), "ids": ids.astype("<i2").tobytes(), "share": float(share), "rare": left})
+                if len(out) >= 512:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    rare = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int32())]))
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("order", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("share", pa.float64()), ("rare", rare)])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.xxhash64("text").alias("order"), F.col("text").cast("string").alias("text"))
+    return materialize(rows.mapInArrow(run, "doc_id long, key long, order long, n_tokens long, ids binary, share double, rare array<struct<word:long,n:int>>"), "ids")
+
+
+def _round(ids: DataFrame, net: dict[str, np.ndarray], k: int, shards: int) -> dict[str, np.ndarray]:
+    """ids: key, order and ids of documents. The network after round k."""
+    begin = ids.sparkSession.sparkContext.broadcast(pack(net))
+
+    def copy(shard: int, trainer: Trainer) -> pa.RecordBatch:
+        flat = pack(trainer.net)
+        cut = [flat[at : at + BLOCK] for at in range(0, len(flat), BLOCK)]
+        return pa.record_batch([pa.array(range(len(cut)), pa.int32()), pa.array([shard] * len(cut), pa.int64()), pa.array([float(trainer.tokens)] * len(cut)), pa.array([x.tobytes() for x in cut], pa.binary())], names=["block", "shard", "weight", "values"])
 
     def train(batches):
-        trainer, memory = Trainer(unpack(begin.value)), Codes()
+        now, trainer, held, n = None, None, [], 0
         for b in batches:
-            for at in range(0, b.num_rows, TEXTS):
-                trainer.texts(b.column(0).slice(at, TEXTS).to_pylist(), memory)
-        if trainer.tokens:
-            flat = pack(trainer.net)
-            cut = [flat[at : at + BLOCK] for at in range(0, len(flat), BLOCK)]
-            yield pa.record_batch([pa.array(range(len(cut)), pa.int32()), pa.array([float(trainer.tokens)] * len(cut)), pa.array([x.tobytes() for x in cut], pa.binary())], names=["block", "weight", "values"])
+            for shard, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if shard != now:
+                    if now is not None:
+                        trainer.texts(held)
+                        yield copy(now, trainer)
+                    now, trainer, held, n = shard, Trainer(unpack(begin.value)), [], 0
+                held.append(np.frombuffer(raw, "<i2"))
+                n += len(held[-1])
+                if n >= TOKENS:
+                    trainer.texts(held)
+                    held, n = [], 0
+        if now is not None:
+            trainer.texts(held)
+            yield copy(now, trainer)
 
     def add(batches):
-        sums: dict[int, list] = {}
+        now, weight, total = None, 0.0, 0.0
         for b in batches:
-            for block, weight, values in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                held = sums.setdefault(block, [0.0, 0.0])
-                held[0] += weight
-                held[1] = held[1] + weight * np.frombuffer(values, np.float32).astype(float)
-        if sums:
-            mean = [(held[1] / held[0]).astype(np.float32).tobytes() for held in sums.values()]
-            yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(mean, pa.binary())], names=["block", "values"])
-
-    mine = docs.where(F.pmod(row_key(docs), F.lit(ROUNDS)) == k).select(F.col("text").cast("string").alias("text"))
-    copies = mine.mapInArrow(train, "block int, weight double, values binary")
-    rows = copies.repartition("block").mapInArrow(add, "block int, values binary").collect()
+            out = []
+            for block, more, values in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if block != now:
+                    if now is not None:
+                        out.append((now, (total / weight).astype(np.float32).tobytes()))
+                    now, weight, total = block, 0.0, 0.0
+                weight += more
+                total = total + more * np.frombuffer(values, np.float32).astype(float)
+            if out:
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary()), strict=True)], names=["block", "values"])
+        if now is not None:
+            yield pa.record_batch([pa.array([now], pa.int32()), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], names=["block", "values"])
+
+    mixed = F.xxhash64("order", F.lit("shard"))
+    mine = ids.where((F.col("n_tokens") > 0) & (F.pmod(mixed, F.lit(ROUNDS)) == k)).withColumn("shard", F.pmod(F.shiftrightunsigned(mixed, 8), F.lit(shards)))
+    dealt = mine.select("shard", "ids", "order", "key").repartition(shards, "shard").sortWithinPartitions("shard", "order", "ids")
+    copies = dealt.select("shard", "ids").mapInArrow(train, "block int, shard long, weight double, values binary")
+    rows = copies.repartition("block").sortWithinPartitions("block", "shard").select("block", "weight", "values").mapInArrow(add, "block int, values binary").collect()
     begin.unpersist()
     if not rows:
         return net
     return unpack(np.concatenate([np.frombuffer(r["values"], np.float32) for r in sorted(rows, key=lambda r: r["block"])]))
 
 
-def train(docs: DataFrame) -> dict[str, np.ndarray]:
-    net = start()
+def fitted(ids: DataFrame, model: Model) -> Model:
+    """model trained on the encoded documents."""
+    net, shards = model.net, max(1, -(-model.total // (ROUNDS * SHARD)))
     for k in range(ROUNDS):
-        net = _round(docs, net, k)
-    return net
+        net = _round(ids, net, k, shards)
+    return Model(net, model.own, model.totals, model.total, model.counts)
+
 
+def train(docs: DataFrame) -> Model:
+    model = untrained(docs)
+    return fitted(encoded(docs, model), model)
 
-def scored(docs: DataFrame, net: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, n_tokens, log_prob (sum) and mean_log_prob of every row."""
-    arrays = docs.sparkSession.sparkContext.broadcast(pack(net))
+
+def scored(ids: DataFrame, model: Model) -> DataFrame:
+    """ids: what encoded() gives. doc_id, n_tokens, log_prob (sum) and mean_log_prob of every row."""
+    arrays = ids.sparkSession.sparkContext.broadcast(pack(model.net))
 
     def run(batches):
-        own, memory = unpack(arrays.value), Codes()
+        net = unpack(arrays.value)
         for b in batches:
-            for at in range(0, b.num_rows, TEXTS):
-                texts = b.column(1).slice(at, TEXTS).to_pylist()
-                ids, places, text = padded(texts, memory)
-                n = np.bincount(text, minlength=len(texts))
-                total = np.bincount(text, weights=log_probs(own, ids, places), minlength=len(texts))
-                yield pa.record_batch([b.column(0).slice(at, TEXTS), pa.array(n.astype(np.int64)), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)], names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+            n = b.column(2).to_numpy(zero_copy_only=False)
+            cut = np.flatnonzero(np.diff(np.cumsum(n) // TOKENS, prepend=-1))
+            for s, e in zip(cut.tolist(), [*cut[1:].tolist(), b.num_rows], strict=True):
+                texts, places, text = framed([np.frombuffer(x, "<i2") for x in b.column(4).slice(s, e - s).to_pylist()])
+                total = np.bincount(text, weights=log_probs(net, texts, places), minlength=e - s) + b.column(3).slice(s, e - s).to_numpy(zero_copy_only=False)
+                yield pa.record_batch([b.column(0).slice(s, e - s), b.column(1).slice(s, e - s), b.column(2).slice(s, e - s), pa.array(total)], names=["doc_id", "key", "n_tokens", "near"])
+
+    near = ids.select("doc_id", "key", "n_tokens", "share", "ids").mapInArrow(run, "doc_id long, key long, n_tokens long, near double")
+    rare = ids.select("key", "rare")
+    if not ids.groupBy("key").count().where("count > 1").isEmpty():
+        rare = rare.dropDuplicates(["key"])
+    rare = rare.select("key", F.explode("rare").alias("x")).select("key", F.col("x.word").alias("word"), F.col("x.n").alias("times"))
+    totals = F.array(*[F.lit(float(x)) for x in model.totals])
+    of_id = F.element_at(totals, (F.col("word").bitwiseAND(RARE - 1) + 1).cast("int"))
+    rare = rare.join(model.counts, "word", "left").select("key", (F.col("times") * F.log(F.coalesce("n", F.lit(1)) / of_id)).alias("x"))
+    rare = rare.groupBy("key").agg(F.sum("x").alias("far"))
+    total = F.round(F.col("near") + F.coalesce("far", F.lit(0.0)), 6)
+    out = near.join(rare, "key", "left").withColumn("log_prob", total)
+    return out.select("doc_id", "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.round(F.col("log_prob") / F.col("n_tokens"), 6)).alias("mean_log_prob"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return scored(docs, train(docs))
+    model = untrained(docs)
+    ids = encoded(docs, model)
+    return scored(ids, fitted(ids, model))

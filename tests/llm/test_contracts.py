@@ -457,21 +457,66 @@ def test_one_of_each_group_stays(spark):
 
 
 # 8 ------------------------------------------------------------------------------------------------------------------
-def test_pseudo_likelihood(spark):
-    docs = _docs(spark)
-    net = pseudo_likelihood.train(docs)
-    mean = lambda n: pseudo_likelihood.scored(docs, n).agg(F.sum("log_prob") / F.sum("n_tokens")).first()[0]
-    assert mean(net) > mean(pseudo_likelihood.start()) + 0.1
-    some = {r["doc_id"]: r for r in pseudo_likelihood.scored(docs, net).collect()}
-    for r in docs.limit(5).collect():
-        ids, at, _ = pseudo_likelihood.padded([r["text"]], pseudo_likelihood.Codes())
-        plain = 0.0
-        for i in at:
-            context = sum(net["embed"][k][ids[i + o]] for k, o in enumerate(pseudo_likelihood._OFFSETS))
+def _word_code(w):
+    return xxhash.xxh3_64_intdigest(w.encode())
+
+
+@pytest.mark.parametrize("common", [pseudo_likelihood.COMMON, 20])
+def test_pseudo_likelihood(spark, monkeypatch, common):
+    """Scores against plain sums over tokens, with rare words joined or broadcast; training helps."""
+    monkeypatch.setattr(pseudo_likelihood, "COMMON", common)
+    docs = _docs(spark).limit(300)
+    texts = {r["doc_id"]: [w.decode() for w in (r["text"] or "").encode().lower().split()] for r in docs.collect()}
+    first = pseudo_likelihood.untrained(docs)
+    ids = pseudo_likelihood.encoded(docs, first)
+    model = pseudo_likelihood.fitted(ids, first)
+    counts = Counter(w for t in texts.values() for w in t)
+    assert model.total == counts.total()
+    own = {_word_code(w) for w in sorted(counts, key=lambda w: (-counts[w], _word_code(w) - (1 << 64) * (_word_code(w) >> 63)))[: pseudo_likelihood.OWN]}
+    assert own == set(model.own.tolist())
+    place = {c: k for k, c in enumerate(sorted(own))}
+    shared = Counter()
+    for w, n in counts.items():
+        shared[_word_code(w) % 64] += n * (_word_code(w) not in own)
+    net, some = model.net, {r["doc_id"]: r for r in pseudo_likelihood.scored(ids, model).collect()}
+    for i in sorted(texts)[:6]:
+        of = [place.get(_word_code(w), pseudo_likelihood.OWN + _word_code(w) % 64) for w in texts[i]]
+        at = [pseudo_likelihood.PAD] * 2 + of + [pseudo_likelihood.PAD] * 2
+        plain = sum(np.log(counts[w] / shared[_word_code(w) % 64]) for w in texts[i] if _word_code(w) not in own)
+        for k, x in enumerate(of, 2):
+            context = sum(net["embed"][j][at[k + o]] for j, o in enumerate(pseudo_likelihood._OFFSETS))
             z = context @ net["out"] + net["bias"]
-            first, second = z[:32], z[32:] + net["second"][ids[i] // 32]
-            plain += first[ids[i] // 32] - np.log(np.exp(first).sum()) + second[ids[i] % 32] - np.log(np.exp(second).sum())
-        assert some[r["doc_id"]]["log_prob"] == pytest.approx(plain, rel=1e-3, abs=1e-2)
+            one, two = z[:32], z[32:] + net["second"][x // 32]
+            plain += one[x // 32] - np.log(np.exp(one).sum()) + two[x % 32] - np.log(np.exp(two).sum())
+        assert some[i]["n_tokens"] == len(of) and some[i]["log_prob"] == pytest.approx(plain, rel=1e-3, abs=1e-2)
+    mean = lambda m: pseudo_likelihood.scored(ids, m).agg(F.sum("log_prob") / F.sum("n_tokens")).first()[0]
+    assert mean(model) > mean(first) + 0.1
+
+
+def test_layout_of_the_input_changes_no_score(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "SHARD", 3000)
+    docs = _docs(spark).limit(120)
+    scores = lambda d: sorted(map(str, _scores(d)))
+
+    def _scores(d):
+        model = pseudo_likelihood.untrained(d)
+        ids = pseudo_likelihood.encoded(d, model)
+        return pseudo_likelihood.scored(ids, pseudo_likelihood.fitted(ids, model)).collect()
+
+    assert scores(docs.coalesce(1)) == scores(docs.repartition(7))
+
+
+def test_a_word_that_is_there_twice_scores_higher(spark):
+    """Twins hold rare words that the corpus knows twice; others of the same make know theirs once."""
+    r = random.Random(14)
+    texts = [(k, " ".join(f"w{r.getrandbits(40):x}" if j % 3 else r.choice(["the", "of", "and"]) for j in range(60))) for k in range(240)]
+    texts += [(1000 + k, texts[k][1]) for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = pseudo_likelihood.untrained(docs)
+    ids = pseudo_likelihood.encoded(docs, model)
+    got = {r["doc_id"]: r["mean_log_prob"] for r in pseudo_likelihood.scored(ids, pseudo_likelihood.fitted(ids, model)).collect()}
+    least = min(got[k] for k in range(40))
+    assert sum(got[k] < least for k in range(40, 240)) >= 190
 
 
 def test_probabilities_sum_to_one():
@@ -487,7 +532,8 @@ def test_probabilities_sum_to_one():
 
 def test_gradient():
     t = pseudo_likelihood.Trainer(pseudo_likelihood.start())
-    ids, at, _ = pseudo_likelihood.padded([prose(200, 1)], pseudo_likelihood.Codes())
+    words = pseudo_likelihood.codes(prose(200, 1), pseudo_likelihood.Codes())
+    ids, at, _ = pseudo_likelihood.framed([pseudo_likelihood.ids_of(words, np.zeros(0, np.uint64))])
     before = pseudo_likelihood.log_probs(t.net, ids, at).mean()
     for _ in range(30):
         t.batch(ids, at)

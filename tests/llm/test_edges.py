@@ -18,6 +18,12 @@ def _labels(spark):
     return spark.createDataFrame([(1, 1, 0), (2, 1, 0), (4, 0, 0), (11, 0, None), (11, 0, 1), (None, 1, 0), (3, None, 0), (99, 1, 0)], LABELS)
 
 
+def _likelihood(docs):
+    model = pseudo_likelihood.untrained(docs)
+    ids = pseudo_likelihood.encoded(docs, model)
+    return pseudo_likelihood.scored(ids, pseudo_likelihood.fitted(ids, model))
+
+
 OPERATORS = {
     "op1": lambda s, d: pii.personal_data(d, ["doc_id"]).selectExpr("row.doc_id as doc_id", "cast(spans as string) as spans"),
     "op2": lambda s, d: knn_quality.scored(d, knn_quality.fit(d, _labels(s))),
@@ -25,7 +31,7 @@ OPERATORS = {
     "op4": lambda s, d: suffix_dedup.deduplicated(d).drop("spans"),
     "op6": lambda s, d: mixing.mixed(d, ["doc_id"]).selectExpr("row.doc_id as doc_id", "size", "source_size", "target"),
     "op7": lambda s, d: simhash.simhash_components(d).select("doc_id", "fp", "component_id"),
-    "op8": lambda s, d: pseudo_likelihood.scored(d, pseudo_likelihood.start()),
+    "op8": lambda s, d: _likelihood(d),
     "op9": lambda s, d: quality_rules.judged(d, ["doc_id"]).selectExpr("row.doc_id as doc_id", "n_words", "n_repeat_words", "kept"),
     "op10": lambda s, d: decontaminate.leaks(d, _bench(s)).select("doc_id", "item_id", "n_equal"),
 }
@@ -47,7 +53,8 @@ def test_empty_tables(spark, name):
 
 def test_training_on_odd_and_empty_tables(spark):
     odd, none = pseudo_likelihood.train(odd_docs(spark)), pseudo_likelihood.train(empty_docs(spark))
-    assert set(odd) == set(none) and all((none[k] == v).all() for k, v in pseudo_likelihood.start().items())
+    assert set(odd.net) == set(none.net) and all((none.net[k] == v).all() for k, v in pseudo_likelihood.start().items())
+    assert none.total == 0 and not len(none.own)
 
 
 def test_no_labels_and_no_benchmark(spark):
