@@ -29,7 +29,7 @@ OPERATORS = {
     "op2": lambda s, d: knn_quality.scored(d, knn_quality.fit(d, _labels(s))),
     "op3": lambda s, d: chaining.passage_classes(d),
     "op4": lambda s, d: suffix_dedup.deduplicated(d).drop("spans"),
-    "op6": lambda s, d: mixing.mixed(d, ["doc_id"]).selectExpr("row.doc_id as doc_id", "size", "source_size", "target"),
+    "op6": lambda s, d: mixing.mixed(d, ["doc_id"]).selectExpr("row.doc_id as doc_id", "size", "source_size", "target", "taken"),
     "op7": lambda s, d: simhash.simhash_components(d).select("doc_id", "fp", "component_id"),
     "op8": lambda s, d: _likelihood(d),
     "op9": lambda s, d: quality_rules.judged(d, ["doc_id"]).selectExpr("row.doc_id as doc_id", "n_words", "n_repeat_words", "kept"),
