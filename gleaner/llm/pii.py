@@ -7,20 +7,21 @@ that fails its check (octets over 255, Luhn, number of digits) is dropped and no
 the same strings as the plain ones; look-behinds and possessive groups only keep the search linear on long runs.
 
 Bootstrapping. Seeds are the base spans: instances (kind and normalised identifier) of certain confidence. Patterns are
-lexical left contexts: the last whole word, and the last two, before a span. Candidates are words with a digit or an
-at sign that overlap no base span and have the loose shape of a kind. Instances and patterns form a bipartite graph,
-scored in ROUNDS rounds:
+lexical contexts: the last whole word before a span, the last two, and the first whole word behind it. Candidates are
+words with a digit or an at sign that overlap no base span and have the loose shape of a kind. Instances and patterns
+form a bipartite graph, scored in rounds until nothing changes (MAX_ROUNDS at most):
     pattern  = sum of its instances' confidence over their occurrences / occurrences of its words in the whole corpus
     instance = 1 - product of (1 - pattern) over its patterns of PATTERN_SCORE or more
-Only patterns after which MIN_SUPPORT different seeds stand are scored; candidates of INSTANCE_SCORE or more are
-instances of the next round, and at the end all their occurrences are spans. So a context counts only if it nearly
-always announces an identifier.
+A pattern counts in a round if MIN_SUPPORT different known instances stand in it: seeds, and what earlier rounds have
+discovered (INSTANCE_SCORE or more), which so induces patterns that no seed stands in. A candidate that is a seed's
+instance in another spelling is known from the start. At the end all occurrences of known instances are spans. So a
+context counts only if it nearly always announces an identifier.
 
 The patterns' hashes are broadcast only after they were counted and are BROADCAST_PATTERNS at most; else they are
-joined by hash. Words between a pattern's and an identifier's end are never looked at across rows.
+joined by hash. Contexts end at the match before of the same kind; a word that it cuts is none.
 
 Defined results: null and empty texts have no spans; repeated rows get the same spans; ids may be null; other columns
-pass through, whatever their names; identifiers to discover have at most 64 characters (base spans have no limit).
+pass through, whatever their names; no length bounds a span or a candidate.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ KINDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WORD_WITH_SIGN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+WORD_START = r"^[^\x20\x09-\x0D]+"
+WORD_BEHIND = r"^[^\x20\x09-\x0D]*+[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)(?:[\x20\x09-\x0D]|$)"
 # Loose shapes of candidates.
 SHAPES = {
     "email": r"^[^@]+(@|[(\[]at[)\]])[^@]+$",
@@ -46,15 +49,17 @@ SHAPES = {
     "card": r"^[0-9](-?[0-9]){11,18}$",
     "phone": r"^[+(]?[0-9]([().-]{0,2}[0-9]){6,14}$",
 }
-ROUNDS = 2
+MAX_ROUNDS = 12
 MIN_SUPPORT = 5
 PATTERN_SCORE = 0.8
 INSTANCE_SCORE = 0.9
-LONGEST = 64
 BROADCAST_PATTERNS = 200_000
+#: Characters before a span in which its context is looked for first; the whole gap is read if they hold under three blanks.
+REACH = 120
 #: Discovered rows up to which they are broadcast to the documents.
 BROADCAST_SPANS = 100_000
-SPAN = "array<struct<start:int,end:int,hit:string,near:string>>"
+BLANK = r"[\x20\x09-\x0D]"
+SPAN = "array<struct<start:int,end:int,hit:string,near:string,after:string>>"
 
 
 def _luhn(digits: Column) -> Column:
@@ -81,7 +86,7 @@ def _passes(kind: str, hit: Column) -> Column:
 
 
 def _matches(df: DataFrame, name: str, pattern: str, guard: Column) -> DataFrame:
-    """Adds an array of start, end, hit and near: up to 120 characters before the hit, since the last."""
+    """Adds an array of start, end, hit, near (what stands before the hit, since the last, from a whole word on) and after (the first whole word behind it)."""
     df = df.withColumn("_h", F.when(guard, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))))
     some = F.size("_h") > 0
     df = df.withColumn("_g", F.when(some, F.split("text", pattern, -1)))
@@ -90,7 +95,11 @@ def _matches(df: DataFrame, name: str, pattern: str, guard: Column) -> DataFrame
     def step(acc: Column, i: Column) -> Column:
         gap, hit = F.get("_g", i), F.get("_h", i)
         start = acc["at"] + F.length(gap)
-        span = F.struct(start.alias("start"), (start + F.length(hit)).alias("end"), hit.alias("hit"), F.right(gap, F.lit(120)).alias("near"))
+        tail = F.right(gap, F.lit(REACH))
+        few = (F.length(gap) <= REACH) | (F.regexp_count(tail, F.lit(BLANK + "+")) < 3)
+        whole = F.when(few & (acc["at"] == 0), gap).otherwise(F.regexp_replace(F.when(few, gap).otherwise(tail), WORD_START, ""))
+        after = F.regexp_extract(F.coalesce(F.get("_g", i + 1), F.lit("")), WORD_BEHIND, 1)
+        span = F.struct(start.alias("start"), (start + F.length(hit)).alias("end"), hit.alias("hit"), whole.alias("near"), after.alias("after"))
         return F.struct((start + F.length(hit)).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
     spans = F.aggregate(F.sequence(F.lit(0), F.size("_h") - 1), zero, step)["out"]
@@ -110,7 +119,7 @@ def base_spans(docs: DataFrame, carry: list[str]) -> DataFrame:
     all_ = F.concat(*KINDS)
     df = df.withColumn("_all", F.transform(all_, lambda x: F.struct(x["start"], x["end"])))
     free = lambda x: ~F.exists("_all", lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
-    df = df.withColumn("loose", F.filter("loose", lambda x: (F.length(x["hit"]) <= LONGEST + 8) & free(x)))
+    df = df.withColumn("loose", F.filter("loose", free))
     return df.drop("text", "_all")
 
 
@@ -118,32 +127,30 @@ def _passing(kind: str) -> Column:
     return F.filter(kind, lambda x: _passes(kind, x["hit"]))
 
 
-def _contexts(near: Column) -> Column:
-    """Hashes of the last word and of the last two; none unless a blank separates them from the hit."""
-    parts = F.slice(F.split(F.lower(near), r"[\x20\x09-\x0D]+"), -3, 3)
-    glued = ~near.rlike(r"[\x20\x09-\x0D]$")
-    one = F.get(parts, F.size(parts) - 2)
-    two = F.get(parts, F.size(parts) - 3)
-    # A word that the 120 characters may have cut, or that is empty, is no context.
-    one = F.when(~glued & (F.length(one) > 0) & ((F.size(parts) > 2) | (F.length(near) < 120)), F.xxhash64(one))
-    two = F.when(one.isNotNull() & (F.length(two) > 0) & (F.length(near) < 120), F.xxhash64(two))
-    return F.array_compact(F.array(F.when(one.isNotNull(), F.xxhash64(F.lit(1), one)), F.when(two.isNotNull(), F.xxhash64(F.lit(2), two, one))))
+def _contexts(near: Column, after: Column) -> Column:
+    """Hashes of the last word and of the last two before the hit (none unless a blank separates them), and of the first behind it."""
+    parts = words(F.lower(near))
+    apart = near.rlike(BLANK + "$")
+    one, two = F.get(parts, F.size(parts) - 1), F.get(parts, F.size(parts) - 2)
+    return F.array_compact(F.array(F.when(apart & one.isNotNull(), F.xxhash64(F.lit(1), F.xxhash64(one))), F.when(apart & two.isNotNull(), F.xxhash64(F.lit(2), F.xxhash64(two), F.xxhash64(one))), F.when(F.length(after) > 0, F.xxhash64(F.lit(3), F.xxhash64(F.lower(after))))))
 
 
 def _occurrences(found: DataFrame) -> DataFrame:
     """key, kind, inst, start, end, seed, pats: a row for each base span, and for each candidate and kind it has the shape of."""
     seeds = F.concat(*[F.transform(k, _tag(k)) for k in KINDS])
-    seeds = found.select("key", F.explode(seeds).alias("x")).select("key", "x.kind", F.lower("x.hit").alias("id"), "x.start", "x.end", F.lit(True).alias("seed"), "x.near")
+    seeds = found.select("key", F.explode(seeds).alias("x")).select("key", "x.kind", F.lower("x.hit").alias("id"), "x.start", "x.end", F.lit(True).alias("seed"), "x.near", "x.after")
     loose = found.select("key", F.explode("loose").alias("x")).select("key", "x.*")
     loose = loose.withColumn("lead", F.length(F.regexp_extract("hit", r"^[^A-Za-z0-9+(]*", 0))).withColumn("id", F.regexp_replace(F.expr("substring(hit, lead + 1)"), r"[^A-Za-z0-9)]+$", ""))
     kinds = F.array_compact(F.array(*[F.when(F.col("id").rlike(shape), F.lit(k)) for k, shape in SHAPES.items()]))
-    loose = loose.where(F.length("id").between(1, LONGEST)).select("key", F.explode(kinds).alias("kind"), F.lower("id").alias("id"), (F.col("start") + F.col("lead")).alias("start"), (F.col("start") + F.col("lead") + F.length("id")).alias("end"), F.lit(False).alias("seed"), F.when(F.col("lead") == 0, F.col("near")).alias("near"))
+    loose = loose.where(F.length("id") > 0).select("key", F.explode(kinds).alias("kind"), F.lower("id").alias("id"), (F.col("start") + F.col("lead")).alias("start"), (F.col("start") + F.col("lead") + F.length("id")).alias("end"), F.lit(False).alias("seed"), F.when(F.col("lead") == 0, F.col("near")).alias("near"), "after")
     both = seeds.unionByName(loose)
-    return both.select("key", "kind", F.xxhash64("kind", F.when(F.col("kind") == "email", F.col("id")).otherwise(_digits(F.col("id")))).alias("inst"), "start", "end", "seed", F.coalesce(_contexts(F.col("near")), F.array().cast("array<bigint>")).alias("pats"))
+    plain = F.when(F.col("kind") == "email", F.col("id")).when(F.col("kind") == "ip", F.translate(F.col("id"), ":_-", "...")).otherwise(_digits(F.col("id")))
+    pats = _contexts(F.coalesce("near", F.lit("")), F.coalesce("after", F.lit("")))
+    return both.select("key", "kind", F.xxhash64("kind", plain).alias("inst"), "start", "end", "seed", pats.alias("pats"))
 
 
 def _tag(kind: str):
-    return lambda x: F.struct(F.lit(kind).alias("kind"), x["hit"].alias("hit"), x["start"].alias("start"), x["end"].alias("end"), x["near"].alias("near"))
+    return lambda x: F.struct(F.lit(kind).alias("kind"), x["hit"].alias("hit"), x["start"].alias("start"), x["end"].alias("end"), x["near"].alias("near"), x["after"].alias("after"))
 
 
 def _totals(docs: DataFrame, pats: DataFrame, small: bool) -> DataFrame:
@@ -151,7 +158,7 @@ def _totals(docs: DataFrame, pats: DataFrame, small: bool) -> DataFrame:
     df = docs.select(F.transform(words(F.lower("text")), lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") > 0)
     df = df.select("h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("i"))
     here, before = F.get("h", F.col("i")), F.get("h", F.col("i") - 1)
-    df = df.select(F.explode(F.array(F.xxhash64(F.lit(1), here), F.when(before.isNotNull(), F.xxhash64(F.lit(2), before, here)))).alias("pat"))
+    df = df.select(F.explode(F.array(F.xxhash64(F.lit(1), here), F.when(before.isNotNull(), F.xxhash64(F.lit(2), before, here)), F.xxhash64(F.lit(3), here))).alias("pat"))
     return df.join(F.broadcast(pats) if small else pats, "pat").groupBy("pat").agg(F.count("*").alias("total"))
 
 
@@ -159,22 +166,25 @@ def discovered(docs: DataFrame, found: DataFrame, broadcast_patterns: int = BROA
     """key, kind, start and end of the spans that the contexts add."""
     occ = materialize(_occurrences(found), "occurrences")
     edges = occ.select("kind", "inst", "seed", F.explode("pats").alias("pat"))
-    support = edges.where("seed").groupBy("kind", "pat", "inst").agg(F.count("*").alias("n")).groupBy("kind", "pat").agg(F.count("*").alias("support")).where(F.col("support") >= MIN_SUPPORT)
-    # A pattern without a candidate after it can discover nothing.
-    able = edges.where("not seed").select("kind", "pat").distinct()
-    support = materialize(support.join(able, ["kind", "pat"], "left_semi"), "support")
-    pats = support.select("pat").distinct()
+    # A pattern that too few instances of any sort stand in, or no candidate, can discover nothing in any round.
+    counted = edges.groupBy("kind", "pat", "inst", "seed").agg(F.count("*").alias("n"))
+    able = counted.groupBy("kind", "pat").agg(F.count_distinct("inst").alias("insts"), F.bool_and("seed").alias("seeds")).where((F.col("insts") >= MIN_SUPPORT) & ~F.col("seeds"))
+    able = materialize(able.select("kind", "pat"), "patterns")
+    pats = able.select("pat").distinct()
     totals = materialize(_totals(docs, pats, pats.count() <= broadcast_patterns), "totals")
-    links = edges.join(support.select("kind", "pat"), ["kind", "pat"]).groupBy("kind", "pat", "inst", "seed").agg(F.count("*").alias("n"))
-    links = materialize(links.join(totals, "pat"), "graph")
-    known = links.where("seed").select("kind", "inst", F.lit(1.0).alias("score")).distinct()
-    for _ in range(ROUNDS):
-        scored = links.join(known, ["kind", "inst"]).groupBy("kind", "pat").agg((F.sum(F.col("score") * F.col("n")) / F.max("total")).alias("p"))
-        scored = scored.where(F.col("p") >= PATTERN_SCORE).withColumn("p", F.least("p", F.lit(0.999)))
+    links = materialize(counted.join(able, ["kind", "pat"]).join(totals, "pat"), "graph")
+    seeds = occ.where("seed").select("kind", "inst").distinct().withColumn("score", F.lit(1.0))
+    known, mark = seeds, None
+    for _ in range(MAX_ROUNDS):
+        scored = links.join(known, ["kind", "inst"]).groupBy("kind", "pat").agg((F.sum(F.col("score") * F.col("n")) / F.max("total")).alias("p"), F.count_distinct("inst").alias("support"))
+        scored = scored.where((F.col("p") >= PATTERN_SCORE) & (F.col("support") >= MIN_SUPPORT)).withColumn("p", F.least("p", F.lit(0.999)))
         new = links.where("not seed").join(scored, ["kind", "pat"]).groupBy("kind", "inst").agg((1 - F.exp(F.sum(F.log(1 - F.col("p"))))).alias("score")).where(F.col("score") >= INSTANCE_SCORE)
-        known = materialize(links.where("seed").select("kind", "inst", F.lit(1.0).alias("score")).unionByName(new).groupBy("kind", "inst").agg(F.max("score").alias("score")), "known")
-    fresh = known.where("score < 1").select("kind", "inst")
-    return occ.where("not seed").join(fresh, ["kind", "inst"], "left_semi").select("key", "kind", "start", "end").distinct()
+        known = materialize(seeds.unionByName(new).groupBy("kind", "inst").agg(F.max("score").alias("score")), "known")
+        state = known.agg(F.count("*"), F.round(F.sum("score"), 6)).first()
+        if state == mark:
+            break
+        mark = state
+    return occ.where("not seed").join(known.select("kind", "inst"), ["kind", "inst"], "left_semi").select("key", "kind", "start", "end").distinct()
 
 
 def personal_data(docs: DataFrame, carry: list[str]) -> DataFrame:
@@ -223,3 +233,40 @@ def redacted(docs: DataFrame) -> DataFrame:
     out = out.select("row", clean.alias("clean"))
     same = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
     return out.select(*[same.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def base_columns(spark, sf_dir: str) -> DataFrame:
+    """The columns of op1 that the fixed patterns alone decide."""
+    return op1(spark, sf_dir).drop("spans")
+
+
+def _sql_hits(kind: str, order: int, pattern: str) -> str:
+    return f"SELECT r, '{kind}' AS kind, {order} AS o, regexp_extract_all(t, '{pattern}') AS h, regexp_split_to_array(t, '{pattern}') AS g FROM d"
+
+
+# The plain patterns of the kinds.
+_PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+BASE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(_sql_hits(kind, k, pattern) for k, (kind, pattern) in enumerate(_PLAIN.items()))}),
+i AS (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM m WHERE len(h) > 0),
+s AS (SELECT r, kind, o, h[i] AS hit, regexp_replace(h[i], '[^0-9]', '', 'g') AS digits,
+    (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start FROM i),
+ok AS (SELECT *, CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN len(list_filter(string_split(hit, '.'), lambda x: x::HUGEINT > 255)) = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+    ELSE length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(range(0, length(digits)), lambda k:
+      CASE WHEN k % 2 = 0 THEN substr(digits, (length(digits) - k)::BIGINT, 1)::INT
+        WHEN substr(digits, (length(digits) - k)::BIGINT, 1)::INT > 4 THEN 2 * substr(digits, (length(digits) - k)::BIGINT, 1)::INT - 9
+        ELSE 2 * substr(digits, (length(digits) - k)::BIGINT, 1)::INT END)) % 10 = 0 END AS good FROM s),
+f AS (SELECT r, count_if(kind = 'email') AS n_email, count_if(kind = 'ip') AS n_ip, count_if(kind = 'card') AS n_card, count_if(kind = 'phone') AS n_phone,
+    string_agg(kind || ':' || start || ':' || (start + length(hit)), ',' ORDER BY o, start) AS spans FROM ok WHERE good GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
+  sha256(coalesce(spans, '')) AS base_sha256 FROM d LEFT JOIN f ON d.r = f.r
+"""

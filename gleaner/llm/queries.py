@@ -14,8 +14,9 @@ QUERIES = {
     "op8_pseudo_likelihood": pseudo_likelihood.op8,
     "op9_quality_rules": quality_rules.op9,
     "op10_decontaminate": decontaminate.op10,
+    "pii_base_columns": pii.base_columns,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op5_warc": warc.OP5_SQL, "op6_mixing": mixing.OP6_SQL}
+ORACLES: dict[str, str] = {"op5_warc": warc.OP5_SQL, "op6_mixing": mixing.OP6_SQL, "pii_base_columns": pii.BASE_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

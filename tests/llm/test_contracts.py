@@ -75,6 +75,83 @@ def test_pii_contexts_discover(spark):
     assert pii_more.count() == 4 and wide.count() == len(made)
 
 
+def _pii_graph(texts):
+    """Spans that contexts add, by plain loops: instances and patterns scored in turn."""
+    blank, seeds, loose = r"[\x20\x09-\x0D]", [], []
+
+    def add(found, i, kind, name, text, start, end, before, behind):
+        gap = text[before:start]
+        if before and not re.match(blank, gap):
+            gap = re.sub(f"^{blank[:1]}^{blank[1:]}+", "", gap)
+        near = WORD.findall(gap.lower()) if re.search(blank + "$", gap) else []
+        after = re.match(f"{blank[:1]}^{blank[1:]}*{blank}+({blank[:1]}^{blank[1:]}+)(?:{blank}|$)", text[end:behind])
+        pats = [(1, *near[-1:])] * (len(near) > 0) + [(2, *near[-2:])] * (len(near) > 1) + ([(3, after[1].lower())] if after else [])
+        found.append((i, kind, (kind, name), start, end, pats))
+
+    for i, text in texts.items():
+        base = [(k, int(s), int(e)) for k, s, e in (x.split(":") for x in _pii(text))]
+        for kind, p in PLAIN.items():
+            ms = list(re.finditer(p, text))
+            for j, m in enumerate(ms):
+                if (kind, m.start(), m.end()) in base:
+                    name = m[0].lower() if kind == "email" else m[0] if kind == "ip" else re.sub("[^0-9]", "", m[0])
+                    add(seeds, i, kind, name, text, m.start(), m.end(), ms[j - 1].end() if j else 0, ms[j + 1].start() if j + 1 < len(ms) else len(text))
+        ms = [m for m in WORD.finditer(text) if re.search("[0-9@]", m[0])]
+        for j, m in enumerate(ms):
+            if any(s < m.end() and e > m.start() for _, s, e in base):
+                continue
+            lead = len(re.match(r"[^A-Za-z0-9+(]*", m[0])[0])
+            name = re.sub(r"[^A-Za-z0-9)]+$", "", m[0][lead:])
+            for kind, shape in pii.SHAPES.items():
+                if name and re.search(shape, name):
+                    inst = name.lower() if kind == "email" else re.sub("[:_-]", ".", name) if kind == "ip" else re.sub("[^0-9]", "", name)
+                    add(loose, i, kind, inst, text, m.start(), m.end(), ms[j - 1].end() if j else 0, ms[j + 1].start() if j + 1 < len(ms) else len(text))
+                    row = loose[-1]
+                    loose[-1] = (*row[:3], m.start() + lead, m.start() + lead + len(name), [p for p in row[5] if lead == 0 or p[0] == 3])
+    total = Counter()
+    for text in texts.values():
+        w = WORD.findall(text.lower())
+        total.update([(1, x) for x in w] + [(3, x) for x in w] + [(2, a, b) for a, b in zip(w, w[1:])])
+    known = {x[2]: 1.0 for x in seeds}
+    while True:
+        score = {}
+        for kind in PLAIN:
+            held = defaultdict(list)
+            for x in seeds + loose:
+                if x[1] == kind and x[2] in known:
+                    for p in x[5]:
+                        held[p].append(x[2])
+            for p, xs in held.items():
+                if len(set(xs)) >= pii.MIN_SUPPORT and sum(known[x] for x in xs) / total[p] >= pii.PATTERN_SCORE:
+                    score[kind, p] = min(0.999, sum(known[x] for x in xs) / total[p])
+        new = {x[2]: 1.0 for x in seeds}
+        for inst in {x[2] for x in loose}:
+            ps = {(x[1], p) for x in loose if x[2] == inst for p in x[5]} & set(score)
+            value = 1 - np.prod([1 - score[p] for p in ps])
+            if value >= pii.INSTANCE_SCORE:
+                new[inst] = max(new.get(inst, 0), value)
+        if new.keys() == known.keys() and all(abs(new[x] - known[x]) < 1e-9 for x in new):
+            return {(i, kind, s, e) for i, kind, inst, s, e, _ in loose if inst in known}
+        known = new
+
+
+def test_pii_graph_is_the_plain_one(spark):
+    """Long texts, contexts far from other matches, patterns that only discovered instances stand in, other spellings of seeds."""
+    texts = {i: f"{prose(60 + i, i)} my address: user{i}@site.org thanks {prose(60, 900 + i)}" for i in range(70)}
+    texts |= {100 + i: f"{prose(80, i)} my address: h{i}[at]site.org thanks {prose(5, i)}" for i in range(12)}
+    texts |= {200 + i: f"{prose(90, i)} please reach-out: h{i}[at]site.org" for i in range(12)}  # these instances induce a pattern
+    texts |= {300 + i: f"{prose(70, i)} please reach-out: q{i}(at)far.net and" for i in range(2)}  # which finds others
+    texts |= {400 + i: f"phone: +1 555 010 {1000 + i} {prose(30, i)}" for i in range(48)} | {450 + i: f"phone: 1555019{100 + i} {prose(30, i)}" for i in range(3)}
+    texts |= {480: f"{prose(10, 3)} 1-555-010-1003 {prose(10, 4)}", 481: prose(10, 5) + " x9[at]no.where " + prose(10, 6), 482: "", 483: "1.2.3.400 " + "a" * 500 + " 7 " + "b" * 200}
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], DOCS)
+    got = pii.discovered(docs, pii.base_spans(docs, ["doc_id"]))
+    got = {(r["key"], r["kind"], r["start"], r["end"]) for r in got.collect()}
+    want = _pii_graph(texts)
+    assert got == want
+    found = {i for i, *_ in want}
+    assert {*range(100, 112), *range(200, 212), 300, 301, *range(450, 453), 480} <= found and 481 not in found
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "hi a@b.cd, +1 555 123 4567!", "en", "s", 0), (2, "none", "en", "s", 4)], DOCS)
     assert [r["text"] for r in pii.redacted(docs).orderBy("doc_id").collect()] == ["hi [EMAIL], [PHONE]!", "none"]
