@@ -3,17 +3,20 @@
 Native: DataFrame functions only. Words are lower-cased runs of anything but the six ASCII blanks. Each mask names
 the offsets of a span that count; the others are ignored, so a substituted word there does not break the hash. Every
 position of every document and of every benchmark item is hashed under each mask and the hashes are joined. A hit
-puts the item's whole length on one diagonal of the document; the words there are compared one to one, and the item
-leaks if some WINDOW words in a row (the whole item, if shorter) agree in SHARE of their places.
+puts the item's whole length on one diagonal of the document; hits are reduced to distinct diagonals, the words there
+are compared one to one, and the item leaks if some WINDOW words in a row (the whole item, if shorter) agree in SHARE of
+their places.
 
-No mask touches more than four of the five residues modulo 5, so a passage with every fifth word replaced still hits.
+The masks reach every stretch of WINDOW words, and every item of 10 to 12, in which any two words are substituted, and
+no mask touches more than four of the five residues modulo 5, so a passage with every fifth word replaced still hits.
+Items of 6 to 9 words may have a word substituted where some mask leaves it out.
+Items that are shorter than a mask's span are hashed as wholes, so exact copies of them are found.
 
-The benchmark's hashes are broadcast only after they were counted and are BROADCAST_SEEDS at most. Beyond that they
-are joined by hash, without the documents' words, which join afterwards for documents that were hit.
+The benchmark's hashes are broadcast only after they were counted and are BROADCAST_SEEDS at most; beyond that they are
+joined by hash. Only documents that were hit are read again, with their words, for the comparison.
 
-Defined results: null or blank texts match nothing; items with fewer words than the shortest mask's span can't be told
-from chance and match nothing; repeated documents or items give one pair; a null id is an id; other columns are
-ignored.
+Defined results: null or blank texts match nothing; items of under MIN_ITEM words can't be told from chance and match
+nothing; repeated documents or items give one pair; a null id is an id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +28,10 @@ from gleaner.llm.texts import packed, read, row_key, words
 from gleaner.plans.storage import materialize
 
 # Counted offsets of each mask.
-MASKS = [(0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 6), (0, 2, 3, 5, 7)]
+MASKS = [(0, 1, 2, 3, 5), (0, 1, 2, 5, 6), (0, 1, 3, 6, 7)]
+# Lengths of items that are hashed as wholes; shorter ones match nothing.
+WHOLE = [4, 5]
+MIN_ITEM = 4
 WINDOW = 13
 SHARE = 0.8
 #: Seed rows (24 bytes each) up to which they are broadcast.
@@ -36,12 +42,11 @@ def _hashed_words(text: str) -> Column:
     return F.transform(words(F.lower(F.col(text))), lambda w: F.xxhash64(w))
 
 
-def _seeds(df: DataFrame, hashes: str, keep: list[str]) -> DataFrame:
-    """keep, at (from 0) and seed: a row per position and mask."""
+def _seeds(df: DataFrame, hashes: str, keep: list[str], whole: list[int]) -> DataFrame:
+    """keep, at (from 0) and seed: a row per position and mask; whole: lengths of whole items, which are masks without gaps."""
     df = df.where(F.size(hashes) > 0).select(*keep, hashes, F.explode(F.sequence(F.lit(0), F.size(hashes) - 1)).alias("at"))
-    of_mask = [
-        F.when(F.col("at") + max(mask) < F.size(hashes), F.xxhash64(F.lit(k), *[F.get(F.col(hashes), F.col("at") + o) for o in mask])) for k, mask in enumerate(MASKS)
-    ]
+    masks = [(k, mask) for k, mask in enumerate(MASKS)] + [(-n, tuple(range(n))) for n in whole]
+    of_mask = [F.when(F.col("at") + max(mask) < F.size(hashes), F.xxhash64(F.lit(k), *[F.get(F.col(hashes), F.col("at") + o) for o in mask])) for k, mask in masks]
     return df.select(*keep, "at", F.explode(F.array(*of_mask)).alias("seed")).where("seed is not null")
 
 
@@ -52,16 +57,18 @@ def _equal(own: str, item: str, shift: str) -> Column:
 
 def leaks(docs: DataFrame, bench: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS, key: Column | None = None) -> DataFrame:
     """key (of the document's row), doc_id, item_id, n_equal (places that agree on the best diagonal), n_item (words of the item)."""
-    items = materialize(bench.select("item_id", _hashed_words("text").alias("item")).where(F.size("item") > min(map(max, MASKS))).distinct(), "items")
-    seeds = materialize(_seeds(items, "item", ["item_id"]).select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
+    items = materialize(bench.select("item_id", _hashed_words("text").alias("item")).where(F.size("item") >= MIN_ITEM).distinct(), "items")
+    whole = [n for n in WHOLE if not items.where(F.size("item") == n).isEmpty()]
+    of_item = _seeds(items, "item", ["item_id"], whole).select("item_id", F.col("at").alias("item_at"), "seed")
+    seeds = materialize(of_item.distinct(), "seeds")
     small = seeds.count() <= broadcast_seeds
-    own = docs.select((row_key(docs) if key is None else key).alias("key"), "doc_id", _hashed_words("text").alias("own"))
-    if small:
-        hits = _seeds(own, "own", ["key", "doc_id", "own"]).join(F.broadcast(seeds), "seed").select("key", "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "own")
-        hits = hits.join(F.broadcast(items), "item_id")
-    else:
-        hits = _seeds(own, "own", ["key", "doc_id"]).join(seeds, "seed").select("key", "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-        hits = hits.join(own.select("key", "own"), "key").join(items, "item_id")
+    key = row_key(docs) if key is None else key
+    own = docs.select(key.alias("key"), "doc_id", _hashed_words("text").alias("own"))
+    hits = _seeds(own, "own", ["key"], whole).join(F.broadcast(seeds) if small else seeds, "seed")
+    hits = materialize(hits.select("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
+    named = items.withColumnRenamed("item_id", "_id")
+    texts = docs.select(key.alias("key"), "doc_id", "text").join(hits.select("key").distinct(), "key", "left_semi")
+    hits = hits.join(texts.select("key", "doc_id", _hashed_words("text").alias("own")), "key").join(F.broadcast(named) if small else named, F.expr("item_id <=> _id"))
     win = F.least(F.lit(WINDOW), F.size("equal"))
     best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("equal") - win + 1), lambda i: F.aggregate(F.slice("equal", i, win), F.lit(0), lambda a, x: a + x)))
     found = hits.select("key", "doc_id", "item_id", F.size("item").alias("n_item"), _equal("own", "item", "shift").alias("equal"))
@@ -79,3 +86,26 @@ def drop_leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
     key = row_key(docs)
     bad = materialize(leaks(docs, bench, key=key).select("key").distinct(), "leaks")
     return packed(docs, key).join(bad, "key", "left_anti").select("row.*")
+
+
+def _sql_seeds(table: str, words: str, keep: str) -> str:
+    masks = [(k, m) for k, m in enumerate(MASKS)] + [(-n, range(n)) for n in WHOLE]
+    picked = lambda m: " || ' ' || ".join(f"{words}[pos + {o + 1}]" for o in m)
+    parts = [f"SELECT {keep}, pos, '{k}:' || {picked(m)} AS seed FROM {table} WHERE pos + {max(m)} < len({words})" for k, m in masks]
+    return " UNION ALL ".join(parts)
+
+
+OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS own FROM documents),
+i AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS item FROM benchmark WHERE len(regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+')) >= {MIN_ITEM}),
+dp AS (SELECT r, own, unnest(range(0, len(own))) AS pos FROM d WHERE len(own) > 0),
+ip AS (SELECT item_id, item, unnest(range(0, len(item))) AS pos FROM i),
+ds AS ({_sql_seeds("dp", "own", "r")}),
+js AS ({_sql_seeds("ip", "item", "item_id, item")}),
+h AS (SELECT DISTINCT r, item_id, item, ds.pos - js.pos AS shift FROM ds JOIN js ON ds.seed = js.seed),
+e AS (SELECT d.doc_id, h.item_id, len(item) AS n_item, list_transform(range(0, len(item)), lambda k:
+    CASE WHEN shift + k >= 0 AND shift + k < len(own) AND own[shift + k + 1] = item[k + 1] THEN 1 ELSE 0 END) AS equal FROM h JOIN d ON h.r = d.r),
+b AS (SELECT *, least({WINDOW}, n_item) AS win FROM e),
+f AS (SELECT *, list_max(list_transform(range(1, n_item - win + 2), lambda k: list_sum(equal[k:k + win - 1]))) AS best FROM b)
+SELECT doc_id, item_id, max(list_sum(equal))::BIGINT AS n_equal, max(n_item)::BIGINT AS n_item FROM f WHERE best >= ceil({SHARE} * win) GROUP BY doc_id, item_id
+"""

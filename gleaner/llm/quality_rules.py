@@ -130,9 +130,46 @@ def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
 def op9(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = judged(docs, ["doc_id"])
-    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows that the rules keep, with their own columns."""
     return judged(docs, docs.columns).where("kept").select("row.*")
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _sql_distance(p: str, q: str) -> str:
+    """Jensen-Shannon distance of two lists of counts."""
+    part = lambda x, y: f"CASE WHEN {x} > 0 THEN {x} * log2({x} / (({x} + {y}) / 2)) ELSE 0 END"
+    a, b = f"({p}[k]::DOUBLE / list_sum({p}))", f"({q}[k]::DOUBLE / list_sum({q}))"
+    total = f"list_sum(list_transform(range(1, len({p}) + 1), lambda k: ({part(a, b)} + {part(b, a)}) / 2))"
+    return f"CASE WHEN len({p}) = len({q}) AND list_sum({p}) > 0 AND list_sum({q}) > 0 THEN sqrt(greatest(0::DOUBLE, {total})) END"
+
+
+def _sql_sums(column: str, bins: int) -> str:
+    return "[" + ", ".join(f"sum({column}[{k + 1}])" for k in range(bins)) + "]"
+
+
+_SQL_CLASSES = ", ".join("length(rest) - length(regexp_replace(rest, '[" + c.replace("'", "''") + "]+', '', 'g'))" for c in CLASSES)
+OP9_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    regexp_replace(coalesce(text, ''), '[a-z]+', '', 'g') AS rest, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+p AS (SELECT r, w, unnest(range(1, len(w) - {WINDOW} + 2)) AS pos FROM d WHERE len(w) >= {WINDOW}),
+v AS (SELECT r, pos, count(*) OVER (PARTITION BY r, w[pos:pos + {WINDOW - 1}]) AS n FROM p),
+c AS (SELECT r, count(DISTINCT x) AS n_repeat_words FROM (SELECT r, unnest(range(pos, pos + {WINDOW})) AS x FROM v WHERE n > 1) GROUP BY r),
+k AS (SELECT d.r, doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, length(t) AS total, [length(t) - length(rest), {_SQL_CLASSES}] AS classes,
+    CASE lang {" ".join(f"WHEN '{lang}' THEN {_sql_list(list_)}" for lang, list_ in COMMON.items())} END AS list, w FROM d LEFT JOIN c ON d.r = c.r),
+m AS (SELECT *, list_append(classes, total - list_sum(classes)) AS chars, list_transform(list, lambda x: len(list_filter(w, lambda y: y = x))) AS found,
+    n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed FROM k),
+h AS (SELECT *, CASE WHEN list IS NOT NULL THEN list_append(found, n_words - list_sum(found)) END AS common FROM m),
+g AS (SELECT lang, {_sql_sums("chars", len(CLASSES) + 2)} AS ref_chars, {_sql_sums("common", max(map(len, COMMON.values())) + 1)} AS ref_common FROM h WHERE NOT base_failed GROUP BY lang),
+s AS (SELECT h.*, {_sql_distance("chars", "ref_chars")} AS cd, CASE WHEN common IS NOT NULL THEN {_sql_distance("common", "ref_common")} END AS wd FROM h LEFT JOIN g ON h.lang = g.lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR coalesce(cd > {MAX_CHAR_DISTANCE} AND n_words >= {GUARD_WORDS}, false) OR coalesce(wd > {MAX_WORD_DISTANCE} AND n_words >= {GUARD_COMMON}, false)) AS kept,
+  round(cd, 6) AS char_distance, round(wd, 6) AS word_distance FROM s
+"""

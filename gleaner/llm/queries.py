@@ -17,6 +17,6 @@ QUERIES = {
     "pii_base_columns": pii.base_columns,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op5_warc": warc.OP5_SQL, "op6_mixing": mixing.OP6_SQL, "pii_base_columns": pii.BASE_SQL}
+ORACLES: dict[str, str] = {"op5_warc": warc.OP5_SQL, "op6_mixing": mixing.OP6_SQL, "op9_quality_rules": quality_rules.OP9_SQL, "op10_decontaminate": decontaminate.OP10_SQL, "pii_base_columns": pii.BASE_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -682,6 +682,14 @@ def test_js_distance(spark):
 
 
 # 10 -----------------------------------------------------------------------------------------------------------------
+def test_masks_reach_every_pair_of_substitutions():
+    from itertools import combinations
+
+    whole = lambda n, bad: any(not {p + o for o in m} & set(bad) for m in decontaminate.MASKS for p in range(n - max(m)))
+    assert all(whole(n, bad) for n in (10, 11, 12, 13) for bad in combinations(range(n), 2))
+    assert all(len({o % 5 for o in m}) < 5 for m in decontaminate.MASKS)
+
+
 def _leaks(docs, items):
     """All diagonals of all pairs."""
     out = set()
@@ -689,24 +697,24 @@ def _leaks(docs, items):
         w = (text or "").lower().split()
         for j, item in items:
             v = (item or "").lower().split()
-            if len(v) < 7:
+            if len(v) < 4:
                 continue
             for s in range(-len(v), len(w)):
                 equal = [0 <= s + k < len(w) and w[s + k] == x for k, x in enumerate(v)]
                 n = min(13, len(v))
-                if any(sum(equal[k : k + n]) >= np.ceil(0.8 * n) for k in range(len(v) - n + 1)):
+                if any(sum(equal[k : k + n]) >= (np.ceil(0.8 * n) if n > 5 else n) for k in range(len(v) - n + 1)):
                     out.add((i, j))
     return out
 
 
 @pytest.mark.parametrize("broadcast", [decontaminate.BROADCAST_SEEDS, -1])
 def test_leaks(spark, broadcast):
-    items = [(k, prose(30, 900 + k)) for k in range(6)] + [(10, "a short item"), (11, prose(9, 950)), (12, None)]
+    items = [(k, prose(30, 900 + k)) for k in range(6)] + [(10, "a short item"), (11, prose(9, 950)), (12, None), (13, "four words and five"), (14, "these are five odd words"), (None, prose(20, 960))]
     made = [(i, prose(60, i)) for i in range(20)]
     for k in range(6):
         v = items[k][1].split()
         made += [(100 + k, f"{prose(30, k)} {' '.join(v)} {prose(20, 50 + k)}"), (200 + k, " ".join(v[8:])), (300 + k, " ".join(w if i % 5 else "zz" for i, w in enumerate(v))), (400 + k, prose(10, k) + " " + " ".join(v[:11]))]
-    made += [(500, items[7][1].upper()), (501, None), (502, "")]
+    made += [(500, items[7][1].upper()), (501, None), (502, ""), (503, "one FOUR words and five more"), (504, "these are five odd words"), (505, "these are five other words"), (None, prose(20, 960)), (506, "a short item")]
     docs, bench = spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench, broadcast).collect()}
     want = _leaks(made, items)
