@@ -4,10 +4,11 @@ Removed is each byte that a LENGTH-byte string covers which also starts earlier
 and an earlier start), judged on the input.
 
 A suffix array here lists suffixes by the hash of their first bytes, not by the bytes: any order serves that puts equal
-prefixes of LENGTH bytes together. A family holds sorted arrays (levels). A new batch is sorted, scanned against itself
+prefixes of LENGTH bytes together, and the bytes themselves (134 for each run, four times the text) need not travel. A family holds sorted arrays (levels). A new batch is sorted, scanned against itself
 and merge-scanned against each level for long matches; of two suffixes that match, the later is removed and the earlier
 stays in the family; then the batch becomes a level, and levels of equal size (within a factor of two) merge, so a
-suffix is merged a logarithmic number of times.
+suffix is merged a logarithmic number of times. StoredFamily is the same over batches that come one after another, with
+its levels as written tables.
 
 Suffixes are sparse. Each LENGTH-byte window belongs to an anchor: the position in it whose GRAM-byte hash is smallest
 (leftmost of equals). Equal windows have equal anchors, and consecutive windows with one anchor form a run, about 35 of
@@ -307,17 +308,88 @@ def _identified(docs: DataFrame) -> DataFrame:
     return plain.select("doc", (F.xxhash64("text") if repeats else F.lit(0).cast("long")).alias("uid"), "text", "doc_id")
 
 
-def covers(docs: DataFrame) -> DataFrame:
-    """docs: doc, uid, text. kind, doc, uid, start, end (bytes) of what is to go; covers of a document may overlap."""
-    n = partitions(docs)
-    found = docs.select("doc", "uid", "text").mapInArrow(_find_runs, _ROWS)
+_COVER_COLUMNS = ["doc", "uid", "start", "end"]
+
+
+def _covers_of(runs_: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """runs_: rows of _find_runs; docs: doc, uid and text of their documents."""
     deal = F.when(F.col("kind") == RUN, F.col("h")).otherwise(F.xxhash64("doc", "uid", "start"))
-    matched = materialize(found.repartition(n, deal).mapInArrow(_match_runs, _ROWS), "runs")
+    matched = materialize(runs_.repartition(n, deal).mapInArrow(_match_runs, _ROWS), "runs")
     edges = matched.where(f"kind >= {EDGE}").groupBy("doc", "uid").agg(F.collect_list(F.struct("kind", "start", "end", "h")).alias("edges"))
-    fetched = docs.select("doc", "uid", "text")
-    windows = edges.join(fetched, ["doc", "uid"]).select("doc", "uid", "text", "edges").mapInArrow(_fetch, _WINDOWS)
+    windows = edges.join(docs.select("doc", "uid", "text"), ["doc", "uid"]).select("doc", "uid", "text", "edges").mapInArrow(_fetch, _WINDOWS)
     by_window = windows.repartition(n, "deal").mapInArrow(_match_windows, _ROWS)
-    return matched.where(f"kind = {COVER}").unionAll(by_window)
+    return matched.where(f"kind = {COVER}").unionAll(by_window).select(*_COVER_COLUMNS)
+
+
+def covers(docs: DataFrame) -> DataFrame:
+    """docs: doc, uid, text. doc, uid, start, end (bytes) of what is to go; covers of a document may overlap."""
+    return _covers_of(docs.select("doc", "uid", "text").mapInArrow(_find_runs, _ROWS), docs, partitions(docs))
+
+
+class StoredFamily:
+    """The family over batches that come one after another: levels of sorted suffixes as written tables.
+
+    add() gives a batch its own sorted suffixes and merge-scans them against each level: of a level only suffixes whose
+    gram the batch holds are read. Covers are returned for documents of the batch, and for stored ones where the batch
+    holds an earlier document; all covers that add() ever returned are those of all batches at once. Then the batch
+    becomes a level, and levels of equal size (within a factor of two) merge, so a suffix is rewritten a logarithmic
+    number of times. Texts of batches are kept for the comparison of edges.
+
+    A level's folder is named by the batches it holds; one that holds another's batches replaces it, so a merge that an
+    error cuts short leaves the old levels in place. Rows that are null in id or repeat one are told apart by their text.
+    """
+
+    def __init__(self, spark, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _folders(self, name: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        done = self.spark._jvm.org.apache.hadoop.fs.Path
+        return sorted(f.getPath().getName() for f in fs.listStatus(path) if fs.exists(done(f.getPath(), "_SUCCESS")))
+
+    def levels(self) -> list[tuple[int, int, int]]:
+        """First batch, last batch and number of suffixes of each level, oldest first."""
+        found = sorted((int(a), -int(b), int(n)) for a, b, n in (f.split("-") for f in self._folders("levels")))
+        out: list[tuple[int, int, int]] = []
+        for a, b, n in found:
+            if not out or a > out[-1][1]:
+                out.append((a, -b, n))
+        return out
+
+    def _level(self, a: int, b: int, n: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/levels/{a:06d}-{b:06d}-{n}")
+
+    def _write_level(self, rows: DataFrame, a: int, b: int) -> None:
+        """The earliest of equal suffixes, sorted by their hashes."""
+        first = rows.groupBy("h", "c").agg(F.min(F.struct("doc", "uid", "start", "end")).alias("x")).select("h", "c", "x.*")
+        first = materialize(first.sortWithinPartitions("h", "c"), "level")
+        first.write.parquet(f"{self.root}/levels/{a:06d}-{b:06d}-{first.count()}")
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        """docs: doc_id and text. doc, uid, start, end of what is to go."""
+        levels, batch = self.levels(), len(self._folders("texts"))
+        own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("uid"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+        found = materialize(own.mapInArrow(_find_runs, _ROWS), "found")
+        grams = found.where(f"kind = {RUN}").select("h").distinct()
+        rows, texts = found, own
+        for level in levels:
+            held = self._level(*level).join(grams, "h", "left_semi")
+            rows = rows.unionByName(held.select(F.lit(RUN).cast("byte").alias("kind"), "doc", "uid", "start", "end", "h", "c"))
+        if levels:
+            texts = texts.unionByName(self.spark.read.parquet(*[f"{self.root}/texts/{f}" for f in self._folders("texts")]).select("doc", "uid", "text"))
+        texts = texts.dropDuplicates(["doc", "uid"])
+        out = materialize(_covers_of(rows, texts, partitions(docs)), "covers")
+        self._write_level(found.where(f"kind = {RUN}"), batch, batch)
+        own.write.parquet(f"{self.root}/texts/{batch:06d}")
+        levels = self.levels()
+        while len(levels) > 1 and levels[-2][2] < 2 * levels[-1][2]:
+            (a, _, _), (_, b, _) = levels[-2:]
+            self._write_level(self._level(*levels[-2]).unionByName(self._level(*levels[-1])), a, b)
+            levels = self.levels()
+        return out
 
 
 def _cut(batches):
@@ -348,7 +420,7 @@ _CUT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_re
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (removed bytes: start and end) of every row."""
     own = _identified(docs)
-    spans = materialize(covers(own).select("doc", "uid", "start", "end"), "covers").groupBy("doc", "uid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = materialize(covers(own), "covers").groupBy("doc", "uid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return own.join(spans, ["doc", "uid"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>")
 
 

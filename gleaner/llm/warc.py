@@ -76,7 +76,7 @@ def _digest(sha) -> str:
 
 
 def _segments(page_id, url, payload: memoryview, n_bytes: int, digest: str, refers, revisit: bool, name: str, size: int):
-    """(chunk number, record text) of a page's record."""
+    """Chunk number, digest of the payload up to the chunk's end, and record text of a page's record, a chunk at a time."""
     ends = [0] if revisit else cuts(payload, size)
     running, at = hashlib.sha1(), 0
     for k, end in enumerate(ends):
@@ -94,13 +94,13 @@ def _segments(page_id, url, payload: memoryview, n_bytes: int, digest: str, refe
             head.append(f"WARC-Segment-Origin-ID: <{name}>")
         if len(ends) > 1:
             head += [f"WARC-Segment-Number: {k + 1}"] + [f"WARC-Segment-Total-Length: {n_bytes}"] * (k == len(ends) - 1)
-        yield k, VERSION + "\r\n".join(head) + BLANK + block.decode()
+        yield k, _digest(running), VERSION + "\r\n".join(head) + BLANK + block.decode()
     if not revisit and _digest(running) != digest:
         raise ValueError(f"page {page_id}: the payload changed while it was written")
 
 
 def chunks(pages: DataFrame, min_bytes: int = 0, size: int = CHUNK, broadcast_digests: int = BROADCAST_DIGESTS) -> DataFrame:
-    """record, chunk_no and value (the segment's text): the chunked record table of the archives."""
+    """record, chunk_no, running_digest (of the payload up to the chunk's end) and value (the segment's text): the chunked record table of the archives."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     url = F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20")
     df = pages.select(F.col("page_id").cast("long"), url.alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("n_bytes"), base32_sha1(payload).alias("digest"))
@@ -116,8 +116,8 @@ def chunks(pages: DataFrame, min_bytes: int = 0, size: int = CHUNK, broadcast_di
             for i in range(b.num_rows):
                 page, url, body, n_bytes, digest, first, revisit = (c[i].as_py() if k != 2 else c[i].as_buffer() for k, c in enumerate(cols))
                 name, n = f"urn:page:{page}:{part}-{n}", n + 1
-                for k, value in _segments(page, url, memoryview(body), n_bytes, digest, first, revisit, name, size):
-                    out.append((name, k, value))
+                for k, running, value in _segments(page, url, memoryview(body), n_bytes, digest, first, revisit, name, size):
+                    out.append((name, k, running, value))
                     held += len(value)
                     if held >= BATCH:
                         yield _batch(out)
@@ -125,12 +125,12 @@ def chunks(pages: DataFrame, min_bytes: int = 0, size: int = CHUNK, broadcast_di
         if out:
             yield _batch(out)
 
-    return df.mapInArrow(run, "record string, chunk_no int, value string")
+    return df.mapInArrow(run, "record string, chunk_no int, running_digest string, value string")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names, numbers, values = zip(*rows, strict=True)
-    return pa.record_batch([pa.array(names, pa.string()), pa.array(numbers, pa.int32()), pa.array(values, pa.string())], names=["record", "chunk_no", "value"])
+    names, numbers, digests, values = zip(*rows, strict=True)
+    return pa.record_batch([pa.array(names, pa.string()), pa.array(numbers, pa.int32()), pa.array(digests, pa.string()), pa.array(values, pa.string())], names=["record", "chunk_no", "running_digest", "value"])
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, size: int = CHUNK) -> None:

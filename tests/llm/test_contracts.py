@@ -323,6 +323,26 @@ def test_substrings_through_other_paths(spark, monkeypatch, name, value):
     _check_cut(spark.createDataFrame([*made, (200, "ab" * 400), (201, "x" * 700), (202, "x" * 99), (203, "x" * 100)], "doc_id long, text string").repartition(3))
 
 
+def test_batches_one_after_another_equal_all_at_once(spark):
+    """Passages within and across batches, with smaller ids in later batches; levels merge as they grow."""
+    r, shared = random.Random(21), [prose(40, 70 + k) for k in range(6)]
+    made = [(i, " ".join([prose(r.randint(5, 60), 500 + i), r.choice(shared), prose(20, 900 + i), r.choice(shared)[: r.randint(90, 200)]])) for i in range(48)] + [(50, None), (51, "short")]
+    r.shuffle(made)
+    family, got = suffix_dedup.StoredFamily(spark, new_path(spark, "family")), defaultdict(set)
+    sizes = []
+    for k in range(0, len(made), 10):
+        batch = spark.createDataFrame(made[k : k + 10], "doc_id long, text string")
+        for c in suffix_dedup.StoredFamily(spark, family.root).add(batch).collect():
+            got[c["doc"]] |= set(range(c["start"], c["end"]))
+        sizes.append([b - a + 1 for a, b, _ in family.levels()])
+    own = suffix_dedup._identified(spark.createDataFrame(made, "doc_id long, text string"))
+    want = defaultdict(set)
+    for c in suffix_dedup.covers(own).collect():
+        want[c["doc"]] |= set(range(c["start"], c["end"]))
+    assert got == want and len(want) > 20
+    assert sizes[0] == [1] and all(sum(x) == k + 1 for k, x in enumerate(sizes)) and len(sizes[-1]) < 5
+
+
 def test_levels_merge_geometrically():
     family, rng = suffix_dedup.Family(), np.random.default_rng(2)
     seen = {}

@@ -1,6 +1,10 @@
 """Every operator and stage: odd rows, empty tables and clashing columns give defined results."""
 
+import base64
+import hashlib
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gleaner.llm import chaining, decontaminate, knn_quality, mixing, pii, pseudo_likelihood, quality_rules, simhash, suffix_dedup, warc
@@ -79,3 +83,30 @@ def test_warc_of_an_empty_table(spark):
     path = new_path(spark, "none")
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.read_archives(spark, path).count() == 0
+
+
+def test_warc_of_odd_pages_and_clashing_columns(spark):
+    made = [(1, "http://a/ b", "x" * 3000), (2, None, "x" * 3000), (2, "u", None), (None, "http://c", ""), (3, "", "é" * 700), (3, "", "é" * 700), (4, "u", "WARC/1.1\r\n" * 9)]
+    pages = spark.createDataFrame(made, "page_id long, url string, html string")
+
+    def back(df):
+        path = new_path(spark, "odd")
+        warc.write_archives(df, path, size=500)
+        return rows(warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+    got = back(pages)
+    assert len(got) == len(made)
+    clashing = pages.select("*", *[F.lit(k).alias(c) for k, c in enumerate(["payload", "n_bytes", "digest", "first", "revisit", "record", "value", "n"])])
+    assert got == back(clashing)
+
+
+def test_chunk_table_carries_the_running_digest(spark):
+    pages = spark.createDataFrame([(1, "u", "abcdé" * 400)], "page_id long, url string, html string")
+    chunks = warc.chunks(pages, size=300).orderBy("chunk_no").collect()
+    payload, at = ("abcdé" * 400).encode(), 0
+    assert len(chunks) > 5 and [c["chunk_no"] for c in chunks] == list(range(len(chunks)))
+    for c in chunks:
+        body = c["value"].encode().split(b"\r\n\r\n", 2)[-1]
+        at += len(body)
+        assert c["running_digest"] == base64.b32encode(hashlib.sha1(payload[:at]).digest()).decode()
+    assert at == len(payload)
