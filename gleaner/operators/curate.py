@@ -19,6 +19,25 @@ def ingest_gap(classes: DataFrame, counts: DataFrame, cfg: Source) -> DataFrame:
     return df.withColumn("fetch_limit", F.when(F.col("needed") > 0, fetch_limit(F.col("needed"), cfg.overfetch)).otherwise(0).cast("long"))
 
 
+#: Ranges of scores that are ranked one by one; only their counts are ranked as a whole.
+SCORE_RANGES = 1 << 12
+
+
+def ranked_by_score(df: DataFrame, group: Column, ranges: int = SCORE_RANGES) -> DataFrame:
+    """df with _rank (from 1, by _score and sha256 within the group) and _n, the group's rows. _score: 0 to 1, evenly spread.
+
+    Rows are dealt by group and range of scores, so a class (or the whole table, as one group) is never one task; counts
+    of ranges, at most `ranges` rows a group, are summed up in order.
+    """
+    df = df.withColumn("_group", F.coalesce(F.concat(F.lit("="), group.cast("string")), F.lit("")))
+    df = df.withColumn("_range", F.least(F.floor(F.col("_score") * ranges), F.lit(ranges - 1)).cast("int"))
+    upto = W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    sums = df.groupBy("_group", "_range").agg(F.count("*").alias("_k"))
+    sums = sums.select("_group", "_range", F.coalesce(F.sum("_k").over(upto), F.lit(0)).alias("_before"), F.sum("_k").over(W.partitionBy("_group")).alias("_n"))
+    here = F.row_number().over(W.partitionBy("_group", "_range").orderBy("_score", "sha256"))
+    return df.join(sums, ["_group", "_range"]).withColumn("_rank", F.col("_before") + here).drop("_group", "_range", "_before")
+
+
 def reuse(records: DataFrame, stored: DataFrame, present_paths: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(reused, pending): records whose URL is stored, with sha256 and storage_path, and the rest. present_paths: storage_path of files with bytes."""
     known = stored.select(F.col("origin_url").alias("image_url"), "sha256", "storage_path").groupBy("image_url").agg(F.max_by("sha256", "sha256").alias("sha256"), F.max_by("storage_path", "sha256").alias("storage_path"))
@@ -27,13 +46,14 @@ def reuse(records: DataFrame, stored: DataFrame, present_paths: DataFrame | None
     return records.join(known, "image_url"), records.join(known, "image_url", "left_anti")
 
 
-def exact_dedup(df: DataFrame, order: list[Column]) -> StageResult:
-    """One row for each sha256, the first in order; others are EXACT_DUPLICATE. The winner is an aggregate, so copies are reduced before the shuffle."""
+def exact_dedup(df: DataFrame, order: list[Column], silent: Column | None = None) -> StageResult:
+    """One row for each sha256, the first in order; others are EXACT_DUPLICATE, but for those where silent holds, which only go. The winner is an aggregate, so copies are reduced before the shuffle."""
     rank = F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)])
     first = df.groupBy("sha256").agg(F.min(rank).alias("_first"))
     marked = df.withColumn("_rank", rank).join(first, "sha256")
     kept = marked.where("_rank = _first").drop("_rank", "_first")
     lost = marked.where("_rank <> _first")
+    lost = lost if silent is None else lost.where(~silent)
     return StageResult(kept, rejection(lost, "download", F.lit("EXACT_DUPLICATE"), F.concat(F.lit("same bytes as another candidate: "), F.substring("sha256", 1, 12))))
 
 
@@ -75,15 +95,14 @@ def select_target(df: DataFrame, counts: DataFrame, stored: DataFrame, cfg: Sour
     """At most target rows a class, counting what is stored. counts: class_label and n; stored: sha256.
 
     Stored rows are kept and cost nothing; marked duplicates cost nothing but follow the row they point at; new rows are
-    taken by split score. The rank prunes before the shuffle (WindowGroupLimit) since only ranks up to the target count.
+    taken by split score. Ranks are found by ranges of scores, so no class is one task.
     """
     known = stored.select("sha256").distinct().withColumn("_known", F.lit(True))
     marked = df.join(known, "sha256", "left")
     duplicates = marked.where("duplicate_of is not null").drop("_known")
     again = marked.where("duplicate_of is null and _known").drop("_known")
     new = marked.where("duplicate_of is null and _known is null").drop("_known").withColumn("_score", split_score(F.col("sha256"), split.salt))
-    rank = F.row_number().over(W.partitionBy("class_label").orderBy("_score", "sha256"))
-    ranked = new.withColumn("_rank", rank).join(counts.select("class_label", F.col("n").alias("_n")), "class_label", "left")
+    ranked = ranked_by_score(new, F.col("class_label")).drop("_n").join(counts.select("class_label", F.col("n").alias("_n")), "class_label", "left")
     budget = F.greatest(F.lit(0), F.lit(cfg.target) - F.coalesce("_n", F.lit(0)))
     ranked = ranked.withColumn("_in", F.col("_rank") <= budget).drop("_rank", "_n", "_score")
     chosen, trimmed = ranked.where("_in").drop("_in"), ranked.where("not _in").drop("_in")
@@ -91,7 +110,7 @@ def select_target(df: DataFrame, counts: DataFrame, stored: DataFrame, cfg: Sour
     orphans = duplicates.join(surviving, "duplicate_of", "left_anti")
     kept = again.unionByName(chosen).unionByName(duplicates.join(surviving, "duplicate_of", "left_semi").select(*again.columns))
     over = F.lit("OVER_TARGET")
-    lost = rejection(trimmed, "select", over, F.lit(f"class already at target ({cfg.target})")).unionByName(rejection(orphans, "select", over, F.lit("near-duplicate of a row that was trimmed")))
+    lost = rejection(trimmed, "select", over, F.lit(f"no room left: {cfg.target} a class are wanted")).unionByName(rejection(orphans, "select", over, F.lit("its original found no room")))
     return StageResult(kept, lost, {"selected": chosen, "orphans": orphans})
 
 
@@ -100,10 +119,8 @@ def assign_split(df: DataFrame, cfg: Split = Split()) -> DataFrame:
     df = df.withColumn("score", split_score(F.col("sha256"), cfg.salt))
     if cfg.strategy == "stable_bucket":
         return df.withColumn("split", F.when(F.col("score") < cfg.train_percent / 100, "train").otherwise("val"))
-    group = F.col("class_label") if cfg.stratify else F.lit("__all__")
-    n = F.count("*").over(W.partitionBy(group))
-    rank = F.row_number().over(W.partitionBy(group).orderBy("score", "sha256"))
-    df = df.withColumn("_n", n).withColumn("_rank", rank)
+    group = F.col("class_label") if cfg.stratify else F.lit("all")
+    df = ranked_by_score(df.withColumn("_score", F.col("score")), group).drop("_score")
     share = F.bround(F.col("_n") * cfg.train_percent / 100).cast("long")
     train = F.when(F.col("_n") > 1, F.greatest(F.lit(1), F.least(F.col("_n") - 1, share))).otherwise(F.col("_n"))
     return df.withColumn("split", F.when(F.col("_rank") <= train, "train").otherwise("val")).drop("_n", "_rank")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import shutil
 from datetime import UTC, datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,11 +28,18 @@ def dataset_rows(images: DataFrame) -> DataFrame:
 def fingerprint(rows: DataFrame) -> DataFrame:
     """One row: fingerprint, 16 hex digits of SHA-256 over sha:split:class of all rows in order of sha, joined by nothing.
 
-    The definition is one digest over all rows, so their keys meet in one task: 80 bytes a row, no other columns.
+    The definition is one digest over all rows, so their keys (80 bytes a row, no other columns) pass through one task; it
+    sorts them on disk where they do not fit and digests them as they stream by, so their number has no limit.
     """
     keys = rows.select("sha256", F.concat_ws(":", "sha256", "split", "class_label").alias("key"))
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("sha256", "key"))), lambda x: x["key"]), "")
-    return keys.agg(F.substring(F.sha2(joined, 256), 1, 16).alias("fingerprint"))
+
+    def run(batches):
+        digest = hashlib.sha256()
+        for b in batches:
+            digest.update("".join(b.column(0).to_pylist()).encode())
+        yield pa.record_batch([pa.array([digest.hexdigest()[:16]])], names=["fingerprint"])
+
+    return keys.repartition(1).sortWithinPartitions("sha256", "key").select("key").mapInArrow(run, "fingerprint string")
 
 
 def manifest_counts(rows: DataFrame) -> DataFrame:
@@ -56,7 +65,7 @@ def sample(rows: DataFrame, n: int) -> DataFrame:
 
 
 def manifest(rows: DataFrame, run_id: str, config: str, created: str | None = None) -> dict:
-    """The manifest without its images, which are written by Spark beside it when they are many."""
+    """The manifest without its images, which manifest_lines() adds."""
     counts: dict[str, dict[str, int]] = {}
     for r in manifest_counts(rows).orderBy("class_label", "split").collect():  # a row for each class and split
         counts.setdefault(r["class_label"], {})[r["split"]] = r["n"]
@@ -74,13 +83,21 @@ def manifest(rows: DataFrame, run_id: str, config: str, created: str | None = No
     }
 
 
-def manifest_images(rows: DataFrame) -> DataFrame:
-    """value: a JSON object for each image, in order of class, split and checksum."""
+def manifest_lines(rows: DataFrame, head: dict) -> DataFrame:
+    """value: the lines of one JSON document, head with a last member images, an item for each row by class, split and checksum. They are in order in one partition, streamed, never one string."""
     item = F.struct(
         F.col("relative_path").alias("path"), F.col("class_label").alias("label"), "split", "source", "source_url", "license", "attribution",
         F.struct(F.lit("sha256").alias("algorithm"), F.col("sha256").alias("value")).alias("checksum"), "width", "height",
     )
-    return rows.orderBy("class_label", "split", "sha256").select(F.to_json(item, {"ignoreNullFields": "false"}).alias("value"))
+    place = F.struct(F.coalesce("class_label", F.lit("")).alias("label"), F.coalesce("split", F.lit("")).alias("split"), "sha256")
+    items = rows.select(place.alias("place"), F.to_json(item, {"ignoreNullFields": "false"}).alias("value"))
+    first = items.agg(F.min("place")).first()[0]
+    is_first = (F.col("place.label") == first["label"]) & (F.col("place.split") == first["split"]) & (F.col("place.sha256") == first["sha256"]) if first else F.lit(True)
+    items = items.select(F.lit(1).alias("part"), "place", F.concat(F.when(is_first, "    ").otherwise("  , "), "value").alias("value"))
+    opening = json.dumps(head, indent=2, ensure_ascii=False).removesuffix("\n}") + ',\n  "images": ['
+    edges = rows.sparkSession.createDataFrame([(0, opening), (2, "  ]\n}")], "part int, value string")
+    edges = edges.select("part", F.lit(None).cast(items.schema["place"].dataType).alias("place"), "value")
+    return items.unionByName(edges).repartition(1).sortWithinPartitions("part", "place").select("value")
 
 
 def _place(root: str):
@@ -126,13 +143,11 @@ def export(images: DataFrame, out: str, run_id: str, config: str = "", tree: str
     rows = dataset_rows(images)
     if rows.isEmpty():
         return {"records": 0, "files": []}
-    spark = images.sparkSession
     frame = rows.select(*EXPORT_COLUMNS)
     frame.write.mode("overwrite").option("compression", "snappy").parquet(f"{out}/dataset.parquet")
     frame.write.mode("overwrite").option("header", True).csv(f"{out}/dataset.csv")
     doc = manifest(rows, run_id, config)
-    spark.createDataFrame([(json.dumps(doc, indent=2, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/manifest.json")
-    manifest_images(rows).write.mode("overwrite").text(f"{out}/manifest_images.jsonl")
+    manifest_lines(rows, doc).write.mode("overwrite").text(f"{out}/manifest.json")
     attribution_lines(rows).orderBy("class_label", "sha256").select(F.col("block").alias("value")).write.mode("overwrite").option("lineSep", "\n\n").text(f"{out}/ATTRIBUTIONS.txt")
     copied = copy_tree(rows, tree) if tree else {"images_copied": 0, "images_missing": 0, "images_pruned": 0}
-    return {"records": doc["n_images"], "fingerprint": doc["dataset_fingerprint"], "files": ["dataset.parquet", "dataset.csv", "manifest.json", "manifest_images.jsonl", "ATTRIBUTIONS.txt"], **copied}
+    return {"records": doc["n_images"], "fingerprint": doc["dataset_fingerprint"], "files": ["dataset.parquet", "dataset.csv", "manifest.json", "ATTRIBUTIONS.txt"], **copied}

@@ -15,7 +15,8 @@ from gleaner.plans import views
 from gleaner.plans.export import export
 from gleaner.plans.storage import materialize
 from gleaner.plans.store import Store, mark_duplicates, set_splits, upsert
-from gleaner.schemas import RUN, columns
+from gleaner.schemas import RUN, SOURCES, columns
+from gleaner.sources.http import existing_paths
 
 
 @dataclass
@@ -74,10 +75,16 @@ class Runner:
         wanted = gap.where("needed > 0")
         fetched = materialize(candidates.join(F.broadcast(wanted.select("class_label")), "class_label", "left_semi"), "fetched")
         store.append("raw_records", fetched.withColumn("run_id", F.lit(run_id)))
-        self._audit(report, "ingest", {"fetched": fetched.count(), "classes_at_target": gap.where("needed = 0").count()}, ingest_rejections)
+        full = gap.where("needed = 0").count()
+        needed = gap.agg(F.sum("needed")).first()[0] or 0
+        asked = self.spark.createDataFrame([(x, needed) for x in SOURCES], "source string, needed long")
+        empty = views.empty_sources(asked, fetched).count()
+        self._audit(report, "ingest", {"fetched": fetched.count(), "classes_at_target": full, "sources_empty": empty}, ingest_rejections)
 
         if not cfg.refetch:  # what is stored under a URL is not fetched again
-            reused, pending = curate.reuse(fetched, images)
+            urls = fetched.select(F.col("image_url").alias("origin_url")).distinct()
+            stored = images.join(urls, "origin_url", "left_semi").where("storage_path is not null")
+            reused, pending = curate.reuse(fetched, stored, materialize(existing_paths(stored), "present"))
             held = images.select("sha256", "file_size_bytes", "format", "width", "height", "phash")
             reused = reused.join(held, "sha256").withColumns({"status": F.lit(None).cast("string"), "extension": F.regexp_extract("storage_path", r"(\.[^./]+)$", 1), "reused": F.lit(True)})
         else:
@@ -85,11 +92,14 @@ class Runner:
         got = pending.join(assets, "image_url").withColumn("reused", F.lit(False))
         failed = pending.join(assets.select("image_url"), "image_url", "left_anti")
         have = got if reused is None else got.unionByName(reused)
-        exact = curate.exact_dedup(have, [~F.col("reused"), F.col("source"), F.col("source_id")])
+        have = materialize(have, "assets")
+        exact = curate.exact_dedup(have, [~F.col("reused"), F.col("source"), F.col("source_id")], F.col("reused"))
         lost = curate.rejection(failed, "download", F.lit("HTTP_ERROR"), F.lit("no bytes were fetched"))
         kept = materialize(exact.kept, "downloaded")
-        fresh = exact.rejections
-        self._audit(report, "download", {"downloaded": kept.where("not reused").count(), "reused_from_store": kept.where("reused").count(), "failed": failed.count()}, lost.unionByName(fresh))
+        again = materialize(exact.rejections, "copies")
+        known = kept.join(images.select("sha256"), "sha256", "left_semi").count()
+        metrics = {"downloaded": have.where("not reused").count(), "reused_from_store": have.where("reused").count(), "failed": failed.count()}
+        self._audit(report, "download", metrics | {"already_in_store": known, "exact_duplicates_in_run": again.count()}, lost.unionByName(again))
 
         valid = curate.validate(kept, cfg.validation)
         checked = materialize(valid.kept, "validated")
@@ -115,16 +125,20 @@ class Runner:
         now = mark_duplicates(done["images"], marks)
         now = mark_duplicates(now, over.select(F.col("old").alias("sha256"), F.col("new").alias("duplicate_of"), "distance"))
         store.publish("images", now)
-        self._audit(report, "persist", counters | {"kept": counters["inserted"] + counters["already_known"]})
+        marked = marks.join(now.select("sha256", F.col("duplicate_of").alias("_of")), "sha256").where("duplicate_of = _of").count()
+        taken = over.join(now.select(F.col("sha256").alias("old"), F.col("duplicate_of").alias("_of")), "old").where("new = _of").count()
+        more = {"kept": counters["inserted"] + counters["already_known"], "marked_duplicate": marked, "superseded": taken, "supersessions_skipped": over.count() - taken}
+        self._audit(report, "persist", counters | more)
 
         images = store.read("images")
         changed = materialize(curate.resplit(images, cfg.split), "splits")
         n = changed.count()
         if n:
             store.publish("images", set_splits(images, changed))
-        self._audit(report, "split", {"changed": n})
-
         images = store.read("images")
+        live = images.where("duplicate_of is null")
+        self._audit(report, "split", {"eligible": live.count(), "changed": n, "train": live.where("split = 'train'").count(), "val": live.where("split = 'val'").count()})
+
         report.export = export(images, out, run_id, cfg.snapshot(), tree)
         self._audit(report, "export", {"exported": report.export["records"]})
         gate = views.quality_gate(classes, views.class_counts(images), cfg.source, report.export.get("images_missing", 0)).first()

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 import urllib.robotparser
+import uuid
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.config import Http
+from gleaner.functions.scalars import storage_path, url_extension
 from gleaner.operators.stage import StageResult, rejection
 
 
@@ -109,22 +113,29 @@ class Client:
             return b"".join(parts), sha.hexdigest()
 
 
+#: Bytes of content that a task holds before it hands them on.
+HELD = 32 << 20
+
+
 def download(records: DataFrame, cfg: Http = Http(), tasks: int = 8) -> StageResult:
-    """records with sha256, file_size_bytes and content; failures are rejections. Dealt by host, so that throttling holds over all tasks."""
+    """records with sha256, file_size_bytes and content; failures are rejections. Dealt by host, so that throttling holds over all tasks; rows are handed on as soon as they hold HELD bytes."""
 
     def run(batches):
         client = Client(cfg)
         for pdf in batches:
-            rows = []
-            for url in pdf["image_url"]:
+            rows, held, at = [], 0, 0
+            for k, url in enumerate(pdf["image_url"]):
                 try:
                     content, sha = client.image(url)
                     rows.append((sha, len(content), content, None, None))
+                    held += len(content)
                 except Failed as e:
                     rows.append((None, None, None, e.reason, e.detail))
-            got = pd.DataFrame(rows, columns=["sha256", "file_size_bytes", "content", "_reason", "_detail"])
-            got["file_size_bytes"] = got["file_size_bytes"].astype("Int64")
-            yield pd.concat([pdf.reset_index(drop=True), got], axis=1)
+                if held >= HELD or k == len(pdf) - 1:
+                    got = pd.DataFrame(rows, columns=["sha256", "file_size_bytes", "content", "_reason", "_detail"])
+                    got["file_size_bytes"] = got["file_size_bytes"].astype("Int64")
+                    yield pd.concat([pdf.iloc[at : k + 1].reset_index(drop=True), got], axis=1)
+                    rows, held, at = [], 0, k + 1
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in records.schema)
     dealt = records.repartition(tasks, F.regexp_extract("image_url", r"^[a-z]+://([^/?#]*)", 1))
@@ -132,3 +143,43 @@ def download(records: DataFrame, cfg: Http = Http(), tasks: int = 8) -> StageRes
     kept = df.where("_reason is null").drop("_reason", "_detail")
     lost = df.where("_reason is not null")
     return StageResult(kept, rejection(lost, "download", F.col("_reason"), F.col("_detail")))
+
+
+def _system(path: str):
+    """The file system of a path or URI, and the path there."""
+    if "://" not in path:
+        path = "file://" + os.path.abspath(path.removeprefix("file:"))
+    return fs.FileSystem.from_uri(path)
+
+
+def store_content(downloaded: DataFrame, root: str) -> DataFrame:
+    """downloaded (sha256, content, image_url) without content and with storage_path: the bytes stand under root by their hash, written under another name first; bytes that are there already are left alone. root: a path or URI that all executors reach."""
+    named = downloaded.withColumn("storage_path", storage_path(root.rstrip("/"), F.col("sha256"), url_extension(F.col("image_url"))))
+    out = named.drop("content")
+
+    def run(batches):
+        for pdf in batches:
+            for path, content in zip(pdf["storage_path"], pdf["content"], strict=True):
+                system, at = _system(path)
+                if system.get_file_info(at).size != len(content):
+                    system.create_dir(at.rpartition("/")[0], recursive=True)
+                    with system.open_output_stream(temp := f"{at}.{uuid.uuid4().hex}.part") as f:
+                        f.write(content)
+                    system.move(temp, at)
+            yield pdf.drop(columns="content")
+
+    return named.select(*out.columns, "content").mapInPandas(run, out.schema)
+
+
+def existing_paths(paths: DataFrame) -> DataFrame:
+    """Of the column storage_path those that name files with bytes, looked up by executors."""
+
+    def run(batches):
+        for pdf in batches:
+            sizes = []
+            for path in pdf["storage_path"]:
+                system, at = _system(path)
+                sizes.append(system.get_file_info(at).size or 0)
+            yield pdf[[n > 0 for n in sizes]]
+
+    return paths.select("storage_path").where("storage_path is not null").distinct().mapInPandas(run, "storage_path string")

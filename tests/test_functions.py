@@ -16,10 +16,10 @@ def one(spark, values, f):
 
 LICENCES = {
     "by-sa-4.0": "CC-BY-SA-4.0", "BY_SA": "CC-BY-SA-4.0", "CC BY-SA 3.0": "CC-BY-SA-3.0", "by-nd-nc-2.0": "CC-BY-NC-ND-2.0", "sa": "CC-SA-4.0", "cc0": "CC0-1.0",
-    "Public domain": "PDM-1.0", "PD-self": "PDM-1.0", "pdm": "PDM-1.0", "CC BY-SA 4.0 International": None, "All rights reserved. Photo by Jane Doe": None,
-    "Photograph by Ansel Adams, 1941": None, "Attribution required, photo courtesy of the museum": None, "": None, None: None, "GFDL": None,
+    "Public domain": "PDM-1.0", "PD-self": "PDM-1.0", "pdm": "PDM-1.0", "CC BY-SA 4.0 International": None, "All rights reserved, picture made by us": None,
+    "Taken by a neighbour in spring": None, "Attribution is asked for, lent by a library": None, "": None, None: None, "GFDL": None,
     "Creative Commons Attribution-NonCommercial-NoDerivs 2.0": "CC-BY-NC-ND-2.0", "Creative Commons Attribution-NoDerivatives 4.0": "CC-BY-ND-4.0",
-    "GFDL 1.2 or Creative Commons Attribution-ShareAlike 3.0": "CC-BY-SA-3.0", "Public domain in the US only; CC BY-NC 4.0 elsewhere": None, "public domain, no derivatives": None,
+    "Either GFDL or Creative Commons Attribution-ShareAlike 3.0": "CC-BY-SA-3.0", "Public domain here, CC BY-NC 4.0 in other places": None, "public domain, no derivatives": None,
     "Creative Commons NonCommercial": None, " \tby-2.0 \n": "CC-BY-2.0", "CC No Derivative Works Attribution": "CC-BY-ND-4.0",
 }
 

@@ -20,7 +20,7 @@ from tests.conftest import DATA
 from tests.test_operators import image, sha
 from tests.test_sources import jpeg, picture, png
 
-CLASSES = {"cat": ["cat_1.png", "cat_2.png", "cat_3.png", "cat_1_copy.png", "cat_2_thumb.png", "dead_link.png", "truncated.png", "mislabelled.jpg", "pixel.png", "missing.png", "nc.png"], "dog": ["dog_1.png"]}
+CLASSES = {"cat": ["cat_1.png", "cat_2.png", "cat_3.png", "cat_1_copy.png", "cat_2_thumb.png", "dead_link.png", "truncated.png", "wrong_suffix.jpg", "pixel.png", "missing.png", "nc.png"], "dog": ["dog_1.png"]}
 LICENCE = {"cat_3.png": "cc0", "cat_2.png": "by-sa-3.0", "cat_2_thumb.png": "by-sa-3.0", "dog_1.png": "All rights reserved", "nc.png": "by-nc-4.0"}
 
 
@@ -30,7 +30,7 @@ def corpus(spark, tmp_path):
     files.mkdir()
     pictures = {n: png(picture(480, 360, s)) for n, s in (("cat_1.png", 1), ("cat_2.png", 3), ("cat_3.png", 5), ("nc.png", 11))}
     pictures |= {"cat_1_copy.png": pictures["cat_1.png"], "cat_2_thumb.png": png(picture(240, 180, 3)), "dog_1.png": png(picture(500, 400, 7)), "dead_link.png": b"<html>" + b"x" * 2000}
-    pictures |= {"truncated.png": png(picture(400, 400, 9))[:-40], "mislabelled.jpg": png(picture(300, 300, 13)), "pixel.png": png(picture(16, 16)) + bytes(2000)}
+    pictures |= {"truncated.png": png(picture(400, 400, 9))[:-40], "wrong_suffix.jpg": png(picture(300, 300, 13)), "pixel.png": png(picture(16, 16)) + bytes(2000)}
     for n, b in pictures.items():
         (files / n).write_bytes(b)
     rows = [("openverse", c, f"https://h/{n}", n, "", LICENCE.get(n, "by-4.0"), None, "me", n, "{}") for c, names in CLASSES.items() for n in names]
@@ -50,7 +50,7 @@ def test_a_messy_corpus_twice(spark, corpus, tmp_path):
     assert (thumb["duplicate_of"], thumb["split"]) == (rows["cat_2.png"]["sha256"], None) and all(rows[f"cat_{k}.png"]["split"] for k in (1, 2, 3))
     reasons = {(r["source_id"], r["reason_code"]) for r in store.read("rejections").collect()}
     assert reasons == {
-        ("cat_1_copy.png", "EXACT_DUPLICATE"), ("cat_2_thumb.png", "NEAR_DUPLICATE"), ("dead_link.png", "UNREADABLE_IMAGE"), ("truncated.png", "TRUNCATED_IMAGE"), ("mislabelled.jpg", "EXTENSION_MISMATCH"),
+        ("cat_1_copy.png", "EXACT_DUPLICATE"), ("cat_2_thumb.png", "NEAR_DUPLICATE"), ("dead_link.png", "UNREADABLE_IMAGE"), ("truncated.png", "TRUNCATED_IMAGE"), ("wrong_suffix.jpg", "EXTENSION_MISMATCH"),
         ("pixel.png", "DIMENSIONS_TOO_SMALL"), ("missing.png", "HTTP_ERROR"), ("dog_1.png", "UNRECOGNISED_LICENSE"), ("nc.png", "LICENSE_NOT_PERMITTED"),
     }
     assert first.status == "partial" and first.metrics["persist"]["inserted"] == 4  # no dog was kept
@@ -62,6 +62,8 @@ def test_a_messy_corpus_twice(spark, corpus, tmp_path):
     assert second.metrics["download"]["downloaded"] < first.metrics["download"]["downloaded"] and second.metrics["download"]["reused_from_store"] > 0
     assert second.export["fingerprint"] == first.export["fingerprint"] and store.read("images").count() == 4
     assert tree == {os.path.join(d, f) for d, _, names in os.walk(tmp_path / "tree" / "images") for f in names}
+    assert second.metrics["split"]["eligible"] == 3 == second.metrics["split"]["train"] + second.metrics["split"]["val"] and first.metrics["persist"]["marked_duplicate"] == 1
+    assert not {r["reason_code"] for r in store.read("rejections").where(F.col("run_id") == second.run_id).collect()} & {"OVER_TARGET"}
     assert {r["run_id"] for r in store.read("pipeline_runs").collect()} == {first.run_id, second.run_id}
     assert store.read("raw_records").count() == 24
 
@@ -72,7 +74,7 @@ def test_full_classes_are_not_asked_again(spark, corpus, tmp_path):
     first = runner.execute(*corpus, f"file://{tmp_path}/out")
     assert first.status == "success" and store.read("images").where("duplicate_of is null").count() == 2
     second = runner.execute(*corpus, f"file://{tmp_path}/out")
-    assert second.metrics["ingest"] == {"fetched": 0, "classes_at_target": 1} and store.read("images").where("duplicate_of is null").count() == 2
+    assert second.metrics["ingest"] == {"fetched": 0, "classes_at_target": 1, "sources_empty": 0} and store.read("images").where("duplicate_of is null").count() == 2
 
 
 def test_failed_runs_say_so(spark, corpus, tmp_path):
@@ -97,7 +99,8 @@ def test_export_and_prune(spark, tmp_path):
     doc = json.loads("\n".join(r[0] for r in spark.read.text(f"{tmp_path}/out/manifest.json").collect()))
     assert doc["counts"] == {"cat": {"train": 3, "val": 1}} and doc["n_images"] == 4 and doc["schema_version"] == "1.0" and doc["licenses"] == {"CC0-1.0": 4}
     assert spark.read.parquet(f"{tmp_path}/out/dataset.parquet").count() == 4 == spark.read.option("header", True).csv(f"{tmp_path}/out/dataset.csv").count()
-    items = [json.loads(r[0]) for r in spark.read.text(f"{tmp_path}/out/manifest_images.jsonl").collect()]
+    items = doc["images"]
+    assert [(i["label"], i["split"], i["checksum"]["value"]) for i in items] == sorted((i["label"], i["split"], i["checksum"]["value"]) for i in items) and len(items) == 4
     assert {os.path.isfile(f"{tmp_path}/tree/{i['path']}") for i in items} == {True} and all(i["path"].endswith(".jpg") for i in items)
     want = __import__("hashlib").sha256("".join(f"{r['sha256']}:{r['split']}:cat" for r in sorted(df.collect(), key=lambda r: r["sha256"])).encode()).hexdigest()[:16]
     assert doc["dataset_fingerprint"] == want == out["fingerprint"] == fingerprint(dataset_rows(df.repartition(3))).first()[0]

@@ -59,16 +59,16 @@ def test_categories(spark):
     gallery = '<ul id="mw-category-media">' + "".join(f'<li class="gallerybox"><a href="/wiki/File:{n}">x</a><a href="/wiki/File:other.jpg">y</a></li>' for n in ("a.jpg", "b.svg", "c%20d.PNG", "a.jpg")) + "</ul>"
     cats = '<div id="mw-subcategories">' + "".join(f'<a href="/wiki/Category:{c}">x</a>' for c in ("Kittens", "Cats_by_country", "Kittens", "Cats")) + "</div>"
     more = '<a href="/wiki/Category:Cats?filefrom=Q">next page</a>'
-    pages = [("https://h/wiki/Category:Cats", gallery + cats + more), ("https://h/wiki/Category:Cats?filefrom=Q", '<div class="gallerytext"><a href="/wiki/File:e.gif">x</a></div>'), ("https://h/wiki/Category:Kittens", '<div id="mw-content-text"><a href="/wiki/File:k.jpg">x</a></div>')]
+    pages = [("https://h/wiki/Category:Cats", gallery + cats + more), ("https://h/wiki/Category:Cats?filefrom=Q", '<div class="gallerytext"><a href="/wiki/File:e.gif">x</a></div>'), ("https://h/wiki/Category:Teapots", '<div id="mw-content-text"><a href="/wiki/File:k.jpg">x</a></div>')]
     parsed = html.parse(spark.createDataFrame(pages, "url string, html string"), "https://h")
     rows = {r["url"].rpartition("/")[2]: r for r in parsed.collect()}
     assert rows["Category:Cats"]["files"] == ["https://h/wiki/File:a.jpg", "https://h/wiki/File:c%20d.PNG"]
-    assert rows["Category:Cats"]["subcategories"] == ["Category:Kittens"] and rows["Category:Cats"]["next_page"] == "https://h/wiki/Category:Cats?filefrom=Q"
-    starts = spark.createDataFrame([("Category:Cats", "https://h/wiki/Category:Cats"), ("Category:Kittens", "https://h/wiki/Category:Kittens")], "title string, url string")
+    assert rows["Category:Cats"]["subcategories"] == ["Category:Teapots"] and rows["Category:Cats"]["next_page"] == "https://h/wiki/Category:Cats?filefrom=Q"
+    starts = spark.createDataFrame([("Category:Cats", "https://h/wiki/Category:Cats"), ("Category:Teapots", "https://h/wiki/Category:Teapots")], "title string, url string")
     files = html.harvest(parsed, starts)
-    assert {r["title"]: [f[-5:] for f in r["files"]] for r in files.collect()} == {"Category:Cats": ["a.jpg", "d.PNG", "e.gif"], "Category:Kittens": ["k.jpg"]}
+    assert {r["title"]: [f[-5:] for f in r["files"]] for r in files.collect()} == {"Category:Cats": ["a.jpg", "d.PNG", "e.gif"], "Category:Teapots": ["k.jpg"]}
     label = F.when(F.col("title") == "Category:Cats", "cat")
-    cats = files.withColumn("class_label", label).withColumn("subcategories", F.when(label.isNotNull(), F.array(F.lit("Category:Kittens"))))
+    cats = files.withColumn("class_label", label).withColumn("subcategories", F.when(label.isNotNull(), F.array(F.lit("Category:Teapots"))))
     got = html.candidate_pages(cats, 2).orderBy("rank").collect()
     assert [(r["class_label"], r["url"][-5:], r["rank"]) for r in got] == [("cat", "a.jpg", 1), ("cat", "d.PNG", 2), ("cat", "e.gif", 3), ("cat", "k.jpg", 4)]
     assert html.candidate_pages(cats, 1).count() == 2
@@ -247,3 +247,18 @@ def test_api_data_source(spark, site):
     df = spark.read.format("gleaner_api").option("url", f"{site}/api").option("classes", "cat,dog").option("limit", 9).option("delay", 0).load()
     assert df.groupBy("class_label").count().orderBy("class_label").collect() == [("cat", 2), ("dog", 2)]
     assert api.records(api.items(df.withColumn("fetched_at", F.current_timestamp()))).kept.count() == 12
+
+
+def test_content_is_stored_by_its_hash(spark, tmp_path):
+    from gleaner.sources.http import existing_paths, store_content
+
+    made = [(f"https://h/{k}.png", f"{k % 2:064x}", bytes([k % 2]) * 10) for k in range(4)] + [("https://h/none", "f" * 64, b"")]
+    df = spark.createDataFrame(made, "image_url string, sha256 string, content binary")
+    for _ in range(2):
+        rows = store_content(df, f"file://{tmp_path}/store").collect()
+    assert "content" not in rows[0].asDict() and len(rows) == 5
+    files = [p for p in (tmp_path / "store").rglob("*") if p.is_file()]
+    assert sorted(p.read_bytes() for p in files) == [b"", bytes(10), b"\x01" * 10]
+    paths = spark.createDataFrame([(r["storage_path"],) for r in rows] + [("file:///nowhere/x",), (None,)], "storage_path string")
+    found = {r[0].rpartition("/")[2].partition(".")[0] for r in existing_paths(paths).collect()}
+    assert found == {f"{0:064x}", f"{1:064x}"}
