@@ -304,8 +304,8 @@ def cross_pairs(h, component, size, place, similarity: float):
             yield order[i[may]], order[j[may]]
 
 
-def _apart(rows: DataFrame, similarity: float) -> DataFrame:
-    """rows: prefixes with component. a and b: all pairs of different components that may have the similarity.
+def _apart(rows: DataFrame, similarity: float, n: int) -> DataFrame:
+    """rows: prefixes with component, dealt out over n tasks. a and b: all pairs of different components that may have the similarity.
 
     With the shingles of all texts in one order, rare ones first, two sets of that similarity share a shingle among the
     first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap.
@@ -321,7 +321,7 @@ def _apart(rows: DataFrame, similarity: float) -> DataFrame:
             if len(a):
                 yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
-    dealt = rows.select("h", "node", "component", "size", "place").repartition(partitions(rows), "h")
+    dealt = rows.select("h", "node", "component", "size", "place").repartition(n, "h")
     return materialize(dealt.mapInArrow(run, "a long, b long").distinct(), "apart")
 
 
@@ -357,7 +357,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
     edges = materialize(first.unionAll(same).unionAll(links(heads, crowd)), "links")
     label = components(edges)
     named = held.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    edges = edges.unionAll(alike(_apart(named, similarity)))
+    edges = edges.unionAll(alike(_apart(named, similarity, partitions(held))))
     label = nodes.join(components(edges), "node", "left").select("same", "fp", F.coalesce("component", "node").alias("component"))
     return rows.select("doc_id", "key", "same", "fp").join(label, ["same", "fp"]).select("doc_id", "key", "component")
 
