@@ -18,7 +18,8 @@ one path. Rows grow with the members, not with their pairs.
 
 near_copies() is the wider form that the pipeline takes: it also links texts whose sets of five-word shingles have a
 Jaccard similarity of 0.8 or more. A prefix filter on the shingles (rare ones first) proposes them, first each text
-with one other for each shingle, then all that is left between the components found so far; the sets themselves decide.
+with one other for each shingle, then all that is left between the components found so far. Parities of the sets, a bit
+or two for each shingle, rule out most proposals before texts are joined; the sets themselves decide.
 
 Components are then found on distinct fingerprints; copies share theirs and are never expanded into pairs.
 
@@ -241,25 +242,60 @@ def _needed(similarity: float, n):
     return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
-def _prefixes(texts: DataFrame, levels: np.ndarray, shingle: int, similarity: float) -> DataFrame:
-    """texts: node and text. h, node, size (of the set) and place (of h in it): the rows of each text's prefix."""
+def parity_bits(h: np.ndarray) -> bytes:
+    """Whether an odd number of distinct hashes falls on each of 2^k bits, as many as there are hashes at least (64 or more)."""
+    n = max(64, 1 << max(len(h) - 1, 0).bit_length())
+    odd = np.bincount((h & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their parities: the longer is folded to the shorter's bits."""
+    n = min(len(a), len(b))
+    x, y = (np.bitwise_xor.reduce(np.frombuffer(v, np.uint64).reshape(-1, n // 8), axis=0) for v in (a, b))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _sets(texts: DataFrame, levels: np.ndarray, shingle: int, similarity: float) -> DataFrame:
+    """texts: node and text. node, size (of the set of shingles), bits (their parities) and prefix (hashes in the filter's order) of each text."""
     held = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
         memory, shift = Codes(), np.uint64(64 - BUCKET_BITS)
         for b in batches:
-            found, sizes = [np.zeros(0, np.uint64)], []
+            found, sizes, bits = [np.zeros(0, np.uint64)], [], []
             for i in range(b.num_rows):
                 h = _shingle_set(b.column(1)[i].as_py(), shingle, memory)
                 h = h[np.lexsort((h, held.value[(h >> shift).astype(np.int64)]))]
                 sizes.append(len(h))
+                bits.append(parity_bits(h))
                 found.append(h[: len(h) - int(_needed(similarity, len(h))) + 1])
-            lengths = [len(h) for h in found[1:]]
-            place = np.concatenate([np.zeros(0, np.int64), *map(np.arange, lengths)])
-            node = np.repeat(b.column(0).to_numpy(zero_copy_only=False), lengths)
-            yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64)), pa.array(node), pa.array(np.repeat(sizes, lengths).astype(np.int32)), pa.array(place.astype(np.int32))], names=["h", "node", "size", "place"])
+            offsets = np.cumsum([0, *map(len, found[1:])], dtype=np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int64)))
+            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), prefix], names=["node", "size", "bits", "prefix"])
 
-    return texts.select("node", "text").mapInArrow(run, "h long, node long, size int, place int")
+    return texts.select("node", "text").mapInArrow(run, "node long, size int, bits binary, prefix array<long>")
+
+
+def _plausible(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose parities allow the similarity, so that texts travel only for these.
+
+    Sets of m and n members that are similar differ in (1 - similarity) / (1 + similarity) * (m + n) members at most, and
+    parities differ on no more bits than that. No similar pair is lost.
+    """
+    share = (1 - similarity) / (1 + similarity)
+
+    def run(batches):
+        for batch in batches:
+            m, n = (batch.column(c).to_numpy() for c in ("m", "n"))
+            most = share * (m.astype(np.int64) + n) + 1e-6
+            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            keep = pa.array(np.fromiter(map(least_difference, x, y), np.int64, len(x)) <= most)
+            yield pa.record_batch([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+    of = lambda node, size, bits: sets.select(F.col("node").alias(node), F.col("size").alias(size), F.col("bits").alias(bits))
+    both = spread_join(spread_join(pairs, of("b", "n", "y"), "b", "a"), of("a", "m", "x"), "a", "b")
+    return materialize(both.select("a", "b", "m", "n", "x", "y").mapInArrow(run, "a long, b long"), "plausible")
 
 
 def _heads(rows: DataFrame) -> DataFrame:
@@ -345,12 +381,15 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
         some = texts.join(wanted.select("node"), "node", "left_semi")
         return some.dropDuplicates(["node"]) if repeats else some
 
+    sets = materialize(_sets(of(nodes), _levels(texts, shingle), shingle, similarity), "sets")
+
     def alike(pairs: DataFrame) -> DataFrame:
+        pairs = _plausible(pairs, sets, similarity)
         return _similar(pairs, of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), shingle, similarity)
 
-    held = materialize(_prefixes(of(nodes), _levels(texts, shingle), shingle, similarity), "prefixes")
-    busy = held.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    held = materialize(held.join(busy, "h"), "prefixes")
+    prefixes = sets.select("node", "size", F.posexplode("prefix").alias("place", "h"))
+    busy = prefixes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    held = materialize(prefixes.join(busy, "h").select("h", "node", "size", "place"), "prefixes")
     heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
     same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
     first = alike(materialize(_heads(held), "pairs"))

@@ -569,6 +569,21 @@ def test_edited_copies_of_short_texts_are_near(spark):
     _check_near(spark, texts)
 
 
+def test_parities_never_rule_out_a_similar_pair():
+    """The bound stays at or under the true difference for sets of any sizes, and is over the limit for unrelated ones."""
+    r = np.random.default_rng(11)
+    for n in (0, 1, 5, 63, 64, 65, 127, 128, 1000, 5000):
+        for m in {0, n // 2, n - n // 5, n, n + n // 4, 3 * n}:
+            common = int(r.integers(0, min(m, n) + 1))
+            x = np.unique(r.integers(0, 2**64 - 1, m + n, dtype=np.uint64))[: m + n - common]
+            r.shuffle(x)
+            a, b = x[:n], x[n - common :]
+            true = len(np.setxor1d(a, b))
+            assert simhash.least_difference(simhash.parity_bits(a), simhash.parity_bits(b)) <= true
+    a, b = (simhash.parity_bits(r.integers(0, 2**64 - 1, 3000, dtype=np.uint64)) for _ in range(2))
+    assert simhash.least_difference(a, b) > 6000 / 9
+
+
 def test_one_of_each_group_stays(spark):
     a, b = prose(300, 1), prose(300, 2)
     docs = spark.createDataFrame([(3, a, "en", "s", 1), (2, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1), (None, a, "en", "s", 1), (7, "", "en", "s", 0), (8, None, "en", "s", 0)], DOCS)
