@@ -3,13 +3,14 @@
 Coarse centroids (k-means) deal rows into cells. What a centroid leaves of a row is cut into SUB-dimensional pieces, each
 replaced by the nearest of CODES codewords: a byte a piece. A query's distance to a row is asymmetric: the product with
 the cell's centroid plus, for each piece, an entry of the query's table for the row's byte, so no row is decoded. The
-best by these sums are compared exactly (RERANK of them, or a share of RERANK_SHARE of the rows read, if that is more),
-in double precision on original vectors.
+best by these sums are compared exactly, in double precision on original vectors.
 
 Centroids and codewords are fitted on TRAIN rows at most, those with the smallest hashes of their ids (a documented
-bound, held by the driver); all rows are indexed. How many cells a query probes is measured, not set: for CALIBRATE of the
-sampled rows the true neighbours are found in a pass over all rows, and as many cells are probed as hold a share of
-TARGET of them. So a table without clusters probes most of its cells, one with clusters few.
+bound, held by the driver); all rows are indexed. How many cells a query probes and how many rows of a block are compared
+exactly is measured, not set: for CALIBRATE of the sampled rows the true neighbours are found in a pass over all rows; as
+many cells are probed as hold a share of TARGET of them, and as many rows are compared (RERANK at least) as a share of
+TARGET of them have before them by their sums. So a table without clusters probes most of its cells, one with clusters
+few, and a dense cluster, whose rows codewords can't tell apart, is compared row by row.
 
 Cells are packed into blocks of bounded size, neighbours along the centroids' main axis together; a cell with more rows
 than a block is split by hash, and its probes go to all its parts. Blocks and queries meet as vectors.visit() deals them.
@@ -38,8 +39,8 @@ NEIGHBOURS = 20
 TRAIN = 1 << 15
 MAX_CELLS = 4096
 SUB, CODES = 4, 256
-RERANK, RERANK_SHARE = 80, 1 / 32
-CALIBRATE, TARGET = 64, 0.97
+RERANK = 80
+CALIBRATE, TARGET = 64, 0.98
 ROUNDS = 8
 _BATCH = 128
 
@@ -89,6 +90,18 @@ class Quantiser(NamedTuple):
         return np.matmul(self.pieces(queries).transpose(1, 0, 2), self.words.transpose(0, 2, 1))
 
 
+    def sums(self, queries: np.ndarray, cells: np.ndarray, cell: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Asymmetric products of queries and rows. cells: numbers of cells; cell: each row's place among them; code: its bytes."""
+        out = (queries @ self.centres[cells].T)[:, cell]
+        for m, table in enumerate(self.tables(queries)):
+            out += table[:, code[:, m]]
+        return out
+
+
+def code_bytes(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
 def fit(x: np.ndarray, cells: int) -> Quantiser:
     centres = k_means(x, cells, 3)
     axis = np.linalg.svd(centres - centres.mean(axis=0), full_matrices=False)[2][0]
@@ -100,13 +113,14 @@ def fit(x: np.ndarray, cells: int) -> Quantiser:
 
 
 class Index(NamedTuple):
-    """rows: id, v, cell, code and block; quantiser; first and parts (of each cell: its first block, and over how many it is split); probes: cells to probe; width: components of a vector; n: rows."""
+    """rows: id, v, cell, code and block; quantiser; first and parts (of each cell: its first block, and over how many it is split); probes: cells to probe; rerank: rows of a block to compare exactly; width: components of a vector; n: rows."""
 
     rows: DataFrame
     quantiser: Quantiser | None
     first: np.ndarray
     parts: np.ndarray
     probes: int
+    rerank: int
     width: int
     n: int
 
@@ -138,7 +152,7 @@ def index(rows: DataFrame, k: int = NEIGHBOURS) -> Index:
     spark = rows.sparkSession
     n, narrow, wide = rows.agg(F.count("*"), F.min(F.size("v")), F.max(F.size("v"))).first()
     if not n:
-        return Index(rows, None, np.zeros(0), np.zeros(0), 0, 0, 0)
+        return Index(rows, None, np.zeros(0), np.zeros(0), 0, 0, 0, 0)
     if narrow != wide:
         rows = rows.withColumn("v", vectors.padded(F.col("v"), wide))
     few = vectors.few_equal(rows, ["v"], k + 1)
@@ -161,12 +175,12 @@ def index(rows: DataFrame, k: int = NEIGHBOURS) -> Index:
         counts[cell] = m
     first, parts = packed_cells(counts, min(vectors.BLOCK_ROWS, -(-n // vectors.n_blocks(spark, n))))
     asked = np.random.default_rng(5).permutation(len(x))[:CALIBRATE]
-    probes = _calibrated(coded, quantiser, sample.column("id").to_numpy()[asked], vectors.matrix(sample.column("v").combine_chunks())[asked], k)
-    return Index(coded, quantiser, first, parts, probes, wide, n)
+    probes, rerank = _calibrated(coded, quantiser, sample.column("id").to_numpy()[asked], vectors.matrix(sample.column("v").combine_chunks())[asked], k)
+    return Index(coded, quantiser, first, parts, probes, rerank, wide, n)
 
 
-def _calibrated(coded: DataFrame, quantiser: Quantiser, ids: np.ndarray, queries: np.ndarray, k: int) -> int:
-    """How many cells hold a share of TARGET of the true neighbours of the queries."""
+def _calibrated(coded: DataFrame, quantiser: Quantiser, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[int, int]:
+    """How many cells hold a share of TARGET of the true neighbours of the queries, and how many rows a share of TARGET has before it by the sums."""
 
     def run(batches):
         found = [(np.zeros(0, np.int64), np.zeros(0)) for _ in ids]
@@ -176,42 +190,52 @@ def _calibrated(coded: DataFrame, quantiser: Quantiser, ids: np.ndarray, queries
                 at = np.argpartition(-scores[j], min(k, len(theirs) - 1))[: k + 1]
                 at = at[theirs[at] != ids[j]]
                 found[j] = vectors.best(np.concatenate((found[j][0], theirs[at])), np.concatenate((found[j][1], scores[j, at])), k)
-        yield pa.record_batch([pa.array(np.arange(len(ids))), pa.array(np.zeros(len(ids), np.int32)), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["id", "part", "ids", "scores"])
+        arrays = [np.arange(len(ids)), np.zeros(len(ids), np.int32), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))]
+        yield pa.record_batch([pa.array(x) for x in arrays], names=["id", "part", "ids", "scores"])
 
     best = coded.select("id", "v").mapInArrow(run, "id long, part int, ids array<long>, scores array<double>")
     true = vectors.merged(best.where(F.size("ids") > 0), k, "double").select(F.col("id").alias("query"), F.col("found").alias("id"))
-    cells = coded.select("id", "cell").join(F.broadcast(true), "id").select("query", "cell").toArrow()  # CALIBRATE * k rows
-    if not cells.num_rows:
-        return 1
-    order = np.argsort(np.argsort(-(queries.astype(np.float32) @ quantiser.centres.T), axis=1, kind="stable"), axis=1)
-    at = np.sort(order[cells.column("query").to_numpy(), cells.column("cell").to_numpy()])
-    return int(at[min(int(np.ceil(TARGET * len(at))), len(at) - 1)]) + 1
+    rows = coded.select("id", "cell", "code").join(F.broadcast(true), "id").select("query", "cell", "code").toArrow().sort_by("query")  # CALIBRATE * k rows
+    if not rows.num_rows:
+        return 1, RERANK
+    q, query, cell = queries.astype(np.float32), rows.column("query").to_numpy(), rows.column("cell").to_numpy()
+    order = np.argsort(np.argsort(-(q @ quantiser.centres.T), axis=1, kind="stable"), axis=1)
+    mine = quantiser.sums(q, np.arange(len(quantiser.centres)), cell, code_bytes(rows.column("code")))[query, np.arange(len(query))]
+    held = [np.sort(mine[query == j]) for j in range(len(q))]
+
+    def before(batches):
+        n = [np.zeros(len(h), np.int64) for h in held]
+        for b in batches:
+            cells, place = np.unique(b.column("cell").to_numpy(), return_inverse=True)
+            sums = quantiser.sums(q, cells, place, code_bytes(b.column("code"))) if b.num_rows else np.zeros((len(q), 0))
+            for j, h in enumerate(held):
+                n[j] += b.num_rows - np.searchsorted(np.sort(sums[j]), h - 1e-6)
+        yield pa.record_batch([pa.array(np.arange(sum(map(len, n)))), pa.array(np.concatenate(n))], names=["at", "n"])
+
+    ranks = coded.select("cell", "code").mapInArrow(before, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow().column("n").to_numpy()
+    share = lambda x: int(np.sort(x)[min(int(np.ceil(TARGET * len(x))), len(x) - 1)])
+    return share(order[query, cell]) + 1, max(RERANK, share(ranks))
 
 
 class Block:
     """The rows of a block."""
 
-    def __init__(self, table: pa.Table, quantiser: Quantiser):
+    def __init__(self, table: pa.Table, quantiser: Quantiser, rerank: int):
         self.quantiser = quantiser
         self.x = vectors.matrix(table.column("v").combine_chunks())
         self.ids = table.column("id").to_numpy()
-        self.code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(len(self.ids), -1)
+        self.code = code_bytes(table.column("code"))
         self.cells, self.cell = np.unique(table.column("cell").to_numpy(), return_inverse=True)
-        self.rerank = max(RERANK, int(len(self.ids) * RERANK_SHARE))
+        self.rerank = min(rerank, len(self.ids))
 
     def search(self, queries: np.ndarray, own: np.ndarray, probed: list, k: int) -> list:
         """ids and scores of the k best found of each query."""
-        q = queries.astype(np.float32)
-        coarse = q @ self.quantiser.centres[self.cells].T
-        coarse[~np.array([np.isin(self.cells, p) for p in probed])] = -np.inf
-        approx = coarse[:, self.cell]
-        for m, table in enumerate(self.quantiser.tables(q)):
-            approx += table[:, self.code[:, m]]
-        approx[own[:, None] == self.ids] = -np.inf
-        best = min(self.rerank, len(self.ids))
-        at = np.argpartition(-approx, best - 1, axis=1)[:, :best]
+        sums = self.quantiser.sums(queries.astype(np.float32), self.cells, self.cell, self.code)
+        sums[~np.array([np.isin(self.cells, p) for p in probed])[:, self.cell]] = -np.inf
+        sums[own[:, None] == self.ids] = -np.inf
+        at = np.argpartition(-sums, self.rerank - 1, axis=1)[:, : self.rerank]
         exact = (self.x[at] * queries[:, None, :]).sum(axis=2)
-        there = np.isfinite(np.take_along_axis(approx, at, axis=1))
+        there = np.isfinite(np.take_along_axis(sums, at, axis=1))
         return [vectors.best(self.ids[a[t]], s[t], k) for a, s, t in zip(at, exact, there, strict=True)]
 
 
@@ -222,7 +246,7 @@ def search(queries: DataFrame, found: Index, k: int = NEIGHBOURS) -> DataFrame:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = materialize(queries.select("id", vectors.padded(F.col("v"), found.width).alias("v")), "queries")
     held = spark.sparkContext.broadcast((found.quantiser, found.first, found.parts))
-    probes = found.probes
+    probes, rerank = found.probes, found.rerank
 
     def probed(batches):
         quantiser, first, parts = held.value
@@ -255,7 +279,7 @@ def search(queries: DataFrame, found: Index, k: int = NEIGHBOURS) -> DataFrame:
     rows = found.rows.select("id", "v", "cell", "code", h.alias("h")).mapInArrow(dealt, "id long, v array<double>, cell long, code binary, block long")
 
     def answer(block: Block, batch) -> Iterator[pa.RecordBatch]:
-        step = max(1, min(_BATCH, (32 << 20) // (max(block.rerank, 1) * block.x.shape[1] * 8), (64 << 20) // (4 * max(len(block.ids), 1))))
+        step = max(1, min(_BATCH, (32 << 20) // (block.rerank * block.x.shape[1] * 8), (64 << 20) // (4 * len(block.ids))))
         for s in range(0, batch.num_rows, step):
             part = batch.slice(s, step)
             best = block.search(vectors.matrix(part.column("v")), part.column("id").to_numpy(), part.column("cells").to_pylist(), k)
@@ -265,7 +289,7 @@ def search(queries: DataFrame, found: Index, k: int = NEIGHBOURS) -> DataFrame:
                 names=["id", "part", "ids", "scores"],
             )
 
-    seen = vectors.visit(rows, visits, queries.count(), lambda t: Block(t, held.value[0]), answer, "id long, part int, ids array<long>, scores array<double>")
+    seen = vectors.visit(rows, visits, queries.count(), lambda t: Block(t, held.value[0], rerank), answer, "id long, part int, ids array<long>, scores array<double>")
     return vectors.merged(seen, k, "double").select(F.col("id").alias("query_id"), "rank", F.col("found").alias("vec_id"), "score")
 
 
