@@ -129,11 +129,13 @@ def frame(spark, rows, stored=False):
     return spark.createDataFrame(data, "sha256 string, phash string, width int, height int, source string, source_id string, class_label string" + (", pos long" if stored else ""))
 
 
-@pytest.mark.parametrize("seed, keep", [(1, "highest_resolution"), (2, "highest_resolution"), (3, "first_seen")])
+@pytest.mark.parametrize("seed, keep", [(1, "highest_resolution"), (2, "highest_resolution"), (3, "first_seen"), *((s, "highest_resolution") for s in (4, 5, 6)), (7, "first_seen")])
 def test_marking_equals_the_loop(spark, seed, keep):
     r = random.Random(seed)
     rows = cloud(r, 60)
     stored = [(*x, i) for i, x in enumerate(r.sample(rows, 12))] if seed > 1 else []
+    if seed > 3:  # stored copies of codes, smaller and larger than the batch's, and rows that are stored themselves
+        stored += [(sha((seed, i)), c ^ (i % 3), p * r.choice([1, 2, 3]) // 2, 12 + i) for i, (_, c, p) in enumerate(r.sample(rows, 25))]
     batch = [x for x in rows if r.random() < 0.9 or x[0] not in {s[0] for s in stored}]
     marks, over = greedy(batch, stored, 5, keep)
     out = neardup.mark(frame(spark, batch), frame(spark, stored, True) if stored else None, Dedupe(keep=keep))
@@ -160,6 +162,18 @@ def test_hamming_pairs(spark, k):
     assert got == {(i, j, d) for i in range(len(codes)) for j in range(i + 1, len(codes)) if (d := (codes[i] ^ codes[j]).bit_count()) <= k}
 
 
+@pytest.mark.parametrize("k", [0, 3, 5, 9])
+def test_crowded_keys_lose_no_pair(spark, monkeypatch, k):
+    monkeypatch.setattr(neardup, "CROWD", 6)
+    r = random.Random(k)
+    flat = [r.getrandbits(18) for _ in range(250)]  # three quarters of the bits are shared by all
+    codes = sorted({*flat, *(c for _, c, _ in cloud(r, 120))})
+    df = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in codes], "code long")
+    got = {(x["a"] % (1 << 64), x["b"] % (1 << 64), x["d"]) for x in neardup.hamming_codes(df, k).collect()}
+    want = {(a, b, d) for i, a in enumerate(codes) for b in codes[i + 1 :] if (d := (a ^ b).bit_count()) <= k}
+    assert {(min(a, b), max(a, b), d) for a, b, d in got} == want
+
+
 def test_unhashed_and_disabled(spark):
     df = frame(spark, [(sha(1), 1, 10), (sha(2), 1, 10)])
     assert neardup.mark(df, None, Dedupe(enable=False)).kept.where("duplicate_of is not null").count() == 0
