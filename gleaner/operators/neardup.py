@@ -56,7 +56,7 @@ def filed(codes: DataFrame, distance: int) -> DataFrame:
 def meeting(own: DataFrame, all_: DataFrame, distance: int, crowd: int | None = None) -> DataFrame:
     """own and all_: filed codes. a < b and d of all pairs within the distance whose keys meet, one of them its own from own.
 
-    Keys that hold over crowd codes in all_ are met by a second key, over the bits that the first leaves open: codes within
+    Keys whose codes would make over crowd * crowd pairs are met by a second key, over the bits that the first leaves open: codes within
     the distance agree there in a segment up to a bit as well, so nothing is lost, and a value that half of all codes
     share (flat images) costs filings, not pairs.
     """
@@ -64,7 +64,8 @@ def meeting(own: DataFrame, all_: DataFrame, distance: int, crowd: int | None =
     d = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
     mine = own.where("near = 0").select("part", "value", F.col("code").alias("x"))
     theirs = all_.select("part", "value", F.col("code").alias("y"))
-    busy = materialize(theirs.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("part", "value"), "crowded")
+    n = theirs.groupBy("part", "value").agg(F.count("*").alias("n")).join(mine.groupBy("part", "value").agg(F.count("*").alias("m")), ["part", "value"])
+    busy = materialize(n.where(F.col("n") * F.col("m") > crowd * crowd).select("part", "value"), "crowded")
     if busy.isEmpty():
         pairs = mine.join(theirs, ["part", "value"])
     else:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.config import Settings
 from gleaner.operators import curate, neardup
 from gleaner.plans import views
+from gleaner.plans.codeindex import CodeIndex
 from gleaner.plans.export import export
 from gleaner.plans.storage import materialize
 from gleaner.plans.store import Store, mark_duplicates, set_splits, upsert
@@ -105,7 +106,13 @@ class Runner:
         checked = materialize(valid.kept, "validated")
         self._audit(report, "validate", {"validated": checked.count()}, valid.rejections)
 
-        marked = neardup.mark(checked, neardup.index_rows(images), cfg.dedupe)
+        near = None
+        if cfg.dedupe.enable:  # the stored index files new codes only
+            found = checked.where("phash is not null").select(neardup.as_code("phash").alias("code"))
+            index = CodeIndex(self.spark, f"{store.root}/phash_index", cfg.dedupe.max_distance)
+            index.add(found)
+            near = materialize(index.pairs(found), "near")
+        marked = neardup.mark(checked, neardup.index_rows(images), cfg.dedupe, near)
         rows = materialize(marked.kept, "deduped")
         over = materialize(marked.extras["supersessions"], "supersessions")
         self._audit(report, "dedupe", {"unique": rows.where("duplicate_of is null").count(), "near_duplicates": rows.where("duplicate_of is not null").count(), "superseded_existing": over.count()}, marked.rejections)
@@ -124,7 +131,9 @@ class Runner:
         marks = batch.where("duplicate_of is not null").select("sha256", "duplicate_of", F.col("duplicate_distance").alias("distance"))
         now = mark_duplicates(done["images"], marks)
         now = mark_duplicates(now, over.select(F.col("old").alias("sha256"), F.col("new").alias("duplicate_of"), "distance"))
-        store.publish("images", now)
+        touched = batch.select("sha256").unionByName(over.select(F.col("old").alias("sha256"))).distinct()
+        store.merge_images(now.join(touched, "sha256", "left_semi"))
+        now = store.read("images")
         marked = marks.join(now.select("sha256", F.col("duplicate_of").alias("_of")), "sha256").where("duplicate_of = _of").count()
         taken = over.join(now.select(F.col("sha256").alias("old"), F.col("duplicate_of").alias("_of")), "old").where("new = _of").count()
         more = {"kept": counters["inserted"] + counters["already_known"], "marked_duplicate": marked, "superseded": taken, "supersessions_skipped": over.count() - taken}
@@ -134,7 +143,7 @@ class Runner:
         changed = materialize(curate.resplit(images, cfg.split), "splits")
         n = changed.count()
         if n:
-            store.publish("images", set_splits(images, changed))
+            store.merge_images(set_splits(images.join(changed.select("sha256"), "sha256", "left_semi"), changed))
         images = store.read("images")
         live = images.where("duplicate_of is null")
         self._audit(report, "split", {"eligible": live.count(), "changed": n, "train": live.where("split = 'train'").count(), "val": live.where("split = 'val'").count()})

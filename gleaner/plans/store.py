@@ -1,82 +1,83 @@
-"""The curated layer: versioned Parquet snapshots with an atomic pointer, and what writes them.
+"""The curated layer: versioned Parquet tables with an atomic pointer, and what writes them.
 
-A table is a folder: v=N folders of whole snapshots and _CURRENT, which names the one that counts. The pointer is written
-under another name and renamed over the old, so readers see one version or the other. Audit tables are appended to.
+images stands in hash buckets (buckets.py): a write touches the buckets of its rows. pipeline_runs is a small table of whole
+snapshots: folders v=N and _CURRENT, which names the one that counts. Audit tables are appended to. Every write is
+checked for the rules of its table before it counts.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gleaner.plans.buckets import Buckets, Files
+from gleaner.plans.storage import materialize
 from gleaner.schemas import REASONS, RUN_STATUS, SOURCES, SPLITS, STAGES, TABLES, columns
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-
-    # Files ------------------------------------------------------------------------------------------------------------
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-
-    def _fs(self, name: str):
-        return self._path(name).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self.files = Files(spark, root)
+        self.images = Buckets(spark, f"{self.root}/images", TABLES["images"], ["sha256"])
 
     def version(self, table: str) -> int | None:
-        fs, path = self._fs(table), self._path(f"{table}/_CURRENT")
-        if not fs.exists(path):
-            return None
-        stream = fs.open(path)
-        try:
-            return int(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+        if table == "images":
+            return self.images.version()
+        text = self.files.text(f"{table}/_CURRENT")
+        return None if text is None else int(text)
 
     def init(self) -> None:
         """Folders of all tables; repeating it changes nothing."""
         for table in TABLES:
-            self._fs(table).mkdirs(self._path(table))
+            self.files.system(table).mkdirs(self.files.path(table))
 
     def read(self, table: str) -> DataFrame:
+        if table == "images":
+            return self.images.read()
         schema = TABLES[table]
-        if table in ("images", "pipeline_runs"):
+        if table == "pipeline_runs":
             v = self.version(table)
             path = f"{self.root}/{table}/v={v}" if v is not None else None
         else:
-            fs = self._fs(table)
-            path = f"{self.root}/{table}" if fs.exists(self._path(table)) and fs.listStatus(self._path(table)) else None
+            fs = self.files.system(table)
+            path = f"{self.root}/{table}" if fs.exists(self.files.path(table)) and fs.listStatus(self.files.path(table)) else None
         return self.spark.read.schema(schema).parquet(path) if path else self.spark.createDataFrame([], schema)
 
     def append(self, table: str, df: DataFrame) -> None:
-        df.select(*columns(TABLES[table])).write.mode("append").parquet(f"{self.root}/{table}")
+        """Add rows to an audit table; words outside the closed vocabularies are refused."""
+        rows = materialize(df.select(*columns(TABLES[table])), f"to-{table}")
+        _refuse(table, unknown_words({table: rows}))
+        rows.write.mode("append").parquet(f"{self.root}/{table}")
 
     def publish(self, table: str, df: DataFrame) -> int:
-        """Write df as the next version, check it, and make it the current one."""
+        """df as the whole table: written as the next version, checked, and made the current one."""
+        if table == "images":
+            return self.images.replace(df, lambda rows: _refuse("images", constraint_violations(rows).where("n > 0")))
         v = (self.version(table) if self.version(table) is not None else -1) + 1
         target = f"{self.root}/{table}/v={v}"
         df.select(*columns(TABLES[table])).write.mode("overwrite").parquet(target)
-        if table == "images":
-            bad = constraint_violations(self.spark.read.schema(TABLES[table]).parquet(target)).where("n > 0").collect()
-            if bad:
-                raise ValueError(f"images v={v} is not published: {[(r['constraint'], r['n']) for r in bad]}")
-        fs, temp = self._fs(table), self._path(f"{table}/_CURRENT-{uuid.uuid4().hex}")
-        out = fs.create(temp, True)
-        out.write(bytearray(str(v).encode()))
-        out.close()
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(temp.toUri(), self.spark._jsc.hadoopConfiguration())
-        how = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        how[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        qualified = lambda p: fs.makeQualified(p)
-        context.rename(qualified(temp), qualified(self._path(f"{table}/_CURRENT")), how)
+        _refuse(table, unknown_words({table: self.spark.read.schema(TABLES[table]).parquet(target)}))
+        self.files.replace(f"{table}/_CURRENT", str(v))
         return v
 
+    def merge_images(self, changes: DataFrame) -> int:
+        """changes take the place of the images with their sha256. Rules of a row and of its sha256 are checked in the buckets that are written, sources' ids over all rows."""
+
+        def check(written: DataFrame, after: DataFrame) -> None:
+            _refuse("images", constraint_violations(written, after).where("n > 0"))
+
+        return self.images.merge(materialize(changes.select(*columns(TABLES["images"])), "changes"), check)
+
+
+def _refuse(table: str, bad: DataFrame) -> None:
+    if found := [tuple(r) for r in bad.collect()]:
+        raise ValueError(f"{table} is not published: {found}")
+
 
-def constraint_violations(images: DataFrame) -> DataFrame:
-    """constraint and n, a row for each rule of the table; all n are 0 in a sound one."""
+def constraint_violations(images: DataFrame, all_images: DataFrame | None = None) -> DataFrame:
+    """constraint and n, a row for each rule of the table; all n are 0 in a sound one. all_images: the whole table, if images are only those of some sha256s."""
     rules = {
         "sha256_not_null": "sha256 is null",
         "license_not_null": "license is null",
@@ -89,15 +90,26 @@ def constraint_violations(images: DataFrame) -> DataFrame:
     }
     wide = images.agg(*[F.count(F.when(F.expr(rule), 1)).alias(name) for name, rule in rules.items()])
     single = wide.select(F.explode(F.create_map(*[x for n in rules for x in (F.lit(n), F.col(n))])).alias("constraint", "n"))
-    repeats = lambda name, *keys: images.groupBy(*keys).count().where("count > 1").agg(F.lit(name).alias("constraint"), F.count("*").alias("n"))
-    return single.unionByName(repeats("sha256_unique", "sha256")).unionByName(repeats("source_id_unique", "source", "source_id"))
+    repeats = lambda df, name, *keys: df.groupBy(*keys).count().where("count > 1").agg(F.lit(name).alias("constraint"), F.count("*").alias("n"))
+    everything = images if all_images is None else all_images
+    return single.unionByName(repeats(images, "sha256_unique", "sha256")).unionByName(repeats(everything, "source_id_unique", "source", "source_id"))
 
 
-def unknown_words(rejections: DataFrame, runs: DataFrame) -> DataFrame:
-    """field, value and n of values outside the closed vocabularies."""
+def vocabulary() -> list[tuple[str, str, list[str]]]:
+    """Table, field and allowed words of every closed vocabulary."""
     reasons = [r for rs in REASONS.values() for r in rs]
-    check = lambda df, field, words: df.where(F.col(field).isNotNull() & ~F.col(field).isin(*words)).groupBy(F.lit(field).alias("field"), F.col(field).alias("value")).agg(F.count("*").alias("n"))
-    return check(rejections, "stage", STAGES).unionByName(check(rejections, "reason_code", reasons)).unionByName(check(rejections, "source", SOURCES)).unionByName(check(runs, "status", RUN_STATUS))
+    own = {"rejections": {"stage": STAGES, "reason_code": reasons, "source": SOURCES}, "pipeline_runs": {"status": RUN_STATUS}, "raw_records": {"source": SOURCES}, "images": {"split": SPLITS}}
+    return [(t, f, words) for t, fields in own.items() for f, words in fields.items()]
+
+
+def unknown_words(tables: dict[str, DataFrame]) -> DataFrame:
+    """field, value and n of values outside the closed vocabularies of the given tables, by name."""
+    out = None
+    for t, f, words in vocabulary():
+        if t in tables:
+            found = tables[t].where(F.col(f).isNotNull() & ~F.col(f).isin(*words)).groupBy(F.lit(f"{t}.{f}").alias("field"), F.col(f).alias("value")).agg(F.count("*").alias("n"))
+            out = found if out is None else out.unionByName(found)
+    return next(iter(tables.values())).sparkSession.createDataFrame([], "field string, value string, n long") if out is None else out
 
 
 def upsert(images: DataFrame, batch: DataFrame, run_id: str, order: list, now=None) -> dict[str, DataFrame]:

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from gleaner.config import Dedupe, License, Settings, Source, Split, Validation, load
 from gleaner.operators import curate, neardup
+from gleaner.plans import buckets
 from gleaner.plans import store as st
 from gleaner.plans import views
+from gleaner.plans.buckets import FIRST, Buckets
+from gleaner.plans.codeindex import CodeIndex
 from gleaner.plans.components import components
-from gleaner.schemas import IMAGE
+from gleaner.schemas import IMAGE, TABLES
 
 
 def sha(x):
@@ -129,7 +132,7 @@ def frame(spark, rows, stored=False):
     return spark.createDataFrame(data, "sha256 string, phash string, width int, height int, source string, source_id string, class_label string" + (", pos long" if stored else ""))
 
 
-@pytest.mark.parametrize("seed, keep", [(1, "highest_resolution"), (2, "highest_resolution"), (3, "first_seen"), *((s, "highest_resolution") for s in (4, 5, 6)), (7, "first_seen")])
+@pytest.mark.parametrize("seed, keep", [(1, "highest_resolution"), (2, "highest_resolution"), (3, "first_seen"), (4, "highest_resolution"), (5, "highest_resolution"), (7, "first_seen")])
 def test_marking_equals_the_loop(spark, seed, keep):
     r = random.Random(seed)
     rows = cloud(r, 60)
@@ -263,3 +266,67 @@ def test_settings():
     for bad in ({"split__train_percent": 99}, {"license__forbidden": ("XX",)}, {"dedupe__max_distance": 65}):
         with pytest.raises(ValueError):
             load({}, **bad)
+
+
+# Buckets and the code index -------------------------------------------------------------------------------------------
+def test_a_merge_rewrites_only_its_buckets(spark, tmp_path):
+    table = Buckets(spark, f"file://{tmp_path}/t", "k long, x string", ["k"])
+    assert table.version() is None and table.read().count() == 0
+    table.merge(spark.range(500).select(F.col("id").alias("k"), F.lit("a").alias("x")))
+    files = lambda: {str(f) for f in tmp_path.rglob("*.parquet")}
+    before = files()
+    table.merge(spark.createDataFrame([(7, "b"), (1000, "c")], "k long, x string"))
+    new = files() - before
+    mine = {r[0] for r in spark.createDataFrame([(7,), (1000,)], "k long").select(table.of(FIRST)).collect()}
+    assert before <= files() and {f.partition("_b=")[2].partition("/")[0] for f in new} == set(map(str, mine)) and len(new) == len(mine)
+    rows = {r["k"]: r["x"] for r in table.read().collect()}
+    assert rows == {k: "a" for k in range(500)} | {7: "b", 1000: "c"} and table.manifest()["rows"] == 501 and table.version() == 1
+    assert table.merge(spark.createDataFrame([], "k long, x string")) == 1
+    assert table.vacuum() == len(mine) and {r["k"]: r["x"] for r in table.read().collect()} == rows
+
+
+def test_buckets_grow_and_fold(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 4)
+    monkeypatch.setattr(buckets, "MERGE_AT", 3)
+    table = Buckets(spark, f"file://{tmp_path}/t", "k long", ["k"])
+    for at in range(0, 200, 25):
+        table.add(spark.range(at, at + 25).toDF("k"))
+    assert sorted(r[0] for r in table.read().collect()) == list(range(200))
+    assert table.manifest()["buckets"] >= 32 and max(map(len, table.manifest()["held"].values())) < 3
+    table.vacuum()
+    assert table.read().count() == 200
+
+
+def test_a_failed_check_changes_nothing(spark, tmp_path):
+    store = st.Store(spark, f"file://{tmp_path}/store")
+    store.publish("images", spark.createDataFrame([image("a", "1"), image("b", "2")], IMAGE))
+    for bad in ([image("c", "2")], [image("a", "1", width=-1)], [image("c", "3"), image("c", "4")]):
+        with pytest.raises(ValueError):
+            store.merge_images(spark.createDataFrame(bad, IMAGE))
+    assert store.version("images") == 0 and {r["sha256"] for r in store.read("images").collect()} == {"a", "b"}
+    store.merge_images(spark.createDataFrame([image("a", "1", split="val"), image("c", "3")], IMAGE))
+    assert {r["sha256"]: r["split"] for r in store.read("images").collect()} == {"a": "val", "b": None, "c": None}
+
+
+def test_unknown_words_are_refused(spark, tmp_path):
+    store = st.Store(spark, f"file://{tmp_path}/store")
+    row = ("r", "dedupe", "openverse", "cat", "1", "u", "NEAR_DUPLICATE", "", None)
+    store.append("rejections", spark.createDataFrame([row], TABLES["rejections"]))
+    for bad in (("r", "polish", *row[2:]), (*row[:6], "TOO_UGLY", *row[7:]), ("r", "dedupe", "elsewhere", *row[3:])):
+        with pytest.raises(ValueError):
+            store.append("rejections", spark.createDataFrame([row, bad], TABLES["rejections"]))
+    assert store.read("rejections").count() == 1
+
+
+def test_codes_in_batches_equal_all_at_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(neardup, "CROWD", 8)
+    r = random.Random(8)
+    codes = list({c for _, c, _ in cloud(r, 200)} | {r.getrandbits(14) for _ in range(80)})
+    df = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in codes], "code long")
+    index = CodeIndex(spark, f"file://{tmp_path}/index", 5)
+    parts = df.randomSplit([1.0, 3.0, 2.0], 4)
+    assert [index.add(p) for p in (*parts, parts[0])] == [*(p.count() for p in parts), 0]
+    want = {tuple(x) for x in neardup.hamming_codes(df, 5).collect()}
+    assert {tuple(x) for x in index.pairs().collect()} == want
+    some = {x["code"] for x in parts[0].collect()}
+    assert {tuple(x) for x in index.pairs(parts[0]).collect()} == {p for p in want if p[0] in some or p[1] in some}
