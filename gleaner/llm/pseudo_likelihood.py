@@ -51,6 +51,8 @@ SHARD = 1 << 20
 RATE = 0.05
 MINIBATCH = 4096
 BLOCK = 512
+#: Scores are computed with parameters that are multiples of it: 36 bits after the point in a product leave 17 before it.
+GRID = 2.0**-18
 #: Tokens that are counted or trained on at once.
 TOKENS = 1 << 20
 _OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
@@ -97,12 +99,13 @@ def forward(net: dict, ids: np.ndarray, at: np.ndarray):
     context = net["embed"][0][ids[at + _OFFSETS[0]]]
     for k, o in enumerate(_OFFSETS[1:], 1):
         context += net["embed"][k][ids[at + o]]
-    z = context @ net["out"]
+    z = (context @ net["out"]).astype(np.float32, copy=False)
     z += net["bias"]
     return context, _softmax(np.ascontiguousarray(z[:, :ROOT])), _softmax(z[:, ROOT:] + net["second"][ids[at] // ROOT])
 
 
 def log_probs(net: dict, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    net = net | {name: np.round(net[name].astype(np.float64) / GRID) * GRID for name in ("embed", "out")}
     out = np.empty(len(at))
     for k in range(0, len(at), MINIBATCH):
         part = at[k : k + MINIBATCH]
@@ -282,9 +285,9 @@ def _round(ids: DataFrame, net: dict[str, np.ndarray], k: int, shards: int) -> d
         if now is not None:
             yield pa.record_batch([pa.array([now], pa.int32()), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], names=["block", "values"])
 
-    mixed = F.xxhash64("order", F.lit("shard"))
+    mixed = F.xxhash64("order", "doc_id", F.lit("shard"))  # copies of a text are dealt out by their ids
     mine = ids.where((F.col("n_tokens") > 0) & (F.pmod(mixed, F.lit(ROUNDS)) == k)).withColumn("shard", F.pmod(F.shiftrightunsigned(mixed, 8), F.lit(shards)))
-    dealt = mine.select("shard", "ids", "order", "key").repartition(shards, "shard").sortWithinPartitions("shard", "order", "ids")
+    dealt = mine.select("shard", "ids", "order").repartition(shards, "shard").sortWithinPartitions("shard", "order", "ids")
     copies = dealt.select("shard", "ids").mapInArrow(train, "block int, shard long, weight double, values binary")
     rows = copies.repartition("block").sortWithinPartitions("block", "shard").select("block", "weight", "values").mapInArrow(add, "block int, values binary").collect()
     begin.unpersist()
@@ -327,8 +330,8 @@ def scored(ids: DataFrame, model: Model) -> DataFrame:
     rare = rare.select("key", F.explode("rare").alias("x")).select("key", F.col("x.word").alias("word"), F.col("x.n").alias("times"))
     totals = F.array(*[F.lit(float(x)) for x in model.totals])
     of_id = F.element_at(totals, (F.col("word").bitwiseAND(RARE - 1) + 1).cast("int"))
-    rare = rare.join(model.counts, "word", "left").select("key", (F.col("times") * F.log(F.coalesce("n", F.lit(1)) / of_id)).alias("x"))
-    rare = rare.groupBy("key").agg(F.sum("x").alias("far"))
+    rare = rare.join(model.counts, "word", "left").select("key", (F.col("times") * F.log(F.coalesce("n", F.lit(1)) / of_id)).cast("decimal(28,12)").alias("x"))
+    rare = rare.groupBy("key").agg(F.sum("x").cast("double").alias("far"))
     total = F.round(F.col("near") + F.coalesce("far", F.lit(0.0)), 6)
     out = near.join(rare, "key", "left").withColumn("log_prob", total)
     return out.select("doc_id", "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.round(F.col("log_prob") / F.col("n_tokens"), 6)).alias("mean_log_prob"))

@@ -640,6 +640,15 @@ def test_layout_of_the_input_changes_no_score(spark, monkeypatch):
     assert scores(docs.coalesce(1)) == scores(docs.repartition(7))
 
 
+def test_copies_of_a_text_are_trained_in_many_shards(spark, monkeypatch):
+    """No shard of training holds much more than its share, however often one text stands in the corpus."""
+    monkeypatch.setattr(pseudo_likelihood, "SHARD", 2000)
+    docs = spark.createDataFrame([(k, prose(100, 3 if k % 3 else k)) for k in range(600)], "doc_id long, text string")
+    ids = pseudo_likelihood.encoded(docs, pseudo_likelihood.untrained(docs))
+    dealt = ids.groupBy(F.pmod(F.xxhash64("order", "doc_id", F.lit("shard")), F.lit(8)).alias("shard")).agg(F.sum("n_tokens").alias("n")).collect()
+    assert len(dealt) == 8 and max(r["n"] for r in dealt) < 2 * sum(r["n"] for r in dealt) / 8
+
+
 def test_a_word_that_is_there_twice_scores_higher(spark):
     """Twins hold rare words that the corpus knows twice; others of the same make know theirs once."""
     r = random.Random(14)
