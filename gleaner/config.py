@@ -79,6 +79,10 @@ class Source:
     scrape_cap: int = 25
     subcategories: bool = True
     max_subcategories: int = 8
+    #: Where sources are; credentials are read from the environment by the run and stand in no snapshot.
+    api_url: str = "https://api.openverse.org/v1"
+    site_url: str = "https://commons.wikimedia.org"
+    categories: dict = field(default_factory=lambda: {"cat": "Category:Cats", "dog": "Category:Dogs", "bird": "Category:Birds"})
 
 
 @dataclass(frozen=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,14 @@ from gleaner.plans.codeindex import CodeIndex
 from gleaner.plans.export import export
 from gleaner.plans.storage import materialize
 from gleaner.plans.store import Store, mark_duplicates, set_splits, upsert
-from gleaner.schemas import RUN, SOURCES, columns
-from gleaner.sources.http import existing_paths
+from gleaner.schemas import CANDIDATE, RUN, SOURCES, columns
+from gleaner.sources.api import per_class_limit
+from gleaner.sources.http import download, existing_paths
+from gleaner.sources.images import read_assets
+from gleaner.sources.ingest import from_sources
+
+#: How far the clocks of driver and file system may be apart.
+CLOCKS = timedelta(minutes=10)
 
 
 @dataclass
@@ -30,7 +36,7 @@ class Report:
 
 
 class Runner:
-    """candidates: the CANDIDATE columns; assets: image_url, sha256, file_size_bytes, storage_path, extension, format, width, height, status and phash of what was fetched."""
+    """candidates: the CANDIDATE columns, or None to ask the sources; assets: image_url, sha256, file_size_bytes, storage_path, extension, format, width, height, status and phash of what was fetched, or None to fetch what candidates name into data_dir/images (a path or URI that all executors reach)."""
 
     def __init__(self, spark: SparkSession, store: Store, cfg: Settings = Settings()):
         self.spark, self.store, self.cfg = spark, store, cfg
@@ -48,7 +54,7 @@ class Runner:
                 key = f"{stage}/{r['reason_code']}"
                 report.rejections[key] = report.rejections.get(key, 0) + r["count"]
 
-    def execute(self, candidates: DataFrame, assets: DataFrame, out: str, ingest_rejections: DataFrame | None = None, tree: str | None = None) -> Report:
+    def execute(self, candidates: DataFrame | None, assets: DataFrame | None, out: str, ingest_rejections: DataFrame | None = None, tree: str | None = None) -> Report:
         self.store.init()
         run_id, started = str(uuid.uuid4()), datetime.now(UTC).replace(tzinfo=None)
         report = Report(run_id, "running")
@@ -68,13 +74,27 @@ class Runner:
         rest = self.store.read("pipeline_runs").where(F.col("run_id") != report.run_id)
         self.store.publish("pipeline_runs", rest.select(*columns(RUN)).unionByName(row))
 
-    def _stages(self, report: Report, candidates: DataFrame, assets: DataFrame, out: str, ingest_rejections, tree) -> None:
+    def _downloaded(self, pending: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """pending with what its bytes measure, and rejections. Bytes are stored by their hash and measured where they lie; what was written before this run is not looked at."""
+        root, since = f"{self.cfg.data_dir.rstrip('/')}/images", datetime.now(UTC) - CLOCKS
+        done = download(pending, root, self.cfg.http, self.cfg.workers)
+        kept = materialize(done.kept, "fetched-bytes")
+        if kept.isEmpty():
+            empty = kept.withColumns({c: F.lit(None).cast(t) for c, t in (("extension", "string"), ("format", "string"), ("width", "int"), ("height", "int"), ("status", "string"), ("phash", "string"))})
+            return empty, done.rejections
+        measured = read_assets(self.spark, root, since).drop("storage_path", "file_size_bytes").dropDuplicates(["sha256"])
+        return kept.join(measured, "sha256"), done.rejections
+
+    def _stages(self, report: Report, candidates: DataFrame | None, assets: DataFrame | None, out: str, ingest_rejections, tree) -> None:
         cfg, store, run_id = self.cfg, self.store, report.run_id
         images = materialize(store.read("images"), "images")
         classes = self.spark.createDataFrame([(c,) for c in cfg.source.classes], "class_label string")
         gap = curate.ingest_gap(classes, views.class_counts(images), cfg.source)
-        wanted = gap.where("needed > 0")
-        fetched = materialize(candidates.join(F.broadcast(wanted.select("class_label")), "class_label", "left_semi"), "fetched")
+        gap = materialize(gap, "gap")  # a row a class
+        if candidates is None:
+            fetched, ingest_rejections = from_sources(gap, cfg)[:2]
+        else:  # landed ones are limited like those that sources are asked for
+            fetched = materialize(per_class_limit(candidates, gap, ["fetched_at", "source_id", "image_url"]).select(columns(CANDIDATE)), "fetched")
         store.append("raw_records", fetched.withColumn("run_id", F.lit(run_id)))
         full = gap.where("needed = 0").count()
         needed = gap.agg(F.sum("needed")).first()[0] or 0
@@ -90,16 +110,21 @@ class Runner:
             reused = reused.join(held, "sha256").withColumns({"status": F.lit(None).cast("string"), "extension": F.regexp_extract("storage_path", r"(\.[^./]+)$", 1), "reused": F.lit(True)})
         else:
             reused, pending = None, fetched
-        got = pending.join(assets, "image_url").withColumn("reused", F.lit(False))
-        failed = pending.join(assets.select("image_url"), "image_url", "left_anti")
+        if assets is None:
+            got, lost = self._downloaded(pending)
+        else:
+            got = pending.join(assets, "image_url")
+            failed = pending.join(assets.select("image_url"), "image_url", "left_anti")
+            lost = curate.rejection(failed, "download", F.lit("HTTP_ERROR"), F.lit("no bytes were fetched"))
+        got = got.withColumn("reused", F.lit(False))
         have = got if reused is None else got.unionByName(reused)
         have = materialize(have, "assets")
         exact = curate.exact_dedup(have, [~F.col("reused"), F.col("source"), F.col("source_id")], F.col("reused"))
-        lost = curate.rejection(failed, "download", F.lit("HTTP_ERROR"), F.lit("no bytes were fetched"))
+        lost = materialize(lost, "not-downloaded")
         kept = materialize(exact.kept, "downloaded")
         again = materialize(exact.rejections, "copies")
         known = kept.join(images.select("sha256"), "sha256", "left_semi").count()
-        metrics = {"downloaded": have.where("not reused").count(), "reused_from_store": have.where("reused").count(), "failed": failed.count()}
+        metrics = {"downloaded": have.where("not reused").count(), "reused_from_store": have.where("reused").count(), "failed": lost.count()}
         self._audit(report, "download", metrics | {"already_in_store": known, "exact_duplicates_in_run": again.count()}, lost.unionByName(again))
 
         valid = curate.validate(kept, cfg.validation)

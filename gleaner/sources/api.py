@@ -19,10 +19,10 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("class_label string, page string, fetched_at timestamp").json(path)
 
 
-def items(pages: DataFrame) -> DataFrame:
-    """A row for each result of each page, its JSON kept whole as payload."""
+def items(pages: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """A row for each result of each page, its JSON kept whole as payload; more: other columns of pages to keep."""
     results = F.from_json(F.get_json_object("page", "$.results"), "array<string>")
-    return pages.select("class_label", "fetched_at", F.posexplode(results).alias("at", "payload"))
+    return pages.select("class_label", "fetched_at", *(more or []), F.posexplode(results).alias("at", "payload"))
 
 
 def field(name: str, payload: Column | None = None) -> Column:
@@ -31,21 +31,23 @@ def field(name: str, payload: Column | None = None) -> Column:
     return F.try_variant_get(F.try_parse_json(source), f"$.{name}", "string")
 
 
-def records(items_: DataFrame) -> StageResult:
-    """Candidates: a missing URL is checked first, then a missing licence; empty strings are missing."""
+def records(items_: DataFrame, more: list[str] | None = None) -> StageResult:
+    """Candidates: a missing URL is checked first, then a missing licence; empty strings are missing. more: other columns to keep."""
     get = lambda n: present(field(n))
     df = items_.select(
         F.lit("openverse").alias("source"), "class_label", field("url").alias("image_url"), F.coalesce(get("id"), get("url")).alias("source_id"),
         field("foreign_landing_url").alias("landing_url"), F.when(get("license").isNotNull(), F.concat_ws("-", get("license"), get("license_version"))).alias("license_raw"),
-        field("license_url").alias("license_url"), F.coalesce(get("attribution"), get("creator")).alias("attribution"), field("title").alias("title"), "payload", "fetched_at",
+        field("license_url").alias("license_url"), F.coalesce(get("attribution"), get("creator")).alias("attribution"), field("title").alias("title"), "payload", "fetched_at", *(more or []),
     )
     return route(df, "ingest", F.when(present(F.col("image_url")).isNull(), "MISSING_IMAGE_URL").when(F.col("license_raw").isNull(), "MISSING_LICENSE"))
 
 
 def per_class_limit(candidates: DataFrame, limits: DataFrame, order: list[str]) -> DataFrame:
-    """The first fetch_limit candidates of each class and source; limits: class_label, fetch_limit."""
+    """The first fetch_limit candidates of each class and source; limits: class_label, fetch_limit, a row a class."""
+    most = limits.agg(F.max("fetch_limit")).first()[0] or 0
     rank = F.row_number().over(W.partitionBy("class_label", "source").orderBy(*order))
-    df = candidates.withColumn("_rank", rank).join(limits.select("class_label", "fetch_limit"), "class_label")
+    df = candidates.withColumn("_rank", rank).where(F.col("_rank") <= int(most))  # a fixed bound: tasks cut before the shuffle
+    df = df.join(F.broadcast(limits.select("class_label", "fetch_limit")), "class_label")
     return df.where("_rank <= fetch_limit").drop("_rank", "fetch_limit")
 
 
@@ -59,9 +61,12 @@ def union_sources(*frames: DataFrame) -> DataFrame:
 
 
 class ApiPages(DataSource):
-    """spark.read.format("gleaner_api").option("url", ...).option("classes", "cat,dog").option("limit", 90).load(): class_label and page.
+    """spark.read.format("gleaner_api").option("url", ...).option("limits", '{"cat": 90}').load(): class_label and page.
 
-    Option token is sent as a bearer token; without one requests are anonymous. A partition for each class; its pages are asked for in turn until the limit, an empty page, the last page or an error.
+    limits: JSON of how many results each class may bring; classes with none are not asked for (classes and limit give all
+    the same). One partition reads all classes of the host, one after another, so that the host's delay holds over them;
+    pages of a class are asked for in turn until its limit, an empty page, the last page or an error. client_id and
+    client_secret are exchanged for a token at token_url; without them, or if that fails, requests are anonymous.
     """
 
     @classmethod
@@ -80,25 +85,33 @@ class _Reader(DataSourceReader):
         self.options = {k.lower(): v for k, v in options.items()}
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(c.strip()) for c in self.options["classes"].split(",")]
+        given = self.options.get("limits")
+        same = int(self.options.get("limit", 20))
+        limits = json.loads(given) if given else {c.strip(): same for c in self.options["classes"].split(",")}
+        return [InputPartition([(c, int(n)) for c, n in limits.items() if int(n) > 0])]
 
     def read(self, partition: InputPartition):
         from gleaner.config import Http
-        from gleaner.sources.http import Client, Failed
-
-        client, label, got, page = Client(Http(min_delay=float(self.options.get("delay", 0.5))), token=self.options.get("token")), partition.value, 0, 1
-        size, limit = int(self.options.get("page_size", 20)), int(self.options.get("limit", 20))
-        while got < limit:
-            query = {"q": label, "page": page, "page_size": min(size, limit), "license_type": self.options.get("license_type", "commercial,modification"), "category": "photograph", "mature": "false"}
-            try:
-                text = client.text(f"{self.options['url']}?{urllib.parse.urlencode(query)}")
-                found = json.loads(text)
-            except (Failed, ValueError):
-                return
-            if not (results := found.get("results") or []):
-                return
-            yield label, text
-            got += len(results)
-            if page >= int(found.get("page_count") or page):
-                return
-            page += 1
+        from gleaner.sources.http import Client, Failed, TokenLease
+
+        get = self.options.get
+        client = Client(Http(min_delay=float(get("delay", 0.5))))
+        lease = TokenLease(client, get("token_url", ""), get("client_id"), get("client_secret"))
+        size = int(get("page_size", 20))
+        for label, limit in partition.value:
+            got, page = 0, 1
+            while got < limit:
+                query = {"q": label, "page": page, "page_size": size, "license_type": get("license_type", "commercial,modification"), "category": "photograph", "mature": "false"}
+                try:
+                    lease.renew()
+                    text = client.text(f"{self.options['url']}?{urllib.parse.urlencode(query)}")
+                    found = json.loads(text)
+                except (Failed, ValueError):
+                    break
+                if not (results := found.get("results") or []):
+                    break
+                yield label, text
+                got += len(results)
+                if page >= int(found.get("page_count") or 0):
+                    break
+                page += 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import random
 import time
@@ -18,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.config import Http
-from gleaner.functions.scalars import storage_path, url_extension
+from gleaner.functions.scalars import url_extension
 from gleaner.operators.stage import StageResult, rejection
+from gleaner.plans.storage import materialize
 
 
 class Failed(Exception):
@@ -62,9 +64,10 @@ class Client:
         rules = self.robots[origin]
         return rules is None or rules.can_fetch(self.cfg.user_agent, url)
 
-    def _once(self, url: str):
+    def _once(self, url: str, data: dict | None = None):
         self.wait(urllib.parse.urlsplit(url).netloc)
-        return self.open(urllib.request.Request(url, headers=self.headers), timeout=self.cfg.read_timeout)
+        body = None if data is None else urllib.parse.urlencode(data).encode()  # a body makes it a POST
+        return self.open(urllib.request.Request(url, data=body, headers=self.headers), timeout=self.cfg.read_timeout)
 
     def backoff(self, attempt: int, retry_after: str | None) -> float:
         pause = self.cfg.backoff * 2 ** (attempt - 1) * random.uniform(0.5, 1.5)
@@ -73,10 +76,10 @@ class Client:
         except (TypeError, ValueError):
             return pause
 
-    def request(self, url: str):
+    def request(self, url: str, data: dict | None = None):
         for attempt in range(1, self.cfg.max_tries + 1):
             try:
-                return self._once(url)
+                return self._once(url, data)
             except urllib.error.HTTPError as e:
                 if e.code not in self.cfg.retry_statuses or attempt == self.cfg.max_tries:
                     raise Failed("HTTP_ERROR", "rate limited" if e.code == 429 else f"status {e.code}") from e
@@ -91,10 +94,17 @@ class Client:
                 self.sleep(self.backoff(attempt, None))
         raise Failed("HTTP_ERROR", "no try was made")
 
-    def text(self, url: str) -> str:
-        with self.request(url) as r:
+    def text(self, url: str, data: dict | None = None) -> str:
+        with self.request(url, data) as r:
             return r.read().decode("utf-8", "replace")
 
+    def page(self, url: str) -> str | None:
+        """A page's text; None if robots rules forbid it or nothing came."""
+        try:
+            return self.text(url) if self.allowed(url) else None
+        except (Failed, ValueError):
+            return None
+
     def image(self, url: str) -> tuple[bytes, str]:
         """Bytes and sha256, in chunks, within the size cap."""
         with self.request(url) as r:
@@ -113,36 +123,45 @@ class Client:
             return b"".join(parts), sha.hexdigest()
 
 
-#: Bytes of content that a task holds before it hands them on.
-HELD = 32 << 20
+class TokenLease:
+    """A bearer token for client credentials, asked for again shortly before it ends; anonymous when none can be had."""
+
+    def __init__(self, client: Client, url: str, client_id: str | None, client_secret: str | None):
+        self.client, self.url, self.id, self.secret = client, url, client_id, client_secret
+        self.until = float("-inf")
+
+    def renew(self) -> None:
+        """Give the client a token that lasts, if there are credentials."""
+        if not (self.id and self.secret) or self.client.clock() < self.until:
+            return
+        self.client.headers.pop("Authorization", None)
+        try:
+            got = json.loads(self.client.text(self.url, {"client_id": self.id, "client_secret": self.secret, "grant_type": "client_credentials"}))
+            self.client.headers["Authorization"] = f"Bearer {got['access_token']}"
+            self.until = self.client.clock() + 0.9 * float(got.get("expires_in") or 3600)
+        except (Failed, ValueError, KeyError, TypeError):
+            self.until = self.client.clock() + 60  # anonymous until the next try
+
+
+def host(url: str = "url"):
+    return F.regexp_extract(url, r"^[a-z]+://([^/?#]*)", 1)
 
 
-def download(records: DataFrame, cfg: Http = Http(), tasks: int = 8) -> StageResult:
-    """records with sha256, file_size_bytes and content; failures are rejections. Dealt by host, so that throttling holds over all tasks; rows are handed on as soon as they hold HELD bytes."""
+def dealt_by_host(rows: DataFrame, url: str, tasks: int) -> DataFrame:
+    """A host's rows stand in one task, one after another, so that one client keeps the host's delay over all rows and classes. Which host is slow doesn't matter to the others: a host's rate bounds its task however the work is dealt."""
+    return rows.repartition(tasks, host(url)).sortWithinPartitions(host(url))
+
+
+def fetched_pages(urls: DataFrame, cfg: Http = Http(), tasks: int = 8) -> DataFrame:
+    """urls: url. url and html of each distinct one; null where robots rules forbid it or nothing came."""
 
     def run(batches):
         client = Client(cfg)
         for pdf in batches:
-            rows, held, at = [], 0, 0
-            for k, url in enumerate(pdf["image_url"]):
-                try:
-                    content, sha = client.image(url)
-                    rows.append((sha, len(content), content, None, None))
-                    held += len(content)
-                except Failed as e:
-                    rows.append((None, None, None, e.reason, e.detail))
-                if held >= HELD or k == len(pdf) - 1:
-                    got = pd.DataFrame(rows, columns=["sha256", "file_size_bytes", "content", "_reason", "_detail"])
-                    got["file_size_bytes"] = got["file_size_bytes"].astype("Int64")
-                    yield pd.concat([pdf.iloc[at : k + 1].reset_index(drop=True), got], axis=1)
-                    rows, held, at = [], 0, k + 1
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in records.schema)
-    dealt = records.repartition(tasks, F.regexp_extract("image_url", r"^[a-z]+://([^/?#]*)", 1))
-    df = dealt.mapInPandas(run, f"{schema}, sha256 string, file_size_bytes long, content binary, _reason string, _detail string")
-    kept = df.where("_reason is null").drop("_reason", "_detail")
-    lost = df.where("_reason is not null")
-    return StageResult(kept, rejection(lost, "download", F.col("_reason"), F.col("_detail")))
+            for url in pdf["url"]:
+                yield pd.DataFrame({"url": [url], "html": [client.page(url)]})
+
+    return dealt_by_host(urls.select("url").where("url is not null").distinct(), "url", tasks).mapInPandas(run, "url string, html string")
 
 
 def _system(path: str):
@@ -152,23 +171,57 @@ def _system(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def store_content(downloaded: DataFrame, root: str) -> DataFrame:
-    """downloaded (sha256, content, image_url) without content and with storage_path: the bytes stand under root by their hash, written under another name first; bytes that are there already are left alone. root: a path or URI that all executors reach."""
-    named = downloaded.withColumn("storage_path", storage_path(root.rstrip("/"), F.col("sha256"), url_extension(F.col("image_url"))))
-    out = named.drop("content")
+class ContentSink:
+    """Bytes under root by their hash, in two phases: a task writes under _staging/<job> and renames to the hash's place, which is the same whoever does it; finish() deletes the job's staging, and with it what lost or speculative tasks left behind."""
+
+    def __init__(self, root: str, job: str | None = None):
+        self.root = root.rstrip("/")
+        self.staging = f"{self.root}/_staging/{job or uuid.uuid4().hex}"
+
+    def put(self, path: str, content: bytes) -> None:
+        system, at = _system(path)
+        _, temp = _system(f"{self.staging}/{uuid.uuid4().hex}")
+        for folder in (at.rpartition("/")[0], temp.rpartition("/")[0]):
+            system.create_dir(folder, recursive=True)
+        with system.open_output_stream(temp) as f:
+            f.write(content)
+        system.move(temp, at)
+
+    def finish(self) -> None:
+        system, at = _system(self.staging)
+        if system.get_file_info(at).type != fs.FileType.NotFound:
+            system.delete_dir(at)
+
+
+def download(records: DataFrame, root: str, cfg: Http = Http(), tasks: int = 8) -> StageResult:
+    """records with sha256, file_size_bytes and storage_path; failures are rejections. The task that fetches bytes writes them under root (a path or URI that all executors reach), so they never travel as a column. Each URL is fetched once, whoever asks for it."""
+    sink = ContentSink(root)
 
     def run(batches):
+        client = Client(cfg)
         for pdf in batches:
-            for path, content in zip(pdf["storage_path"], pdf["content"], strict=True):
-                system, at = _system(path)
-                if system.get_file_info(at).size != len(content):
-                    system.create_dir(at.rpartition("/")[0], recursive=True)
-                    with system.open_output_stream(temp := f"{at}.{uuid.uuid4().hex}.part") as f:
-                        f.write(content)
-                    system.move(temp, at)
-            yield pdf.drop(columns="content")
-
-    return named.select(*out.columns, "content").mapInPandas(run, out.schema)
+            rows = []
+            for url, suffix in zip(pdf["image_url"], pdf["suffix"], strict=True):
+                try:
+                    content, sha = client.image(url)
+                    path = f"{sink.root}/{sha[:2]}/{sha}{suffix}"
+                    sink.put(path, content)
+                    rows.append((url, sha, len(content), path, None, None))
+                except Failed as e:
+                    rows.append((url, None, None, None, e.reason, e.detail))
+            out = pd.DataFrame(rows, columns=["image_url", "sha256", "file_size_bytes", "storage_path", "_reason", "_detail"])
+            yield out.astype({"file_size_bytes": "Int64"})
+
+    urls = records.select("image_url", url_extension(F.col("image_url")).alias("suffix")).where("image_url is not null").distinct()
+    got = dealt_by_host(urls, "image_url", tasks).mapInPandas(run, "image_url string, sha256 string, file_size_bytes long, storage_path string, _reason string, _detail string")
+    try:
+        got = materialize(got, "downloaded")
+    finally:
+        sink.finish()
+    df = records.join(got, "image_url", "left").withColumn("_reason", F.when(F.col("sha256").isNull(), F.coalesce("_reason", F.lit("HTTP_ERROR"))))
+    kept = df.where("_reason is null").drop("_reason", "_detail")
+    lost = df.where("_reason is not null")
+    return StageResult(kept, rejection(lost, "download", F.col("_reason"), F.col("_detail")))
 
 
 def existing_paths(paths: DataFrame) -> DataFrame:

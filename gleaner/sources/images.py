@@ -152,12 +152,13 @@ def with_phash(df: DataFrame) -> DataFrame:
     return df.withColumn("phash", run("image.height", "image.width", "image.nChannels", "image.data"))
 
 
-def read_assets(spark: SparkSession, path: str) -> DataFrame:
-    """storage_path, sha256, file_size_bytes, extension, measures and phash of the files under path, in one pass over bytes and one over pixels."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+def read_assets(spark: SparkSession, path: str, since=None) -> DataFrame:
+    """storage_path, sha256, file_size_bytes, extension, measures and phash of the files under path (written after since, a time in UTC), in one pass over bytes and one over pixels."""
+    newer = {"modifiedAfter": since.strftime("%Y-%m-%dT%H:%M:%S"), "timeZone": "UTC"} if since else {}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").options(**newer).load(path)
     df = files.select(F.col("path").alias("storage_path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("file_size_bytes"), F.regexp_extract("path", r"(\.[^./]+)$", 1).alias("extension"), "content")
     df = with_measures(df).drop("content")
-    pixels = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", True).load(path)
+    pixels = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", True).options(**newer).load(path)
     pixels = with_phash(pixels.select("image")).select(F.col("image.origin").alias("storage_path"), "phash")
     key = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
     return df.withColumn("_k", key("storage_path")).join(pixels.select(key("storage_path").alias("_k"), "phash"), "_k", "left").drop("_k").withColumn("phash", F.when(F.col("status").isNull(), F.col("phash")))

@@ -234,12 +234,17 @@ def site():
     server.shutdown()
 
 
-def test_download_stage(spark, site):
-    df = spark.createDataFrame([("openverse", "cat", "1", f"{site}/a.png"), ("openverse", "cat", "2", f"{site}/b.png")], "source string, class_label string, source_id string, image_url string")
-    out = fetch.download(df, Http(min_delay=0))
-    row = out.kept.first()
-    assert out.kept.count() == 1 and row["file_size_bytes"] == len(row["content"]) and len(row["sha256"]) == 64
-    assert [(r["source_id"], r["reason_code"]) for r in out.rejections.collect()] == [("2", "NOT_AN_IMAGE")]
+def test_download_stage(spark, site, tmp_path):
+    rows = [("openverse", "cat", "1", f"{site}/a.png"), ("openverse", "cat", "2", f"{site}/b.png"), ("openverse", "dog", "3", f"{site}/a.png")]
+    df = spark.createDataFrame(rows, "source string, class_label string, source_id string, image_url string")
+    for _ in range(2):
+        out = fetch.download(df, f"file://{tmp_path}/images", Http(min_delay=0))
+        kept = out.kept.collect()
+        assert sorted(r["source_id"] for r in kept) == ["1", "3"] and all(len(r["sha256"]) == 64 for r in kept)
+        assert [(r["source_id"], r["reason_code"]) for r in out.rejections.collect()] == [("2", "NOT_AN_IMAGE")]
+        files = [p for p in tmp_path.rglob("*") if p.is_file()]  # no staging is left
+        assert [f"file://{p}" for p in files] == [kept[0]["storage_path"]] and files[0].stat().st_size == kept[0]["file_size_bytes"]
+        assert fetch.existing_paths(out.kept.select("storage_path").union(spark.createDataFrame([("file:///nowhere/x",)], "storage_path string"))).count() == 1
 
 
 def test_api_data_source(spark, site):
@@ -249,16 +254,17 @@ def test_api_data_source(spark, site):
     assert api.records(api.items(df.withColumn("fetched_at", F.current_timestamp()))).kept.count() == 12
 
 
-def test_content_is_stored_by_its_hash(spark, tmp_path):
-    from gleaner.sources.http import existing_paths, store_content
-
-    made = [(f"https://h/{k}.png", f"{k % 2:064x}", bytes([k % 2]) * 10) for k in range(4)] + [("https://h/none", "f" * 64, b"")]
-    df = spark.createDataFrame(made, "image_url string, sha256 string, content binary")
-    for _ in range(2):
-        rows = store_content(df, f"file://{tmp_path}/store").collect()
-    assert "content" not in rows[0].asDict() and len(rows) == 5
-    files = [p for p in (tmp_path / "store").rglob("*") if p.is_file()]
-    assert sorted(p.read_bytes() for p in files) == [b"", bytes(10), b"\x01" * 10]
-    paths = spark.createDataFrame([(r["storage_path"],) for r in rows] + [("file:///nowhere/x",), (None,)], "storage_path string")
-    found = {r[0].rpartition("/")[2].partition(".")[0] for r in existing_paths(paths).collect()}
-    assert found == {f"{0:064x}", f"{1:064x}"}
+def test_a_token_is_renewed_before_it_ends():
+    def reply(n):
+        return Reply(json.dumps({"access_token": f"t{n}", "expires_in": 100}).encode(), "application/json")
+
+    c, _, asked = client([reply(1), reply(2), status(401), Reply(b"x")], min_delay=0, max_tries=1)
+    lease = fetch.TokenLease(c, "http://h/token", "me", "secret")
+    seen = []
+    for wait in (0, 80, 20, 100, 10):
+        c.sleep(wait)
+        lease.renew()
+        seen.append(c.headers.get("Authorization"))
+    assert seen == ["Bearer t1", "Bearer t1", "Bearer t2", None, None] and len(asked) == 3
+    fetch.TokenLease(c, "http://h/token", None, None).renew()
+    assert len(asked) == 3
