@@ -1,4 +1,4 @@
-"""python -m gleaner.cli run|status|init ..."""
+"""python -m gleaner.cli run|status|init|verify|trace ..."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 from gleaner.config import load
 from gleaner.plans import views
 from gleaner.plans.pipeline import Runner
-from gleaner.plans.store import Store, latest_runs
-from gleaner.schemas import CANDIDATE
+from gleaner.plans.store import Store, latest_runs, schema_report
+from gleaner.schemas import CANDIDATE, TABLES
 from gleaner.sources.crawl import Crawl
 from gleaner.sources.images import read_assets
 
@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     status = commands.add_parser("status", help="latest runs and the set's composition")
     status.add_argument("--runs", type=int, default=5)
     commands.add_parser("init", help="create the store's folders")
+    commands.add_parser("verify", help="check the store's schema, rules and references")
     trace = commands.add_parser("trace", help="crawl one class and print what each round saw; the store is not touched")
     trace.add_argument("--class-label", default="cat")
     trace.add_argument("--limit", type=int, default=5)
@@ -44,6 +45,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "init":
         store.init()
         return 0
+    if args.command == "verify":
+        report = schema_report({t: store.read(t) for t in TABLES})
+        report.show(truncate=False)
+        return 0 if report.first()["verdict"] == "ok" else 1
     if args.command == "status":
         summary = views.run_summary(store.read("pipeline_runs"), store.read("run_stage_metrics"), store.read("rejections"))
         latest_runs(summary, args.runs).show(truncate=False)

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
-import shutil
+import uuid
 from datetime import UTC, datetime
 
+import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gleaner.functions.scalars import present, relative_path
+from gleaner.plans.storage import materialize, partitions, system_of
 from gleaner.schemas import EXPORT_COLUMNS
 
 VERSION = "1.0"
@@ -84,7 +86,7 @@ def manifest(rows: DataFrame, run_id: str, config: str, created: str | None = No
 
 
 def manifest_lines(rows: DataFrame, head: dict) -> DataFrame:
-    """value: the lines of one JSON document, head with a last member images, an item for each row by class, split and checksum. They are in order in one partition, streamed, never one string."""
+    """value: the lines of one JSON document, head with a last member images, an item for each row by class, split and checksum. The lines are in order over partitions that are ranges of it, so their files, one after another, are the document, and no task holds more than its range."""
     item = F.struct(
         F.col("relative_path").alias("path"), F.col("class_label").alias("label"), "split", "source", "source_url", "license", "attribution",
         F.struct(F.lit("sha256").alias("algorithm"), F.col("sha256").alias("value")).alias("checksum"), "width", "height",
@@ -97,45 +99,106 @@ def manifest_lines(rows: DataFrame, head: dict) -> DataFrame:
     opening = json.dumps(head, indent=2, ensure_ascii=False).removesuffix("\n}") + ',\n  "images": ['
     edges = rows.sparkSession.createDataFrame([(0, opening), (2, "  ]\n}")], "part int, value string")
     edges = edges.select("part", F.lit(None).cast(items.schema["place"].dataType).alias("place"), "value")
-    return items.unionByName(edges).repartition(1).sortWithinPartitions("part", "place").select("value")
+    lines = items.unionByName(edges)
+    return lines.repartitionByRange(partitions(rows), "part", "place").sortWithinPartitions("part", "place").select("value")
 
 
-def _place(root: str):
-    """Copies files of a partition's rows into the tree; counts by outcome."""
+def joined(spark, parts: str, target: str) -> None:
+    """One file of the part files of a folder, in order; the folder goes. One task streams them, a megabyte at a time."""
 
     def run(batches):
-        import pandas as pd
+        for _ in batches:
+            (system, folder), (_, out) = system_of(parts), system_of(target)
+            files = sorted(x.path for x in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if x.base_name.startswith("part-"))
+            if not files:  # a retried task meets what it has done
+                yield pd.DataFrame({"n": [0]})
+                return
+            with system.open_output_stream(temp := f"{out}.{uuid.uuid4().hex}.tmp") as sink:
+                for path in files:
+                    with system.open_input_stream(path) as source:
+                        while chunk := source.read(1 << 20):
+                            sink.write(chunk)
+            if system.get_file_info(out).type == fs.FileType.Directory:
+                system.delete_dir(out)
+            system.move(temp, out)
+            system.delete_dir(folder)
+            yield pd.DataFrame({"n": [len(files)]})
+
+    spark.range(0, 1, 1, 1).mapInPandas(run, "n long").collect()
+
+
+def _place(root: str):
+    """Copies files of a partition's rows into the tree, whatever file systems hold them; counts by outcome."""
 
+    def run(batches):
         for pdf in batches:
             out = []
             for src, rel in zip(pdf["storage_path"], pdf["relative_path"], strict=True):
-                src, dst = str(src).removeprefix("file://").removeprefix("file:"), f"{root}/{rel}"
-                have = os.path.isfile(src)
-                if have and not os.path.isfile(dst):
-                    os.makedirs(os.path.dirname(dst), exist_ok=True)
-                    shutil.copyfile(src, temp := f"{dst}.{os.getpid()}.part")
-                    os.replace(temp, dst)
-                out.append("copied" if have else "present" if os.path.isfile(dst) else "missing")
+                (there, source), (here, target) = system_of(str(src)), system_of(f"{root}/{rel}")
+                have, placed = (s.get_file_info(p).type == fs.FileType.File for s, p in ((there, source), (here, target)))
+                if have and not placed:
+                    here.create_dir(target.rpartition("/")[0], recursive=True)
+                    fs.copy_files(source, temp := f"{target}.{uuid.uuid4().hex}.part", source_filesystem=there, destination_filesystem=here)
+                    here.move(temp, target)
+                out.append("copied" if have else "present" if placed else "missing")
             yield pd.DataFrame({"outcome": out})
 
     return run
 
 
+def listed(spark, root: str, tasks: int = 64) -> DataFrame:
+    """path, under root, of all files in the image tree. Folders are listed by executors, a level a round; classes have many files, so a folder's files go on as they are listed."""
+    at = spark.createDataFrame([("images",)], "path string")
+    kind = "path string, folder boolean"
+
+    def run(batches):
+        for pdf in batches:
+            for folder in pdf["path"]:
+                system, place = system_of(f"{root}/{folder}")
+                found = system.get_file_info(fs.FileSelector(place, allow_not_found=True))
+                for k in range(0, len(found), 10_000):
+                    part = found[k : k + 10_000]
+                    yield pd.DataFrame({"path": [f"{folder}/{x.base_name}" for x in part], "folder": [x.type == fs.FileType.Directory for x in part]})
+
+    files = None
+    for _ in range(TREE_LEVELS):
+        seen = materialize(at.repartition(tasks).mapInPandas(run, kind), "listing")
+        here = seen.where("not folder").select("path")
+        files, at = here if files is None else files.unionByName(here), seen.where("folder").select("path")
+    return files
+
+
+#: images, split and class.
+TREE_LEVELS = 3
+
+
 def copy_tree(rows: DataFrame, root: str) -> dict[str, int]:
-    """Copy images under root (a folder that executors share) and delete what no row claims. copied, missing and pruned."""
+    """Copy images under root (a path or URI that executors reach) and delete what no row claims: listing, copies and deletions are tasks' work, counts are all that comes back."""
+    root = root.rstrip("/")
     done = rows.select("storage_path", "relative_path").mapInPandas(_place(root), "outcome string").groupBy("outcome").count().collect()
     counts = {r["outcome"]: r["count"] for r in done}
-    on_disk = [os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(f"{root}/images") for f in names]
-    stale = []
-    if on_disk:
-        listed = rows.sparkSession.createDataFrame([(p,) for p in on_disk], "relative_path string")
-        stale = [r[0] for r in listed.join(rows.select("relative_path"), "relative_path", "left_anti").collect()]
-    for p in stale:
-        os.remove(f"{root}/{p}")
-    for d, _, _ in sorted(os.walk(f"{root}/images"), reverse=True):
-        if not os.listdir(d):
-            os.rmdir(d)
-    return {"images_copied": counts.get("copied", 0), "images_missing": counts.get("missing", 0), "images_pruned": len(stale)}
+
+    def drop(batches):
+        for pdf in batches:
+            gone = 0
+            for path in pdf["path"]:
+                system, place = system_of(f"{root}/{path}")
+                if system.get_file_info(place).type == fs.FileType.File:  # a retried task meets what it has deleted
+                    system.delete_file(place)
+                gone += 1
+            yield pd.DataFrame({"n": [gone]})
+
+    stale = materialize(listed(rows.sparkSession, root).join(rows.select(F.col("relative_path").alias("path")), "path", "left_anti"), "stale")
+    pruned = materialize(stale.mapInPandas(drop, "n long"), "pruned").agg(F.sum("n")).first()[0] or 0
+    if pruned:  # folders of a class or split that are empty now; a row each
+        for folder in [r[0] for r in stale.select(F.regexp_extract("path", "^(.*)/", 1)).distinct().collect()]:
+            while folder.count("/"):
+                system, place = system_of(f"{root}/{folder}")
+                if system.get_file_info(fs.FileSelector(place, allow_not_found=True)):
+                    break
+                system.delete_dir(place)
+                folder = folder.rpartition("/")[0]
+    return {"images_copied": counts.get("copied", 0), "images_missing": counts.get("missing", 0), "images_pruned": pruned}
 
 
 def export(images: DataFrame, out: str, run_id: str, config: str = "", tree: str | None = None) -> dict:
@@ -147,7 +210,8 @@ def export(images: DataFrame, out: str, run_id: str, config: str = "", tree: str
     frame.write.mode("overwrite").option("compression", "snappy").parquet(f"{out}/dataset.parquet")
     frame.write.mode("overwrite").option("header", True).csv(f"{out}/dataset.csv")
     doc = manifest(rows, run_id, config)
-    manifest_lines(rows, doc).write.mode("overwrite").text(f"{out}/manifest.json")
+    manifest_lines(rows, doc).write.mode("overwrite").text(f"{out}/manifest.parts")
+    joined(rows.sparkSession, f"{out}/manifest.parts", f"{out}/manifest.json")
     attribution_lines(rows).orderBy("class_label", "sha256").select(F.col("block").alias("value")).write.mode("overwrite").option("lineSep", "\n\n").text(f"{out}/ATTRIBUTIONS.txt")
     copied = copy_tree(rows, tree) if tree else {"images_copied": 0, "images_missing": 0, "images_pruned": 0}
     return {"records": doc["n_images"], "fingerprint": doc["dataset_fingerprint"], "files": ["dataset.parquet", "dataset.csv", "manifest.json", "ATTRIBUTIONS.txt"], **copied}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -46,3 +48,10 @@ def partitions(df: DataFrame, bytes_each: int = 32 << 20) -> int:
     held = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return held if size >= 1 << 60 else max(held, -(-size // bytes_each))
+
+
+def system_of(path: str):
+    """The file system of a path or URI, and the path there."""
+    if "://" not in path:
+        path = "file://" + os.path.abspath(path.removeprefix("file:"))
+    return fs.FileSystem.from_uri(path)

@@ -76,20 +76,23 @@ def _refuse(table: str, bad: DataFrame) -> None:
         raise ValueError(f"{table} is not published: {found}")
 
 
+#: Rules of a row of images: expressions that hold where a rule is broken.
+ROW_RULES = {
+    "sha256_not_null": "sha256 is null",
+    "license_not_null": "license is null",
+    "positive_width": "not coalesce(width > 0, false)",
+    "positive_height": "not coalesce(height > 0, false)",
+    "positive_size": "not coalesce(file_size_bytes > 0, false)",
+    "split_known": f"split is not null and split not in ({', '.join(repr(x) for x in SPLITS)})",
+    "not_own_duplicate": "duplicate_of = sha256",
+    "duplicate_with_distance": "(duplicate_of is null) <> (duplicate_distance is null)",
+}
+
+
 def constraint_violations(images: DataFrame, all_images: DataFrame | None = None) -> DataFrame:
     """constraint and n, a row for each rule of the table; all n are 0 in a sound one. all_images: the whole table, if images are only those of some sha256s."""
-    rules = {
-        "sha256_not_null": "sha256 is null",
-        "license_not_null": "license is null",
-        "positive_width": "not coalesce(width > 0, false)",
-        "positive_height": "not coalesce(height > 0, false)",
-        "positive_size": "not coalesce(file_size_bytes > 0, false)",
-        "split_known": f"split is not null and split not in ({', '.join(repr(x) for x in SPLITS)})",
-        "not_own_duplicate": "duplicate_of = sha256",
-        "duplicate_with_distance": "(duplicate_of is null) <> (duplicate_distance is null)",
-    }
-    wide = images.agg(*[F.count(F.when(F.expr(rule), 1)).alias(name) for name, rule in rules.items()])
-    single = wide.select(F.explode(F.create_map(*[x for n in rules for x in (F.lit(n), F.col(n))])).alias("constraint", "n"))
+    wide = images.agg(*[F.count(F.when(F.expr(rule), 1)).alias(name) for name, rule in ROW_RULES.items()])
+    single = wide.select(F.explode(F.create_map(*[x for n in ROW_RULES for x in (F.lit(n), F.col(n))])).alias("constraint", "n"))
     repeats = lambda df, name, *keys: df.groupBy(*keys).count().where("count > 1").agg(F.lit(name).alias("constraint"), F.count("*").alias("n"))
     everything = images if all_images is None else all_images
     return single.unionByName(repeats(images, "sha256_unique", "sha256")).unionByName(repeats(everything, "source_id_unique", "source", "source_id"))
@@ -112,6 +115,74 @@ def unknown_words(tables: dict[str, DataFrame]) -> DataFrame:
     return next(iter(tables.values())).sparkSession.createDataFrame([], "field string, value string, n long") if out is None else out
 
 
+def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row on the tables by name: scalar sub-selects over the schema's baseline, what breaks a rule, and a verdict.
+
+    tables_expected, tables_found and columns_found: the tables and columns of schemas.py that are there under their names
+    and types; rules_broken: rules of images and closed vocabularies with at least one violation; orphans: rows of audit
+    tables whose run is unknown, and marks whose original is; verdict: ok, or what is wrong first.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    want = [(t, c.split()[0], c.split()[1]) for t, schema in TABLES.items() for c in schema.split(", ")]
+    have = [(t, f.name, f.dataType.simpleString()) for t, df in tables.items() for f in df.schema]
+    kind = "t string, c string, k string"
+    simple = lambda k: {"long": "bigint"}.get(k, k)
+    expected = spark.createDataFrame([(t, c, simple(k)) for t, c, k in want], kind)
+    found = spark.createDataFrame(have, kind)
+    broken = constraint_violations(tables["images"]).where("n > 0").select("n").unionByName(unknown_words(tables).select("n"))
+    runs = tables["pipeline_runs"].select("run_id").distinct()
+    lost = [tables[t].select("run_id").where("run_id is not null").join(runs, "run_id", "left_anti") for t in ("rejections", "run_stage_metrics", "raw_records")]
+    marks = tables["images"].where("duplicate_of is not null").select("duplicate_of").join(tables["images"].select(F.col("sha256").alias("duplicate_of")), "duplicate_of", "left_anti").select(F.col("duplicate_of").alias("run_id"))
+    orphans = lost[0].unionAll(lost[1]).unionAll(lost[2]).unionAll(marks)
+    there = expected.join(found, ["t", "c", "k"], "left_semi")
+    whole = expected.groupBy("t").count().join(there.groupBy("t").count(), ["t", "count"])
+    one = lambda df, name: df.agg(F.count("*").alias(name))
+    report = one(expected.select("t").distinct(), "tables_expected")
+    for df, name in ((whole, "tables_found"), (expected, "columns_expected"), (there, "columns_found"), (broken, "rules_broken"), (orphans, "orphans")):
+        report = report.select("*", one(df, name).scalar().alias(name))
+    verdict = F.when(F.col("columns_found") < F.col("columns_expected"), "columns are missing").when(F.col("rules_broken") > 0, "rules are broken").when(F.col("orphans") > 0, "rows without their parent").otherwise("ok")
+    return report.withColumn("verdict", verdict)
+
+
+#: For every rule of images what a planted row has to break it, over a sound row's columns.
+PLANTED = {
+    "sha256_not_null": {"sha256": "null"}, "license_not_null": {"license": "null"}, "positive_width": {"width": "0"}, "positive_height": {"height": "-1"}, "positive_size": {"file_size_bytes": "0"},
+    "split_known": {"split": "'holdout'"}, "not_own_duplicate": {"duplicate_of": "sha256", "duplicate_distance": "0"}, "duplicate_with_distance": {"duplicate_of": "'other'", "duplicate_distance": "null"},
+    "sha256_unique": {"sha256": "_stored", "source_id": "'planted'"}, "source_id_unique": {"sha256": "'planted'"}, "sound": {},
+}
+
+
+def verify_schema(images: DataFrame, rejections: DataFrame, metrics: DataFrame, composition: DataFrame) -> DataFrame:
+    """check_name, outcome (PASS or what went wrong), the tables' baseline counts, and in each row the verdict over all checks.
+
+    For every rule a row that breaks it, and it alone, is planted beside the stored ones, and the rule has to find it and
+    no other rule may; a sound row has to pass. Baseline counts are scalar sub-selects; tables are only read. Planted rows
+    meet the stored ones by key, so the table is read once for its counts and once for those keys.
+    """
+    rules = [n for n in PLANTED if n != "sound"]
+    seed = images.orderBy("sha256").limit(1).withColumns({"_stored": F.col("sha256"), "split": F.lit("train"), "duplicate_of": F.lit(None).cast("string"), "duplicate_distance": F.lit(None).cast("int")})
+    seed = seed.withColumns({"license": F.coalesce("license", F.lit("CC0-1.0")), **{c: F.greatest(F.col(c), F.lit(1)) for c in ("width", "height", "file_size_bytes")}})
+    planted = None
+    for name, changed in PLANTED.items():
+        fresh = {"sha256": F.lit(f"planted {name}"), "source_id": F.lit(f"planted {name}")} if name not in ("sha256_unique", "source_id_unique") else {}
+        row = seed.withColumns(fresh)
+        row = row.withColumns({c: F.expr(v).cast(images.schema[c].dataType) for c, v in changed.items()}).withColumn("check_name", F.lit(name))
+        planted = row if planted is None else planted.unionByName(row)
+    planted = materialize(planted, "planted")
+    same = lambda *keys: planted.join(images.select(*keys), [*keys], "left_semi").select("check_name")
+    single = planted.select("check_name", F.explode(F.array(*[F.when(F.expr(rule), F.lit(n)) for n, rule in ROW_RULES.items()])).alias("broken")).where("broken is not null")
+    found = single.unionByName(same("sha256").withColumn("broken", F.lit("sha256_unique"))).unionByName(same("source", "source_id").withColumn("broken", F.lit("source_id_unique")))
+    found = found.groupBy("check_name").agg(F.array_sort(F.collect_set("broken")).alias("broken"))  # a dozen rules
+    want = planted.sparkSession.createDataFrame([(n, [n] if n in rules else []) for n in PLANTED], "check_name string, want array<string>")
+    outcome = F.when(F.coalesce("broken", F.array().cast("array<string>")) == F.col("want"), "PASS").otherwise(F.concat(F.lit("broken: "), F.array_join(F.coalesce("broken", F.array().cast("array<string>")), ", ")))
+    results = want.join(found, "check_name", "left").select("check_name", outcome.alias("outcome"))
+    one = lambda df, value: df.agg(value.alias("n")).scalar()
+    baseline = {"images": one(images, F.count("*")), "rejections": one(rejections, F.count("*")), "metrics": one(metrics, F.count("*")), "composition": one(composition, F.coalesce(F.sum("n_images"), F.lit(0)))}
+    failed = one(results.where("outcome <> 'PASS'"), F.count("*"))
+    verdict = F.when(failed == 0, F.lit(f"all {len(PLANTED)} checks passed")).otherwise(F.concat(failed.cast("string"), F.lit(" checks failed")))
+    return results.select("check_name", "outcome", *[v.alias(k) for k, v in baseline.items()], verdict.alias("verdict"))
+
+
 def upsert(images: DataFrame, batch: DataFrame, run_id: str, order: list, now=None) -> dict[str, DataFrame]:
     """images after batch, and counters. First writer wins: a known sha256 only gets last_seen_run_id and a split where the batch has one.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import random
 import time
 import urllib.error
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from gleaner.config import Http
 from gleaner.functions.scalars import url_extension
 from gleaner.operators.stage import StageResult, rejection
-from gleaner.plans.storage import materialize
+from gleaner.plans.storage import materialize, system_of
 
 
 class Failed(Exception):
@@ -164,13 +163,6 @@ def fetched_pages(urls: DataFrame, cfg: Http = Http(), tasks: int = 8) -> DataFr
     return dealt_by_host(urls.select("url").where("url is not null").distinct(), "url", tasks).mapInPandas(run, "url string, html string")
 
 
-def _system(path: str):
-    """The file system of a path or URI, and the path there."""
-    if "://" not in path:
-        path = "file://" + os.path.abspath(path.removeprefix("file:"))
-    return fs.FileSystem.from_uri(path)
-
-
 class ContentSink:
     """Bytes under root by their hash, in two phases: a task writes under _staging/<job> and renames to the hash's place, which is the same whoever does it; finish() deletes the job's staging, and with it what lost or speculative tasks left behind."""
 
@@ -179,8 +171,8 @@ class ContentSink:
         self.staging = f"{self.root}/_staging/{job or uuid.uuid4().hex}"
 
     def put(self, path: str, content: bytes) -> None:
-        system, at = _system(path)
-        _, temp = _system(f"{self.staging}/{uuid.uuid4().hex}")
+        system, at = system_of(path)
+        _, temp = system_of(f"{self.staging}/{uuid.uuid4().hex}")
         for folder in (at.rpartition("/")[0], temp.rpartition("/")[0]):
             system.create_dir(folder, recursive=True)
         with system.open_output_stream(temp) as f:
@@ -188,7 +180,7 @@ class ContentSink:
         system.move(temp, at)
 
     def finish(self) -> None:
-        system, at = _system(self.staging)
+        system, at = system_of(self.staging)
         if system.get_file_info(at).type != fs.FileType.NotFound:
             system.delete_dir(at)
 
@@ -231,7 +223,7 @@ def existing_paths(paths: DataFrame) -> DataFrame:
         for pdf in batches:
             sizes = []
             for path in pdf["storage_path"]:
-                system, at = _system(path)
+                system, at = system_of(path)
                 sizes.append(system.get_file_info(at).size or 0)
             yield pdf[[n > 0 for n in sizes]]
 

@@ -10,29 +10,36 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from gleaner.config import load
 from gleaner.plans import catalog
-from gleaner.plans.export import copy_tree, dataset_rows, export, fingerprint
+from gleaner.plans.export import copy_tree, dataset_rows, export, fingerprint, manifest_lines
 from gleaner.plans.pipeline import Runner
-from gleaner.plans.store import Store
-from gleaner.schemas import CANDIDATE, IMAGE
+from gleaner.plans.store import Store, schema_report, verify_schema
+from gleaner.schemas import CANDIDATE, IMAGE, TABLES
 from gleaner.sources.images import read_assets
 from gleaner.streaming.landing import curate_stream, rejection_windows
 from tests.conftest import DATA
 from tests.test_operators import image, sha
 from tests.test_sources import jpeg, picture, png
 
-CLASSES = {"cat": ["cat_1.png", "cat_2.png", "cat_3.png", "cat_1_copy.png", "cat_2_thumb.png", "dead_link.png", "truncated.png", "wrong_suffix.jpg", "pixel.png", "missing.png", "nc.png"], "dog": ["dog_1.png"]}
-LICENCE = {"cat_3.png": "cc0", "cat_2.png": "by-sa-3.0", "cat_2_thumb.png": "by-sa-3.0", "dog_1.png": "All rights reserved", "nc.png": "by-nc-4.0"}
+#: What becomes of a file is its name: a rejection's code, or accepted.
+CLASSES = {
+    "kettle": ["accepted_1.png", "accepted_2.png", "accepted_3.png", "exact_duplicate.png", "near_duplicate.png", "unreadable_image.png", "truncated_image.png", "extension_mismatch.jpg", "dimensions_too_small.png", "http_error.png", "license_not_permitted.png"],
+    "pan": ["unrecognised_license.png"],
+}
+LICENCE = {"accepted_1.png": "cc0", "license_not_permitted.png": "by-nc-4.0", "unrecognised_license.png": "rights: ask"}
 
 
 @pytest.fixture
 def corpus(spark, tmp_path):
     files = tmp_path / "files"
     files.mkdir()
-    pictures = {n: png(picture(480, 360, s)) for n, s in (("cat_1.png", 1), ("cat_2.png", 3), ("cat_3.png", 5), ("nc.png", 11))}
-    pictures |= {"cat_1_copy.png": pictures["cat_1.png"], "cat_2_thumb.png": png(picture(240, 180, 3)), "dog_1.png": png(picture(500, 400, 7)), "dead_link.png": b"<html>" + b"x" * 2000}
-    pictures |= {"truncated.png": png(picture(400, 400, 9))[:-40], "wrong_suffix.jpg": png(picture(300, 300, 13)), "pixel.png": png(picture(16, 16)) + bytes(2000)}
-    for n, b in pictures.items():
-        (files / n).write_bytes(b)
+    large = {name: png(picture(400 + 20 * k, 300 + 10 * k, 2 * k + 1)) for k, name in enumerate(n for names in CLASSES.values() for n in names)}
+    made = large | {
+        "exact_duplicate.png": large["accepted_1.png"], "near_duplicate.png": png(picture(210, 155, 3)), "unreadable_image.png": b"<html>" + b"x" * 2000, "truncated_image.png": large["truncated_image.png"][:-40],
+        "dimensions_too_small.png": png(picture(16, 16)) + bytes(2000), "http_error.png": None,
+    }
+    for n, b in made.items():
+        if b is not None:
+            (files / n).write_bytes(b)
     rows = [("openverse", c, f"https://h/{n}", n, "", LICENCE.get(n, "by-4.0"), None, "me", n, "{}") for c, names in CLASSES.items() for n in names]
     columns = ", ".join(CANDIDATE.split(", ")[:-1])
     candidates = spark.createDataFrame(rows, columns).withColumn("fetched_at", F.lit("2026-01-01 00:00:00").cast("timestamp"))
@@ -42,18 +49,16 @@ def corpus(spark, tmp_path):
 
 def test_a_messy_corpus_twice(spark, corpus, tmp_path):
     store = Store(spark, f"file://{tmp_path}/store")
-    runner = Runner(spark, store, load({}, source__classes=("cat", "dog"), source__target=20, source__minimum=1))
+    runner = Runner(spark, store, load({}, source__classes=("kettle", "pan"), source__target=20, source__minimum=1))
     first = runner.execute(*corpus, f"file://{tmp_path}/out", tree=f"{tmp_path}/tree")
     rows = {r["source_id"]: r for r in store.read("images").collect()}
-    assert set(rows) == {"cat_1.png", "cat_2.png", "cat_3.png", "cat_2_thumb.png"}
-    thumb = rows["cat_2_thumb.png"]
-    assert (thumb["duplicate_of"], thumb["split"]) == (rows["cat_2.png"]["sha256"], None) and all(rows[f"cat_{k}.png"]["split"] for k in (1, 2, 3))
-    reasons = {(r["source_id"], r["reason_code"]) for r in store.read("rejections").collect()}
-    assert reasons == {
-        ("cat_1_copy.png", "EXACT_DUPLICATE"), ("cat_2_thumb.png", "NEAR_DUPLICATE"), ("dead_link.png", "UNREADABLE_IMAGE"), ("truncated.png", "TRUNCATED_IMAGE"), ("wrong_suffix.jpg", "EXTENSION_MISMATCH"),
-        ("pixel.png", "DIMENSIONS_TOO_SMALL"), ("missing.png", "HTTP_ERROR"), ("dog_1.png", "UNRECOGNISED_LICENSE"), ("nc.png", "LICENSE_NOT_PERMITTED"),
-    }
-    assert first.status == "partial" and first.metrics["persist"]["inserted"] == 4  # no dog was kept
+    kept = [f"accepted_{k}.png" for k in (1, 2, 3)]
+    assert set(rows) == {*kept, "near_duplicate.png"} and all(rows[k]["split"] for k in kept)
+    thumb = rows["near_duplicate.png"]
+    assert (thumb["duplicate_of"], thumb["split"]) == (rows["accepted_2.png"]["sha256"], None)
+    reasons = {r["source_id"]: r["reason_code"] for r in store.read("rejections").collect()}
+    assert reasons == {n: n.partition(".")[0].upper() for names in CLASSES.values() for n in names if not n.startswith("accepted")}
+    assert first.status == "partial" and first.metrics["persist"]["inserted"] == 4  # no pan was kept
     tree = {os.path.join(d, f) for d, _, names in os.walk(tmp_path / "tree" / "images") for f in names}
     assert len(tree) == 3 == first.export["images_copied"]
 
@@ -70,7 +75,7 @@ def test_a_messy_corpus_twice(spark, corpus, tmp_path):
 
 def test_full_classes_are_not_asked_again(spark, corpus, tmp_path):
     store = Store(spark, f"file://{tmp_path}/store")
-    runner = Runner(spark, store, load({}, source__classes=("cat",), source__target=2, source__minimum=1))
+    runner = Runner(spark, store, load({}, source__classes=("kettle",), source__target=2, source__minimum=1))
     first = runner.execute(*corpus, f"file://{tmp_path}/out")
     assert first.status == "success" and store.read("images").where("duplicate_of is null").count() == 2
     second = runner.execute(*corpus, f"file://{tmp_path}/out")
@@ -80,7 +85,7 @@ def test_full_classes_are_not_asked_again(spark, corpus, tmp_path):
 def test_failed_runs_say_so(spark, corpus, tmp_path):
     store = Store(spark, f"file://{tmp_path}/store")
     with pytest.raises(Exception, match="phash"):
-        Runner(spark, store, load({}, source__classes=("cat",))).execute(corpus[0], corpus[1].drop("phash"), f"file://{tmp_path}/out")
+        Runner(spark, store, load({}, source__classes=("kettle",))).execute(corpus[0], corpus[1].drop("phash"), f"file://{tmp_path}/out")
     assert [(r["status"], r["error_message"] is not None) for r in store.read("pipeline_runs").collect()] == [("failed", True)]
 
 
@@ -142,3 +147,36 @@ def test_queries_equal_their_sql(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_planted_violations_are_found(spark, tmp_path):
+    df = _set(spark, tmp_path)
+    none = spark.createDataFrame([], "x int")
+    out = verify_schema(df, none, none, spark.createDataFrame([(4,)], "n_images long"))
+    rows = out.collect()
+    assert {r["outcome"] for r in rows} == {"PASS"} and {r["verdict"] for r in rows} == {f"all {len(rows)} checks passed"} and rows[0]["images"] == 4 == rows[0]["composition"]
+
+
+def test_a_broken_store_is_told(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    store.init()
+    tables = {t: store.read(t) for t in TABLES}
+    assert schema_report(tables).first()["verdict"] == "ok"
+    assert schema_report(tables | {"images": tables["images"].drop("phash")}).first()["verdict"] == "columns are missing"
+    row = image("a", "1", width=0)
+    assert schema_report(tables | {"images": spark.createDataFrame([row], IMAGE)}).first()["verdict"] == "rules are broken"
+    row = image("a", "1", duplicate_of="b", duplicate_distance=1)
+    assert schema_report(tables | {"images": spark.createDataFrame([row], IMAGE)}).first()["verdict"] == "rows without their parent"
+
+
+def test_parts_of_the_manifest_are_in_order(spark, tmp_path):
+    df = dataset_rows(spark.createDataFrame([image(sha(k), str(k), split=("train", "val")[k % 2], class_label="abc"[k % 3]) for k in range(200)], IMAGE))
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        manifest_lines(df, {"n": 1}).write.text(f"{tmp_path}/m")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    parts = sorted(p for p in (tmp_path / "m").glob("part-*"))
+    doc = json.loads("".join(p.read_text() for p in parts))
+    got = [(i["label"], i["split"], i["checksum"]["value"]) for i in doc["images"]]
+    assert len(parts) > 3 and got == sorted(got) and len(got) == 200
