@@ -18,8 +18,9 @@ one path. Rows grow with the members, not with their pairs.
 
 near_copies() is the wider form that the pipeline takes: it also links texts whose sets of five-word shingles have a
 Jaccard similarity of 0.8 or more. A prefix filter on the shingles (rare ones first) proposes them, first each text
-with one other for each shingle, then all that is left between the components found so far. Parities of the sets, a bit
-or two for each shingle, rule out most proposals before texts are joined; the sets themselves decide.
+with one other for each shingle, then all that is left between the components found so far. Parities of the sets rule out
+most proposals: a sketch of 256 bits where two rows meet, a bit or two for each shingle before texts are joined; the sets
+themselves decide.
 
 Components are then found on distinct fingerprints; copies share theirs and are never expanded into pairs.
 
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.hashes import Codes, Prefixes, codes
 from gleaner.llm.texts import packed, read, row_key
 from gleaner.plans.components import components, spread_join, with_group_min
-from gleaner.plans.storage import materialize, partitions
+from gleaner.plans.storage import discard, materialize, partitions
 
 SEED = 42
 DISTANCE = 3
@@ -160,7 +161,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, crowd: int = CROWD) ->
         found = components(links(nodes.select("fp", F.col("fp").alias("node")), crowd))
         named = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
         to = named.join(named.groupBy("component").agg(F.min("node").alias("least")), "component").select("fp", "component", "least")
-    return fps.join(to, "fp").select("doc_id", "key", "fp", "component", F.nullif(F.col("least"), F.lit(NO_ID)).alias("component_id"))
+    return spread_join(fps, to, "fp", "key").select("doc_id", "key", "fp", "component", F.nullif(F.col("least"), F.lit(NO_ID)).alias("component_id"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
@@ -243,8 +244,8 @@ def _needed(similarity: float, n):
 
 
 def parity_bits(h: np.ndarray) -> bytes:
-    """Whether an odd number of distinct hashes falls on each of 2^k bits, as many as there are hashes at least (64 or more)."""
-    n = max(64, 1 << max(len(h) - 1, 0).bit_length())
+    """Whether an odd number of distinct hashes falls on each of 2^k bits, as many as there are hashes at least (256 or more)."""
+    n = max(256, 1 << max(len(h) - 1, 0).bit_length())
     odd = np.bincount((h & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -256,8 +257,18 @@ def least_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+#: Bytes of the sketch that travels with every shingle of a prefix.
+SKETCH = 32
+
+
+def sketch(bits: bytes) -> bytes:
+    """Parities folded to SKETCH bytes, or repeated to as many: a bound like theirs, of fixed size."""
+    v = np.frombuffer(bits, np.uint8)
+    return np.bitwise_xor.reduce(v.reshape(-1, SKETCH), axis=0).tobytes() if len(v) >= SKETCH else bits + bytes(SKETCH - len(v))
+
+
 def _sets(texts: DataFrame, levels: np.ndarray, shingle: int, similarity: float) -> DataFrame:
-    """texts: node and text. node, size (of the set of shingles), bits (their parities) and prefix (hashes in the filter's order) of each text."""
+    """texts: node and text. node, size (of the set of shingles), bits (their parities), sketch and prefix (hashes in the filter's order) of each text."""
     held = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
@@ -272,9 +283,9 @@ def _sets(texts: DataFrame, levels: np.ndarray, shingle: int, similarity: float)
                 found.append(h[: len(h) - int(_needed(similarity, len(h))) + 1])
             offsets = np.cumsum([0, *map(len, found[1:])], dtype=np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int64)))
-            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), prefix], names=["node", "size", "bits", "prefix"])
+            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), pa.array(map(sketch, bits), pa.binary()), prefix], names=["node", "size", "bits", "sketch", "prefix"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, size int, bits binary, prefix array<long>")
+    return texts.select("node", "text").mapInArrow(run, "node long, size int, bits binary, sketch binary, prefix array<long>")
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -305,21 +316,25 @@ def _heads(rows: DataFrame) -> DataFrame:
     return with_group_min(rows, "group", F.col("node"), "node").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def cross_pairs(h, component, size, place, similarity: float):
-    """(i, j): indices of pairs with equal h and different components whose sizes and places allow the similarity.
+def cross_pairs(h, component, size, place, similarity: float, sketches=None, part=None):
+    """(i, j): indices of pairs with equal h and different components whose sizes, places and sketches allow the similarity.
 
     With a prefix filter's order, what follows the first shared place bounds the overlap, so a partner's size lies in a
     range. Rows of one shingle are sorted by size; of each row's range only stretches of other components are read, so
-    members of one component are never paired with each other.
+    members of one component are never paired with each other. sketches (rows of 64-bit words): sets that are similar
+    differ in (1 - similarity) / (1 + similarity) of their sizes' sum at most, and parities in no more bits. part: rows of
+    one number are not paired with each other, unless it is -1.
     """
     order = np.lexsort((component, size, h))
     h, component, size, place = (x[order] for x in (h, component, size, place))
+    sketches, part = (None if x is None else x[order] for x in (sketches, part))
     first = np.flatnonzero(np.concatenate((np.ones(min(len(h), 1), bool), h[1:] != h[:-1])))
     if not len(first):
         return
     mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)
     ends = np.append(first[1:], len(h))
     ratio = (1 + similarity) / similarity
+    share = (1 - similarity) / (1 + similarity)
     for s, e in zip(first[mixed].tolist(), ends[mixed].tolist(), strict=True):
         left = (size[s:e] - place[s:e]).astype(float)
         # The row with the smaller or equal size looks up: overlap <= min(left) bounds the larger size.
@@ -330,35 +345,75 @@ def cross_pairs(h, component, size, place, similarity: float):
         run_end = s + np.append(cut[1:], e - s)[np.cumsum(np.concatenate(([True], component[s + 1 : e] != component[s : e - 1]))) - 1]
         here = np.arange(s, e)
         n = np.maximum(stop - np.maximum(run_end, here + 1), 0)
-        for at in range(0, len(here), 4096):
-            m = n[at : at + 4096]
+        # As many rows at once as make PAIRS pairs or so.
+        at = np.flatnonzero(np.diff(np.cumsum(n) // PAIRS, prepend=-1))
+        for k, end in zip(at.tolist(), [*at[1:].tolist(), len(n)], strict=True):
+            m = n[k:end]
             if not m.any():
                 continue
-            i = np.repeat(here[at : at + 4096], m)
-            j = np.repeat(run_end[at : at + 4096], m) + np.arange(len(i)) - np.repeat(np.cumsum(m) - m, m)
+            i = np.repeat(here[k:end], m)
+            j = np.repeat(run_end[k:end], m) + np.arange(len(i)) - np.repeat(np.cumsum(m) - m, m)
             may = (component[i] != component[j]) & (np.minimum(size[i] - place[i], size[j] - place[j]) >= _needed(similarity / (1 + similarity), size[i] + size[j]))
-            yield order[i[may]], order[j[may]]
+            if part is not None:
+                may &= (part[i] != part[j]) | (part[i] < 0)
+            i, j = i[may], j[may]
+            if sketches is not None and len(i):
+                may = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1) <= share * (size[i] + size[j]) + 1e-6
+                i, j = i[may], j[may]
+            yield order[i], order[j]
+
+
+#: Pairs that a task looks at at once, and rows of a shingle above which they are dealt out.
+PAIRS, HOT = 1 << 18, 1 << 14
 
 
 def _apart(rows: DataFrame, similarity: float, n: int) -> DataFrame:
-    """rows: prefixes with component, dealt out over n tasks. a and b: all pairs of different components that may have the similarity.
+    """rows: prefixes with component and sketch, dealt out over n tasks. a and b: all pairs of different components that may have the similarity.
 
     With the shingles of all texts in one order, rare ones first, two sets of that similarity share a shingle among the
-    first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap.
+    first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap, and
+    the sketches must allow it; so texts that share standard sentences are ruled out where they meet and not written.
+    Shingles of one component only have no such pair. A shingle with over HOT rows is cut in parts of that many, and each
+    two parts meet in a task of their own.
     """
 
     def run(batches):
-        parts = [[b.column(k).to_numpy(zero_copy_only=False) for k in range(5)] for b in batches]
-        if not parts:
-            return
-        h, node, component, size, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-        for i, j in cross_pairs(h, component, size, place, similarity):
-            a, b = node[i], node[j]
-            if len(a):
-                yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
-
-    dealt = rows.select("h", "node", "component", "size", "place").repartition(n, "h")
-    return materialize(dealt.mapInArrow(run, "a long, b long").distinct(), "apart")
+        def pairs(held):
+            h, node, component, size, place, words, part = (np.concatenate(x) for x in zip(*held, strict=True))
+            found = [(np.maximum(node[i], node[j]), np.minimum(node[i], node[j])) for i, j in cross_pairs(h, component, size, place, similarity, words, part) if len(i)]
+            if found:
+                a, b = np.unique(np.stack([np.concatenate(x) for x in zip(*found, strict=True)]), axis=1)
+                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        held, n, last = [], 0, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("group", "node", "component", "size", "place")]
+            words = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint64).reshape(b.num_rows, -1)
+            cols = [*cols, words, b.column("part").to_numpy()]
+            # Rows come sorted by group: once enough are held, they go as soon as the last group has ended.
+            cut = int(np.searchsorted(cols[0] != last, True)) if n > HOT else b.num_rows
+            if cut < b.num_rows:
+                held.append([x[:cut] for x in cols])
+                yield from pairs(held)
+                held, n, cols = [], 0, [x[cut:] for x in cols]
+            held.append(cols)
+            n, last = n + len(cols[0]), cols[0][-1]
+        if held:
+            yield from pairs(held)
+
+    group = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    group = materialize(group.select("h", F.ceil(F.col("n") / HOT).cast("int").alias("parts")), "mixed")
+    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    met = rows.join(group, "h").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    key = F.when(F.col("parts") == 1, F.col("h")).otherwise(F.xxhash64("h", F.least("mine", "other"), F.greatest("mine", "other")))
+    part = F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine"))
+    # Where two parts meet, rows of one part are not paired again; where a part meets itself, all are.
+    met = met.select(key.alias("group"), "node", "component", "size", "place", "sketch", part.alias("part"))
+    found = materialize(met.repartition(n, "group").sortWithinPartitions("group").mapInArrow(run, "a long, b long").distinct(), "apart")
+    discard(group)
+    return found
 
 
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY, crowd: int = CROWD, key: Column | None = None) -> DataFrame:
@@ -384,21 +439,27 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
     sets = materialize(_sets(of(nodes), _levels(texts, shingle), shingle, similarity), "sets")
 
     def alike(pairs: DataFrame) -> DataFrame:
-        pairs = _plausible(pairs, sets, similarity)
-        return _similar(pairs, of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), shingle, similarity)
+        may = _plausible(pairs, sets, similarity)
+        out = _similar(may, of(may.select(F.col("a").alias("node")).union(may.select("b")).distinct()), shingle, similarity)
+        discard(pairs)
+        discard(may)
+        return out
 
-    prefixes = sets.select("node", "size", F.posexplode("prefix").alias("place", "h"))
+    prefixes = sets.select("node", "size", "sketch", F.posexplode("prefix").alias("place", "h"))
     busy = prefixes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    held = materialize(prefixes.join(busy, "h").select("h", "node", "size", "place"), "prefixes")
+    held = materialize(prefixes.join(busy, "h").select("h", "node", "size", "place", "sketch"), "prefixes")
     heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
     same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
     first = alike(materialize(_heads(held), "pairs"))
     edges = materialize(first.unionAll(same).unionAll(links(heads, crowd)), "links")
     label = components(edges)
     named = held.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    edges = edges.unionAll(alike(_apart(named, similarity, partitions(held))))
-    label = nodes.join(components(edges), "node", "left").select("same", "fp", F.coalesce("component", "node").alias("component"))
-    return rows.select("doc_id", "key", "same", "fp").join(label, ["same", "fp"]).select("doc_id", "key", "component")
+    more = alike(_apart(named, similarity, partitions(held)))
+    for table in (held, sets):
+        discard(table)
+    found = label if more.isEmpty() else components(edges.unionAll(more))
+    label = nodes.join(found, "node", "left").select(F.struct("same", "fp").alias("text"), F.coalesce("component", "node").alias("component"))
+    return spread_join(rows.select("doc_id", "key", F.struct("same", "fp").alias("text")), label, "text", "key").select("doc_id", "key", "component")
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:

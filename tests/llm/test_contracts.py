@@ -584,6 +584,27 @@ def test_parities_never_rule_out_a_similar_pair():
     assert simhash.least_difference(a, b) > 6000 / 9
 
 
+def _forms(n, some, seed):
+    """Texts of so many out of 50 standard sentences."""
+    r = random.Random(seed)
+    sentences = [" ".join("".join(r.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(12)) for _ in range(50)]
+    return {k: " ".join(sentences[i] for i in sorted(r.sample(range(50), some))) for k in range(n)}
+
+
+def test_form_letters_make_few_proposals(spark, monkeypatch):
+    made = []
+    apart = simhash._apart
+    monkeypatch.setattr(simhash, "_apart", lambda *a: made.append(out := apart(*a)) or out)
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in _forms(600, 38, 4).items()], DOCS)
+    assert simhash.keep_first(docs).count() == 600 and made[0].count() < 20 * 600
+
+
+def test_hot_shingles_are_split_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT", 30)
+    monkeypatch.setattr(simhash, "PAIRS", 100)
+    _check_near(spark, _forms(150, 46, 5))
+
+
 def test_one_of_each_group_stays(spark):
     a, b = prose(300, 1), prose(300, 2)
     docs = spark.createDataFrame([(3, a, "en", "s", 1), (2, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1), (None, a, "en", "s", 1), (7, "", "en", "s", 0), (8, None, "en", "s", 0)], DOCS)
