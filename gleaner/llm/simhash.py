@@ -367,8 +367,8 @@ def cross_pairs(h, component, size, place, similarity: float, sketches=None, par
 PAIRS, HOT = 1 << 18, 1 << 14
 
 
-def _apart(rows: DataFrame, similarity: float, n: int) -> DataFrame:
-    """rows: prefixes with component and sketch, dealt out over n tasks. a and b: all pairs of different components that may have the similarity.
+def _apart(rows: DataFrame, sketches: DataFrame, similarity: float, n: int) -> DataFrame:
+    """rows: prefixes with component, dealt out over n tasks; sketches: node and sketch. a and b: all pairs of different components that may have the similarity.
 
     With the shingles of all texts in one order, rare ones first, two sets of that similarity share a shingle among the
     first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap, and
@@ -406,7 +406,8 @@ def _apart(rows: DataFrame, similarity: float, n: int) -> DataFrame:
     group = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     group = materialize(group.select("h", F.ceil(F.col("n") / HOT).cast("int").alias("parts")), "mixed")
     mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    met = rows.join(group, "h").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    # Only rows of shingles that join components get their sketch.
+    met = rows.join(group, "h").join(sketches, "node").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     key = F.when(F.col("parts") == 1, F.col("h")).otherwise(F.xxhash64("h", F.least("mine", "other"), F.greatest("mine", "other")))
     part = F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine"))
     # Where two parts meet, rows of one part are not paired again; where a part meets itself, all are.
@@ -445,16 +446,16 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
         discard(may)
         return out
 
-    prefixes = sets.select("node", "size", "sketch", F.posexplode("prefix").alias("place", "h"))
+    prefixes = sets.select("node", "size", F.posexplode("prefix").alias("place", "h"))
     busy = prefixes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    held = materialize(prefixes.join(busy, "h").select("h", "node", "size", "place", "sketch"), "prefixes")
+    held = materialize(prefixes.join(busy, "h").select("h", "node", "size", "place"), "prefixes")
     heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
     same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
     first = alike(materialize(_heads(held), "pairs"))
     edges = materialize(first.unionAll(same).unionAll(links(heads, crowd)), "links")
     label = components(edges)
     named = held.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = alike(_apart(named, similarity, partitions(held)))
+    more = alike(_apart(named, sets.select("node", "sketch"), similarity, partitions(held)))
     for table in (held, sets):
         discard(table)
     found = label if more.isEmpty() else components(edges.unionAll(more))
