@@ -128,11 +128,12 @@ def _passing(kind: str) -> Column:
 
 
 def _contexts(near: Column, after: Column) -> Column:
-    """Hashes of the last word and of the last two before the hit (none unless a blank separates them), and of the first behind it."""
+    """Patterns as sort and hash: 1 of the last word before the hit, 2 of the last two (none unless a blank separates them), 3 of the first behind it."""
     parts = words(F.lower(near))
     apart = near.rlike(BLANK + "$")
     one, two = F.get(parts, F.size(parts) - 1), F.get(parts, F.size(parts) - 2)
-    return F.array_compact(F.array(F.when(apart & one.isNotNull(), F.xxhash64(F.lit(1), F.xxhash64(one))), F.when(apart & two.isNotNull(), F.xxhash64(F.lit(2), F.xxhash64(two), F.xxhash64(one))), F.when(F.length(after) > 0, F.xxhash64(F.lit(3), F.xxhash64(F.lower(after))))))
+    made = [(apart & one.isNotNull(), 1, [F.xxhash64(one)]), (apart & two.isNotNull(), 2, [F.xxhash64(two), F.xxhash64(one)]), (F.length(after) > 0, 3, [F.xxhash64(F.lower(after))])]
+    return F.array_compact(F.array(*[F.when(there, F.struct(F.lit(k).alias("sort"), F.xxhash64(F.lit(k), *of).alias("pat"))) for there, k, of in made]))
 
 
 def _occurrences(found: DataFrame) -> DataFrame:
@@ -154,26 +155,43 @@ def _tag(kind: str):
 
 
 def _totals(docs: DataFrame, pats: DataFrame, small: bool) -> DataFrame:
-    """pat and total: how often its words stand in all texts."""
+    """pat and total: how often its words stand in all texts. Single words are counted before they meet the patterns, so no occurrence of a common word is a row of the join; pairs, which are too many to count all, meet a broadcast of the patterns first."""
     df = docs.select(F.transform(words(F.lower("text")), lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") > 0)
-    df = df.select("h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("i"))
-    here, before = F.get("h", F.col("i")), F.get("h", F.col("i") - 1)
-    df = df.select(F.explode(F.array(F.xxhash64(F.lit(1), here), F.when(before.isNotNull(), F.xxhash64(F.lit(2), before, here)), F.xxhash64(F.lit(3), here))).alias("pat"))
-    return df.join(F.broadcast(pats) if small else pats, "pat").groupBy("pat").agg(F.count("*").alias("total"))
+    ones = df.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("total"))
+    ones = ones.select(F.explode(F.array(F.xxhash64(F.lit(1), "h"), F.xxhash64(F.lit(3), "h"))).alias("pat"), "total")
+    pairs = df.select(F.explode(F.zip_with("h", F.slice("h", 2, F.greatest(F.size("h") - 1, F.lit(0))), lambda x, y: F.when(y.isNotNull(), F.xxhash64(F.lit(2), x, y)))).alias("pat")).where("pat is not null")
+    known = F.broadcast(pats) if small else pats
+    of_words = ones.join(known.where("sort <> 2"), "pat").select("pat", "total")
+    two = known.where("sort = 2").select("pat")
+    if pats.where("sort = 2").isEmpty():
+        return of_words
+    count = F.count("*").alias("total")
+    return of_words.unionByName(pairs.join(two, "pat").groupBy("pat").agg(count) if small else pairs.groupBy("pat").agg(count).join(two, "pat"))
 
 
 def discovered(docs: DataFrame, found: DataFrame, broadcast_patterns: int = BROADCAST_PATTERNS) -> DataFrame:
     """key, kind, start and end of the spans that the contexts add."""
     occ = materialize(_occurrences(found), "occurrences")
-    edges = occ.select("kind", "inst", "seed", F.explode("pats").alias("pat"))
+    edges = occ.select("kind", "inst", "seed", F.explode("pats").alias("x")).select("kind", "inst", "seed", "x.sort", "x.pat")
     # A pattern that too few instances of any sort stand in, or no candidate, can discover nothing in any round.
-    counted = edges.groupBy("kind", "pat", "inst", "seed").agg(F.count("*").alias("n"))
-    able = counted.groupBy("kind", "pat").agg(F.count_distinct("inst").alias("insts"), F.bool_and("seed").alias("seeds")).where((F.col("insts") >= MIN_SUPPORT) & ~F.col("seeds"))
-    able = materialize(able.select("kind", "pat"), "patterns")
-    pats = able.select("pat").distinct()
-    totals = materialize(_totals(docs, pats, pats.count() <= broadcast_patterns), "totals")
-    links = materialize(counted.join(able, ["kind", "pat"]).join(totals, "pat"), "graph")
-    seeds = occ.where("seed").select("kind", "inst").distinct().withColumn("score", F.lit(1.0))
+    counted = edges.groupBy("kind", "sort", "pat", "inst", "seed").agg(F.count("*").alias("n"))
+    able = counted.groupBy("kind", "sort", "pat").agg(F.count_distinct("inst").alias("insts"), F.bool_and("seed").alias("seeds"), F.sum("n").alias("n")).where((F.col("insts") >= MIN_SUPPORT) & ~F.col("seeds"))
+    able = materialize(able.select("kind", "sort", "pat", "n"), "patterns")
+    pats = able.select("sort", "pat").distinct()
+    n_pats = pats.count()
+    known = seeds = occ.where("seed").select("kind", "inst").distinct().withColumn("score", F.lit(1.0))
+    if n_pats:
+        totals = materialize(_totals(docs, pats, n_pats <= broadcast_patterns), "totals")
+        # Were all its instances known, a pattern's score would be n / total; one that stays under the bar then can't count in any round.
+        live = able.join(totals, "pat").where(F.col("n") >= PATTERN_SCORE * F.col("total")).select("kind", "pat", "total")
+        known = _scored(seeds, materialize(counted.join(live, ["kind", "pat"]), "graph"))
+    return occ.where("not seed").join(known.select("kind", "inst"), ["kind", "inst"], "left_semi").select("key", "kind", "start", "end").distinct()
+
+
+def _scored(seeds: DataFrame, links: DataFrame) -> DataFrame:
+    """kind, inst and score of what is known when the rounds end: the seeds and what the graph's patterns discover."""
+    if links.isEmpty():
+        return seeds
     known, mark = seeds, None
     for _ in range(MAX_ROUNDS):
         scored = links.join(known, ["kind", "inst"]).groupBy("kind", "pat").agg((F.sum(F.col("score") * F.col("n")) / F.max("total")).alias("p"), F.count_distinct("inst").alias("support"))
@@ -184,7 +202,7 @@ def discovered(docs: DataFrame, found: DataFrame, broadcast_patterns: int = BROA
         if state == mark:
             break
         mark = state
-    return occ.where("not seed").join(known.select("kind", "inst"), ["kind", "inst"], "left_semi").select("key", "kind", "start", "end").distinct()
+    return known
 
 
 def personal_data(docs: DataFrame, carry: list[str]) -> DataFrame:

@@ -135,6 +135,12 @@ def _pii_graph(texts):
         known = new
 
 
+def test_pii_other_spellings_of_seeds_without_patterns(spark):
+    docs = spark.createDataFrame([(1, "call +1 415 555 0100 now", "en", "a", 24), (2, "or (1)415.555.0100 then", "en", "a", 23)], DOCS)
+    got = pii.personal_data(docs, ["doc_id"]).select("row.doc_id", pii._joined("spans").alias("spans"))
+    assert {r["doc_id"]: r["spans"] for r in got.collect()} == {1: "phone:5:20", 2: "phone:3:18"}
+
+
 def test_pii_graph_is_the_plain_one(spark):
     """Long texts, contexts far from other matches, patterns that only discovered instances stand in, other spellings of seeds."""
     texts = {i: f"{prose(60 + i, i)} my address: user{i}@site.org thanks {prose(60, 900 + i)}" for i in range(70)}
