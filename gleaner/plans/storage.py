@@ -5,11 +5,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; a temporary folder is made only where it is unset and executors are threads of this process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -29,18 +35,65 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends here and no executor's loss undoes it."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _tables(df: DataFrame) -> set[str]:
+    return {f.rpartition("/")[0] for f in df.inputFiles() if "/gleaner/" in f}
+
+
 def discard(df: DataFrame) -> None:
     """Delete what materialize() wrote for df; only for frames that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/gleaner/" in file:
-            path = jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(df.sparkSession, _tables(df))
+
+
+def delete(spark: SparkSession, tables: set[str] | list[str]) -> None:
+    """Delete folders that materialize() wrote; what is gone already is left alone."""
+    for table in tables:
+        system, path = _folder(spark, table)
+        system.delete(path, True)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that materialize() writes in this block, those of blocks in it included."""
+    outer, own = _WRITTEN.get(), []
+    token = _WRITTEN.set(own)
+    try:
+        yield own
+    finally:
+        _WRITTEN.reset(token)
+        if outer is not None:
+            outer.extend(own)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables written in this block go at its end, but for those that the frames in the list read. After an error all stay."""
+    keep: list[DataFrame] = []
+    with recorded() as written:
+        yield keep
+        names = {table.rpartition("/")[2] for df in keep for table in _tables(df)}
+        delete(spark, [table for table in written if table.rpartition("/")[2] not in names])
+
+
+def written_after(df: DataFrame, tables: list[str]) -> bool:
+    """Whether df reads none of the tables, and files only that were written after all of these. False if df reads no files; tables that are gone say nothing."""
+    spark, names = df.sparkSession, {table.rpartition("/")[2] for table in tables}
+    files = df.inputFiles()
+    if not files or any(f.rpartition("/")[0].rpartition("/")[2] in names for f in files):
+        return False
+    stamps = [system.getFileStatus(path).getModificationTime() for system, path in (_folder(spark, t) for t in tables) if system.exists(path)]
+    folders = {f.rpartition("/")[0] for f in files}
+    return all(system.getFileStatus(path).getModificationTime() >= max(stamps, default=0) for system, path in (_folder(spark, f) for f in folders))
 
 
 def partitions(df: DataFrame, bytes_each: int = 32 << 20) -> int:
