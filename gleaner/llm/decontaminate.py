@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.texts import packed, read, row_key, words
-from gleaner.plans.storage import materialize
+from gleaner.plans.storage import materialize, scratch
 
 # Counted offsets of each mask.
 MASKS = [(0, 1, 2, 3, 5), (0, 1, 2, 5, 6), (0, 1, 3, 6, 7)]
@@ -84,7 +84,9 @@ def op10(spark, sf_dir: str) -> DataFrame:
 def drop_leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows in which no item leaks."""
     key = row_key(docs)
-    bad = materialize(leaks(docs, bench, key=key).select("key").distinct(), "leaks")
+    with scratch(docs.sparkSession) as keep:
+        bad = materialize(leaks(docs, bench, key=key).select("key").distinct(), "leaks")
+        keep.append(bad)
     return packed(docs, key).join(bad, "key", "left_anti").select("row.*")
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.texts import read, row_key, words
-from gleaner.plans.storage import materialize
+from gleaner.plans.storage import materialize, scratch
 
 # Kinds in their order, with the pattern of each.
 KINDS = {
@@ -208,7 +208,9 @@ def _scored(seeds: DataFrame, links: DataFrame) -> DataFrame:
 def personal_data(docs: DataFrame, carry: list[str]) -> DataFrame:
     """row, key, base (an array of kind, start and end, in order), spans (the same with what was discovered)."""
     found = materialize(base_spans(docs, carry), "pii")
-    more = materialize(discovered(docs, found).groupBy("key").agg(F.collect_list(F.struct(_order("kind").alias("k"), "kind", "start", "end")).alias("more")), "discovered")
+    with scratch(docs.sparkSession) as keep:
+        more = materialize(discovered(docs, found).groupBy("key").agg(F.collect_list(F.struct(_order("kind").alias("k"), "kind", "start", "end")).alias("more")), "discovered")
+        keep.append(more)
     more = F.broadcast(more) if (more.select(F.sum(F.size("more"))).first()[0] or 0) <= BROADCAST_SPANS else more
     base = F.concat(*[F.transform(kind, _plain(k, kind)) for k, kind in enumerate(KINDS)])
     out = found.join(more, "key", "left").withColumn("base", base)

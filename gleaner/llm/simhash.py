@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.hashes import Codes, Prefixes, codes
 from gleaner.llm.texts import packed, read, row_key
 from gleaner.plans.components import components, spread_join, with_group_min
-from gleaner.plans.storage import discard, materialize, partitions
+from gleaner.plans.storage import discard, materialize, partitions, scratch
 
 SEED = 42
 DISTANCE = 3
@@ -469,10 +469,11 @@ def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY
     Texts with fewer words than a shingle are compared by all their words; blank ones are copies of each other.
     """
     key = row_key(docs)
-    found = materialize(near_copies(docs, shingle, similarity, key=key), "components")
-    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("x"))
-    first = materialize(first.select("component", F.col("x.key").alias("key")), "kept")
+    with scratch(docs.sparkSession) as keep:
+        found = materialize(near_copies(docs, shingle, similarity, key=key), "components")
+        first = found.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("x"))
+        first = materialize(first.select("component", F.col("x.key").alias("key")), "kept")
+        repeats = not found.join(first, ["component", "key"]).groupBy("key").count().where("count > 1").isEmpty()
+        keep.append(first)
     kept = packed(docs, key).join(first.select("key"), "key", "left_semi")
-    if not found.join(first, ["component", "key"]).groupBy("key").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["key"])
-    return kept.select("row.*")
+    return (kept.dropDuplicates(["key"]) if repeats else kept).select("row.*")

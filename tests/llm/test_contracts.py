@@ -821,3 +821,17 @@ def test_pipeline_decides_as_its_parts(spark):
             assert set(after) == {r["doc_id"] for r in before}
     out = corpus_pipeline.run(spark, DATA)
     assert sorted(r["doc_id"] for r in out.select("doc_id").collect()) == sorted(after)
+
+
+def test_pipeline_frees_only_what_was_read_again(spark, tmp_path):
+    import corpus_pipeline
+
+    stages = [stage for _, stage in corpus_pipeline.STAGES]
+    source = corpus_pipeline.read(spark, DATA, "documents")
+    kept = stages[0](spark, source, DATA)
+    stages[1](spark, source, DATA)  # documents from before the first stage's tables
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    kept.write.parquet(str(tmp_path / "kept"))
+    stages[1](spark, spark.read.parquet(str(tmp_path / "kept")), DATA)
+    assert 0 not in corpus_pipeline._left and len(corpus_pipeline._left[1]) > 1
+    assert ids == {r["doc_id"] for r in spark.read.parquet(str(tmp_path / "kept")).select("doc_id").collect()}
