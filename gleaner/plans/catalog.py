@@ -669,3 +669,116 @@ def scrape_rejections(spark, d):
     """Pages as file pages: none of them has an asset, and each says so once."""
     pages = _read(spark, d, "pages").select(F.col("page_id").cast("string").alias("url"), "html", F.lit("none").alias("class_label"), F.current_timestamp().alias("fetched_at"))
     return html.scraped_records(pages).rejections.select("source_id", "reason_code")
+
+
+# Pages of a site, written from the given pages ----------------------------------------------------------------------
+BASE = "https://commons.example.org"
+HOST = "split_part(url, '/', 3)"
+
+
+def _of_kind(n: int, *cases: str) -> Column:
+    """The case of page_id % n, an SQL expression each."""
+    return F.expr(f"CASE CAST(page_id % {n} AS INT) " + " ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(cases)) + " END")
+
+
+def file_pages(spark: SparkSession, d: str) -> DataFrame:
+    """url, html, class_label and fetched_at: a file page for each page, whose image, boxes and author come in kinds dealt by page_id, between chrome that claims another licence."""
+    box = lambda inside: f'\'<div class="licensetpl">{inside}</div>\''
+    name = lambda x: box(f'<span class="licensetpl_short">{x}</span>')
+    deed = lambda x: box(f'<a href="{x}">deed</a>')
+    full = "concat('<div class=\"fullImageLink\"><a href=\"//up.example.org/a/', page_id, '.jpg\">full</a></div>')"
+    thumb = "concat('<div id=\"file\"><img src=\"https://up.example.org/thumb/a/ab/', page_id, '.png/220px-', page_id, '.png\"></div>')"
+    image = _of_kind(4, full, thumb, f"concat({thumb}, {full})", "''")
+    boxes = _of_kind(
+        5, "''", f"concat({deed('https://creativecommons.org/licenses/by-sa/3.0/')}, {name('CC BY-NC 2.0')})", f"concat({name('CC BY 2.5')}, {deed('//creativecommons.org/licenses/by/4.0/')})",
+        f"concat({deed('https://creativecommons.org/publicdomain/zero/1.0/')}, {deed('https://creativecommons.org/licenses/by-nd/2.0')})", box("This picture is in the public domain."),
+    )
+    labelled = f"concat('<table><tr><td id=\"fileinfotpl_aut\">Author</td><td> · ', {HOST}, '  by   the <b>press</b> VIAF 12</td></tr></table>')"
+    long = f"concat('<table><tr><th class=\"fileinfo-paramfield\">Photographer:</th><td>', repeat(concat({HOST}, ' '), 40), '</td></tr></table>')"
+    author = _of_kind(3, labelled, long, "''")
+    chrome = F.lit('<div id="footer"><div class="licensetpl"><span class="licensetpl_short">CC BY-NC-ND 1.0</span></div></div>')
+    page = F.concat(F.lit("<html><body>"), chrome, F.lit('<div id="mw-content-text">'), image, boxes, author, F.lit("</div></body></html>"))
+    url = F.concat(F.lit(f"{BASE}/wiki/File:A_file%20"), "page_id")
+    return _read(spark, d, "pages").select(url.alias("url"), page.alias("html"), F.lit("none").alias("class_label"), F.current_timestamp().alias("fetched_at"))
+
+
+FILES = f"""f AS (SELECT '{BASE}/wiki/File:A_file%20' || page_id AS source_id, 'A file ' || page_id AS title,
+  CASE page_id % 4 WHEN 1 THEN 'https://up.example.org/a/ab/' || page_id || '.png' WHEN 3 THEN NULL ELSE 'https://up.example.org/a/' || page_id || '.jpg' END AS image_url,
+  (['CC BY-NC 2.0', 'CC BY 2.5', 'by-nd-2.0', 'Public domain'])[nullif(page_id % 5, 0)] AS license_raw,
+  CASE WHEN page_id % 5 = 3 THEN 'https://creativecommons.org/licenses/by-nd/2.0' END AS license_url,
+  CASE page_id % 3 WHEN 0 THEN {HOST} || ' by the press' WHEN 1 THEN regexp_replace(substr(repeat({HOST} || ' ', 40), 1, 200), ' [^ ]*$', '') || '…' END AS attribution FROM pages)"""
+
+
+@query(f"WITH {FILES} SELECT * FROM f WHERE image_url IS NOT NULL AND license_raw IS NOT NULL")
+def file_page_records(spark, d):
+    """The most restrictive box of each file page, its image (full size, or from its preview), its author as a credit."""
+    return html.scraped_records(file_pages(spark, d)).kept.select("source_id", "title", "image_url", "license_raw", "license_url", "attribution")
+
+
+@query(f"WITH {FILES} SELECT source_id, CASE WHEN image_url IS NULL THEN 'MISSING_IMAGE_URL' ELSE 'MISSING_LICENSE' END AS reason_code FROM f WHERE image_url IS NULL OR license_raw IS NULL")
+def file_page_rejections(spark, d):
+    return html.scraped_records(file_pages(spark, d)).rejections.select("source_id", "reason_code")
+
+
+TAILS = [".jpg", ".PNG", ".txt", "%20b.tiff"]
+TOPICS = ["", "_by_year", "", "_by_country_and_date"]
+
+
+def _named(spark: SparkSession, d: str) -> DataFrame:
+    """page_id and names, the letters and digits of each of a page's links."""
+    links = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit('href="([^"]*)"'), F.lit(1))
+    return _read(spark, d, "pages").select("page_id", F.transform(links, lambda x: F.regexp_replace(x, "[^A-Za-z0-9]", "")).alias("names"))
+
+
+def _tailed(kind: str, tails: list[str]):
+    return lambda x, k: F.concat(F.lit(f"/wiki/{kind}:"), x, F.element_at(F.array(*map(F.lit, tails)), k % len(tails) + 1))
+
+
+def category_pages(spark: SparkSession, d: str) -> DataFrame:
+    """page_id, url, html: a category page for each page, whose links name files (in a gallery on even pages, elsewhere on the page on odd ones) and further categories."""
+    link = lambda href: F.concat(F.lit('<a href="'), href, F.lit('">x</a>'))
+    decoy = F.lit('<a href="/wiki/File:decoy.jpg">x</a>')
+    boxed = lambda href: F.concat(F.lit('<li class="gallerybox">'), link(href), decoy, F.lit("</li>"))
+    files = F.transform("names", _tailed("File", TAILS))
+    listed = F.when(F.col("page_id") % 2 == 0, F.array_join(F.transform(files, boxed), "")).otherwise(F.array_join(F.transform(files, link), ""))
+    topics = F.array_join(F.transform(F.transform("names", _tailed("Category", TOPICS)), link), "")
+    page = F.concat(F.lit("<html><body>"), decoy, F.lit('<div id="mw-subcategories">'), topics, F.lit('</div><div id="mw-content-text">'), listed, F.lit("</div></body></html>"))
+    return _named(spark, d).select("page_id", F.concat(F.lit(f"{BASE}/wiki/Category:"), F.coalesce(F.try_element_at("names", F.lit(1)), F.lit(""))).alias("url"), page.alias("html"))
+
+
+NAMED = """n AS (SELECT page_id, list_transform(regexp_extract_all(coalesce(html, ''), 'href="([^"]*)"', 1), lambda x: regexp_replace(x, '[^A-Za-z0-9]', '', 'g')) AS names FROM pages),
+x AS (SELECT page_id, names[1] AS own, unnest(names) AS name, unnest(range(len(names))) AS k FROM n)"""
+
+
+def _first_places(name: str, where: str) -> str:
+    """Distinct names of a page in the order of their first places."""
+    return f"SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY min(k)) - 1)::INT AS place, {name} AS name FROM x WHERE {where} GROUP BY page_id, {name}"
+
+
+@query(f"WITH {NAMED} {_first_places(f'{chr(39)}{BASE}/wiki/File:{chr(39)} || name || ' + _sql_dealt(TAILS, 'k'), 'k % 4 <> 2')}")
+def category_files(spark, d):
+    """Files that a category's page names, each once: the first link of a gallery's box, or all links in the content."""
+    return html.parse(category_pages(spark, d), BASE).select("page_id", F.posexplode("files").alias("place", "name"))
+
+
+@query(f"WITH {NAMED} {_first_places('name', 'k % 2 = 0 AND name <> own').replace('name AS name', chr(39) + 'Category:' + chr(39) + ' || name AS name')}")
+def category_subcategories(spark, d):
+    """Categories below, without the page itself and without those that only group others."""
+    return html.parse(category_pages(spark, d), BASE).select("page_id", F.posexplode("subcategories").alias("place", "name"))
+
+
+# Splits of marked rows, lines of the manifest -----------------------------------------------------------------------
+@query(f"""WITH {LINKED}, r AS (SELECT sha256, row_number() OVER (PARTITION BY class_label ORDER BY {SCORE}, sha256) AS p, count(*) OVER (PARTITION BY class_label) AS n FROM k WHERE duplicate_of IS NULL)
+SELECT k.sha256, CASE WHEN p IS NULL THEN NULL WHEN p <= CASE WHEN n > 1 THEN greatest(1, least(n - 1, round_even(n * 80 / 100.0, 0)::BIGINT)) ELSE n END THEN 'train' ELSE 'val' END AS split FROM k LEFT JOIN r USING (sha256)""")
+def split_with_duplicates(spark, d):
+    """All rows with their split; near duplicates have none."""
+    return curate.split_in_memory(_linked(spark, d)).select("sha256", "split")
+
+
+@query(f"""WITH {I}, m AS (SELECT row_number() OVER (ORDER BY class_label, split, sha256) AS place, to_json({{'path': relative_path, 'label': class_label, 'split': split, 'source': source, 'source_url': '', 'license': license, 'attribution': attribution,
+'checksum': {{'algorithm': 'sha256', 'value': sha256}}, 'width': width, 'height': height}})::VARCHAR AS item FROM i)
+SELECT CASE WHEN place = 1 THEN '    ' ELSE '  , ' END || item AS value FROM m""")
+def manifest_items(spark, d):
+    """Lines of the manifest's images."""
+    lines = export.manifest_lines(export.dataset_rows(images(spark, d)), {"schema_version": export.VERSION})
+    return lines.where(F.col("value").rlike(r"^(    |  , )\{"))
