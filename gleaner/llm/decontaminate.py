@@ -5,12 +5,15 @@ the offsets of a span that count; the others are ignored, so a substituted word
 position of every document and of every benchmark item is hashed under each mask and the hashes are joined. A hit
 puts the item's whole length on one diagonal of the document; hits are reduced to distinct diagonals, the words there
 are compared one to one, and the item leaks if some WINDOW words in a row (the whole item, if shorter) agree in SHARE of
-their places.
+their places; items of EXACT words or fewer have to agree in all.
 
 The masks reach every stretch of WINDOW words, and every item of 10 to 12, in which any two words are substituted, and
-no mask touches more than four of the five residues modulo 5, so a passage with every fifth word replaced still hits.
-Items of 6 to 9 words may have a word substituted where some mask leaves it out.
-Items that are shorter than a mask's span are hashed as wholes, so exact copies of them are found.
+every item of 8 or 9 with one. Items of fewer words are met by their first and last RUN words, one of which a
+substitution leaves whole. So all leaks by the rule above are found.
+
+A seed that many items share, such as a common prompt, meets every document that holds it. Each seed therefore
+carries four bits of every word up to WINDOW - 1 places before and after it, and two seeds join only if those bits
+agree in enough places of some WINDOW around: what can't leak is no row. Bits of equal words agree, so no leak is lost.
 
 The benchmark's hashes are broadcast only after they were counted and are BROADCAST_SEEDS at most; beyond that they are
 joined by hash. Only documents that were hit are read again, with their words, for the comparison.
@@ -21,6 +24,8 @@ nothing; repeated documents or items give one pair; a null id is an id; other co
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,25 +34,61 @@ from gleaner.plans.storage import materialize, scratch
 
 # Counted offsets of each mask.
 MASKS = [(0, 1, 2, 3, 5), (0, 1, 2, 5, 6), (0, 1, 3, 6, 7)]
-# Lengths of items that are hashed as wholes; shorter ones match nothing.
-WHOLE = [4, 5]
+#: Items of fewer words are met by runs instead of masks.
+MASKED = 8
+RUN = 3
 MIN_ITEM = 4
+EXACT = 5
 WINDOW = 13
 SHARE = 0.8
-#: Seed rows (24 bytes each) up to which they are broadcast.
+#: Seed rows (56 bytes each) up to which they are broadcast.
 BROADCAST_SEEDS = 1_000_000
+#: Bits of a word's place in a context: four of its hash, or one that says that there is no word.
+BITS = 5
+LOWEST = sum(1 << BITS * k for k in range(WINDOW - 1))
+NO_WORD, NO_ITEM_WORD = 16, 17
 
 
 def _hashed_words(text: str) -> Column:
     return F.transform(words(F.lower(F.col(text))), lambda w: F.xxhash64(w))
 
 
-def _seeds(df: DataFrame, hashes: str, keep: list[str], whole: list[int]) -> DataFrame:
-    """keep, at (from 0) and seed: a row per position and mask; whole: lengths of whole items, which are masks without gaps."""
+def _needed(n: Column) -> Column:
+    """Places that have to agree in a window of an item of n words."""
+    return F.when(n <= EXACT, n).otherwise(F.ceil(SHARE * F.least(F.lit(WINDOW), n))).cast("int")
+
+
+def _context(hashes: str, outside: int) -> tuple[Column, Column]:
+    """Bits of the WINDOW - 1 words before a place and after it, the first of them lowest."""
+
+    def packed_bits(first: int) -> Column:
+        parts = [F.shiftleft(F.coalesce(F.get(F.col(hashes), F.col("at") + first + k).bitwiseAND(F.lit(15)), F.lit(outside)).cast("long"), BITS * k) for k in range(WINDOW - 1)]
+        return reduce(Column.bitwiseOR, parts)
+
+    return packed_bits(1 - WINDOW), packed_bits(1)
+
+
+def _may_agree(need: Column) -> Column:
+    """Whether the contexts of two equal seeds agree in enough places of a window that holds the seeds' first word."""
+
+    def same(a: str, b: str) -> Column:
+        x = F.col(a).bitwiseXOR(F.col(b))
+        return F.bitwise_not(reduce(Column.bitwiseOR, [F.shiftright(x, k) for k in range(BITS)])).bitwiseAND(F.lit(LOWEST))
+
+    low = lambda k: LOWEST & ((1 << BITS * k) - 1)
+    before, after = same("before", "item_before"), same("after", "item_after")
+    around = [F.bit_count(before.bitwiseAND(F.lit(LOWEST ^ low(WINDOW - 1 - k)))) + F.bit_count(after.bitwiseAND(F.lit(low(WINDOW - 1 - k)))) for k in range(WINDOW)]
+    return F.greatest(*around) + 1 >= need
+
+
+def _seeds(df: DataFrame, hashes: str, keep: list[str], outside: int, runs: Column | None, masked: Column | None = None) -> DataFrame:
+    """keep, at (from 0), before, after and seed: a row for each position and mask, where masked, and for each run, where runs."""
     df = df.where(F.size(hashes) > 0).select(*keep, hashes, F.explode(F.sequence(F.lit(0), F.size(hashes) - 1)).alias("at"))
-    masks = [(k, mask) for k, mask in enumerate(MASKS)] + [(-n, tuple(range(n))) for n in whole]
-    of_mask = [F.when(F.col("at") + max(mask) < F.size(hashes), F.xxhash64(F.lit(k), *[F.get(F.col(hashes), F.col("at") + o) for o in mask])) for k, mask in masks]
-    return df.select(*keep, "at", F.explode(F.array(*of_mask)).alias("seed")).where("seed is not null")
+    masks = [(k, mask, masked) for k, mask in enumerate(MASKS)] + ([] if runs is None else [(-1, tuple(range(RUN)), runs)])
+    there = lambda mask, also: (F.col("at") + max(mask) < F.size(hashes)) & (F.lit(True) if also is None else also)
+    of_mask = [F.when(there(mask, also), F.xxhash64(F.lit(k), *[F.get(F.col(hashes), F.col("at") + o) for o in mask])) for k, mask, also in masks]
+    before, after = _context(hashes, outside)
+    return df.select(*keep, "at", before.alias("before"), after.alias("after"), F.explode(F.array(*of_mask)).alias("seed")).where("seed is not null")
 
 
 def _equal(own: str, item: str, shift: str) -> Column:
@@ -58,13 +99,17 @@ def _equal(own: str, item: str, shift: str) -> Column:
 def leaks(docs: DataFrame, bench: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS, key: Column | None = None) -> DataFrame:
     """key (of the document's row), doc_id, item_id, n_equal (places that agree on the best diagonal), n_item (words of the item)."""
     items = materialize(bench.select("item_id", _hashed_words("text").alias("item")).where(F.size("item") >= MIN_ITEM).distinct(), "items")
-    whole = [n for n in WHOLE if not items.where(F.size("item") == n).isEmpty()]
-    of_item = _seeds(items, "item", ["item_id"], whole).select("item_id", F.col("at").alias("item_at"), "seed")
+    n = F.size("item")
+    short = not items.where(n < MASKED).isEmpty()
+    ends = (n < MASKED) & ((F.col("at") == 0) | (F.col("at") == n - RUN))
+    of_item = _seeds(items.withColumn("need", _needed(n)), "item", ["item_id", "need"], NO_ITEM_WORD, ends, n >= MASKED)
+    of_item = of_item.withColumnsRenamed({"at": "item_at", "before": "item_before", "after": "item_after"})
     seeds = materialize(of_item.distinct(), "seeds")
     small = seeds.count() <= broadcast_seeds
     key = row_key(docs) if key is None else key
     own = docs.select(key.alias("key"), "doc_id", _hashed_words("text").alias("own"))
-    hits = _seeds(own, "own", ["key"], whole).join(F.broadcast(seeds) if small else seeds, "seed")
+    of_doc = _seeds(own, "own", ["key"], NO_WORD, F.lit(True) if short else None).withColumnRenamed("seed", "_seed")
+    hits = of_doc.join(F.broadcast(seeds) if small else seeds, (F.col("_seed") == F.col("seed")) & _may_agree(F.col("need")))
     hits = materialize(hits.select("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
     named = items.withColumnRenamed("item_id", "_id")
     texts = docs.select(key.alias("key"), "doc_id", "text").join(hits.select("key").distinct(), "key", "left_semi")
@@ -72,7 +117,7 @@ def leaks(docs: DataFrame, bench: DataFrame, broadcast_seeds: int = BROADCAST_SE
     win = F.least(F.lit(WINDOW), F.size("equal"))
     best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("equal") - win + 1), lambda i: F.aggregate(F.slice("equal", i, win), F.lit(0), lambda a, x: a + x)))
     found = hits.select("key", "doc_id", "item_id", F.size("item").alias("n_item"), _equal("own", "item", "shift").alias("equal"))
-    found = found.withColumn("n_equal", F.aggregate("equal", F.lit(0), lambda a, x: a + x)).where(best >= F.ceil(SHARE * win))
+    found = found.withColumn("n_equal", F.aggregate("equal", F.lit(0), lambda a, x: a + x)).where(best >= _needed(F.size("equal")))
     return found.groupBy("key", "doc_id", "item_id").agg(F.max("n_equal").alias("n_equal"), F.max("n_item").alias("n_item"))
 
 
@@ -90,24 +135,20 @@ def drop_leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
     return packed(docs, key).join(bad, "key", "left_anti").select("row.*")
 
 
-def _sql_seeds(table: str, words: str, keep: str) -> str:
-    masks = [(k, m) for k, m in enumerate(MASKS)] + [(-n, range(n)) for n in WHOLE]
-    picked = lambda m: " || ' ' || ".join(f"{words}[pos + {o + 1}]" for o in m)
-    parts = [f"SELECT {keep}, pos, '{k}:' || {picked(m)} AS seed FROM {table} WHERE pos + {max(m)} < len({words})" for k, m in masks]
-    return " UNION ALL ".join(parts)
-
-
+# Independent of masks: on a leaking diagonal some RUN words in a row agree, whatever is substituted.
+_RUN_SQL = " || ' ' || ".join(f"w[pos + {o + 1}]" for o in range(RUN))
 OP10_SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS own FROM documents),
-i AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS item FROM benchmark WHERE len(regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+')) >= {MIN_ITEM}),
-dp AS (SELECT r, own, unnest(range(0, len(own))) AS pos FROM d WHERE len(own) > 0),
-ip AS (SELECT item_id, item, unnest(range(0, len(item))) AS pos FROM i),
-ds AS ({_sql_seeds("dp", "own", "r")}),
-js AS ({_sql_seeds("ip", "item", "item_id, item")}),
-h AS (SELECT DISTINCT r, item_id, item, ds.pos - js.pos AS shift FROM ds JOIN js ON ds.seed = js.seed),
-e AS (SELECT d.doc_id, h.item_id, len(item) AS n_item, list_transform(range(0, len(item)), lambda k:
-    CASE WHEN shift + k >= 0 AND shift + k < len(own) AND own[shift + k + 1] = item[k + 1] THEN 1 ELSE 0 END) AS equal FROM h JOIN d ON h.r = d.r),
-b AS (SELECT *, least({WINDOW}, n_item) AS win FROM e),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS q, * FROM (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark) WHERE len(w) >= {MIN_ITEM}),
+ip AS (SELECT q, w, unnest(range(0, len(w) - {RUN - 1})) AS pos FROM i),
+js AS (SELECT q, pos, {_RUN_SQL} AS run FROM ip),
+dp AS (SELECT r, w, unnest(range(0, len(w) - {RUN - 1})) AS pos FROM d),
+ds AS (SELECT r, pos, {_RUN_SQL} AS run FROM dp),
+h AS (SELECT DISTINCT r, q, ds.pos - js.pos AS shift FROM ds JOIN js USING (run)),
+e AS (SELECT d.doc_id, i.item_id, len(i.w) AS n_item, list_transform(range(0, len(i.w)), lambda k:
+    CASE WHEN shift + k >= 0 AND shift + k < len(d.w) AND d.w[shift + k + 1] = i.w[k + 1] THEN 1 ELSE 0 END) AS equal FROM h JOIN d USING (r) JOIN i USING (q)),
+b AS (SELECT *, least({WINDOW}, n_item) AS win FROM e WHERE list_sum(equal) >= {MIN_ITEM}),
 f AS (SELECT *, list_max(list_transform(range(1, n_item - win + 2), lambda k: list_sum(equal[k:k + win - 1]))) AS best FROM b)
-SELECT doc_id, item_id, max(list_sum(equal))::BIGINT AS n_equal, max(n_item)::BIGINT AS n_item FROM f WHERE best >= ceil({SHARE} * win) GROUP BY doc_id, item_id
+SELECT doc_id, item_id, max(list_sum(equal))::BIGINT AS n_equal, max(n_item)::BIGINT AS n_item FROM f
+WHERE best >= CASE WHEN n_item <= {EXACT} THEN n_item ELSE ceil({SHARE} * win) END GROUP BY doc_id, item_id
 """

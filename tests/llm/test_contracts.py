@@ -758,6 +758,7 @@ def test_masks_reach_every_pair_of_substitutions():
 
     whole = lambda n, bad: any(not {p + o for o in m} & set(bad) for m in decontaminate.MASKS for p in range(n - max(m)))
     assert all(whole(n, bad) for n in (10, 11, 12, 13) for bad in combinations(range(n), 2))
+    assert all(whole(n, [bad]) for n in range(decontaminate.MASKED, 10) for bad in range(n))
     assert all(len({o % 5 for o in m}) < 5 for m in decontaminate.MASKS)
 
 
@@ -792,6 +793,39 @@ def test_leaks(spark, broadcast):
     assert got == want and {(300 + k, k) for k in range(6)} <= got and not {i for i, _ in got} & set(range(20))
 
 
+def test_leaks_of_short_items_with_any_word_substituted(spark):
+    items = [(n, prose(n, 1100 + n)) for n in range(4, 14)]
+    made = []
+    for n, text in items:
+        for k in range(n):
+            w = text.split()
+            w[k] = "zz"
+            made += [(1000 * n + 2 * k, f"{prose(8, k)} {' '.join(w)} {prose(5, k + 40)}"), (1000 * n + 2 * k + 1, " ".join(w[1:] if k == 0 else w[:-1] if k == n - 1 else w))]
+    docs, bench = spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == _leaks(made, items) and {(1000 * n + j, n) for n in range(6, 14) for j in range(2 * n)} <= got
+
+
+@pytest.mark.parametrize("broadcast", [decontaminate.BROADCAST_SEEDS, -1])
+def test_a_common_prompt_makes_few_hits(spark, monkeypatch, broadcast):
+    prompt = "which of the following statements about it is true"
+    items = [(k, f"{prompt} {prose(25, 2000 + k)}") for k in range(40)]
+    made = [(k, f"{prose(20, 3000 + k)} {prompt} {prose(20, 4000 + k)}") for k in range(60)]
+    w = items[7][1].split()
+    made += [(100, " ".join([*w[:10], "zz", "zz", *w[12:13]])), (101, " ".join([*w[:9], "zz", *w[10:12], "zz", "zz"]))]
+    rows, kept = {}, decontaminate.materialize
+
+    def counted(df, name):
+        out = kept(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(decontaminate, "materialize", counted)
+    docs, bench = spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench, broadcast).collect()}
+    assert got == _leaks(made, items) and {(100, 7), (101, 7)} <= got and rows["hits"] < 62 * 40 // 10
+
+
 # The pipeline -------------------------------------------------------------------------------------------------------
 def test_pipeline_decides_as_its_parts(spark):
     import corpus_pipeline
