@@ -12,8 +12,8 @@ every item of 8 or 9 with one. Items of fewer words are met by their first and l
 substitution leaves whole. So all leaks by the rule above are found.
 
 A seed that many items share, such as a common prompt, meets every document that holds it. Each seed therefore
-carries four bits of every word up to WINDOW - 1 places before and after it, and two seeds join only if those bits
-agree in enough places of some WINDOW around: what can't leak is no row. Bits of equal words agree, so no leak is lost.
+carries seven bits of every word up to WINDOW - 1 places before and after it, and two seeds join only if those agree in
+as many places as a window of the item needs. Bits of equal words agree, so no leak is lost.
 
 The benchmark's hashes are broadcast only after they were counted and are BROADCAST_SEEDS at most; beyond that they are
 joined by hash. Only documents that were hit are read again, with their words, for the comparison.
@@ -41,12 +41,12 @@ MIN_ITEM = 4
 EXACT = 5
 WINDOW = 13
 SHARE = 0.8
-#: Seed rows (56 bytes each) up to which they are broadcast.
+#: Seed rows (50 bytes each) up to which they are broadcast.
 BROADCAST_SEEDS = 1_000_000
-#: Bits of a word's place in a context: four of its hash, or one that says that there is no word.
-BITS = 5
-LOWEST = sum(1 << BITS * k for k in range(WINDOW - 1))
-NO_WORD, NO_ITEM_WORD = 16, 17
+#: A byte of a context where there is no word; those of words are 80 or more.
+NO_WORD, NO_ITEM_WORD = "00", "01"
+#: Words of a context that are compared at once: 25 words are five parts, each a positive long.
+AT_ONCE = 5
 
 
 def _hashed_words(text: str) -> Column:
@@ -58,37 +58,34 @@ def _needed(n: Column) -> Column:
     return F.when(n <= EXACT, n).otherwise(F.ceil(SHARE * F.least(F.lit(WINDOW), n))).cast("int")
 
 
-def _context(hashes: str, outside: int) -> tuple[Column, Column]:
-    """Bits of the WINDOW - 1 words before a place and after it, the first of them lowest."""
+def _signature(hashes: str, outside: str) -> Column:
+    """A byte for each word, between WINDOW - 1 bytes that stand for none."""
+    edge = F.lit(outside * (WINDOW - 1))
+    return F.unhex(F.concat(edge, F.array_join(F.transform(F.col(hashes), lambda h: F.hex(h.bitwiseAND(F.lit(127)).bitwiseOR(F.lit(128)))), ""), edge))
 
-    def packed_bits(first: int) -> Column:
-        parts = [F.shiftleft(F.coalesce(F.get(F.col(hashes), F.col("at") + first + k).bitwiseAND(F.lit(15)), F.lit(outside)).cast("long"), BITS * k) for k in range(WINDOW - 1)]
-        return reduce(Column.bitwiseOR, parts)
 
-    return packed_bits(1 - WINDOW), packed_bits(1)
+def _may_agree() -> Column:
+    """Whether the contexts of two equal seeds agree in as many places as a window of the item needs."""
+    part = lambda c, k: F.conv(F.substring(F.hex(c), 2 * k + 1, 2 * AT_ONCE), 16, 10).cast("long")
+    differ = F.array(*[part("around", k).bitwiseXOR(part("item_around", k)) for k in range(0, 2 * WINDOW - 1, AT_ONCE)])
+    lowest = sum(1 << 8 * k for k in range(AT_ONCE))
 
+    def agreeing(x: Column) -> Column:
+        any_bit = reduce(Column.bitwiseOR, [F.shiftright(x, k) for k in range(8)])
+        return AT_ONCE - F.bit_count(any_bit.bitwiseAND(F.lit(lowest)))
 
-def _may_agree(need: Column) -> Column:
-    """Whether the contexts of two equal seeds agree in enough places of a window that holds the seeds' first word."""
+    return F.aggregate(differ, F.lit(0), lambda n, x: n + agreeing(x)) >= F.col("need")
 
-    def same(a: str, b: str) -> Column:
-        x = F.col(a).bitwiseXOR(F.col(b))
-        return F.bitwise_not(reduce(Column.bitwiseOR, [F.shiftright(x, k) for k in range(BITS)])).bitwiseAND(F.lit(LOWEST))
 
-    low = lambda k: LOWEST & ((1 << BITS * k) - 1)
-    before, after = same("before", "item_before"), same("after", "item_after")
-    around = [F.bit_count(before.bitwiseAND(F.lit(LOWEST ^ low(WINDOW - 1 - k)))) + F.bit_count(after.bitwiseAND(F.lit(low(WINDOW - 1 - k)))) for k in range(WINDOW)]
-    return F.greatest(*around) + 1 >= need
-
-
-def _seeds(df: DataFrame, hashes: str, keep: list[str], outside: int, runs: Column | None, masked: Column | None = None) -> DataFrame:
-    """keep, at (from 0), before, after and seed: a row for each position and mask, where masked, and for each run, where runs."""
-    df = df.where(F.size(hashes) > 0).select(*keep, hashes, F.explode(F.sequence(F.lit(0), F.size(hashes) - 1)).alias("at"))
+def _seeds(df: DataFrame, hashes: str, keep: list[str], outside: str, runs: Column | None, masked: Column | None = None) -> DataFrame:
+    """keep, at (from 0), around and seed: a row for each position and mask, where masked, and for each run, where runs."""
+    df = df.where(F.size(hashes) > 0).select(*keep, hashes, _signature(hashes, outside).alias("signature"))
+    df = df.select("*", F.explode(F.sequence(F.lit(0), F.size(hashes) - 1)).alias("at"))
     masks = [(k, mask, masked) for k, mask in enumerate(MASKS)] + ([] if runs is None else [(-1, tuple(range(RUN)), runs)])
     there = lambda mask, also: (F.col("at") + max(mask) < F.size(hashes)) & (F.lit(True) if also is None else also)
     of_mask = [F.when(there(mask, also), F.xxhash64(F.lit(k), *[F.get(F.col(hashes), F.col("at") + o) for o in mask])) for k, mask, also in masks]
-    before, after = _context(hashes, outside)
-    return df.select(*keep, "at", before.alias("before"), after.alias("after"), F.explode(F.array(*of_mask)).alias("seed")).where("seed is not null")
+    around = F.substring("signature", F.col("at") + 1, F.lit(2 * WINDOW - 1))
+    return df.select(*keep, "at", around.alias("around"), F.explode(F.array(*of_mask)).alias("seed")).where("seed is not null")
 
 
 def _equal(own: str, item: str, shift: str) -> Column:
@@ -103,13 +100,13 @@ def leaks(docs: DataFrame, bench: DataFrame, broadcast_seeds: int = BROADCAST_SE
     short = not items.where(n < MASKED).isEmpty()
     ends = (n < MASKED) & ((F.col("at") == 0) | (F.col("at") == n - RUN))
     of_item = _seeds(items.withColumn("need", _needed(n)), "item", ["item_id", "need"], NO_ITEM_WORD, ends, n >= MASKED)
-    of_item = of_item.withColumnsRenamed({"at": "item_at", "before": "item_before", "after": "item_after"})
+    of_item = of_item.withColumnsRenamed({"at": "item_at", "around": "item_around"})
     seeds = materialize(of_item.distinct(), "seeds")
     small = seeds.count() <= broadcast_seeds
     key = row_key(docs) if key is None else key
     own = docs.select(key.alias("key"), "doc_id", _hashed_words("text").alias("own"))
     of_doc = _seeds(own, "own", ["key"], NO_WORD, F.lit(True) if short else None).withColumnRenamed("seed", "_seed")
-    hits = of_doc.join(F.broadcast(seeds) if small else seeds, (F.col("_seed") == F.col("seed")) & _may_agree(F.col("need")))
+    hits = of_doc.join(F.broadcast(seeds) if small else seeds, (F.col("_seed") == F.col("seed")) & _may_agree())
     hits = materialize(hits.select("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
     named = items.withColumnRenamed("item_id", "_id")
     texts = docs.select(key.alias("key"), "doc_id", "text").join(hits.select("key").distinct(), "key", "left_semi")
