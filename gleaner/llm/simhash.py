@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.hashes import Codes, Prefixes, codes
 from gleaner.llm.texts import packed, read, row_key
 from gleaner.plans.components import components, spread_join, with_group_min
-from gleaner.plans.storage import discard, materialize, partitions, scratch
+from gleaner.plans.storage import discard, materialize, partitions, scratch, shuffled
 
 SEED = 42
 DISTANCE = 3
@@ -117,7 +117,7 @@ def _pairs(rows: DataFrame) -> DataFrame:
     own = rows.where("near = 0").select("key", F.col("fp").alias("fa"), F.col("node").alias("a"))
     all_ = rows.select("key", "near", F.col("fp").alias("fb"), F.col("node").alias("b"))
     return (
-        own.join(all_, "key")
+        own.join(shuffled(all_), "key")
         .where((F.col("fa") != F.col("fb")) & ((F.col("near") == 1) | (F.col("fa") < F.col("fb"))))
         .where(F.col("near") + _third("fa", "fb") <= 2)
         .where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= DISTANCE)
@@ -139,14 +139,14 @@ def _hubs(rows: DataFrame) -> DataFrame:
     at = rows.withColumn("rest", rest).select("key", "near", "node", "rest", F.explode(masks).alias("mask"))
     at = at.select("key", F.col("rest").bitwiseXOR(F.col("mask")).alias("hub"), "node", ((F.col("near") == 0) & (F.bit_count("mask") <= 1)).alias("core"))
     centre = at.where("core").groupBy("key", "hub").agg(F.min("node").alias("centre"))
-    return at.join(centre, ["key", "hub"]).where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    return at.join(shuffled(centre), ["key", "hub"]).where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
 
 
 def links(nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
     """nodes: fp and node, one row per fingerprint. a and b of links that connect whatever is within DISTANCE."""
     rows = _keys(nodes)
     busy = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("near").alias("least")).where("n > 1 and least = 0")
-    rows = materialize(rows.join(busy.select("key", "n"), "key"), "keys")
+    rows = materialize(rows.join(shuffled(busy.select("key", "n")), "key"), "keys")
     return _pairs(rows.where(F.col("n") <= crowd)).unionAll(_hubs(rows.where(F.col("n") > crowd)))
 
 
@@ -156,11 +156,11 @@ def simhash_components(docs: DataFrame, shingle: int = 3, crowd: int = CROWD) ->
     nodes = materialize(fps.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("node")), "nodes")
     if nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         found = components(links(nodes, crowd))
-        to = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component")).withColumn("least", F.col("component"))
+        to = nodes.join(shuffled(found), "node", "left").select("fp", F.coalesce("component", "node").alias("component")).withColumn("least", F.col("component"))
     else:  # an id stands for several texts, so nodes go by their fingerprint
         found = components(links(nodes.select("fp", F.col("fp").alias("node")), crowd))
-        named = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        to = named.join(named.groupBy("component").agg(F.min("node").alias("least")), "component").select("fp", "component", "least")
+        named = nodes.join(shuffled(found.withColumnRenamed("node", "fp")), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        to = named.join(shuffled(named.groupBy("component").agg(F.min("node").alias("least"))), "component").select("fp", "component", "least")
     return spread_join(fps, to, "fp", "key").select("doc_id", "key", "fp", "component", F.nullif(F.col("least"), F.lit(NO_ID)).alias("component_id"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gleaner.plans.storage import discard, materialize
+from gleaner.plans.storage import discard, materialize, shuffled
 
 #: Links of a node up to which they are read by one task.
 HEAVY = 1000
@@ -23,11 +23,11 @@ SALTS = 64
 def with_group_min(rows: DataFrame, key: str, value, spread: str, salts: int = SALTS) -> DataFrame:
     """rows with least, the minimum of value over all rows of the same key; spread: a column by whose hash a key's rows are dealt out. With one salt it is one aggregate and one join."""
     if salts == 1:
-        return rows.join(rows.groupBy(key).agg(F.min(value).alias("least")), key)
+        return rows.join(shuffled(rows.groupBy(key).agg(F.min(value).alias("least"))), key)
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     of_salt = rows.groupBy(key, "_salt").agg(F.min(value).alias("least"))
     of_key = of_salt.withColumn("least", F.min("least").over(W.partitionBy(key)))
-    return rows.join(of_key, [key, "_salt"]).drop("_salt")
+    return rows.join(shuffled(of_key), [key, "_salt"]).drop("_salt")
 
 
 #: Keys with more than HEAVY rows up to which they are broadcast.

@@ -869,3 +869,11 @@ def test_pipeline_frees_only_what_was_read_again(spark, tmp_path):
     stages[1](spark, spark.read.parquet(str(tmp_path / "kept")), DATA)
     assert 0 not in corpus_pipeline._left and len(corpus_pipeline._left[1]) > 1
     assert ids == {r["doc_id"] for r in spark.read.parquet(str(tmp_path / "kept")).select("doc_id").collect()}
+
+
+def test_op7_broadcasts_no_keys(spark):
+    """Keys are 30 times the rows that Spark takes them for; the driver must not hold them."""
+    nodes = spark.range(500).select(F.xxhash64("id").alias("fp"), F.col("id").alias("node"))
+    for crowd in (96, 1):
+        plan = simhash.links(nodes, crowd)._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
