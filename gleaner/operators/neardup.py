@@ -13,12 +13,14 @@ component, however large.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.config import Dedupe
 from gleaner.operators.stage import StageResult, rejection
-from gleaner.plans.storage import discard, materialize
+from gleaner.plans.storage import discard, materialize, shuffled
 
 
 #: Codes that share a key up to which they are compared with each other.
@@ -64,32 +66,38 @@ def meeting(own: DataFrame, all_: DataFrame, distance: int, crowd: int | None =
     d = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
     mine = own.where("near = 0").select("part", "value", F.col("code").alias("x"))
     theirs = all_.select("part", "value", F.col("code").alias("y"))
-    n = theirs.groupBy("part", "value").agg(F.count("*").alias("n")).join(mine.groupBy("part", "value").agg(F.count("*").alias("m")), ["part", "value"])
+    n = theirs.groupBy("part", "value").agg(F.count("*").alias("n")).join(shuffled(mine.groupBy("part", "value").agg(F.count("*").alias("m"))), ["part", "value"])
     busy = materialize(n.where(F.col("n") * F.col("m") > crowd * crowd).select("part", "value"), "crowded")
     if busy.isEmpty():
-        pairs = mine.join(theirs, ["part", "value"])
+        pairs = mine.join(shuffled(theirs), ["part", "value"])
     else:
-        again = []
-        for k, bits in enumerate(segments(distance)):
-            rest = [b for b in range(64) if b not in set(bits)]
-            if not rest:
-                again.append(mine.join(busy, ["part", "value"], "left_semi").join(theirs, ["part", "value"]).select("x", "y"))
-                continue
-            at = lambda rows, c: rows.where(F.col("part") == k).join(busy, ["part", "value"], "left_semi").select("value", c, F.explode(_keys(F.col(c), rest, distance)).alias("k2"))  # noqa: B023, E731
-            first = at(mine, "x").where("k2.near = 0").select("value", "x", "k2.part", F.col("k2.value").alias("v2"))
-            second = at(theirs, "y").select("value", "y", "k2.part", F.col("k2.value").alias("v2"))
-            flipped_first = at(mine, "x").where("k2.near = 1").select("value", "x", "k2.part", F.col("k2.value").alias("v2"))
-            flipped_second = at(theirs, "y").where("k2.near = 0").select("value", "y", "k2.part", F.col("k2.value").alias("v2"))
-            for f, s in ((first, second), (flipped_first, flipped_second)):
-                again.append(f.join(s, ["value", "part", "v2"]).select("x", "y"))
+        hot = lambda rows, c: materialize(rows.join(busy, ["part", "value"], "left_semi").select("part", "value", c), "crowded")
+        again = _second_keys(hot(mine, "x"), hot(theirs, "y"), distance)
         calm = lambda rows: rows.join(busy, ["part", "value"], "left_anti")
-        pairs = calm(mine).join(calm(theirs), ["part", "value"]).select("x", "y")
-        for more in again:
-            pairs = pairs.unionAll(more)
+        pairs = calm(mine).join(shuffled(calm(theirs)), ["part", "value"]).select("x", "y").unionAll(again)
     found = pairs.where("x <> y").where(d <= distance)
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), d.alias("d")).distinct()
 
 
+def _second_keys(mine: DataFrame, theirs: DataFrame, distance: int) -> DataFrame:
+    """mine and theirs: part, value and code (x, y) of crowded keys. x and y of all that meet under a second key, one of them its own."""
+    if distance < 2:  # one part of all bits leaves none open
+        return mine.join(shuffled(theirs), ["part", "value"]).select("x", "y")
+
+    def again(rows: DataFrame, c: str) -> DataFrame:
+        each = []
+        for k, bits in enumerate(segments(distance)):
+            rest = [b for b in range(64) if b not in set(bits)]
+            each.append(rows.where(F.col("part") == k).select("part", "value", c, F.explode(_keys(F.col(c), rest, distance)).alias("k2")))
+        return reduce(DataFrame.unionAll, each).select("part", "value", c, F.col("k2.part").alias("p2"), F.col("k2.value").alias("v2"), "k2.near")
+
+    x, y = again(mine, "x"), again(theirs, "y")
+    own, flipped = (x.where(F.col("near") == n).drop("near") for n in (0, 1))
+    key = ["part", "value", "p2", "v2"]
+    own = own.join(shuffled(y.drop("near")), key).select("x", "y")
+    return own.unionAll(flipped.join(shuffled(y.where("near = 0").drop("near")), key).select("x", "y"))
+
+
 def hamming_codes(codes: DataFrame, distance: int) -> DataFrame:
     """codes: longs. a < b and d of all pairs of distinct codes within the distance."""
     rows = filed(codes.select("code").distinct(), distance)
@@ -103,7 +111,7 @@ def hamming_pairs(df: DataFrame, id_: str, code: str, distance: int) -> DataFram
     both = near.unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")).unionAll(rows.select(F.col("code").alias("a"), F.col("code").alias("b"), F.lit(0).alias("d")).distinct())
     left = rows.select(F.col("id").alias("id_a"), F.col("code").alias("a"))
     right = rows.select(F.col("id").alias("id_b"), F.col("code").alias("b"))
-    return left.join(both, "a").join(right, "b").where("id_a < id_b").select("id_a", "id_b", F.col("d").cast("long").alias("distance"))
+    return left.join(shuffled(both), "a").join(shuffled(right), "b").where("id_a < id_b").select("id_a", "id_b", F.col("d").cast("long").alias("distance"))
 
 
 def best_match(df: DataFrame, index: DataFrame, id_: str, code: str, distance: int, order: str) -> DataFrame:
@@ -113,7 +121,7 @@ def best_match(df: DataFrame, index: DataFrame, id_: str, code: str, distance: i
     codes = rows.select(F.col("a").alias("code")).union(held.select("b")).where("code is not null").distinct()
     near = hamming_codes(codes, distance)
     near = near.unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")).unionAll(codes.select(F.col("code").alias("a"), F.col("code").alias("b"), F.lit(0).alias("d")))
-    found = rows.join(near, "a").join(held, "b").where("id <> match")
+    found = rows.join(shuffled(near), "a").join(shuffled(held), "b").where("id <> match")
     best = found.groupBy("id").agg(F.min(F.struct("d", "pos", "match")).alias("m"))
     return best.select("id", "m.match", F.col("m.d").cast("long").alias("distance"))
 
@@ -211,9 +219,9 @@ def mark(images: DataFrame, stored: DataFrame | None, cfg: Dedupe = Dedupe(), ne
 
     todo = materialize(_deciding(rows, held.select(F.col("old").alias("sha256"))), "deciding")
     at = lambda node, code: todo.select(F.col("sha256").alias(node), F.col("code").alias(code), F.col("place").alias(f"{node}_place"))
-    by_new = reach.join(at("later", "a"), "a").join(at("earlier", "b"), "b").where("earlier_place < later_place").select("later", "earlier", "d")
+    by_new = reach.join(shuffled(at("later", "a")), "a").join(shuffled(at("earlier", "b")), "b").where("earlier_place < later_place").select("later", "earlier", "d")
     larger = (F.col("pixels") > F.col("old_pixels")) & F.lit(cfg.keep == "highest_resolution")
-    by_stored = todo.withColumnRenamed("code", "a").join(reach, "a").join(held.withColumnRenamed("code", "b"), "b").where("sha256 <> old")
+    by_stored = todo.withColumnRenamed("code", "a").join(shuffled(reach), "a").join(shuffled(held.withColumnRenamed("code", "b")), "b").where("sha256 <> old")
     by_stored = by_stored.select("sha256", "place", "old", "slot", "d", larger.alias("takes"))
     state = _settled(todo, materialize(by_new, "earlier"), materialize(by_stored, "beside"))
 
@@ -224,7 +232,7 @@ def mark(images: DataFrame, stored: DataFrame | None, cfg: Dedupe = Dedupe(), ne
     entries = holding.select(F.col("sha256").alias("holder"), F.col("code").alias("b"), "slot", F.col("place").alias("since"), nowhere.alias("until"))
     entries = entries.unionByName(held.join(gone, "old", "left").select(F.col("old").alias("holder"), F.col("code").alias("b"), "slot", nowhere.alias("since"), "until"))
     here = (F.col("since").isNull() | (F.col("since") < F.col("place"))) & (F.col("until").isNull() | (F.col("until") >= F.col("place"))) & (F.col("holder") != F.col("sha256"))
-    found = rows.withColumnRenamed("code", "a").join(reach, "a").join(entries, "b").where(here)
+    found = rows.withColumnRenamed("code", "a").join(shuffled(reach), "a").join(shuffled(entries), "b").where(here)
     found = found.groupBy("sha256").agg(F.min(F.struct("d", "slot", "holder")).alias("m"))
     told = rows.select("sha256").distinct().join(found, "sha256", "left").join(state.select("sha256", "status"), "sha256", "left")
     told = told.withColumn("status", F.coalesce("status", F.lit("marked")))

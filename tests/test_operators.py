@@ -330,3 +330,22 @@ def test_codes_in_batches_equal_all_at_once(spark, tmp_path, monkeypatch):
     assert {tuple(x) for x in index.pairs().collect()} == want
     some = {x["code"] for x in parts[0].collect()}
     assert {tuple(x) for x in index.pairs(parts[0]).collect()} == {p for p in want if p[0] in some or p[1] in some}
+
+
+def test_keys_of_codes_are_not_broadcast(spark):
+    """A code has some 40 keys, and as many second ones for each, while Spark takes them for as few as the codes."""
+    codes = spark.range(300).select(F.xxhash64("id").alias("code"))
+    rows = neardup.filed(codes, 16)
+    hot = [rows.select("part", "value", F.col("code").alias(c)) for c in "xy"]
+    for pairs in (neardup.meeting(rows, rows, 16), neardup._second_keys(*hot, 16)):
+        plan = pairs._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_second_keys_lose_no_pair(spark):
+    codes = [(k * 0x9E3779B97F4A7C15 >> 7) % 2**40 for k in range(1, 120)] + [5, 6, 7, 2**63 - 1]
+    for distance in (1, 4, 16):
+        rows = neardup.filed(spark.createDataFrame([(c,) for c in codes], "code long"), distance)
+        found = {tuple(r) for r in neardup.meeting(rows, rows, distance, crowd=1).collect()}
+        near = {(a, b, (a ^ b).bit_count()) for a in codes for b in codes if a < b and (a ^ b).bit_count() <= distance}
+        assert found == near
