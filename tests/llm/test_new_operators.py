@@ -213,3 +213,19 @@ def test_no_rows(spark):
     assert ivfpq.search(ivfpq.usable(one), ivfpq.index(ivfpq.usable(one))).collect() == []
     ids = hard_negatives.integer_rows(one)
     assert hard_negatives.mined(ids, ids).collect() == []
+
+
+def test_op13_recall_on_other_rows(spark):
+    """Queries that lie apart from a table of tight clusters, and components whose squares overflow in single precision."""
+    random = np.random.default_rng(1)
+    n, width = 3000, 16
+    x = random.normal(size=(150, width))[random.integers(0, 150, n)] + 0.02 * random.normal(size=(n, width))
+    x[::20] = random.normal(size=(n // 20, width))
+    for v in (x, x * 1e25):
+        rows = ivfpq.usable(spark.createDataFrame([(i, v[i].tolist(), 0) for i in range(n)], EMBEDDINGS))
+        queries = rows.where("id % 20 = 0")
+        got = {(r["query_id"], r["vec_id"]) for r in ivfpq.search(queries, ivfpq.index(rows, queries=queries)).collect()}
+        scores = v[::20] @ v.T
+        scores[np.arange(n // 20), np.arange(0, n, 20)] = -np.inf
+        true = {(20 * q, int(i)) for q, s in enumerate(scores) for i in np.argsort(-s)[:20]}
+        assert len(got & true) >= 0.95 * len(true)
