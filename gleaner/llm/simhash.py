@@ -407,7 +407,7 @@ def _apart(rows: DataFrame, sketches: DataFrame, similarity: float, n: int) -> D
     group = materialize(group.select("h", F.ceil(F.col("n") / HOT).cast("int").alias("parts")), "mixed")
     mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # Only rows of shingles that join components get their sketch.
-    met = rows.join(group, "h").join(sketches, "node").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = rows.join(shuffled(group), "h").join(shuffled(sketches), "node").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     key = F.when(F.col("parts") == 1, F.col("h")).otherwise(F.xxhash64("h", F.least("mine", "other"), F.greatest("mine", "other")))
     part = F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine"))
     # Where two parts meet, rows of one part are not paired again; where a part meets itself, all are.
@@ -448,18 +448,18 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
 
     prefixes = sets.select("node", "size", F.posexplode("prefix").alias("place", "h"))
     busy = prefixes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    held = materialize(prefixes.join(busy, "h").select("h", "node", "size", "place"), "prefixes")
+    held = materialize(prefixes.join(shuffled(busy), "h").select("h", "node", "size", "place"), "prefixes")
     heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
     same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
     first = alike(materialize(_heads(held), "pairs"))
     edges = materialize(first.unionAll(same).unionAll(links(heads, crowd)), "links")
     label = components(edges)
-    named = held.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = held.join(shuffled(label), "node", "left").withColumn("component", F.coalesce("component", "node"))
     more = alike(_apart(named, sets.select("node", "sketch"), similarity, partitions(held)))
     for table in (held, sets):
         discard(table)
     found = label if more.isEmpty() else components(edges.unionAll(more))
-    label = nodes.join(found, "node", "left").select(F.struct("same", "fp").alias("text"), F.coalesce("component", "node").alias("component"))
+    label = nodes.join(shuffled(found), "node", "left").select(F.struct("same", "fp").alias("text"), F.coalesce("component", "node").alias("component"))
     return spread_join(rows.select("doc_id", "key", F.struct("same", "fp").alias("text")), label, "text", "key").select("doc_id", "key", "component")
 
 

@@ -877,3 +877,12 @@ def test_op7_broadcasts_no_keys(spark):
     for crowd in (96, 1):
         plan = simhash.links(nodes, crowd)._jdf.queryExecution().toString()
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_near_copies_broadcast_no_prefixes(spark, monkeypatch):
+    """Rows of shingles are many times the texts that Spark takes them for."""
+    plans, write = {}, simhash.materialize
+    monkeypatch.setattr(simhash, "materialize", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().toString()) and None or write(df, name))
+    docs = spark.createDataFrame([(k, f"one two three four five six seven {k // 2} and {k // 3} more") for k in range(30)], "doc_id long, text string")
+    assert simhash.near_copies(docs).count() == 30
+    assert all("BroadcastHashJoin" not in plans[name] for name in ("prefixes", "pairs", "keys"))
