@@ -242,6 +242,40 @@ def test_recall_of_edited_passages(spark):
     assert all(c == i for i, c in got.items() if i < 100000), "quotes are no passages"
 
 
+def test_passages_of_common_seeds(spark):
+    """Every stretch of 24 words of a passage stands in ten texts with smaller ids, so each of its seeds, with either context, has a first holder that is neither of the two texts that share the passage."""
+    rows, pairs = [], []
+    for p in range(12):
+        base = prose(56, 7000 + p).split()
+        edited = [w if k % 14 != 9 else f"edit{p}x{k}" for k, w in enumerate(base)]
+        for at in range(0, 33, 4):
+            for source in (base, edited):
+                rows += [(len(rows) + z, f"{prose(30, 8000 + len(rows) + z)} {' '.join(source[at : at + 24])} {prose(30, 20000 + len(rows) + z)}") for z in range(10)]
+        pairs.append((90000 + 2 * p, 90001 + 2 * p))
+        rows += [(i, f"{prose(50, 40000 + i)} {' '.join(t)} {prose(50, 60000 + i)}") for i, t in zip(pairs[-1], (base, edited), strict=True)]
+    got = {r["doc_id"]: r["class_id"] for r in chaining.passage_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert all(got[a] == got[b] == a for a, b in pairs)
+    assert all(c == i for i, c in got.items() if i < 90000)
+
+
+def test_reach_equals_growth():
+    """Many pairs at once against one pair's growth: never shorter, so no pair is ruled out that grows far enough."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(2, 12, (300, 64)).astype(np.uint16)
+    y = np.where(rng.random((300, 64)) < rng.random((300, 1)), x, rng.integers(2, 12, (300, 64))).astype(np.uint16)
+    for k in range(0, 300, 3):
+        y[k, 20:] = y[k, 18:-2].copy()
+    sizes = rng.integers(0, 65, 300)
+    for k in range(300):
+        x[k, sizes[k] :] = 0
+        y[k, sizes[-k - 1] :] = 1
+    far = chaining.reach(x, y)
+    for k in range(300):
+        i, _ = chaining.grown(x[k][x[k] > 0].astype(np.uint32), y[k][y[k] > 1].astype(np.uint32), 1)
+        assert far[k] >= i
+    assert (far < 64).any()
+
+
 def test_growth_past_edits():
     """The banded alignment against all alignments of all beginnings."""
     r = random.Random(12)
