@@ -269,7 +269,7 @@ def test_reach_equals_growth():
     for k in range(300):
         x[k, sizes[k] :] = 0
         y[k, sizes[-k - 1] :] = 1
-    far = chaining.reach(x, y)
+    far = chaining.reach(x.T, y.T)
     for k in range(300):
         i, _ = chaining.grown(x[k][x[k] > 0].astype(np.uint32), y[k][y[k] > 1].astype(np.uint32), 1)
         assert far[k] >= i
