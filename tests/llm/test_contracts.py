@@ -920,3 +920,11 @@ def test_near_copies_broadcast_no_prefixes(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"one two three four five six seven {k // 2} and {k // 3} more") for k in range(30)], "doc_id long, text string")
     assert simhash.near_copies(docs).count() == 30
     assert all("BroadcastHashJoin" not in plans[name] for name in ("prefixes", "pairs", "keys"))
+
+
+def test_base32_of_digests_is_computed_once(spark):
+    """Against the standard library, and the plan names the hash once: each of 32 letters took a digest of its own where Spark repeats an expression."""
+    texts = ["", "a", "é" * 300, "\r\n\r\n"] + [prose(20, k) for k in range(40)]
+    df = spark.createDataFrame([(t,) for t in texts], "html string").select("html", warc.base32_sha1(F.col("html")).alias("d"))
+    assert all(r["d"] == base64.b32encode(hashlib.sha1(r["html"].encode()).digest()).decode() for r in df.collect())
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("sha1(") == 1
