@@ -195,6 +195,15 @@ def ids_of(words: np.ndarray, own: np.ndarray) -> np.ndarray:
     return out
 
 
+def counted(text: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """text (ascending), word and times of each word in each text, texts and then words ascending."""
+    order = np.argsort(word, kind="stable")
+    order = order[np.argsort(text[order], kind="stable")]
+    text, word = text[order], word[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(word), 1), bool), (text[1:] != text[:-1]) | (word[1:] != word[:-1]))))
+    return text[first], word[first], np.diff(np.append(first, len(word)))
+
+
 def untrained(docs: DataFrame) -> Model:
     """The vocabulary of docs with the initial network."""
     counts = materialize(word_counts(docs), "words")
@@ -216,28 +225,36 @@ def encoded(docs: DataFrame, model: Model) -> DataFrame:
     order = np.argsort(word)
     held = spark.sparkContext.broadcast((model.own, model.totals, word[order], n[order]))
 
-    def run(batches):
+    def rows_of(keys: list, texts: list[np.ndarray]) -> pa.RecordBatch:
         own, totals, common, n = held.value
+        words = np.concatenate([np.zeros(0, np.uint64), *texts])
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ids = ids_of(words, own)
+        far = np.flatnonzero(ids >= OWN)
+        text, word, times = counted(np.repeat(np.arange(len(texts)), sizes)[far], words[far])
+        at = np.minimum(np.searchsorted(common, word), max(len(common) - 1, 0))
+        known = common[at] == word if len(common) else np.zeros(len(word), bool)
+        logs = times[known] * np.log(n[at[known]] / totals[(word[known] % np.uint64(RARE)).astype(int)])
+        share = np.bincount(text[known], weights=logs, minlength=len(texts)).astype(float)
+        ends = np.cumsum(np.bincount(text[~known], minlength=len(texts)))
+        left = pa.StructArray.from_arrays([pa.array(word[~known].view(np.int64)), pa.array(times[~known].astype(np.int32))], names=["word", "n"])
+        rare = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), left)
+        raw, bounds = ids.astype("<i2").tobytes(), [0, *(2 * np.cumsum(sizes)).tolist()]
+        cells = pa.array([raw[s:e] for s, e in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+        return pa.record_batch([*keys, pa.array(sizes), cells, pa.array(share), rare], names=["doc_id", "key", "order", "n_tokens", "ids", "share", "rare"])
+
+    def run(batches):
         memory = Codes()
         for b in batches:
-            out = []
-            for i in range(b.num_rows):
-                words = codes(b.column(3)[i].as_py(), memory)
-                ids = ids_of(words, own)
-                distinct, times = np.unique(words[ids >= OWN], return_counts=True)
-                at = np.minimum(np.searchsorted(common, distinct), max(len(common) - 1, 0))
-                known = common[at] == distinct if len(common) else np.zeros(len(distinct), bool)
-                share = (times[known] * np.log(n[at[known]] / totals[(distinct[known] % np.uint64(RARE)).astype(int)])).sum() if known.any() else 0.0
-                left = [{"word": w, "n": k} for w, k in zip(distinct[~known].view(np.int64).tolist(), times[~known].tolist(), strict=True)]
-                out.append({"doc_id": b.column(0)[i].as_py(), "key": b.column(1)[i].as_py(), "order": b.column(2)[i].as_py(), "n_tokens": len(ids), "ids": ids.astype("<i2").tobytes(), "share": float(share), "rare": left})
-                if len(out) >= 512:
-                    yield pa.RecordBatch.from_pylist(out, schema=schema)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
+            start, texts, held_words = 0, [], 0
+            for i, text in enumerate(b.column(3)):
+                texts.append(codes(text.as_py(), memory))
+                held_words += len(texts[-1])
+                if held_words >= TOKENS // 8 or i == b.num_rows - 1:
+                    part = b.slice(start, i + 1 - start)
+                    yield rows_of([part.column(k) for k in range(3)], texts)
+                    start, texts, held_words = i + 1, [], 0
 
-    rare = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int32())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("order", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("share", pa.float64()), ("rare", rare)])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.xxhash64("text").alias("order"), F.col("text").cast("string").alias("text"))
     return materialize(rows.mapInArrow(run, "doc_id long, key long, order long, n_tokens long, ids binary, share double, rare array<struct<word:long,n:int>>"), "ids")
 

@@ -928,3 +928,14 @@ def test_base32_of_digests_is_computed_once(spark):
     df = spark.createDataFrame([(t,) for t in texts], "html string").select("html", warc.base32_sha1(F.col("html")).alias("d"))
     assert all(r["d"] == base64.b32encode(hashlib.sha1(r["html"].encode()).digest()).decode() for r in df.collect())
     assert df._jdf.queryExecution().optimizedPlan().toString().count("sha1(") == 1
+
+
+def test_words_of_texts_are_counted_together():
+    """Many texts at once against each by itself, as the model's encoding counts them."""
+    rng = np.random.default_rng(3)
+    text = np.sort(rng.integers(0, 20, 500))
+    word = rng.integers(0, 2**64, 30, dtype=np.uint64)[rng.integers(0, 30, 500)]
+    got = list(zip(*(x.tolist() for x in pseudo_likelihood.counted(text, word)), strict=True))
+    want = [(k, w, n) for k in np.unique(text).tolist() for w, n in zip(*(x.tolist() for x in np.unique(word[text == k], return_counts=True)), strict=True)]
+    assert got == want
+    assert [len(x) for x in pseudo_likelihood.counted(text[:0], word[:0])] == [0, 0, 0]
