@@ -939,3 +939,15 @@ def test_words_of_texts_are_counted_together():
     want = [(k, w, n) for k in np.unique(text).tolist() for w, n in zip(*(x.tolist() for x in np.unique(word[text == k], return_counts=True)), strict=True)]
     assert got == want
     assert [len(x) for x in pseudo_likelihood.counted(text[:0], word[:0])] == [0, 0, 0]
+
+
+def test_busy_keys_meet_their_row_once(spark):
+    """Keys with over two rows are dealt out; every row meets its key's one row, others none."""
+    from gleaner.plans.components import spread_join
+
+    rows = spark.createDataFrame([(k, i) for k, n in ((1, 9), (2, 2), (3, 5), (4, 1)) for i in range(n)], "k long, i long")
+    table = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 5)], "name string, k long")
+    got = sorted((r["k"], r["i"], r["name"]) for r in spread_join(rows, table, "k", "i", heavy=2, salts=4).collect())
+    assert got == [(k, i, name) for k, n, name in ((1, 9, "a"), (2, 2, "b"), (3, 5, "c")) for i in range(n)]
+    joined = spread_join(rows, table, "k", "i", heavy=2, salts=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count("LeftOuter") == 1, "only rows are flagged, the table is not"
