@@ -19,8 +19,8 @@ one path. Rows grow with the members, not with their pairs.
 near_copies() is the wider form that the pipeline takes: it also links texts whose sets of five-word shingles have a
 Jaccard similarity of 0.8 or more. A prefix filter on the shingles (rare ones first) proposes them, first each text
 with one other for each shingle, then all that is left between the components found so far. Parities of the sets rule out
-most proposals: a sketch of 256 bits where two rows meet, a bit or two for each shingle before texts are joined; the sets
-themselves decide.
+most proposals: where two rows meet a sketch of 256 bits and then half a bit or more for each shingle, a bit or two for
+each before texts are joined; the sets themselves decide.
 
 Components are then found on distinct fingerprints; copies share theirs and are never expanded into pairs.
 
@@ -39,10 +39,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.hashes import Codes, Prefixes, codes
+from gleaner.llm.hashes import Prefixes, coded
 from gleaner.llm.texts import packed, read, row_key
 from gleaner.plans.components import components, spread_join, with_group_min
-from gleaner.plans.storage import discard, materialize, partitions, scratch, shuffled
+from gleaner.plans.storage import discard, free_shuffles, materialize, partitions, scratch, shuffled
 
 SEED = 42
 DISTANCE = 3
@@ -212,9 +212,8 @@ def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
 BUCKET_BITS = 20
 
 
-def _shingle_set(text: str | None, shingle: int, memory: Codes) -> np.ndarray:
-    """Distinct hashes of shingles; all words are one if they are fewer."""
-    words = codes(text, memory)
+def _shingle_set(words: np.ndarray, shingle: int) -> np.ndarray:
+    """Distinct hashes of shingles of words (their codes); all words are one if they are fewer."""
     if not len(words):
         return np.zeros(0, np.uint64)
     at = np.arange(max(len(words) - shingle + 1, 1))
@@ -226,9 +225,9 @@ def _levels(texts: DataFrame, shingle: int) -> np.ndarray:
     shift = np.uint64(64 - BUCKET_BITS)
 
     def run(batches):
-        held, memory = np.zeros(1 << BUCKET_BITS, np.int64), Codes()
+        held = np.zeros(1 << BUCKET_BITS, np.int64)
         for b in batches:
-            found = [_shingle_set(t, shingle, memory) >> shift for t in b.column(0).to_pylist()]
+            found = [_shingle_set(words, shingle) >> shift for words in coded(b.column(0))]
             held += np.bincount(np.concatenate([np.zeros(0, np.uint64), *found]).astype(np.int64), minlength=len(held))
         busy = np.flatnonzero(held > 8 + 4 * held.mean())
         yield pa.record_batch([pa.array(busy.astype(np.int32)), pa.array(held[busy])], names=["bucket", "n"])
@@ -267,23 +266,63 @@ def sketch(bits: bytes) -> bytes:
     return np.bitwise_xor.reduce(v.reshape(-1, SKETCH), axis=0).tobytes() if len(v) >= SKETCH else bits + bytes(SKETCH - len(v))
 
 
+#: Bytes of parities above which they are folded once to travel. Half a bit for each shingle still tells large sets apart.
+FOLDED = 64
+
+
+def travelling(bits: bytes) -> bytes:
+    """Parities that grow with the set, from half a bit a shingle, as they travel with every shingle of a prefix."""
+    v = np.frombuffer(bits, np.uint8)
+    return np.bitwise_xor.reduce(v.reshape(2, -1), axis=0).tobytes() if len(v) > FOLDED else bits
+
+
+class Parities:
+    """Parities of many sets (a power of two of bytes each, SKETCH or more), and how far pairs of them differ at least."""
+
+    def __init__(self, cells: list[bytes]):
+        self.words = np.frombuffer(b"".join(cells), np.uint64)
+        self.width = np.array([len(x) // 8 for x in cells], np.int64)
+        self.start = np.cumsum(self.width) - self.width
+
+    def folded(self, rows: np.ndarray, width: int, to: int) -> np.ndarray:
+        """Rows of one width, folded to a smaller one."""
+        return np.bitwise_xor.reduce(self.words[self.start[rows][:, None] + np.arange(width)].reshape(len(rows), -1, to), axis=1)
+
+    def sketches(self) -> np.ndarray:
+        out = np.empty((len(self.width), SKETCH // 8), np.uint64)
+        for w in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == w)
+            out[at] = self.folded(at, w, SKETCH // 8)
+        return out
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.empty(len(i), np.int64)
+        m, n = self.width[i], self.width[j]
+        for x, y in {(*p,) for p in np.unique(np.stack((m, n), axis=1), axis=0).tolist()}:
+            at = np.flatnonzero((m == x) & (n == y))
+            for k in range(0, len(at), step := max(1, PAIRS // max(x, y))):
+                some = at[k : k + step]
+                out[some] = np.bitwise_count(self.folded(i[some], x, min(x, y)) ^ self.folded(j[some], y, min(x, y))).sum(axis=1)
+        return out
+
+
 def _sets(texts: DataFrame, levels: np.ndarray, shingle: int, similarity: float) -> DataFrame:
     """texts: node and text. node, size (of the set of shingles), bits (their parities), sketch and prefix (hashes in the filter's order) of each text."""
     held = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
-        memory, shift = Codes(), np.uint64(64 - BUCKET_BITS)
+        shift = np.uint64(64 - BUCKET_BITS)
         for b in batches:
             found, sizes, bits = [np.zeros(0, np.uint64)], [], []
-            for i in range(b.num_rows):
-                h = _shingle_set(b.column(1)[i].as_py(), shingle, memory)
+            for words in coded(b.column(1)):
+                h = _shingle_set(words, shingle)
                 h = h[np.lexsort((h, held.value[(h >> shift).astype(np.int64)]))]
                 sizes.append(len(h))
                 bits.append(parity_bits(h))
                 found.append(h[: len(h) - int(_needed(similarity, len(h))) + 1])
             offsets = np.cumsum([0, *map(len, found[1:])], dtype=np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int64)))
-            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), pa.array(map(sketch, bits), pa.binary()), prefix], names=["node", "size", "bits", "sketch", "prefix"])
+            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), pa.array(map(travelling, bits), pa.binary()), prefix], names=["node", "size", "bits", "sketch", "prefix"])
 
     return texts.select("node", "text").mapInArrow(run, "node long, size int, bits binary, sketch binary, prefix array<long>")
 
@@ -372,15 +411,23 @@ def _apart(rows: DataFrame, sketches: DataFrame, similarity: float, n: int) -> D
 
     With the shingles of all texts in one order, rare ones first, two sets of that similarity share a shingle among the
     first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap, and
-    the sketches must allow it; so texts that share standard sentences are ruled out where they meet and not written.
+    the parities must allow it, a sketch of fixed size first; so texts that share standard sentences, and long ones that
+    share some shingle by chance, are ruled out where they meet and not written.
     Shingles of one component only have no such pair. A shingle with over HOT rows is cut in parts of that many, and each
     two parts meet in a task of their own.
     """
 
+    share = (1 - similarity) / (1 + similarity)
+
     def run(batches):
         def pairs(held):
-            h, node, component, size, place, words, part = (np.concatenate(x) for x in zip(*held, strict=True))
-            found = [(np.maximum(node[i], node[j]), np.minimum(node[i], node[j])) for i, j in cross_pairs(h, component, size, place, similarity, words, part) if len(i)]
+            h, node, component, size, place, cells, part = (np.concatenate(x) for x in zip(*held, strict=True))
+            bits, found = Parities(cells.tolist()), []
+            for i, j in cross_pairs(h, component, size, place, similarity, bits.sketches(), part):
+                may = bits.apart(i, j) <= share * (size[i].astype(np.int64) + size[j]) + 1e-6
+                if may.any():
+                    i, j = i[may], j[may]
+                    found.append((np.maximum(node[i], node[j]), np.minimum(node[i], node[j])))
             if found:
                 a, b = np.unique(np.stack([np.concatenate(x) for x in zip(*found, strict=True)]), axis=1)
                 yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -390,8 +437,7 @@ def _apart(rows: DataFrame, sketches: DataFrame, similarity: float, n: int) -> D
             if not b.num_rows:
                 continue
             cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("group", "node", "component", "size", "place")]
-            words = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint64).reshape(b.num_rows, -1)
-            cols = [*cols, words, b.column("part").to_numpy()]
+            cols = [*cols, b.column("sketch").to_numpy(zero_copy_only=False), b.column("part").to_numpy()]
             # Rows come sorted by group: once enough are held, they go as soon as the last group has ended.
             cut = int(np.searchsorted(cols[0] != last, True)) if n > HOT else b.num_rows
             if cut < b.num_rows:
@@ -444,11 +490,13 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
         out = _similar(may, of(may.select(F.col("a").alias("node")).union(may.select("b")).distinct()), shingle, similarity)
         discard(pairs)
         discard(may)
+        free_shuffles(docs.sparkSession)
         return out
 
     prefixes = sets.select("node", "size", F.posexplode("prefix").alias("place", "h"))
     busy = prefixes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     held = materialize(prefixes.join(shuffled(busy), "h").select("h", "node", "size", "place"), "prefixes")
+    free_shuffles(docs.sparkSession)
     heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
     same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
     first = alike(materialize(_heads(held), "pairs"))
