@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.hashes import Codes, codes
+from gleaner.llm.hashes import Codes, coded, coded_parts, codes  # noqa: F401 (the tests take Codes and codes from here)
 from gleaner.llm.texts import read, row_key
 from gleaner.plans.storage import materialize
 
@@ -167,16 +167,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """word (a 64-bit hash) and n of every word of all texts."""
 
     def run(batches):
-        memory, parts, n = Codes(), [], 0
+        parts, n = [], 0
 
         def done():
-            word, times = np.unique(np.concatenate(parts), return_counts=True)
-            return pa.record_batch([pa.array(word.view(np.int64)), pa.array(times.astype(np.int64))], names=["word", "n"])
+            word, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(word)
+            word, times = word[order], times[order]
+            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            return pa.record_batch([pa.array(word[first].view(np.int64)), pa.array(np.add.reduceat(times, first))], names=["word", "n"])
 
         for b in batches:
-            for i in range(b.num_rows):
-                parts.append(codes(b.column(0)[i].as_py(), memory))
-                n += len(parts[-1])
+            for own, place, _ in coded_parts(b.column(0)):
+                parts.append((own, np.bincount(place, minlength=len(own))))
+                n += len(place)
                 if n >= 4 * TOKENS:
                     yield done()
                     parts, n = [], 0
@@ -244,12 +247,11 @@ def encoded(docs: DataFrame, model: Model) -> DataFrame:
         return pa.record_batch([*keys, pa.array(sizes), cells, pa.array(share), rare], names=["doc_id", "key", "order", "n_tokens", "ids", "share", "rare"])
 
     def run(batches):
-        memory = Codes()
         for b in batches:
             start, texts, held_words = 0, [], 0
-            for i, text in enumerate(b.column(3)):
-                texts.append(codes(text.as_py(), memory))
-                held_words += len(texts[-1])
+            for i, words in enumerate(coded(b.column(3))):
+                texts.append(words)
+                held_words += len(words)
                 if held_words >= TOKENS // 8 or i == b.num_rows - 1:
                     part = b.slice(start, i + 1 - start)
                     yield rows_of([part.column(k) for k in range(3)], texts)
