@@ -37,11 +37,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gleaner.llm.hashes import Prefixes, coded
 from gleaner.llm.texts import packed, read, row_key
-from gleaner.plans.components import components, spread_join, with_group_min
+from gleaner.plans.components import components, spread_join
 from gleaner.plans.storage import discard, free_shuffles, materialize, partitions, scratch, shuffled
 
 SEED = 42
@@ -348,11 +349,12 @@ def _plausible(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return materialize(both.select("a", "b", "m", "n", "x", "y").mapInArrow(run, "a long, b long"), "plausible")
 
 
-def _heads(rows: DataFrame) -> DataFrame:
-    """rows: h, node and size. a and b: each text with the smallest node of its shingle and band of sizes. Texts of a similarity stand in one band or in neighbours; _apart() sees to the others."""
+def _shared(prefixes: DataFrame) -> DataFrame:
+    """prefixes: h, node, size and place. The rows whose shingle stands in others too, with least, the smallest node of their shingle and band of sizes. Texts of a similarity stand in one band or in neighbours; _apart() sees to the others. One shuffle, by shingle, serves both; what a window holds of a shingle spills."""
     band = F.floor(F.log(F.col("size").cast("double")) / float(np.log(1 / SIMILARITY))).cast("int")
-    rows = rows.select(F.xxhash64("h", band).alias("group"), "node")
-    return with_group_min(rows, "group", F.col("node"), "node").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    rows = prefixes.repartition("h").withColumn("band", band)
+    rows = rows.withColumn("least", F.min("node").over(W.partitionBy("h", "band"))).withColumn("n", F.count("*").over(W.partitionBy("h")))
+    return rows.where("n > 1").select("h", "node", "size", "place", "least")
 
 
 def cross_pairs(h, component, size, place, similarity: float, sketches=None, part=None):
@@ -406,8 +408,15 @@ def cross_pairs(h, component, size, place, similarity: float, sketches=None, par
 PAIRS, HOT = 1 << 18, 1 << 14
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """rows: prefixes with component. Those of shingles that stand in several components, with parts, in how many their shingle is cut."""
+    shingle = W.partitionBy("h")
+    rows = rows.repartition("h").withColumn("n", F.count("*").over(shingle)).withColumn("x", F.min("component").over(shingle)).withColumn("y", F.max("component").over(shingle))
+    return rows.where("x <> y").select("h", "node", "component", "size", "place", F.ceil(F.col("n") / HOT).cast("int").alias("parts"))
+
+
 def _apart(rows: DataFrame, sketches: DataFrame, similarity: float, n: int) -> DataFrame:
-    """rows: prefixes with component, dealt out over n tasks; sketches: node and sketch. a and b: all pairs of different components that may have the similarity.
+    """rows: _mixed() prefixes, dealt out over n tasks; sketches: node and sketch. a and b: all pairs of different components that may have the similarity.
 
     With the shingles of all texts in one order, rare ones first, two sets of that similarity share a shingle among the
     first n - similarity * n + 1 of each. At the first that they share, what is left must suffice for the overlap, and
@@ -449,18 +458,13 @@ def _apart(rows: DataFrame, sketches: DataFrame, similarity: float, n: int) -> D
         if held:
             yield from pairs(held)
 
-    group = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    group = materialize(group.select("h", F.ceil(F.col("n") / HOT).cast("int").alias("parts")), "mixed")
     mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    # Only rows of shingles that join components get their sketch.
-    met = rows.join(shuffled(group), "h").join(shuffled(sketches), "node").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = rows.join(shuffled(sketches), "node").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     key = F.when(F.col("parts") == 1, F.col("h")).otherwise(F.xxhash64("h", F.least("mine", "other"), F.greatest("mine", "other")))
     part = F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine"))
     # Where two parts meet, rows of one part are not paired again; where a part meets itself, all are.
     met = met.select(key.alias("group"), "node", "component", "size", "place", "sketch", part.alias("part"))
-    found = materialize(met.repartition(n, "group").sortWithinPartitions("group").mapInArrow(run, "a long, b long").distinct(), "apart")
-    discard(group)
-    return found
+    return materialize(met.repartition(n, "group").sortWithinPartitions("group").mapInArrow(run, "a long, b long").distinct(), "apart")
 
 
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY, crowd: int = CROWD, key: Column | None = None) -> DataFrame:
@@ -483,7 +487,10 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
         some = texts.join(wanted.select("node"), "node", "left_semi")
         return some.dropDuplicates(["node"]) if repeats else some
 
-    sets = materialize(_sets(of(nodes), _levels(texts, shingle), shingle, similarity), "sets")
+    # Copies go once their sets are known, which are smaller to shuffle than texts.
+    sets = _sets(texts, _levels(texts, shingle), shingle, similarity).join(shuffled(nodes.select("node")), "node", "left_semi")
+    sets = materialize(sets.dropDuplicates(["node"]) if repeats else sets, "sets")
+    free_shuffles(docs.sparkSession)
 
     def alike(pairs: DataFrame) -> DataFrame:
         may = _plausible(pairs, sets, similarity)
@@ -493,18 +500,21 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
         free_shuffles(docs.sparkSession)
         return out
 
-    prefixes = sets.select("node", "size", F.posexplode("prefix").alias("place", "h"))
-    busy = prefixes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    held = materialize(prefixes.join(shuffled(busy), "h").select("h", "node", "size", "place"), "prefixes")
+    held = materialize(_shared(sets.select("node", "size", F.posexplode("prefix").alias("place", "h"))), "prefixes")
     free_shuffles(docs.sparkSession)
     heads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "heads")
     same = nodes.select("fp", F.col("node").alias("a")).join(heads.withColumnRenamed("node", "b"), "fp").where("a <> b").select("a", "b")
-    first = alike(materialize(_heads(held), "pairs"))
+    first = alike(materialize(held.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "pairs"))
     edges = materialize(first.unionAll(same).unionAll(links(heads, crowd)), "links")
     label = components(edges)
-    named = held.join(shuffled(label), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = alike(_apart(named, sets.select("node", "sketch"), similarity, partitions(held)))
-    for table in (held, sets):
+    named = held.drop("least").join(shuffled(label), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    n, mixed = partitions(held), materialize(_mixed(named), "mixed")
+    discard(held)
+    del held, named
+    free_shuffles(docs.sparkSession)
+    # Only rows of shingles that join components get their sketch.
+    more = alike(_apart(mixed, sets.select("node", "sketch"), similarity, n))
+    for table in (mixed, sets):
         discard(table)
     found = label if more.isEmpty() else components(edges.unionAll(more))
     label = nodes.join(shuffled(found), "node", "left").select(F.struct("same", "fp").alias("text"), F.coalesce("component", "node").alias("component"))

@@ -29,3 +29,29 @@ def test_long_unlike_texts_that_share_a_shingle_are_not_proposed(spark, monkeypa
     found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
     assert found.select("component").distinct().count() == 24
     assert sum(made) < 20  # 276 pairs of texts share shingles; a sketch of 256 bits can't tell texts of 1,500 shingles apart
+
+
+def test_shingles_are_shuffled_once_to_be_counted_and_texts_are_not(spark, monkeypatch):
+    """By plans: shingles meet in one shuffle for their number and first holder, and in one for their components; copies are dropped as sets."""
+    plans, write = {}, simhash.materialize
+    monkeypatch.setattr(simhash, "materialize", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and None or write(df, name))
+    base = [prose(80, k) for k in range(12)]
+    rows = [(k, base[k % 12] + (f" more{k}" if k > 24 else "")) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert simhash.near_copies(docs).select("component").distinct().count() == 12
+    initial = {name: plan.split("== Initial Plan ==")[-1] for name, plan in plans.items()}
+    assert initial["prefixes"].count("Exchange") == 1 and initial["mixed"].count("hashpartitioning(h#") == 1
+    assert initial["sets"].index("Exchange") < initial["sets"].index("MapInArrow")
+
+
+def test_parts_of_a_shingle_are_those_of_all_its_holders(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT", 4)
+    rows = [(1, k, k % 2, 9, 0) for k in range(10)] + [(2, k, 0, 9, 1) for k in range(10)] + [(3, 1, 1, 9, 2), (3, 2, 2, 9, 2)]
+    got = simhash._mixed(spark.createDataFrame(rows, "h long, node long, component long, size int, place int"))
+    assert sorted({(r["h"], r["parts"]) for r in got.collect()}) == [(1, 3), (3, 1)] and got.count() == 12
+
+
+def test_holders_of_a_shingle_get_the_first_of_their_band(spark):
+    rows = [(1, 5, 100, 0), (1, 4, 101, 1), (1, 3, 900, 2), (2, 9, 50, 0)]
+    got = simhash._shared(spark.createDataFrame(rows, "h long, node long, size int, place int"))
+    assert sorted((r["h"], r["node"], r["size"], r["place"], r["least"]) for r in got.collect()) == [(1, 3, 900, 2, 3), (1, 4, 101, 1, 4), (1, 5, 100, 0, 4)]
