@@ -533,5 +533,5 @@ def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY
         first = materialize(first.select("component", F.col("x.key").alias("key")), "kept")
         repeats = not found.join(first, ["component", "key"]).groupBy("key").count().where("count > 1").isEmpty()
         keep.append(first)
-    kept = packed(docs, key).join(first.select("key"), "key", "left_semi")
+    kept = packed(docs, key).join(shuffled(first.select("key")), "key", "left_semi")
     return (kept.dropDuplicates(["key"]) if repeats else kept).select("row.*")

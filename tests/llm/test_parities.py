@@ -55,3 +55,11 @@ def test_holders_of_a_shingle_get_the_first_of_their_band(spark):
     rows = [(1, 5, 100, 0), (1, 4, 101, 1), (1, 3, 900, 2), (2, 9, 50, 0)]
     got = simhash._shared(spark.createDataFrame(rows, "h long, node long, size int, place int"))
     assert sorted((r["h"], r["node"], r["size"], r["place"], r["least"]) for r in got.collect()) == [(1, 3, 900, 2, 3), (1, 4, 101, 1, 4), (1, 5, 100, 0, 4)]
+
+
+def test_kept_keys_are_not_broadcast(spark):
+    docs = spark.createDataFrame([(k, prose(30, k % 3)) for k in range(9)], "doc_id long, text string")
+    kept = simhash.keep_first(docs)
+    plan = kept._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2]
